@@ -5,14 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup
+from . import decontam, licenses, neardup, packing, pii, toxicity
 from .common import table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), size=2048, separator=0)
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents")).drop("expressions")
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("_base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2, similarity=0.8)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-QUERIES = {"op8_minhash_neardup": op8_minhash_neardup}
+def op9_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    held = F.expr("crc32(cast(cast(doc_id as string) as binary)) % 5 = 0")
+    return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", F.expr("int(score >= 0.5)").alias("predicted"), "spans")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op2_best_fit_packing, op4_license_scan, op5_benchmark_decontamination, op7_pii_spans, op8_minhash_neardup, op9_toxicity_crf)
+}
 ORACLE_SQL: dict[str, str] = {}
