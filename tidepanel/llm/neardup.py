@@ -7,9 +7,8 @@ share of equal registers, less the collisions that compression makes by chance,
 whose estimate may reach the threshold are confirmed on their full sets.
 
 Texts with equal sets form one class; only classes are compared. Within a band bucket no list of all pairs is made:
-first every class is compared with the bucket's smallest (a star), then, between classes that are still in
-different components, each with its most similar class of every other component, at last all pairs that are
-still apart and whose estimate may reach the threshold. So every pair that shares a band key is either confirmed,
+first every class is compared with the bucket's smallest (a star); then each with the
+most similar classes of other components; at last all pairs that are still apart and may reach the threshold. So every pair that shares a band key is either confirmed,
 refused, estimated too far, or already connected: components are those of all such pairs. Two sets of similarity
 0.8 share no band key with a chance of (1 - 0.8^4)^32 < 5e-8.
 
@@ -40,6 +39,7 @@ SLACK = 5.0
 WORDS_KEPT = 300_000
 CHUNK = 1 << 15
 BLOCK = 512
+OFFERED, CELL = 4, 4096
 _SEEDS = np.random.default_rng(20177).integers(1, 1 << 63, 2 * ROWS + 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -118,6 +118,10 @@ def estimated(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (equal / used - c) / (1 - c)
 
 
+def _unpacked(keys: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(keys), np.uint64).reshape(-1, ROWS)
+
+
 def least_estimate(similarity: float, used: int = ROWS * BUCKETS) -> float:
     return similarity - SLACK * (similarity * (1 - similarity) / used) ** 0.5
 
@@ -132,28 +136,30 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
             full = [i for i, s in enumerate(sets) if len(s)]
             keys: list = [None] * len(sets)
             if full:
-                for i, row in zip(full, band_keys([sets[i] for i in full]).view(np.int64)):
-                    keys[i] = row
+                for i, row in zip(full, band_keys([sets[i] for i in full])):
+                    keys[i] = row.tobytes()
             names = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.array(keys, pa.binary())],
                 names=["id", "n", "name", "keys"],
             )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, name binary, keys array<long>")
+    return docs.select("id", "text").mapInArrow(run, "id long, n long, name binary, keys binary")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """Full sets of the classes in wanted (node); docs has the columns id and text. Only their texts are shuffled."""
+    """Full sets of the classes in wanted (node), and the low 16 bits of each; of docs (id, text) only their texts are shuffled."""
     some = may_hold(docs, "id", id_bitmap(wanted, "node"))
     texts = some.join(wanted, F.col("id") == F.col("node")).select("node", "text")
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_hashes(t, k).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
+            sets = [shingle_hashes(t, k) for t in batch.column(1).to_pylist()]
+            low = [s.astype(np.uint16).tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(low, pa.binary())], names=["node", "set", "low"])
 
-    return texts.mapInArrow(run, "node long, set binary").groupBy("node").agg(F.min("set").alias("set"))
+    own = texts.mapInArrow(run, "node long, set binary, low binary")
+    return own.groupBy("node").agg(F.min(F.struct("set", "low")).alias("x")).select("node", "x.set", "x.low")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -179,9 +185,9 @@ def _possible(pairs: DataFrame, keys: DataFrame, similarity: float) -> DataFrame
 
     def run(batches):
         for batch in batches:
-            x, y = (np.asarray(batch.column(i).flatten()).reshape(len(batch.column(i)), -1) for i in (2, 3))
-            if len(x):
-                good = estimated(np.ascontiguousarray(x).view(np.uint64), np.ascontiguousarray(y).view(np.uint64)) >= least
+            if batch.num_rows:
+                x, y = (_unpacked(batch.column(i).to_pylist()) for i in (2, 3))
+                good = estimated(x, y) >= least
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
 
     a, b = keys.select(F.col("node").alias("a"), F.col("keys").alias("ka")), keys.select(F.col("node").alias("b"), F.col("keys").alias("kb"))
@@ -203,38 +209,64 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def _apart(members: DataFrame, similarity: float, best_only: bool) -> DataFrame:
-    """Pairs of classes of one band bucket that are in different components and may be similar.
+def _apart(members: DataFrame, cells: int, similarity: float, most: int | None) -> DataFrame:
+    """(a, b, near): pairs of classes of one band bucket that are in different components and may be similar.
 
-    members: bucket, node, comp, keys, block, blocks. Buckets are cut into blocks of BLOCK classes; each pair of
-    blocks is one group, so no task holds a whole bucket.
+    members: bucket, band, node, comp, keys, low, block, lo, hi. Buckets are cut into blocks of BLOCK classes, and each
+    pair of blocks is compared on its own, so no task holds a whole bucket. A pair counts in the first band that it
+    shares. Pairs whose estimate may reach the similarity are counted once more on the low 16 bits of all their
+    shingles: hashes that meet there by chance only add to what two sets share, so no similar pair is refused.
+    With most, each class of a block offers only its most similar ones.
     """
-    least = least_estimate(similarity)
-
-    def run(pdf):
-        import pandas as pd
+    least, hundredths = least_estimate(similarity), round(similarity * 100)
 
-        keys = np.array(pdf["keys"].tolist(), np.int64).view(np.uint64)
-        left, right = np.flatnonzero(pdf["block"] == pdf["lo"]), np.flatnonzero(pdf["block"] == pdf["hi"])
-        comp, node, same = pd.factorize(pdf["comp"])[0], pdf["node"].to_numpy(), pdf["lo"].iloc[0] == pdf["hi"].iloc[0]
-        a, b = [], []
+    def compared(keys, comp, low, band, left, right, same):
+        sizes = np.array([len(x) for x in low])
+        held = np.zeros(1 << 16, bool)
         for i in left:
-            js = right[(right > i) if same else slice(None)]
+            js = right[right > i] if same else right
             js = js[comp[js] != comp[i]]
+            if len(js):
+                js = js[(keys[js] == keys[i]).argmax(1) == band]
+            if len(js):
+                js = js[estimated(np.broadcast_to(keys[i], (len(js), ROWS)).copy(), keys[js]) >= least]
             if not len(js):
                 continue
-            est = estimated(np.broadcast_to(keys[i], (len(js), ROWS)).copy(), keys[js])
-            js, est = js[est >= least], est[est >= least]
-            if best_only and len(js):
-                order = np.lexsort((-est, comp[js]))
-                js = js[order][np.r_[True, np.diff(comp[js[order]]) != 0]]
-            a += [min(node[i], node[j]) for j in js]
-            b += [max(node[i], node[j]) for j in js]
-        return pd.DataFrame({"a": a, "b": b})
+            held[low[i]] = True
+            both = np.minimum(sizes[i], np.add.reduceat(held[np.concatenate([low[j] for j in js])], np.cumsum([0, *sizes[js[:-1]]]), dtype=np.int64))
+            held[low[i]] = False
+            all_ = sizes[i] + sizes[js] - both
+            js, near = js[100 * both >= hundredths * all_], (both / all_)[100 * both >= hundredths * all_]
+            if most and len(js) > most:
+                top = np.argsort(-near, kind="stable")[:most]
+                js, near = js[top], near[top]
+            for j, x in zip(js, near):
+                yield i, j, x
+
+    def run(pdf):
+        import pandas as pd
+
+        keys, node = _unpacked(pdf["keys"].tolist()), pdf["node"].to_numpy()
+        low = [np.frombuffer(x, np.uint16) for x in pdf["low"]]
+        comp, band, lo, hi, own = (pdf[c].to_numpy() for c in ("comp", "band", "lo", "hi", "block"))
+        order = np.lexsort((node, hi, lo, pdf["bucket"].to_numpy()))
+        group = np.stack([pdf["bucket"].to_numpy(), lo, hi])[:, order]
+        starts = np.flatnonzero(np.r_[True, (group[:, 1:] != group[:, :-1]).any(0)]).tolist()
+        out = []
+        for s, e in zip(starts, [*starts[1:], len(order)]):
+            at = order[s:e]
+            f, o = at[0], own[at]
+            found = compared(keys[at], comp[at], [low[x] for x in at], band[f], np.flatnonzero(o == lo[f]), np.flatnonzero(o == hi[f]), lo[f] == hi[f])
+            out += [(min(node[at[i]], node[at[j]]), max(node[at[i]], node[at[j]]), x) for i, j, x in found]
+        return pd.DataFrame(out, columns=["a", "b", "near"])
+
+    return members.groupBy(F.pmod(F.xxhash64("bucket", "lo", "hi"), F.lit(cells))).applyInPandas(run, "a long, b long, near double")
+
 
-    pairs = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-    return pairs.groupBy("bucket", "lo", "hi").applyInPandas(run, "a long, b long").distinct()
+def _nearest(offers: DataFrame) -> DataFrame:
+    """Each class's most similar offer, from either end of it."""
+    ends = offers.select("a", "b", "near", F.explode(F.array("a", "b")).alias("node"))
+    return ends.groupBy("node").agg(F.max(F.struct("near", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,39 +274,42 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     rows = written(sketched(base, k), "sketches")
     classes = written(rows.where("n > 0 and id is not null").groupBy("name", "keys").agg(F.min("id").alias("node")), "classes")
-    banded = classes.select("node", F.posexplode("keys").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("bucket"))
+    banded = classes.select("node", "keys", F.explode(F.sequence(F.lit(0), F.lit(ROWS - 1))).alias("band"))
+    banded = banded.select("node", "band", F.xxhash64("band", F.expr("substring(keys, 8 * band + 1, 8)")).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
     banded = written(banded.join(shared, "bucket"), "banded")
     keys = classes.select("node", "keys")
-    pairs = written(_possible(banded.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), keys, similarity), "pairs")
-    tried, links, labels = pairs, None, None
-    for best_only in (True, False, None):
-        if pairs.isEmpty():
-            break
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        found = written(_confirmed(pairs, written(_sets_of(base, ends, k), "sets"), similarity), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        if best_only is not None:
-            members = _divided(banded, labels, keys)
-            pairs = written(_apart(members, similarity, best_only).join(tried, ["a", "b"], "left_anti"), "pairs")
-            tried = tried.union(pairs)
+    sets = written(_sets_of(base, banded.select("node").distinct(), k), "sets")
+    star = banded.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    tried = pairs = written(_possible(star, keys, similarity), "pairs")
+    links = written(_confirmed(pairs, sets, similarity), "links")
+    labels = components(links)
+    for most in (OFFERED, None):
+        offers = _apart(*_divided(banded, labels, keys, sets), similarity, most).join(tried, ["a", "b"], "left_anti")
+        pairs = written(_nearest(offers) if most else offers.select("a", "b"), "pairs")
+        found = written(_confirmed(pairs, sets, similarity), "links")
+        if not found.isEmpty():
+            links = links.union(found)
+            labels = components(links)
+        tried = tried.union(pairs)
     return _result(rows, classes, labels, id_col, docs.schema[id_col].dataType)
 
 
-def _divided(banded: DataFrame, labels: DataFrame, keys: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one component, with their component, keys and block."""
-    at = banded.join(labels, "node", "left").select("bucket", "node", "size", F.coalesce("label", "node").alias("comp"))
-    cut = F.ceil(F.max("size") / BLOCK).cast("int")
-    mixed = at.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), cut.alias("blocks")).where("c0 <> c1")
-    own = at.select("bucket", "node", "comp").join(mixed.select("bucket", "blocks"), "bucket")
-    return own.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(keys, "node")
+def _divided(banded: DataFrame, labels: DataFrame, keys: DataFrame, sets: DataFrame) -> tuple[DataFrame, int]:
+    """Members of the buckets that hold more than one component, for each pair of blocks, and a number of cells for them."""
+    at = banded.join(labels, "node", "left").select("bucket", "band", "node", "size", F.coalesce("label", "node").alias("comp"))
+    blocks = F.ceil(F.max("size") / BLOCK).cast("int")
+    mixed = at.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n"), blocks.alias("blocks")).where("c0 <> c1")
+    mixed = written(mixed.select("bucket", "n", "blocks"), "mixed")
+    cells = max(1, (mixed.agg(F.sum(F.expr("n * blocks"))).first()[0] or 0) // CELL)
+    own = at.select("bucket", "band", "node", "comp").join(mixed.drop("n"), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    own = own.join(keys, "node").join(sets.select("node", "low"), "node")
+    pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return pairs.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks"), cells
 
 
-def _result(rows: DataFrame, classes: DataFrame, labels: DataFrame | None, id_col: str, kind) -> DataFrame:
-    own = classes.select("name", "node")
-    own = own.withColumn("label", F.col("node")) if labels is None else own.join(labels, "node", "left")
-    own = own.select(F.col("name").alias("of"), F.coalesce("label", "node").alias("label"))
+def _result(rows: DataFrame, classes: DataFrame, labels: DataFrame, id_col: str, kind) -> DataFrame:
+    own = classes.join(labels, "node", "left").select(F.col("name").alias("of"), F.coalesce("label", "node").alias("label"))
     full = rows.where("n > 0").join(own, F.col("name") == F.col("of"), "left").select("id", "n", F.col("label").alias("component"))
     out = full.union(rows.where("n = 0").select("id", "n", F.col("id").alias("component")))
     return out.select(F.col("id").cast(kind).alias(id_col), F.col("n").alias("n_shingles"), F.col("component").cast(kind).alias("component_id"))

@@ -85,6 +85,10 @@ def _packed(pdf: pd.DataFrame, size: int, last: bool, level: int) -> pd.DataFram
     return pdf.assign(bin=number, offset=pdf["offset"].to_numpy() + places[first], final=final[bins[first]])
 
 
+def _packer(size: int, last: bool, level: int):
+    return lambda pdf: _packed(pdf, size, last, level)
+
+
 def packed(parts: DataFrame, size: int = 2048) -> DataFrame:
     """The pieces with sequence_id and offset; parts is a written table with a column length of at most size."""
     cells = max(1, -(-parts.count() // ITEMS))
@@ -93,11 +97,7 @@ def packed(parts: DataFrame, size: int = 2048) -> DataFrame:
     done, level = [], 0
     while True:
         level += 1
-
-        def run(pdf, last=cells == 1, level=level):
-            return _packed(pdf, size, last, level)
-
-        now = written(todo.groupBy("cell").applyInPandas(run, todo.schema), "packed")
+        now = written(todo.groupBy("cell").applyInPandas(_packer(size, cells == 1, level), todo.schema), "packed")
         done.append(now.where("final"))
         if cells == 1:
             break
