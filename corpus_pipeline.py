@@ -1,8 +1,51 @@
-"""A training-data pipeline."""
+"""A training-data pipeline over documents: toxic ones go, one of each group of near duplicates stays, leaked test items
+go with their documents, personal data is masked, and what is left is packed into sequences.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of docs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidepanel.llm import decontam, neardup, packing, pii, toxicity
+from tidepanel.llm.common import table, written
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.deduplicated(docs, k=5, similarity=0.8)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redacted(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxic),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal data", personal_data),
+    ("packing", packed),
+]
+#: SQL expresses neither the trained models nor the tokenizer; tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on documents; between two stages the rows are written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -26,7 +26,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_bitmap, may_hold, written
@@ -313,3 +313,26 @@ def _result(rows: DataFrame, classes: DataFrame, labels: DataFrame, id_col: str,
     full = rows.where("n > 0").join(own, F.col("name") == F.col("of"), "left").select("id", "n", F.col("label").alias("component"))
     out = full.union(rows.where("n = 0").select("id", "n", F.col("id").alias("component")))
     return out.select(F.col("id").cast(kind).alias(id_col), F.col("n").alias("n_shingles"), F.col("component").cast(kind).alias("component_id"))
+
+
+def deduplicated(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, less all but one of each component.
+
+    The row of the component's smallest id stays, the one with the smallest text if rows share that id; rows without
+    an id stay if their text is in no component with an id. Texts are shuffled only where a row may go: a filter of
+    fixed size over the ids of such rows lets all others pass.
+    """
+    found = near_duplicates(docs, k, similarity, id_col, text_col)
+    going = found.groupBy(id_col).agg(F.min(F.col(id_col).eqNullSafe(F.col("component_id"))).alias("stays"), F.count("*").alias("n")).where("not stays or n > 1")
+    going = written(going.select(F.col(id_col).alias("_id"), "stays"), "going")
+    bits = 1 << 23
+    columns = docs.columns
+    keyed = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), docs[id_col].cast("long").alias("_id"))
+    slot = F.pmod(F.xxhash64("_id"), F.lit(bits))
+    marked = keyed.withColumn("_word", F.floor(slot / 64).cast("int")).join(F.broadcast(id_bitmap(going, "_id", bits)), "_word", "left")
+    hit = F.coalesce(F.expr(f"shiftright(_mask, int(pmod(xxhash64(_id), {bits}) % 64)) & 1 = 1"), F.lit(False))
+    sure = marked.where(~hit).select("_row")
+    asked = marked.where(hit).select("_row", "_id").join(going, "_id", "left")
+    order = Window.partitionBy("_id").orderBy(F.col("_row")[text_col].asc_nulls_first(), *[F.col("_row")[c].asc_nulls_first() for c in columns if c != text_col])
+    once = asked.where("stays is null or stays").withColumn("_n", F.row_number().over(order)).where("stays is null or _n = 1")
+    return sure.union(once.select("_row")).select(*[F.col("_row")[c].alias(c) for c in columns])

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, neardup, packing, pii, toxicity
-from .common import table
+from . import ann, decontam, html, licenses, neardup, packing, pii, quality, rollup, toxicity
+from .common import new_path, table, written
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), size=2048, separator=0)
 
 
+def op3_adaptive_scan_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents")).drop("expressions")
 
@@ -21,6 +29,25 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in, those of at most 16 tokens go out again, and a second version counts a separator too.
+
+    Each batch is committed twice, as after a retry; the second time changes nothing.
+    """
+    rows = written(rollup.counted(table(spark, sf_dir, "documents")), "counts")
+    own = rollup.Rollup(spark, new_path(spark, "rollup"))
+    short = rows.where("n_tokens <= 16")
+    batches = {
+        "load": rollup.inserts(rows, "1"),
+        "short": rollup.deletes(short, "1"),
+        "copy": rollup.inserts(rows.where("n_tokens > 16"), "2"),
+        "separator": rollup.revisions(rows.where("n_tokens > 16").withColumn("new_tokens", F.expr("n_tokens + 1")), "2"),
+    }
+    for name, changes in [*batches.items(), *batches.items()]:
+        own.commit(name, changes)
+    return own.totals(list(batches))
+
+
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in pii.BASE]
@@ -39,8 +66,12 @@ def op9_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", F.expr("int(score >= 0.5)").alias("predicted"), "spans")
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_best_fit_packing, op4_license_scan, op5_benchmark_decontamination, op7_pii_spans, op8_minhash_neardup, op9_toxicity_crf)
+    for f in (op1_html_extraction, op3_adaptive_scan_ann, op6_token_rollups, op10_importance_resampling, op2_best_fit_packing, op4_license_scan, op5_benchmark_decontamination, op7_pii_spans, op8_minhash_neardup, op9_toxicity_crf)
 }
 ORACLE_SQL: dict[str, str] = {}
