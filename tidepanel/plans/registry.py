@@ -1,6 +1,8 @@
-"""Registered queries of the panel operators and the SQL that must give the same rows."""
+"""All registered queries of the panel operators."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import extraction  # noqa: F401
+from .base import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
