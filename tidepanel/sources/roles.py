@@ -110,3 +110,78 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy(F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("time"), F.col("p_brand").alias("asset")).agg(
         (F.sum(cents) / F.count(cents) / 100).alias("price")
     )
+
+
+def protocol(spark: SparkSession, sf_dir: str, width: str = "2 hours") -> DataFrame:
+    """Protocol series: one row a bucket, with values in two denominations, counts, users and account means."""
+    ev = events(spark, sf_dir).withColumn("cents", F.col("amount").cast("long"))
+    kind = lambda k: F.col("kind") == KINDS[k]
+    loan = kind("withdraw") & F.col("flag")
+    value = lambda cond, x: F.sum(F.when(cond, x)) / 100.0
+    amounts = {
+        "supply_amount": (kind("supply"), F.col("cents")),
+        "withdrawal_amount": (kind("withdraw"), F.col("cents")),
+        "borrow_amount": (kind("borrow"), F.col("cents")),
+        "repay_amount": (kind("repay"), F.col("cents")),
+        "liquidated_collateral": (kind("liquidation"), F.col("cents")),
+        "liquidation_debt_covered": (kind("liquidation"), F.expr("cents div 2")),
+        "flashloan_amount": (loan, F.col("cents")),
+        "flashloan_premium": (loan, F.expr("cents div 1000")),
+    }
+    counts = {
+        "supply_tx_count": kind("supply"),
+        "withdrawal_tx_count": kind("withdraw"),
+        "borrow_tx_count": kind("borrow"),
+        "repay_tx_count": kind("repay"),
+        "variable_borrow_tx_count": kind("borrow") & (F.col("mode") == 2),
+        "liquidation_tx_count": kind("liquidation"),
+        "flashloan_tx_count": loan,
+        "variable_flashloan_tx_count": loan & (F.col("mode") == 1),
+        "no_open_debt_flashloan_tx_count": loan & (F.col("mode") == 0),
+        "collateral_enabled_count": kind("repay") & F.col("flag"),
+        "collateral_disabled_count": kind("borrow") & F.col("flag"),
+    }
+    uniques = {
+        "unique_suppliers": "supply_tx_count",
+        "unique_withdraw_users": "withdrawal_tx_count",
+        "unique_borrowers": "borrow_tx_count",
+        "unique_repayers": "repay_tx_count",
+        "unique_liquidated_users": "liquidation_tx_count",
+        "unique_flashloan_initiators": "flashloan_tx_count",
+        "unique_collateral_enable_users": "collateral_enabled_count",
+        "unique_collateral_disable_users": "collateral_disabled_count",
+    }
+    n = F.count("*")
+    out = ev.groupBy(F.window("time", width)["start"].alias("time_bucket")).agg(
+        *(value(cond, x).alias(f"{k}_value_usd") for k, (cond, x) in amounts.items()),
+        *(F.count_if(cond).alias(k) for k, cond in counts.items()),
+        *(F.count_distinct(F.when(counts[k], F.col("user"))).alias(u) for u, k in uniques.items()),
+        F.count_distinct(F.when(kind("liquidation"), F.col("user") % 7)).alias("unique_liquidators"),
+        (F.sum("cents") / n).alias("avg_total_collateral_base"),
+        (F.sum(F.expr("cents div 3")) / n).alias("avg_total_debt_base"),
+        (F.sum(F.expr("cents div 5")) / n).alias("avg_available_borrows_base"),
+        (F.sum("asset") * 700.0 / n).alias("avg_ltv"),
+        (F.sum("asset") * 800.0 / n + 100).alias("avg_current_liquidation_threshold"),
+        F.count_distinct("user").alias("sampled_user_count"),
+    )
+    return out.withColumns({f"{k}_value_eth": F.col(f"{k}_value_usd") * 100 / F.col("avg_total_collateral_base") for k in amounts})
+
+
+def reserve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reserve panel by day and asset."""
+    from ..operators.extract import reserve_state
+
+    fields = ("liquidity_rate", "variable_borrow_rate", "stable_borrow_rate", "liquidity_index", "variable_borrow_index")
+    return reserve_state(states(spark, sf_dir), fields, "1 day", 100.0).withColumnRenamed("stable_borrow_rate", "last_borrow_rate")
+
+
+def series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long series (series, ord, x): event values by type, and account balances by market segment."""
+    ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("series"), F.col("event_id").alias("ord"), F.col("value").alias("x"))
+    return ev.union(table(spark, sf_dir, "customer").select("c_mktsegment", "c_custkey", "c_acctbal"))
+
+
+def wide(spark: SparkSession, sf_dir: str, n: int = 16) -> DataFrame:
+    """Embeddings as n columns e0, e1, ..., with some cells missing."""
+    cell = lambda i: F.when(F.col("vec_id") % (i + 11) != 0, F.col("embedding")[i].cast("double"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", *(cell(i).alias(f"e{i}") for i in range(n)))
