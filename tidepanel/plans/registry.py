@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import extraction, panels  # noqa: F401
+from . import checks, extraction, panels, statistics  # noqa: F401
 from .base import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
