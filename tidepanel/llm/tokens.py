@@ -78,7 +78,7 @@ class WordBpe:
         chunks = [None if o else self._plain(t).split() for t, o in zip(texts, odd)]
         made: dict[str, list[str]] = {}
         new: dict[str, None] = {}
-        for w in set().union(*filter(None, chunks)) - now.keys():
+        for w in set().union(*filter(None, chunks)).difference(now):
             if (b := old.get(w)) is not None:
                 now[w] = b
             elif w.isalpha():

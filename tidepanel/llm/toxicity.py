@@ -120,7 +120,7 @@ class Field:
         known = self.chunks
         if len(known) > CHUNKS_KEPT:
             known.clear()
-        for w in set(chunks) - known.keys():
+        for w in set(chunks).difference(known):
             known[w] = self.emission(w)
         at = [i for i, w in enumerate(chunks) if known[w] is not None]
         return at, self.marginals(len(chunks), at, [known[chunks[i]] for i in at]) if at else []
