@@ -12,8 +12,14 @@ from pyspark.sql import functions as F
 from ..functions.columns import divided
 from .profile import sample_kurtosis, sample_skewness
 
-BY = Window.partitionBy("series")
-ORDERED = BY.orderBy("ord")
+
+
+def _by():
+    return Window.partitionBy("series")
+
+
+def _ordered():
+    return _by().orderBy("ord")
 
 
 def cleaned(long: DataFrame) -> DataFrame:
@@ -22,7 +28,7 @@ def cleaned(long: DataFrame) -> DataFrame:
 
 def returns(long: DataFrame, kind: str = "simple") -> DataFrame:
     """Changes between neighbours by ord; what is not finite drops out."""
-    last = F.lag("x").over(ORDERED)
+    last = F.lag("x").over(_ordered())
     change = divided("x", last) - 1 if kind == "simple" else F.ln("x") - F.ln(last)
     return cleaned(cleaned(long).select("series", "ord", change.alias("x")))
 
@@ -34,13 +40,13 @@ def drawdowns(long: DataFrame, as_returns: bool = True) -> DataFrame:
     """
     if as_returns:
         f = 1 + F.col("x")
-        size = F.sum(F.when(f != 0, F.ln(F.abs(f))).otherwise(0.0)).over(ORDERED)
-        flips, zeros = F.sum(F.when(f < 0, 1).otherwise(0)).over(ORDERED), F.sum(F.when(f == 0, 1).otherwise(0)).over(ORDERED)
+        size = F.sum(F.when(f != 0, F.ln(F.abs(f))).otherwise(0.0)).over(_ordered())
+        flips, zeros = F.sum(F.when(f < 0, 1).otherwise(0)).over(_ordered()), F.sum(F.when(f == 0, 1).otherwise(0)).over(_ordered())
         wealth = F.when(zeros > 0, 0.0).otherwise(F.exp(size) * F.when(flips % 2 == 1, -1.0).otherwise(1.0))
     else:
         wealth = F.col("x")
     paths = cleaned(long).select("series", "ord", wealth.alias("w"))
-    peak = F.max("w").over(ORDERED)
+    peak = F.max("w").over(_ordered())
     return paths.select("series", "ord", (divided("w", peak) - 1).alias("dd"))
 
 
@@ -67,7 +73,7 @@ def shape(long: DataFrame, threshold: float = 0.0, bins: int = 20, top: float =
         F.when(F.min("x") > 0, F.avg(r * F.ln(r))).alias("theil_index"),
         divided(F.sum(up), -F.sum(down)).alias("omega_ratio"),
     )
-    ranked = near.withColumn("i", F.row_number().over(BY.orderBy("x"))).withColumn("k", F.row_number().over(BY.orderBy(F.desc("x"))))
+    ranked = near.withColumn("i", F.row_number().over(_by().orderBy("x"))).withColumn("k", F.row_number().over(_by().orderBy(F.desc("x"))))
     most = F.greatest(F.lit(1), F.ceil(F.lit(top) * F.col("n")))
     ranks = ranked.groupBy("series").agg(
         F.when((F.max("total") > 0) & (F.max("lo") >= 0), 2 * F.sum(F.col("i") * F.col("x")) / (F.max("n") * F.max("total")) - (F.max("n") + 1) / F.max("n")).alias("gini_coefficient"),
@@ -97,7 +103,7 @@ def shape(long: DataFrame, threshold: float = 0.0, bins: int = 20, top: float =
 
 def hill(long: DataFrame, k: int | None = None) -> DataFrame:
     """Hill tail index over the k largest positive values (a tenth of them, 10 at least), of at least 10 and more than k."""
-    x = cleaned(long).where("x > 0").withColumn("rank", F.row_number().over(BY.orderBy(F.desc("x")))).withColumn("n", F.count("*").over(BY))
+    x = cleaned(long).where("x > 0").withColumn("rank", F.row_number().over(_by().orderBy(F.desc("x")))).withColumn("n", F.count("*").over(_by()))
     x = x.withColumn("k", F.lit(k) if k else F.greatest(F.lit(10), F.floor(F.col("n") / 10)))
     x = x.withColumn("k", F.least("k", F.col("n") - 1)).where("n >= 10")
     edge = F.max(F.when(F.col("rank") == F.col("k") + 1, F.ln("x")))
@@ -134,21 +140,21 @@ def performance(long: DataFrame, rf: float = 0.0, periods: float = 1.0, as_retur
 
 def rolling_volatility(long: DataFrame, window: int = 12, least: int | None = None, as_returns: bool = True) -> DataFrame:
     """Each row with the sample deviation of the last window rows (of returns), null below least values."""
-    x = F.col("x") if as_returns else divided("x", F.lag("x").over(ORDERED)) - 1
+    x = F.col("x") if as_returns else divided("x", F.lag("x").over(_ordered())) - 1
     rows = long.withColumn("_r", x)
-    w = ORDERED.rowsBetween(1 - window, 0)
+    w = _ordered().rowsBetween(1 - window, 0)
     return rows.withColumn("volatility", F.when(F.count("_r").over(w) >= (least or max(2, window // 3)), F.stddev_samp("_r").over(w))).drop("_r")
 
 
 def autocorrelation(long: DataFrame, lag: int = 1) -> DataFrame:
-    x = cleaned(long).withColumn("y", F.lag("x", lag).over(ORDERED)).where("y is not null")
+    x = cleaned(long).withColumn("y", F.lag("x", lag).over(_ordered())).where("y is not null")
     varies = (F.stddev_pop("x") > 0) & (F.stddev_pop("y") > 0)
     return x.groupBy("series").agg(F.when(varies, F.corr("x", "y")).alias("autocorrelation"))
 
 
 def hurst(long: DataFrame, points: int = 20) -> DataFrame:
     """Hurst exponent by rescaled ranges over at most points window lengths from 4 to n/2, spaced by logs (n >= 20)."""
-    x = cleaned(long).withColumn("i", F.row_number().over(ORDERED) - 1).withColumn("n", F.count("*").over(BY)).where("n >= 20")
+    x = cleaned(long).withColumn("i", F.row_number().over(_ordered()) - 1).withColumn("n", F.count("*").over(_by())).where("n >= 20")
     lengths = x.groupBy("series").agg(F.max("n").alias("n"))
     top = F.log10(F.floor(F.col("n") / 2).cast("double"))
     step = (top - F.log10(F.lit(4.0))) / (points - 1)
