@@ -2,14 +2,15 @@
 
 Vectors are turned by a random rotation, which spreads their length evenly over the dimensions, and dealt to the
 lists of their nearest centroids (fitted on at most SAMPLE vectors; all rows are indexed). A query probes the lists
-nearest to it until they hold at least PROBE of all vectors. Within a list, distances grow by blocks of COLUMNS rotated
+nearest to it until they hold a share of all vectors: the least of SHARES with which TRIED vectors of the sample find
+RECALL of their nearest in the sample, so that clustered vectors need few lists and scattered ones many. Within a list, distances grow by blocks of COLUMNS rotated
 dimensions; after each block a hypothesis test drops candidates whose partial distance, scaled to all dimensions,
 exceeds the query's k-th best so far by more than chance allows (EPSILON). Survivors are measured exactly, on
 original vectors in double precision. Lists are cut into blocks of BLOCK vectors and QUERIES queries, so a list that
 holds a large share of all vectors is spread over many tasks, and none grows with the input.
 
 Vectors take part if they are not null, hold only finite numbers, are not zero and have the length that most such
-vectors have. Ties go to smaller ids; rows with a null id take no part; rows that repeat an id are each a candidate.
+vectors have. Ties go to smaller ids; rows with a null id take no part; rows with the id of a query are its own.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-SAMPLE, LISTS, PROBE, SMALL = 20_000, 1024, 0.3, 4_000
+SAMPLE, LISTS, SMALL = 20_000, 1024, 4_000
+SHARES, RECALL, TRIED = (0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0), 0.97, 200
 COLUMNS, EPSILON = 16, 2.1
 BLOCK, QUERIES = 2048, 1024
 
@@ -94,7 +96,26 @@ def _probed(queries: np.ndarray, c: np.ndarray, sizes: np.ndarray, least: int) -
     return out
 
 
-def nearest(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", lists: int | None = None, probe: float = PROBE) -> DataFrame:
+def share_needed(x: np.ndarray, c: np.ndarray, k: int, seed: int = 13) -> float:
+    """The least share of vectors to probe, measured on the sample x."""
+    own = np.unique(x, axis=0)
+    at = _nearest(own, c)
+    sizes = np.bincount(at, minlength=len(c))
+    tried = np.random.default_rng(seed).choice(len(own), min(TRIED, len(own)), replace=False)
+    true = []
+    for i in tried:
+        d = ((own - own[i]) ** 2).sum(1)
+        d[i] = np.inf
+        true.append(np.argsort(d)[: min(k, len(own) - 1)])
+    for share in SHARES:
+        lists = _probed(own[tried], c, sizes, int(np.ceil(share * len(own))))
+        hits = sum(np.isin(at[t], p).sum() for t, p in zip(true, lists))
+        if hits >= RECALL * sum(map(len, true)):
+            return share
+    return 1.0
+
+
+def nearest(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", lists: int | None = None, probe: float | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each row whose id is divisible by every, its k nearest other rows."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
@@ -108,6 +129,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "ve
     turn = rotation(sample.shape[1])
     count = lists or max(1, min(LISTS, round(n**0.5 / 2)))
     c = centroids(sample @ turn, count)
+    probe = probe or share_needed(sample @ turn, c, k)
     shared = spark.sparkContext.broadcast((turn, c))
 
     def placed(batches):

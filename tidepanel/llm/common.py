@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,13 @@ def may_hold(df: DataFrame, column: str, bitmap: DataFrame, bits: int = 1 << 23)
     return hit.drop("_slot", "_word", "_at", "_mask")
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a few rows, which bounds what a worker unpacks at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class Generations:
     """A dictionary of bounded size for values that can be computed again: when full, the older half goes."""
 

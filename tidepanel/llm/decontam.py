@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 RETRIEVE, OVERLAP, SHINGLE = 0.5, 0.8, 5
 K1, B = 1.2, 0.75
 POSTINGS = 32
@@ -207,7 +209,7 @@ def leaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
         def run(batches, shared=shared):
             index = _index(shared.value)
-            for batch in batches:
+            for batch in slices(batches):
                 rows = [(k, *hit) for k, t in enumerate(batch.column(1).to_pylist()) for hit in index.leaks(t)]
                 columns = list(zip(*rows)) or [[]] * 6
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
@@ -227,7 +229,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
 
         def run(batches, shared=shared):
             index = _index(shared.value)
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([not index.leaks(t) for t in batch.column(place).to_pylist()], pa.bool_()))
 
         out = out.mapInArrow(run, docs.schema)

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 DEPTH, PADDED, NESTED, SPAN = 500, 60, 12, 200
 _TAG = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,65536}+\"|'[^']{0,65536}+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>", re.S
@@ -306,7 +308,7 @@ def extracted(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
     """id_col, text and n_lines of each page."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [text_of(p) for p in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array([t.count("\n") + 1 if t else 0 for t in texts], pa.int64())], names=["id", "text", "n_lines"])
 

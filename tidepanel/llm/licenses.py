@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 NOTICES = {
     "apache license": "apache",
@@ -172,7 +174,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """id_col, n_words, n_base, first_word, last_word, base_labels, labels, score and expressions of each row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             columns = list(zip(*(scanned(t or b"") for t in batch.column(1).to_pylist()))) or [[]] * 8
             kinds = [*[pa.int64()] * 4, *[pa.string()] * 2, pa.float64(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays(

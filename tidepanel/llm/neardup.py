@@ -29,14 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_bitmap, may_hold, written
+from .common import id_bitmap, may_hold, slices, written
 
 ROWS, BUCKETS, MANTISSA = 32, 4, 10
 #: Share of a register's values that agree by chance for sets of like size, times 2^MANTISSA (Yu and Weber, 2017).
 CHANCE = 0.169919487159739
 #: Standard deviations below the threshold at which an estimate still counts as possible.
 SLACK = 5.0
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 CHUNK = 1 << 15
 BLOCK = 512
 OFFERED, CELL = 4, 4096
@@ -130,7 +130,7 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
     """row id, id, set size, set name (128 bits) and band keys of each document; empty sets have no keys."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             sets = [shingle_hashes(t, k) for t in texts]
             full = [i for i, s in enumerate(sets) if len(s)]
@@ -153,30 +153,20 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     texts = some.join(wanted, F.col("id") == F.col("node")).select("node", "text")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_hashes(t, k) for t in batch.column(1).to_pylist()]
             low = [s.astype(np.uint16).tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(low, pa.binary())], names=["node", "set", "low"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(low, pa.binary())], names=["node", "set", "low"])
 
-    own = texts.mapInArrow(run, "node long, set binary, low binary")
+    own = texts.mapInArrow(run, "node long, set array<long>, low binary")
     return own.groupBy("node").agg(F.min(F.struct("set", "low")).alias("x")).select("node", "x.set", "x.low")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity; in hundredths, with whole numbers."""
-    least = round(similarity * 100)
-
-    def run(batches):
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(100 * both >= least * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
     a, b = sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    both = pairs.join(b, "b").join(a, "a").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("n"))
+    return both.where(F.col("n") * 100 >= round(similarity * 100) * (F.col("na") + F.col("nb") - F.col("n"))).select("a", "b")
 
 
 def _possible(pairs: DataFrame, keys: DataFrame, similarity: float) -> DataFrame:
@@ -184,7 +174,7 @@ def _possible(pairs: DataFrame, keys: DataFrame, similarity: float) -> DataFrame
     least = least_estimate(similarity)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             if batch.num_rows:
                 x, y = (_unpacked(batch.column(i).to_pylist()) for i in (2, 3))
                 good = estimated(x, y) >= least

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import written
+from .common import slices, written
 
 SLACK, CARRY, FAN, ITEMS = 4, 512, 8, 2048
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -33,7 +33,7 @@ def pieces(docs: DataFrame, size: int = 2048, separator: int = 0, tokenizer: str
 
     def run(batches):
         encode = tokens.encoder(path).encode
-        for batch in batches:
+        for batch in slices(batches):
             doc, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(doc), 1024):
                 rows: list[tuple] = []

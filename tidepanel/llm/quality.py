@@ -22,10 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bitmap, may_hold, written
+from .common import id_bitmap, may_hold, slices, written
 
 SLOTS, SAMPLE, SHARPNESS, SMOOTH = 10_000, 20_000, 64.0, 1.0
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -52,7 +52,7 @@ def _counted(texts: DataFrame) -> np.ndarray:
 
     def run(batches):
         total = np.zeros(SLOTS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for t in batch.column(0).to_pylist():
                 total += np.bincount(slots(t), minlength=SLOTS)
         at = np.flatnonzero(total)
@@ -84,7 +84,7 @@ def weighted(docs: DataFrame, ratio: np.ndarray, seed: int = 0, id_col: str = "d
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             w = [float(shared.value[s].mean() * SHARPNESS) if len(s := slots(t)) else 0.0 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(w, pa.float64())], names=["id", "log_weight"])
 

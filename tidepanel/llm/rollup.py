@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
+from .common import slices
 
 GROUP = ["source", "lang", "version"]
 TOTALS = "source string, lang string, version string, n_docs long, n_tokens long, n_chars long"
@@ -27,7 +28,7 @@ def counted(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id
     path = tokenizer or tokens.default_path()
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(3).to_pylist()]
             n = [len(x) // 4 for at in range(0, len(texts), 1024) for x in tokens.encoder(path).encode(texts[at : at + 1024])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64()), pa.array(map(len, texts), pa.int64())], names=["id", "source", "lang", "n_tokens", "n_chars"])

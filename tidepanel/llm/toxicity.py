@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bitmap, may_hold, written
+from .common import id_bitmap, may_hold, slices, written
 
 SAMPLE, FEATURES, WINDOWS, SPAN = 12_000, 40_000, 20_000, 15
 EVIDENCE, STEPS, PENALTY = 9.0, 60, 0.02
-CHUNKS_KEPT = 200_000
+CHUNKS_KEPT = 120_000
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
 
 
@@ -148,7 +148,7 @@ def _counts(rows: DataFrame) -> DataFrame:
     """(feature, texts, toxic) over labelled texts."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts, ys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for k in range(0, len(texts), 500):
                 n, t = Counter(), Counter()
@@ -169,7 +169,7 @@ def _windows(rows: DataFrame, names: list[str], most: int) -> tuple[np.ndarray,
 
     def run(batches):
         number = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             made = []
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 chunks = (text or "").lower().split()
@@ -269,7 +269,7 @@ def scored(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         own = Field(*shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             score, largest, total, spans = [], [], [], []
             for text in batch.column(1).to_pylist():
                 at, p = own.tagged(text)
@@ -305,7 +305,7 @@ def clean(docs: DataFrame, model: Field, least: float = 0.5, text_col: str = "te
 
     def run(batches):
         own = Field(*shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([own.score(own.tagged(t)[1]) < least for t in batch.column(place).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
