@@ -13,34 +13,23 @@ from . import metrics
 from .features import average_rank
 from .profile import numeric_columns, profiled
 
-PAIRS_AT_ONCE = 400
-
 
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:
-    """(col_a, col_b, r) for a < b in the order given: over the rows where both are present; null for constants."""
-    names = list(columns or numeric_columns(df))
-    pairs = list(combinations(names, 2))
-    out = None
-    for at in range(0, len(pairs), PAIRS_AT_ONCE):
-        some = pairs[at : at + PAIRS_AT_ONCE]
-        part = _spearman(df, some) if method == "spearman" else _pearson(df, some)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
-
-
-def _pearson(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    both = lambda x, y: F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
-    one = df.agg(*(F.when((F.stddev_pop(both(a, b)) > 0) & (F.stddev_pop(both(b, a)) > 0), F.corr(both(a, b), both(b, a))).alias(f"c{i}") for i, (a, b) in enumerate(pairs)))
-    cells = F.array(*(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{i}").alias("r")) for i, (a, b) in enumerate(pairs)))
-    return one.select(F.explode(cells).alias("x")).select("x.*")
-
-
-def _spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Ranks are taken per pair, over the rows that have both."""
+    """(col_a, col_b, r) for a < b in the order given: over the rows where both are present; null for constants.
+
+    Pairs are rows of one grouped aggregation, which sums within each task first; Spearman's ranks are taken per pair.
+    """
+    pairs = list(combinations(columns or numeric_columns(df), 2))
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
     cells = F.array(*(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs))
-    long = df.select(F.explode(cells).alias("p")).select("p.*").where("x is not null and y is not null")
-    ranked = long.select("col_a", "col_b", average_rank("x", ("col_a", "col_b")).alias("x"), average_rank("y", ("col_a", "col_b")).alias("y"))
-    return ranked.groupBy("col_a", "col_b").agg(F.when((F.stddev_pop("x") > 0) & (F.stddev_pop("y") > 0), F.corr("x", "y")).alias("r"))
+    long = df.select(F.explode(cells).alias("p")).select("p.*")
+    there = F.col("x").isNotNull() & F.col("y").isNotNull()
+    if method == "spearman":
+        by = ("col_a", "col_b")
+        long = long.where(there).select(*by, average_rank("x", by).alias("x"), average_rank("y", by).alias("y"))
+    x, y = F.when(there, F.col("x")), F.when(there, F.col("y"))
+    return long.groupBy("col_a", "col_b").agg(F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr("x", "y")).alias("r"))
 
 
 def correlation_clusters(r: DataFrame, columns: Sequence[str], n_clusters: int = 6, absolute: bool = True, linkage: str = "complete") -> dict[str, list[str]]:

@@ -217,13 +217,13 @@ def q09_collateral_toggle(spark, sf_dir):
 
 
 @query(f"""WITH {PRICES}, eth AS (SELECT time, price AS base FROM px WHERE asset = 'Brand#1'), own AS (SELECT px.* FROM px WHERE asset IN (SELECT DISTINCT p_brand FROM part WHERE p_size > 48))
-SELECT time_bucket(INTERVAL '1 day', time) AS time_bucket, asset, round(avg(price), 5) AS avg_price_usd, round(avg(price / base), 5) AS avg_price_eth, count(price) AS price_points, any_value(n) AS n_parts
+SELECT time_bucket(INTERVAL '1 day', time) AS time_bucket, asset, round(avg(price), 9) AS avg_price_usd, round(avg(price / base), 9) AS avg_price_eth, count(price) AS price_points, any_value(n) AS n_parts
 FROM own JOIN eth USING (time) LEFT JOIN (SELECT p_brand AS asset, count(*) AS n FROM part GROUP BY 1) USING (asset) GROUP BY 1, 2""")
 def q10_two_denominations(spark, sf_dir):
     parts = roles.table(spark, sf_dir, "part")
     universe = parts.where("p_size > 48").select(F.col("p_brand").alias("asset"))
     dims = parts.groupBy(F.col("p_brand").alias("asset")).agg(F.count("*").alias("n_parts"))
-    return rounded(extract.two_denominations(roles.prices(spark, sf_dir), universe, "Brand#1", "1 day", dims), 5)
+    return rounded(extract.two_denominations(roles.prices(spark, sf_dir), universe, "Brand#1", "1 day", dims), 9)
 
 
 #: (metric, decimals, unit) that are the same for all assets, by panel: fixed values.
