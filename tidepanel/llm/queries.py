@@ -74,4 +74,15 @@ QUERIES = {
     f.__name__: f
     for f in (op1_html_extraction, op3_adaptive_scan_ann, op6_token_rollups, op10_importance_resampling, op2_best_fit_packing, op4_license_scan, op5_benchmark_decontamination, op7_pii_spans, op8_minhash_neardup, op9_toxicity_crf)
 }
-ORACLE_SQL: dict[str, str] = {}
+#: Trained models and the tokenizer have no SQL; those queries are tested against plain versions.
+ORACLE_SQL = {
+    "op8_minhash_neardup": r"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 2 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE ws END) AS g FROM w),
+n AS (SELECT w.doc_id, count(g) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS d, doc_id AS m FROM n UNION SELECT e.y, r.m FROM r JOIN e ON e.x = r.d)
+SELECT n.doc_id, n.n AS n_shingles, min(r.m) AS component_id, n.doc_id = min(r.m) AS kept FROM n JOIN r ON r.d = n.doc_id GROUP BY 1, 2"""
+}
