@@ -45,6 +45,10 @@ def test_gradient_ascent_learns_a_field():
     assert w[3] > 3 and max(w[1], w[2], w[4], w[5]) < 1
 
 
+def test_beginnings_must_say_more():
+    assert toxicity.distinctive({"idiot": 20.0, "^idio": 20.0, "^idi": 21.0, "^chlla": 30.0, "^chl": 31.0, "chllax": 13.0, "^ver": 40.0, "vera": 15.0}) == ["^chlla", "^ver", "chllax", "idiot"]
+
+
 def auc(scores, labels):
     pos, neg = ([s for s, y in zip(scores, labels) if y == k] for k in (1, 0))
     return sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))

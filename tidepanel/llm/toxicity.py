@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import id_bitmap, may_hold, slices, written
 
 SAMPLE, FEATURES, WINDOWS, SPAN = 12_000, 40_000, 20_000, 15
-EVIDENCE, STEPS, PENALTY = 9.0, 60, 0.02
+EVIDENCE, WIDER, STEPS, PENALTY = 12.0, 1.2, 60, 0.02
 CHUNKS_KEPT = 120_000
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
 
@@ -162,6 +162,17 @@ def _counts(rows: DataFrame) -> DataFrame:
     return rows.select("text", "y").mapInArrow(run, "feature string, texts long, toxic long").groupBy("feature").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
 
 
+def distinctive(strength: dict[str, float]) -> list[str]:
+    """The features in order, without beginnings that say little more than what they begin."""
+    best: dict[str, float] = {}
+    for f, x in strength.items():
+        w = f.lstrip("^")
+        for n in (3, 4, 5):
+            if len(w) > n:
+                best["^" + w[:n]] = max(x, best.get("^" + w[:n], 0.0))
+    return sorted(f for f, x in strength.items() if x > WIDER * best.get(f, 0.0))
+
+
 def _windows(rows: DataFrame, names: list[str], most: int) -> tuple[np.ndarray, np.ndarray]:
     """Features (up to 4 numbers a token, 0 for none) and labels of at most about most windows of SPAN tokens."""
     number = {f: i + 1 for i, f in enumerate(names)}
@@ -251,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rate = F.col("toxic") / F.col("texts")
     strength = F.col("toxic") * F.log(rate / F.lit(share))
     counts = _counts(first).where((F.col("toxic") >= 3) & (rate > 3 * share)).withColumn("strength", strength).where(F.col("strength") > EVIDENCE)
-    names = sorted(r.feature for r in counts.orderBy(F.desc("strength"), "feature").limit(FEATURES).select("feature").collect())
+    names = distinctive({r.feature: r.strength for r in counts.orderBy(F.desc("strength"), "feature").limit(FEATURES).select("feature", "strength").collect()})
     if not names:
         return plain
     x, y = _windows(first, names, WINDOWS)
