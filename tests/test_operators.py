@@ -54,7 +54,8 @@ def test_bucket_edges(spark):
 
 
 def events(spark, rows):
-    return spark.createDataFrame(rows, "time timestamp_ntz, block long, idx long, asset long, user long, amount decimal(38,0), rate double, mode int")
+    df = spark.createDataFrame(rows, "time timestamp_ntz, block long, idx long, asset long, user long, amount long, rate double, mode int")
+    return df.withColumn("amount", F.col("amount").cast("decimal(38,0)"))
 
 
 @pytest.fixture
