@@ -26,7 +26,7 @@ from .common import written
 SAMPLE, LISTS, SMALL = 20_000, 1024, 4_000
 SHARES, RECALL, TRIED = (0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0), 0.97, 200
 COLUMNS, EPSILON = 16, 2.1
-BLOCK, QUERIES = 2048, 1024
+BLOCK, QUERIES = 512, 1024
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
