@@ -10,7 +10,7 @@ import numpy as np
 
 from .common import Generations
 
-CHUNKS_KEPT = 400_000
+CHUNKS_KEPT = 240_000
 #: Characters handled at a time, which bounds a worker's memory.
 AT_ONCE = 1 << 20
 #: These count as white space for str.split but not for the tokenizer.
