@@ -46,7 +46,7 @@ def test_gradient_ascent_learns_a_field():
 
 
 def test_beginnings_must_say_more():
-    assert toxicity.distinctive({"idiot": 20.0, "^idio": 20.0, "^idi": 21.0, "^chlla": 30.0, "^chl": 31.0, "chllax": 13.0, "^ver": 40.0, "vera": 15.0}) == ["^chlla", "^ver", "chllax", "idiot"]
+    assert toxicity.distinctive({"idiot": 20.0, "^idio": 20.0, "^idi": 21.0, "^chlla": 30.0, "^chl": 31.0, "chllax": 13.0, "^ver": 40.0, "vera": 15.0}) == ["^chlla", "^ver", "chllax", "idiot", "vera"]
 
 
 def auc(scores, labels):
