@@ -212,3 +212,33 @@ def test_metamorphic(spark, sf_dir):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, coarse.collect()))
     shares = features.cross_asset(roles.reserve(spark, sf_dir)).groupBy("time_bucket").agg(F.sum("asset_share_of_updates").alias("s"))
     assert shares.where(F.abs(F.col("s") - 1) > 1e-9).isEmpty()
+
+
+def test_all_components(spark, sf_dir):
+    import numpy as np
+    from tidepanel.plans.registry import QUERIES
+
+    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet").toPandas().embedding
+    ranked = np.argsort(np.argsort(np.stack(v), axis=0), axis=0)  # without ties
+    for name, given in (("c01_correlation_all", np.stack(v).astype(float)), ("c01_spearman_all", ranked)):
+        r = np.corrcoef(given.T)
+        rows = {(x.col_a, x.col_b): x.r for x in QUERIES[name](spark, sf_dir).collect()}
+        assert len(rows) == 64 * 63 // 2
+        assert all(abs(r[int(a[1:]), int(b[1:])] - x) < (2e-6 if "corr" in name else 1e-3) for (a, b), x in rows.items())
+    names = {f"e{i}" for i in range(64)}
+    assert {x["column"] for x in QUERIES["c02_correlation_clusters"](spark, sf_dir).collect()} == names
+    assert {x.series for x in QUERIES["r06_columns_by_tail_risk"](spark, sf_dir).collect()} == names
+    assert sum(x.n for x in QUERIES["b05_group_means"](spark, sf_dir).collect()) == 64
+
+
+def test_spearman_with_ties_and_missing_cells(spark):
+    import pandas as pd
+
+    rows = [(1.0, 5.0, 2.0), (1.0, 4.0, None), (3.0, 4.0, 9.0), (2.0, 1.0, 7.0), (5.0, 0.0, 7.0), (4.0, 4.0, 1.0)]
+    for given in (rows, [x for x in rows if None not in x]):
+        want = pd.DataFrame(given, columns=list("abc"), dtype=float)
+        got = {(r.col_a, r.col_b): r.r for r in splits.correlation(spark.createDataFrame(given, "a double, b double, c double"), method="spearman").collect()}
+        for (a, b), r in got.items():
+            both = want[[a, b]].dropna().rank()
+            assert abs(r - both[a].corr(both[b])) < 1e-12
+        assert len(got) == 3

@@ -17,19 +17,29 @@ from .profile import numeric_columns, profiled
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:
     """(col_a, col_b, r) for a < b in the order given: over the rows where both are present; null for constants.
 
-    Pairs are rows of one grouped aggregation, which sums within each task first; Spearman's ranks are taken per pair.
+    Pairs are rows of one grouped aggregation, which sums within each task first. Spearman's ranks are taken per pair, or
+    once per column if a first look finds no missing cell in any column, where both give the same.
     """
-    pairs = list(combinations(columns or numeric_columns(df), 2))
-    if not pairs:
+    names = list(columns or numeric_columns(df))
+    if len(names) < 2:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
-    cells = F.array(*(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs))
-    long = df.select(F.explode(cells).alias("p")).select("p.*")
+    rows = df.select(F.array(*(F.col(c).cast("double") for c in names)).alias("v"))
+    whole = method == "spearman" and rows.where(F.exists("v", lambda x: x.isNull())).isEmpty()
+    if whole:
+        cells = rows.withColumn("row", F.monotonically_increasing_id()).select("row", F.posexplode("v").alias("i", "x"))
+        ranks = cells.select("row", "i", average_rank("x", ("i",)).alias("x")).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v"))
+        rows = ranks.select(F.col("v.x").alias("v"))
+    left = rows.select("v", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 2))).alias("i"))
+    pairs = left.select("v", "i", F.explode(F.sequence(F.col("i") + 1, F.lit(len(names) - 1))).alias("j"))
+    long = pairs.select("i", "j", F.get("v", F.col("i")).alias("x"), F.get("v", F.col("j")).alias("y"))
     there = F.col("x").isNotNull() & F.col("y").isNotNull()
-    if method == "spearman":
-        by = ("col_a", "col_b")
+    if method == "spearman" and not whole:
+        by = ("i", "j")
         long = long.where(there).select(*by, average_rank("x", by).alias("x"), average_rank("y", by).alias("y"))
     x, y = F.when(there, F.col("x")), F.when(there, F.col("y"))
-    return long.groupBy("col_a", "col_b").agg(F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr("x", "y")).alias("r"))
+    r = long.groupBy("i", "j").agg(F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr("x", "y")).alias("r"))
+    named = F.array(*map(F.lit, names))
+    return r.select(F.get(named, F.col("i")).alias("col_a"), F.get(named, F.col("j")).alias("col_b"), "r")
 
 
 def correlation_clusters(r: DataFrame, columns: Sequence[str], n_clusters: int = 6, absolute: bool = True, linkage: str = "complete") -> dict[str, list[str]]:

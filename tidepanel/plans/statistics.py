@@ -111,6 +111,49 @@ _PAIRS = [(a, b) for k, a in enumerate(_NAMES) for b in _NAMES[k + 1 :]]
 _CORR = "c AS (" + " UNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS r FROM w" for a, b in _PAIRS) + ")"
 
 
+#: Queries named ..._all, and those without SQL, take all components as given; the others keep the columns of their SQL.
+_ALL = [f"e{i}" for i in range(64)]
+_CELLS = "v AS (SELECT vec_id, i - 1 AS i, embedding[i]::DOUBLE AS x FROM embeddings, (SELECT unnest(generate_series(1, 64)) AS i))"
+_ALL_CORR = "c AS (SELECT 'e' || a.i AS col_a, 'e' || b.i AS col_b, corr(a.x, b.x) AS r FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY 1, 2)"
+
+
+def _all_correlations(spark, sf_dir, method="pearson"):
+    return splits.correlation(roles.components(spark, sf_dir), _ALL, method)
+
+
+@query(f"WITH {_CELLS}, {_ALL_CORR} SELECT col_a, col_b, round(r, 6) AS r FROM c")
+def c01_correlation_all(spark, sf_dir):
+    return rounded(_all_correlations(spark, sf_dir))
+
+
+@query(f"WITH v0 AS (WITH {_CELLS} SELECT * FROM v), v AS (SELECT vec_id, i, rank() OVER (PARTITION BY i ORDER BY x) + (count(*) OVER (PARTITION BY i, x) - 1) / 2.0 AS x FROM v0 WHERE x IS NOT NULL), {_ALL_CORR} SELECT col_a, col_b, round(r, 6) AS r FROM c")
+def c01_spearman_all(spark, sf_dir):
+    return rounded(_all_correlations(spark, sf_dir, "spearman"))
+
+
+@query(f"WITH {_CELLS}, {_ALL_CORR} SELECT t AS threshold, count(CASE WHEN abs(r) > t THEN 1 END) AS n_pairs FROM c, (SELECT unnest([0.1::DOUBLE, 0.2::DOUBLE, 0.9::DOUBLE]) AS t) GROUP BY 1")
+def c03_redundancy_all(spark, sf_dir):
+    return splits.redundancy(_all_correlations(spark, sf_dir), (0.1, 0.2, 0.9))
+
+
+@query(f"WITH {_CELLS}, {_ALL_CORR} SELECT col_a, col_b, round(r, 6) AS r FROM c ORDER BY abs(r) DESC, col_a, col_b LIMIT 8")
+def o04_strongest_pairs_all(spark, sf_dir):
+    return rounded(splits.strongest(_all_correlations(spark, sf_dir)))
+
+
+@query(f"WITH {_CELLS} SELECT 'e' || i AS \"column\", CASE WHEN median(x) <= 0 THEN 'low' ELSE 'high' END AS side FROM v GROUP BY i")
+def r07_columns_by_stat_all(spark, sf_dir):
+    df = roles.components(spark, sf_dir)
+    low, high = splits.columns_by_stat(df, splits.column_stat(df, "median", _ALL), 0.0)
+    return spark.createDataFrame([(c, "low") for c in low.columns] + [(c, "high") for c in high.columns], "column string, side string")
+
+
+@query(f"WITH {_CELLS}, m AS (SELECT 'e' || i AS c, stddev_samp(x) AS s, median(x) AS v FROM v GROUP BY i)" + """, e AS (SELECT quantile_cont(s, 1/3::DOUBLE) AS a, quantile_cont(s, 2/3::DOUBLE) AS b FROM m)
+SELECT c AS "column", CASE WHEN s <= a THEN 'low' WHEN s <= b THEN 'moderate' ELSE 'high' END AS std_band, CASE WHEN v < -0.01 THEN 'low' WHEN v < 0.01 THEN 'moderate' ELSE 'high' END AS median_band FROM m, e""")
+def r09_band_matrix_all(spark, sf_dir):
+    return splits.band_matrix(profile.profiled(roles.components(spark, sf_dir), _ALL), ("std", "median"), {"median": (-0.01, 0.01)})
+
+
 @query(f"WITH {_WIDE}, {_CORR} SELECT col_a, col_b, round(r, 6) AS r FROM c")
 def c01_correlation(spark, sf_dir):
     return rounded(splits.correlation(roles.wide(spark, sf_dir, _N), _NAMES))
@@ -128,8 +171,8 @@ def c01_spearman(spark, sf_dir):
 
 @query()
 def c02_correlation_clusters(spark, sf_dir):
-    r = splits.correlation(roles.wide(spark, sf_dir, _N), _NAMES)
-    groups = splits.correlation_clusters(r, _NAMES, 5)
+    r = _all_correlations(spark, sf_dir)
+    groups = splits.correlation_clusters(r, _ALL, 5)
     return spark.createDataFrame([(g, c) for g, cs in groups.items() for c in cs], "cluster string, column string")
 
 
@@ -169,13 +212,13 @@ def r03_whale_regimes(spark, sf_dir):
 
 
 def _embedding_series(spark, sf_dir):
-    return roles.wide(spark, sf_dir, _N).unpivot("vec_id", _NAMES, "series", "x").select("series", F.col("vec_id").alias("ord"), "x")
+    return roles.components(spark, sf_dir).unpivot("vec_id", _ALL, "series", "x").select("series", F.col("vec_id").alias("ord"), "x")
 
 
 @query()
 def r04_columns_by_correlation(spark, sf_dir):
-    r = splits.correlation(roles.wide(spark, sf_dir, _N), _NAMES)
-    return rounded(splits.coherence(r, splits.correlation_clusters(r, _NAMES, 4, absolute=False)))
+    r = _all_correlations(spark, sf_dir)
+    return rounded(splits.coherence(r, splits.correlation_clusters(r, _ALL, 4, absolute=False)))
 
 
 @query()

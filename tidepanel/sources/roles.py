@@ -185,3 +185,8 @@ def wide(spark: SparkSession, sf_dir: str, n: int = 16) -> DataFrame:
     """Embeddings as n columns e0, e1, ..., with some cells missing."""
     cell = lambda i: F.when(F.col("vec_id") % (i + 11) != 0, F.col("embedding")[i].cast("double"))
     return table(spark, sf_dir, "embeddings").select("vec_id", *(cell(i).alias(f"e{i}") for i in range(n)))
+
+
+def components(spark: SparkSession, sf_dir: str, n: int = 64) -> DataFrame:
+    """Embeddings as n columns e0, e1, ..., with all cells as given."""
+    return table(spark, sf_dir, "embeddings").select("vec_id", *(F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(n)))
