@@ -242,3 +242,15 @@ def test_spearman_with_ties_and_missing_cells(spark):
             both = want[[a, b]].dropna().rank()
             assert abs(r - both[a].corr(both[b])) < 1e-12
         assert len(got) == 3
+
+
+def test_whole_tables(spark, sf_dir):
+    from tidepanel.plans.registry import QUERIES
+
+    ev, customers = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("events", "customer"))
+    assert QUERIES["e12_rolling_volatility_all"](spark, sf_dir).count() == ev.count() + customers.count()
+    grid = QUERIES["s07_time_grid_all"](spark, sf_dir).collect()
+    assert sum(r.n for r in grid) == ev.count() and len({r.time_bucket for r in grid}) == len(grid) > 300
+    ends = ev.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    blocks = [r.block for r in QUERIES["p01_projection_filter_all"](spark, sf_dir).collect()]
+    assert min(blocks) < ends.lo + 100 and max(blocks) > ends.hi - 100

@@ -58,10 +58,31 @@ def s07_time_grid(spark, sf_dir):
     return grid.join(ev, "time_bucket", "left").groupBy("time_bucket").agg(F.count("block").alias("n"))
 
 
+@query(f"""WITH {EVENTS} SELECT g.time_bucket, count(block) AS n FROM (SELECT unnest(generate_series(min(time_bucket), max(time_bucket), INTERVAL '2 hours')) AS time_bucket FROM ev) g
+LEFT JOIN ev USING (time_bucket) GROUP BY 1""")
+def s07_time_grid_all(spark, sf_dir):
+    """The grid from the first to the last bucket of the table."""
+    ev = roles.events(spark, sf_dir).withColumn("time_bucket", fc.bucket("time"))
+    ends = ev.agg(F.min("time_bucket").alias("lo"), F.max("time_bucket").alias("hi")).where("lo is not null")
+    grid = ends.select(F.explode(F.expr("sequence(lo, hi, interval '2 hours')")).alias("time_bucket"))
+    counts = ev.groupBy("time_bucket").agg(F.count("block").alias("n"))
+    return grid.join(counts, "time_bucket", "left").select("time_bucket", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 @query(f"""WITH {EVENTS} SELECT block, kind = 'purchase' AS is_supply, CASE WHEN kind = 'purchase' THEN amount END AS supplied, coalesce(CASE WHEN mode = 1 THEN amount END, 0) AS stable,
 'event' AS tag, CAST(NULL AS BIGINT) AS debt FROM ev WHERE flag AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-06' AND asset IN (SELECT p_partkey FROM part WHERE p_type <> 'ECONOMY')""")
 def p01_projection_filter(spark, sf_dir):
-    ev = roles.between(roles.events(spark, sf_dir), "time", "2024-01-05", "2024-01-06").where("flag").join(F.broadcast(roles.tokens(spark, sf_dir)), "asset", "left_semi")
+    return _projected(spark, sf_dir, roles.between(roles.events(spark, sf_dir), "time", "2024-01-05", "2024-01-06"))
+
+
+@query(f"""WITH {EVENTS} SELECT block, kind = 'purchase' AS is_supply, CASE WHEN kind = 'purchase' THEN amount END AS supplied, coalesce(CASE WHEN mode = 1 THEN amount END, 0) AS stable,
+'event' AS tag, CAST(NULL AS BIGINT) AS debt FROM ev WHERE flag AND asset IN (SELECT p_partkey FROM part WHERE p_type <> 'ECONOMY')""")
+def p01_projection_filter_all(spark, sf_dir):
+    return _projected(spark, sf_dir, roles.events(spark, sf_dir))
+
+
+def _projected(spark, sf_dir, events):
+    ev = events.where("flag").join(F.broadcast(roles.tokens(spark, sf_dir)), "asset", "left_semi")
     return rounded(
         ev.select("block", (F.col("kind") == "purchase").alias("is_supply"), F.when(F.col("kind") == "purchase", F.col("amount")).alias("supplied"), F.coalesce(F.when(F.col("mode") == 1, F.col("amount")), F.lit(0)).alias("stable"), F.lit("event").alias("tag"), F.lit(None).cast("long").alias("debt"))
     )

@@ -63,6 +63,8 @@ def e01_shape_metrics(spark, sf_dir):
 @query(f"""WITH {SERIES}, d AS (SELECT series, ord, x / max(x) OVER (PARTITION BY series ORDER BY ord) - 1 AS dd FROM s WHERE series IN (SELECT DISTINCT event_type FROM events))
 SELECT series, round(-min(dd), 5) AS max_drawdown, round(-avg(dd), 5) AS average_drawdown, round(sqrt(avg((100 * dd) ** 2)), 4) AS ulcer_index FROM d GROUP BY 1""")
 def e08_drawdowns_of_levels(spark, sf_dir):
+    """Drawdowns of the event series, as its SQL has it. Those of customers are left out: balances go below 0, and where the
+    peak is 0 or less, the level over the peak less 1 is no share lost (from -1 down to -2 it says +1)."""
     out = metrics.drawdown_metrics(roles.series(spark, sf_dir).where(F.col("series").isin(*roles.KINDS.values())), as_returns=False)
     return out.select("series", F.round("max_drawdown", 5).alias("max_drawdown"), F.round("average_drawdown", 5).alias("average_drawdown"), F.round("ulcer_index", 4).alias("ulcer_index"))
 
@@ -92,6 +94,13 @@ def e12_rolling_volatility(spark, sf_dir):
     return out.withColumn("volatility", F.round("volatility", 3))
 
 
+@query(f"""WITH {SERIES}, r AS (SELECT series, ord, x, x / nullif(lag(x) OVER (PARTITION BY series ORDER BY ord), 0) - 1 AS y FROM s)
+SELECT series, ord, x, round(CASE WHEN count(y) OVER w >= 4 THEN stddev_samp(y) OVER w END, 3) AS volatility FROM r WINDOW w AS (PARTITION BY series ORDER BY ord ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)""")
+def e12_rolling_volatility_all(spark, sf_dir):
+    """A row for each row of every series; e12_rolling_volatility keeps the one series of its SQL."""
+    return metrics.rolling_volatility(roles.series(spark, sf_dir), as_returns=False).withColumn("volatility", F.round("volatility", 3))
+
+
 @query(f"""WITH {SERIES}, o AS (SELECT series, x, row_number() OVER (PARTITION BY series ORDER BY ord) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM s), l AS (SELECT DISTINCT series, n, CASE WHEN k = 19 THEN n // 2 ELSE CAST(floor(pow(10, log10(4) + k * (log10(n // 2) - log10(4)) / 19) + 1e-9) AS BIGINT) END AS len FROM (SELECT DISTINCT series, n FROM o WHERE n >= 20), (SELECT unnest(generate_series(0, 19)) AS k)),
 c AS (SELECT series, len, i // len AS w, x, i FROM o JOIN l USING (series, n) WHERE i // len < n // len), m AS (SELECT *, avg(x) OVER (PARTITION BY series, len, w) AS mu FROM c), u AS (SELECT series, len, w, x, sum(x - mu) OVER (PARTITION BY series, len, w ORDER BY i) AS dev FROM m),
 rs AS (SELECT series, len, (max(dev) - min(dev)) / nullif(stddev_pop(x), 0) AS r FROM u GROUP BY series, len, w), a AS (SELECT series, len, avg(r) AS r FROM rs GROUP BY 1, 2) SELECT series, round(regr_slope(ln(r), ln(len)), 5) AS hurst_exponent FROM a GROUP BY 1 HAVING count(*) >= 3""")
