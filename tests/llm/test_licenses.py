@@ -37,3 +37,11 @@ def test_expressions():
     assert names == {"mit", "gpl-3.0-only"} and easy < hard
     assert licenses.scanned(b"// SPDX-License-Identifier: Apache-2.0 OR MIT\ncode")[5] == "apache-2.0,mit"
     assert "gpl-3.0" in licenses.scanned(b"This work is licensed under the GNU General Public License, version 3.")[5]
+
+
+def test_tags_of_any_case_and_family():
+    for tag in ("SPDX-LICENSE-IDentifier:", "spdx-License-identifieR:"):
+        got = licenses.scanned(f"é {tag} EUPL-1.2 OR MIT\n/* {tag} Artistic-2.0 WITH some-exception */".encode())
+        assert got[5] == "artistic-2.0,eupl-1.2,mit" and got[7] == ["eupl-1.2 or mit", "artistic-2.0 with some-exception */"]
+    assert licenses.evaluated("BSL-1.0 AND OFL-1.1") == ({"bsl-1.0", "ofl-1.1"}, 0.75)
+    assert licenses.evaluated("see LICENSE, or MIT")[0] == {"mit"}

@@ -1,14 +1,14 @@
 """License scans: phrases and identifier tags by an Aho-Corasick automaton, licence expressions by a shunting-yard parser.
 
 Texts are lower-cased in A-Z and cut into words of digits, letters a-z and characters beyond ASCII. One pass of the
-automaton over the words finds all phrases, base and notice alike; another over texts that hold a tag finds
+automaton over the words finds all phrases, base and notice alike; a pass of another over the lower-cased text finds
 ``spdx-license-identifier:``, whose expression (up to the line's end) is parsed and evaluated.
 
 The score says how much the found terms bind: for an expression, AND binds by all parts (1 - product of the rest),
 OR by the least (the reader may choose), WITH by its licence, less a fifth; findings of a text combine like AND.
 
 Defined results: a null text is an empty one, with no words, null first_word and last_word, empty labels and score 0;
-an expression that does not parse gives the known licences named in it, as if joined by AND; other columns are ignored.
+each licence of an expression that parses is a label, one of an unknown family with a weight of 0.5; an expression that does not parse gives the known licences named in it, as if joined by AND; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,6 +53,8 @@ BINDS = {
     "0bsd": 0.05, "agpl": 0.9, "apache": 0.2, "bsd": 0.15, "cc-by": 0.3, "cc-by-nc": 0.8, "cc-by-nd": 0.85, "cc-by-sa": 0.6, "cc0": 0.05, "epl": 0.5,
     "gpl": 0.8, "isc": 0.1, "lgpl": 0.6, "licenseref": 0.5, "mit": 0.1, "mpl": 0.5, "public-domain": 0.02, "reserved": 1.0, "unlicense": 0.05, "zlib": 0.1,
 }
+#: How much a licence of another family binds.
+UNKNOWN = 0.5
 TAG = "spdx-license-identifier:"
 RANK = {"or": 1, "and": 2, "with": 3}
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -106,7 +108,7 @@ def evaluated(expression: str) -> tuple[set[str], float]:
     stack: list[tuple[set[str], float]] = []
     for t in order:
         if t not in RANK:
-            stack.append(({t}, BINDS[f]) if (f := family(t)) else (set(), 0.5))
+            stack.append(({t}, BINDS[f] if (f := family(t)) else UNKNOWN))
             continue
         (right, y), (left, x) = stack.pop(), stack.pop()
         if t == "with":
@@ -134,6 +136,16 @@ def _automaton():
     return found
 
 
+@lru_cache(1)
+def _tags():
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    found.add_word(TAG, len(TAG))
+    found.make_automaton()
+    return found
+
+
 def scanned(text: bytes) -> tuple:
     words = text.translate(_TABLE).split()
     line = b" " + b" ".join(words) + b" "
@@ -148,16 +160,14 @@ def scanned(text: bytes) -> tuple:
         if (name := NOTICES.get(phrase) or BASE[phrase]) and (f := family(name)):
             labels[name] = BINDS[f]
     expressions, parts = [], []
-    lower = text.lower() if b"dentifier:" in text or b"DENTIFIER:" in text else b""
-    at = lower.find(TAG.encode())
-    while at >= 0:
-        end = lower.find(b"\n", at)
-        line = lower[at + len(TAG) : end if end >= 0 else len(lower)].decode("utf-8", "replace")
+    lower = text.lower()
+    for last, _ in _tags().iter(lower.decode("latin-1")):
+        end = lower.find(b"\n", last)
+        line = lower[last + 1 : end if end >= 0 else len(lower)].decode("utf-8", "replace")
         named, binds = evaluated(line)
         expressions.append(line.strip())
         parts.append(binds)
         labels.update(dict.fromkeys(named - labels.keys(), 0.0))
-        at = lower.find(TAG.encode(), at + 1)
     return (
         len(words),
         len(starts),
