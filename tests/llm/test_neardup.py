@@ -79,3 +79,13 @@ def test_registers_and_estimate():
     pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
     keys = neardup.band_keys([np.unique(pool[:2400]), np.unique(pool[600:])])
     assert abs(neardup.estimated(keys[:1], keys[1:])[0] - 0.6) < 0.2
+
+
+def test_rows_without_ids_go_too(spark):
+    rows = [(5, "a b c"), (None, "a b c"), (None, "A b c"), (None, "z y"), (None, "z y"), (3, "q r s"), (None, ""), (None, None), (2**31 - 1, "u v w")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
+    left = [(r.doc_id, r.text) for r in neardup.deduplicated(docs, k=2).collect()]
+    assert sorted(left, key=str) == sorted([(5, "a b c"), (None, "z y"), (3, "q r s"), (None, ""), (None, None), (2**31 - 1, "u v w")], key=str)
+    words = [f"w{i}" for i in range(80)]
+    near = [(1, " ".join(words)), (None, " ".join(words[:79])), (None, " ".join(words[1:]))]
+    assert [r.doc_id for r in neardup.deduplicated(spark.createDataFrame(near, "doc_id long, text string")).collect()] == [1]

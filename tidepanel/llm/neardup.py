@@ -305,19 +305,38 @@ def _result(rows: DataFrame, classes: DataFrame, labels: DataFrame, id_col: str,
     return out.select(F.col("id").cast(kind).alias(id_col), F.col("n").alias("n_shingles"), F.col("component").cast(kind).alias("component_id"))
 
 
+def _numbered(keyed: DataFrame) -> DataFrame:
+    """keyed with the numbers that follow the largest _id in place of nulls; such rows are written, so that numbers stay."""
+    lost = keyed.where("_id is null").drop("_id")
+    if lost.isEmpty():
+        return keyed
+    lost = written(lost.withColumn("_at", F.monotonically_increasing_id()), "lost").withColumn("_part", F.shiftright("_at", 33))
+    last, starts = keyed.agg(F.max("_id")).first()[0], []
+    start = 0 if last is None else last + 1
+    for r in sorted(lost.groupBy("_part").count().collect()):  # one row a task
+        starts.append((r["_part"], start))
+        start += r["count"]
+    if start > 1 << 63:
+        raise ValueError("no numbers are left beyond the largest id")
+    own = lost.join(F.broadcast(keyed.sparkSession.createDataFrame(starts, "_part long, _start long")), "_part")
+    numbers = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return keyed.where("_id is not null").unionByName(own.select("_row", numbers.alias("_id"), "_text"))
+
+
 def deduplicated(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, less all but one of each component.
 
-    The row of the component's smallest id stays, the one with the smallest text if rows share that id; rows without
-    an id stay if their text is in no component with an id. Texts are shuffled only where a row may go: a filter of
-    fixed size over the ids of such rows lets all others pass.
+    The row of the component's smallest id stays, the one with the smallest text if rows share that id. Rows without an
+    id count as the last ones, each with an id of its own: one of them stays if its component has no row with an id.
+    Texts are shuffled only where a row may go: a filter of fixed size over the ids of such rows lets all others pass.
     """
-    found = near_duplicates(docs, k, similarity, id_col, text_col)
-    going = found.groupBy(id_col).agg(F.min(F.col(id_col).eqNullSafe(F.col("component_id"))).alias("stays"), F.count("*").alias("n")).where("not stays or n > 1")
-    going = written(going.select(F.col(id_col).alias("_id"), "stays"), "going")
-    bits = 1 << 23
     columns = docs.columns
-    keyed = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), docs[id_col].cast("long").alias("_id"))
+    keyed = _numbered(docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), docs[id_col].cast("long").alias("_id"), docs[text_col].alias("_text")))
+    found = near_duplicates(keyed, k, similarity, "_id", "_text")
+    going = found.groupBy("_id").agg(F.min(F.col("_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n")).where("not stays or n > 1")
+    going = written(going.select("_id", "stays"), "going")
+    bits = 1 << 23
+    keyed = keyed.drop("_text")
     slot = F.pmod(F.xxhash64("_id"), F.lit(bits))
     marked = keyed.withColumn("_word", F.floor(slot / 64).cast("int")).join(F.broadcast(id_bitmap(going, "_id", bits)), "_word", "left")
     hit = F.coalesce(F.expr(f"shiftright(_mask, int(pmod(xxhash64(_id), {bits}) % 64)) & 1 = 1"), F.lit(False))
