@@ -76,3 +76,21 @@ def test_ids_of_odd_texts(text):
 def test_best_fit_prefers_the_fullest_bin():
     bins, places = packing.best_fit(np.array([6, 5, 4, 5]), 10)
     assert bins[0] == bins[2] and bins[1] == bins[3] and places.tolist() == [0, 0, 6, 5]
+
+
+def test_more_open_bins_than_are_carried(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(packing, "CARRY", 4)
+    size, n = 1024, 400
+    lengths = np.random.default_rng(1).integers(1, 900, n)
+    rows = pd.DataFrame({"bin": np.arange(n), "length": lengths, "cell": np.arange(n) % 8, "offset": 0, "final": False})
+    first = [packing._packed(g, size, False, 1) for _, g in rows.groupby("cell")]
+    for g in first:
+        used = g.groupby("bin").length.sum()
+        assert (size - used > packing.SLACK).sum() > 4 == g[~g.final].bin.nunique()
+        assert used[used <= size / 2].index.isin(g[~g.final].bin).all()
+    rest = pd.concat(first)
+    out = pd.concat([rest[rest.final], packing._packed(rest[~rest.final].assign(cell=0), size, True, 2)])
+    assert len(out) == n and out.final.all() and out.groupby("bin").length.sum().max() <= size
+    assert out.bin.nunique() <= 1.05 * packing.best_fit(lengths, size)[0].max() + 1
