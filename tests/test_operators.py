@@ -40,6 +40,30 @@ def test_big_integer_sums(spark):
     assert df.limit(0).agg(bigint.total("x").alias("s")).first().s is None
     pair = spark.createDataFrame([("5", None), (None, "9"), (None, None)], "p string, q string")
     assert pair.agg(bigint.signed_total("p", "q").alias("s")).first().s == "-4"
+    for trial in range(20):
+        plus, minus = ([rng.getrandbits(rng.choice([3, 60, 128, 256])) for _ in range(rng.randint(0, 4))] for _ in range(2))
+        pair = spark.createDataFrame([(str(v), None) for v in plus] + [(None, str(v)) for v in minus] + [(None, None)], "p string, q string")
+        got = pair.agg(bigint.signed_total("p", "q").alias("s")).first().s
+        assert got == (str(sum(plus) - sum(minus)) if plus or minus else None)
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_wide_amounts_in_panels(spark, tokens, exact):
+    """Digit strings and full-width decimals: sums beyond 38 digits, extremes as numbers, negative net flows."""
+    big, huge = "9" * 38, 2**256 - 1
+    rows = lambda values: events(spark, [(T0, i, i, 1, i % 2, 0, 0.5, 1) for i in range(len(values))]).drop("amount").withColumn("amount", F.get(F.array(*map(F.lit, values)), F.col("block").cast("int")))
+    r = extract.supply_withdraw(rows([big, big, None]), rows([str(huge), "007"]), tokens, exact=exact).first()
+    assert (r.supply_amount_raw, r.withdrawal_amount_raw, r.net_supply_flow_raw) == (str(2 * int(big)), str(huge + 7), str(2 * int(big) - huge - 7)) and r.unique_suppliers == 2
+    full = rows([big, big]).withColumn("amount", F.col("amount").cast("decimal(38,0)"))
+    assert extract.borrow_repay(full, full.limit(0), tokens, exact=exact).first().net_debt_flow_raw == str(2 * int(big))
+    calls = rows(["9", str(10**40), None]).withColumnRenamed("amount", "hf")
+    r = extract.user_account(calls, ["rate"], "hf", exact=exact).first()
+    assert (r.min_health_factor, r.max_health_factor, r.call_count, r.sampled_users, r.avg_rate) == ("9", str(10**40), 3, 2, 0.5)
+    legs = rows([big, big]).select("time", "block", F.col("asset").alias("collateral_asset"), F.col("asset").alias("debt_asset"), F.col("amount").alias("collateral_amount"), F.lit("5").alias("debt_amount"), "user", F.lit(7).alias("liquidator"), F.lit(True).alias("receive_token"))
+    r = extract.liquidation(legs, tokens, exact=exact).first()
+    assert (r.collateral_amount_raw, r.debt_covered_raw, r.collateral_tx_count, r.debt_tx_count, r.liquidation_tx_count, r.receive_token_count, r.unique_liquidated_users, r.unique_liquidators) == (str(2 * int(big)), "10", 2, 2, 4, 2, 2, 1)
+    scaled = extract.flashloan(rows([str(10**40)]).withColumn("premium", F.lit("1")), tokens, exact=exact, scale=True).first()
+    assert (scaled.flashloan_amount, scaled.flashloan_premium) == (1e38, 0.01)
 
 
 @pytest.mark.parametrize(("digits", "decimals", "value"), [("12345", 3, 12.345), ("-12", 4, -0.0012), ("7", 0, 7.0), (str(10**45 + 1), 45, 1.0), (None, 2, None)])
@@ -55,7 +79,7 @@ def test_bucket_edges(spark):
 
 def events(spark, rows):
     df = spark.createDataFrame(rows, "time timestamp_ntz, block long, idx long, asset long, user long, amount long, rate double, mode int")
-    return df.withColumn("amount", F.col("amount").cast("decimal(38,0)"))
+    return df
 
 
 @pytest.fixture
@@ -220,7 +244,7 @@ def test_all_components(spark, sf_dir):
 
     v = spark.read.parquet(f"{sf_dir}/embeddings.parquet").toPandas().embedding
     ranked = np.argsort(np.argsort(np.stack(v), axis=0), axis=0)  # without ties
-    for name, given in (("c01_correlation_all", np.stack(v).astype(float)), ("c01_spearman_all", ranked)):
+    for name, given in (("c01_correlation", np.stack(v).astype(float)), ("c01_spearman", ranked)):
         r = np.corrcoef(given.T)
         rows = {(x.col_a, x.col_b): x.r for x in QUERIES[name](spark, sf_dir).collect()}
         assert len(rows) == 64 * 63 // 2
@@ -248,9 +272,9 @@ def test_whole_tables(spark, sf_dir):
     from tidepanel.plans.registry import QUERIES
 
     ev, customers = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("events", "customer"))
-    assert QUERIES["e12_rolling_volatility_all"](spark, sf_dir).count() == ev.count() + customers.count()
-    grid = QUERIES["s07_time_grid_all"](spark, sf_dir).collect()
+    assert QUERIES["e12_rolling_volatility"](spark, sf_dir).count() == ev.count() + customers.count()
+    grid = QUERIES["s07_time_grid"](spark, sf_dir).collect()
     assert sum(r.n for r in grid) == ev.count() and len({r.time_bucket for r in grid}) == len(grid) > 300
     ends = ev.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
-    blocks = [r.block for r in QUERIES["p01_projection_filter_all"](spark, sf_dir).collect()]
+    blocks = [r.block for r in QUERIES["p01_projection_filter"](spark, sf_dir).collect()]
     assert min(blocks) < ends.lo + 100 and max(blocks) > ends.hi - 100

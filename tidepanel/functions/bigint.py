@@ -33,26 +33,42 @@ def smallest(x: Column | str) -> Column:
 def total(x: Column | str) -> Column:
     """Exact sum of canonical non-negative digits, as digits: limbs of 18 digits are summed apart, then carried.
 
-    Null if there is nothing to sum. Sums beyond 90 digits do not fit.
+    Null if there is nothing to sum. The numbers have at most 90 digits, their sum may have more.
     """
-    padded = F.lpad(_c(x), LIMB * LIMBS, "0")
-    sums = [F.sum(F.substring(padded, 1 + LIMB * i, LIMB).cast("decimal(18,0)")) for i in range(LIMBS)]
-    base, carry, parts = F.lit(10**LIMB).cast("decimal(19,0)"), F.lit(0).cast("decimal(28,0)"), []
-    for s in reversed(sums):
-        whole = s + carry
-        carry = F.floor(whole / base).cast("decimal(28,0)")
-        rest = (whole - carry * base).cast("decimal(28,0)")
-        # the quotient of two decimals is rounded; put it right if it was rounded up
-        carry, rest = F.when(rest < 0, carry - 1).otherwise(carry), F.when(rest < 0, rest + base).otherwise(rest)
-        parts.append(F.lpad(rest.cast("decimal(18,0)").cast("string"), LIMB, "0"))
-    return F.regexp_replace(F.concat(*reversed(parts)), "^0+(?=[0-9])", "")
+    return _digits(_carried(_sums(x)))
 
 
 def signed_total(positive: Column | str, negative: Column | str) -> Column:
-    """Exact sum of positive less sum of negative, for sums of at most 38 digits; null if both are null, or too long."""
-    a, b = (F.coalesce(total(x), F.lit("0")).try_cast("decimal(38,0)") for x in (positive, negative))
+    """Exact sum of positive less sum of negative, as digits with a sign; null if there is nothing to sum."""
+    zero = F.lit(0).cast("decimal(28,0)")
+    less = [F.coalesce(a, zero) - F.coalesce(b, zero) for a, b in zip(_sums(positive), _sums(negative))]
+    up, down = _carried(less), _carried([-x for x in less])
     both = F.count(_c(positive)) + F.count(_c(negative))
-    return F.when(both > 0, F.try_subtract(a, b).cast("string"))
+    return F.when(both > 0, F.when(up["carry"] < 0, F.concat(F.lit("-"), _digits(down))).otherwise(_digits(up)))
+
+
+def _sums(x: Column | str) -> list[Column]:
+    padded = F.lpad(_c(x), LIMB * LIMBS, "0")
+    return [F.sum(F.substring(padded, 1 + LIMB * i, LIMB).cast("decimal(18,0)")) for i in range(LIMBS)]
+
+
+def _carried(limbs: list[Column]) -> Column:
+    """(carry beyond the first limb, digits of all limbs) of sums of limbs, the highest first; the carry has the sign of the whole."""
+    base = F.lit(10**LIMB).cast("decimal(38,0)")
+
+    def step(a: Column, limb: Column) -> Column:
+        whole = limb + a["carry"]
+        rest = F.pmod(whole, base)
+        digits = F.lpad(rest.cast("decimal(18,0)").cast("string"), LIMB, "0")
+        return F.struct(((whole - rest) / base).cast("decimal(38,0)").alias("carry"), F.concat(digits, a["digits"]).alias("digits"))
+
+    start = F.struct(F.lit(0).cast("decimal(38,0)").alias("carry"), F.lit("").alias("digits"))
+    return F.aggregate(F.array(*(x.cast("decimal(38,0)") for x in reversed(limbs))), start, step)
+
+
+def _digits(carried: Column) -> Column:
+    more = F.when(carried["carry"] > 0, carried["carry"].cast("string")).otherwise(F.lit(""))
+    return F.regexp_replace(F.concat(more, carried["digits"]), "^0+(?=[0-9])", "")
 
 
 def _c(x: Column | str) -> Column:

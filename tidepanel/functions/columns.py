@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StringType
+
+from . import bigint
 
 NO_DEBT = str(2**256 - 1)
 
@@ -61,6 +64,16 @@ def shifted(digits: Column | str, decimals: Column | str | int) -> Column:
     return F.concat(minus, whole, F.lit("."), F.when(d > 0, part).otherwise(F.lit("0"))).try_cast("double")
 
 
+def exactly_scaled(df: DataFrame, column: str, decimals: Column | str | int) -> Column:
+    """raw / 10^decimals with one rounding: digit strings and integers of any length; doubles are divided as they are."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (DoubleType, FloatType)):
+        return scaled(column, decimals)
+    if isinstance(kind, StringType):
+        return shifted(bigint.parsed(column), decimals)
+    return F.when(F.abs(column) <= 2**53, scaled(column, decimals)).otherwise(shifted(F.col(column).cast("string"), decimals))
+
+
 def row_sum(columns: Sequence[str]) -> Column:
     """Sum of columns, null as 0."""
     return reduce(lambda a, b: a + b, (F.coalesce(_c(c).cast("double"), F.lit(0.0)) for c in columns))

@@ -1,7 +1,10 @@
 """Event and call tables reduced to bucketed panels, and the metric dictionaries. Bucket width and window are parameters.
 
-Aggregates come before dimension joins; two-leg rows are exploded from one scan; forward-filled state comes from
-validity intervals that are exploded onto the grid, not from an inequality join.
+Amounts are integers, or digit strings for those of 256 bits, which stay exact (digit strings come out again). Exact counts of
+actors take two aggregations, first by actor, then by bucket, so that no row is multiplied for them. Aggregates come before dimension
+joins; these have no hint: Spark broadcasts a dimension whose size it knows to be small. Two-leg rows are exploded
+from one scan; forward-filled state comes from validity intervals that are exploded onto the grid, not from an inequality join.
+Everything is lazy: no job runs while a panel is built.
 """
 
 from __future__ import annotations
@@ -12,20 +15,25 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import DecimalType, StringType
 
-from ..functions.columns import bucket, scaled
+from ..functions import bigint
+from ..functions.columns import bucket, exactly_scaled
 
-#: The token dimension is broadcast up to so many rows; beyond, the join shuffles.
-BROADCAST_ROWS = 1_000_000
 
+def with_symbol(panel: DataFrame, tokens: DataFrame, *columns: str) -> DataFrame:
+    return panel.join(tokens.select("asset", *(columns or ("asset_symbol",))), "asset", "left")
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most limit rows (the count stops there)."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
+def wide(df: DataFrame, column: str) -> bool:
+    """Whether a column's sums may pass 38 digits: digit strings, and decimals of full width."""
+    kind = df.schema[column].dataType
+    return isinstance(kind, StringType) or isinstance(kind, DecimalType) and kind.precision == 38
 
-def with_symbol(panel: DataFrame, tokens: DataFrame, *columns: str) -> DataFrame:
-    return panel.join(small(tokens.select("asset", *(columns or ("asset_symbol",)))), "asset", "left")
+
+def whole(df: DataFrame, column: str) -> Column:
+    """An amount: canonical digits if it is wide."""
+    return bigint.parsed(F.col(column).cast("string")) if wide(df, column) else F.col(column)
 
 
 def tagged(**streams: DataFrame) -> DataFrame:
@@ -33,21 +41,37 @@ def tagged(**streams: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (df.drop("kind").withColumn("kind", F.lit(k)) for k, df in streams.items()))
 
 
-def distinct(value: Column, exact: bool) -> Column:
-    return F.count_distinct(value) if exact else F.approx_count_distinct(value)
+def _total(column: str, big: bool) -> Column:
+    return (bigint.total(column) if big else F.sum(column)).alias(column)
 
 
-def two_kinds(a: DataFrame, b: DataFrame, names: tuple[str, str], keys: Sequence[Column], exact: bool, more: Mapping[str, Column] | None = None) -> DataFrame:
-    """Sums, counts, distinct users and latest blocks of two kinds of events, side by side, in one aggregation."""
-    rows = tagged(**{names[0]: a, names[1]: b})
-    out: dict[str, Column] = {}
-    for n in names:
-        is_n = F.col("kind") == n
-        out |= {f"{n}_amount_raw": F.sum(F.when(is_n, F.col("amount"))), f"{n}_tx_count": F.count_if(is_n), f"unique_{n}_users": distinct(F.when(is_n, F.col("user")), exact), f"latest_{n}_block": F.max(F.when(is_n, F.col("block")))}
-    first = F.col("kind") == names[0]
-    out["net_amount_raw"] = F.sum(F.when(first, F.col("amount")).otherwise(-F.col("amount")))
-    out |= more or {}
-    return rows.groupBy(*keys).agg(*(v.alias(k) for k, v in out.items()))
+def by_actor(rows: DataFrame, keys: Sequence[str], sums: Mapping[str, bool], counts: Sequence[str], maxima: Sequence[str], exact: bool, people: Mapping[str, str], more: Mapping[str, Column] | None = None) -> DataFrame:
+    """Sums (name: whether digits), counts and maxima of rows by keys, and for each of people how many users have a count.
+
+    rows has a row per event with a column user, numbers to be counted (0 or 1) and what is null where it does not apply.
+    """
+    aggs = [*(_total(c, big) for c, big in sums.items()), *(F.sum(c).alias(c) for c in counts), *(F.max(c).alias(c) for c in maxima)]
+    if exact:
+        rows = rows.groupBy(*keys, "user").agg(*aggs)
+    there = F.col("user").isNotNull()
+    seen = {n: there & (F.col(c) > 0) for n, c in people.items()}
+    users = [(F.count_if(cond) if exact else F.approx_count_distinct(F.when(cond, F.col("user")))).alias(n) for n, cond in seen.items()]
+    return rows.groupBy(*keys).agg(*aggs, *users, *(v.alias(k) for k, v in (more or {}).items()))
+
+
+def two_kinds(a: DataFrame, b: DataFrame, names: tuple[str, str], width: str, exact: bool, counts: Mapping[str, Column] | None = None, maxima: Mapping[str, Column] | None = None) -> DataFrame:
+    """Sums, counts, distinct users and latest blocks of two kinds of events by bucket and asset, side by side; more counts (conditions) and maxima."""
+    rows, keys = tagged(**{names[0]: a, names[1]: b}), ["time_bucket", "asset"]
+    big = wide(rows, "amount")
+    amount, is_n = whole(rows, "amount"), {n: F.col("kind") == n for n in names}
+    sums = {f"{n}_amount_raw": F.when(is_n[n], amount) for n in names}
+    number = {f"{n}_tx_count": is_n[n] for n in names} | dict(counts or {})
+    most = {f"latest_{n}_block": F.when(is_n[n], F.col("block")) for n in names} | dict(maxima or {})
+    flat = rows.select(*_keys(width), "user", *(v.alias(k) for k, v in (sums | most).items()), *(F.coalesce(v, F.lit(False)).cast("int").alias(k) for k, v in number.items()))
+    x, y = (f"{n}_amount_raw" for n in names)
+    less = F.when(F.col(x).isNotNull() | F.col(y).isNotNull(), F.coalesce(x, F.lit(0)) - F.coalesce(y, F.lit(0)))
+    net = {"net_amount_raw": bigint.signed_total(x, y) if big else F.sum(less)}
+    return by_actor(flat, keys, dict.fromkeys(sums, big), list(number), list(most), exact, {f"unique_{n}_users": f"{n}_tx_count" for n in names}, net)
 
 
 def _keys(width: str) -> list[Column]:
@@ -55,21 +79,18 @@ def _keys(width: str) -> list[Column]:
 
 
 def supply_withdraw(supply: DataFrame, withdraw: DataFrame, tokens: DataFrame, width: str = "2 hours", exact: bool = False) -> DataFrame:
-    out = two_kinds(supply, withdraw, ("supply", "withdrawal"), _keys(width), exact)
+    out = two_kinds(supply, withdraw, ("supply", "withdrawal"), width, exact)
     names = {"net_amount_raw": "net_supply_flow_raw", "unique_supply_users": "unique_suppliers", "unique_withdrawal_users": "unique_withdraw_users", "latest_withdrawal_block": "latest_withdraw_block"}
     return with_symbol(out.withColumnsRenamed(names), tokens)
 
 
 def borrow_repay(borrow: DataFrame, repay: DataFrame, tokens: DataFrame, width: str = "2 hours", exact: bool = False) -> DataFrame:
     is_borrow = F.col("kind") == "borrow"
-    more = {
-        "stable_borrow_count": F.count_if(is_borrow & (F.col("mode") == 1)),
-        "variable_borrow_count": F.count_if(is_borrow & (F.col("mode") == 2)),
-        "last_borrow_rate": F.max_by("rate", F.when(is_borrow, F.struct("block", "idx"))),
-    }
-    out = two_kinds(borrow, repay, ("borrow", "repay"), _keys(width), exact, more)
+    modes = {"stable_borrow_count": is_borrow & (F.col("mode") == 1), "variable_borrow_count": is_borrow & (F.col("mode") == 2)}
+    last = {"last_borrow": F.when(is_borrow, F.struct("block", "idx", "rate"))}
+    out = two_kinds(borrow, repay, ("borrow", "repay"), width, exact, modes, last)
     names = {"net_amount_raw": "net_debt_flow_raw", "unique_borrow_users": "unique_borrowers", "unique_repay_users": "unique_repayers"}
-    return with_symbol(out.withColumnsRenamed(names), tokens)
+    return with_symbol(out.withColumnsRenamed(names).withColumn("last_borrow_rate", F.col("last_borrow.rate")).drop("last_borrow"), tokens)
 
 
 def reserve_state(updates: DataFrame, fields: Sequence[str], width: str = "2 hours", scale: float = 1e27, order: str = "seq") -> DataFrame:
@@ -107,39 +128,44 @@ def reserve_config(changes: DataFrame, tokens: DataFrame, params: Sequence[str],
 
 
 def liquidation(rows: DataFrame, tokens: DataFrame, width: str = "2 hours", exact: bool = False) -> DataFrame:
-    """Both legs of each liquidation, from one scan."""
-    none = F.lit(None)
-    leg = lambda name, asset, amount, user, who: F.struct(F.lit(name).alias("leg"), F.col(asset).alias("asset"), F.col(amount).alias("amount"), user.cast("long").alias("user"), who.cast("long").alias("liquidator"))
-    legs = F.array(leg("collateral", "collateral_asset", "collateral_amount", F.col("user"), F.col("liquidator")), leg("debt", "debt_asset", "debt_amount", none, none))
-    flat = rows.select("time", "receive_token", F.explode(legs).alias("x")).select("time", "receive_token", "x.*")
-    taken, debt = F.col("leg") == "collateral", F.col("leg") == "debt"
-    out = flat.groupBy(*_keys(width)).agg(
-        F.coalesce(F.sum(F.when(taken, F.col("amount"))), F.lit(0)).alias("collateral_amount_raw"),
-        F.coalesce(F.sum(F.when(debt, F.col("amount"))), F.lit(0)).alias("debt_covered_raw"),
-        F.count_if(taken).alias("collateral_tx_count"),
-        F.count_if(debt).alias("debt_tx_count"),
-        F.count_if(taken & F.col("receive_token")).alias("receive_token_count"),
-        distinct(F.when(taken, F.col("user")), exact).alias("unique_liquidated_users"),
-        distinct(F.when(taken, F.col("liquidator")), exact).alias("unique_liquidators"),
-    )
+    """Both legs of each liquidation, from one scan; users and liquidators count with the assets of both legs."""
+    big = {leg: wide(rows, f"{leg}_amount") for leg in ("collateral", "debt")}
+    sums = {"collateral": "collateral_amount_raw", "debt": "debt_covered_raw"}
+    counts = ["collateral_tx_count", "debt_tx_count", "liquidation_tx_count", "receive_token_count"]
+
+    def actor(leg: str, role: str) -> Column:
+        """What one leg adds; amounts and counts go with its user."""
+        own = role == "user"
+        amounts = [(whole(rows, f"{k}_amount") if own and k == leg else F.lit(None).cast("string" if big[k] else rows.schema[f"{k}_amount"].dataType)).alias(n) for k, n in sums.items()]
+        taken = F.coalesce(F.col("receive_token"), F.lit(False)).cast("int") if leg == "collateral" and own else F.lit(0)
+        numbers = [F.lit(int(own and leg == "collateral")), F.lit(int(own and leg == "debt")), F.lit(int(own)), taken]
+        return F.struct(F.col(f"{leg}_asset").alias("asset"), F.lit(role).alias("role"), F.col(role).cast("string").alias("actor"), *amounts, *(x.alias(c) for x, c in zip(numbers, counts)))
+
+    each = F.explode(F.array(*(actor(leg, role) for leg in sums for role in ("user", "liquidator"))))
+    flat = rows.select("time", F.col("block"), each.alias("x")).select(bucket("time", width).alias("time_bucket"), "block", "x.*")
+    aggs = [*(_total(n, big[leg]) for leg, n in sums.items()), *(F.sum(c).alias(c) for c in counts), F.max("block").alias("block")]
+    if exact:
+        flat = flat.groupBy("time_bucket", "asset", "role", "actor").agg(*aggs)
+    people = {}
+    for role, name in (("user", "unique_liquidated_users"), ("liquidator", "unique_liquidators")):
+        own = (F.col("role") == role) & F.col("actor").isNotNull()
+        people[name] = F.count_if(own) if exact else F.approx_count_distinct(F.when(own, F.col("actor")))
+    out = flat.groupBy("time_bucket", "asset").agg(*aggs, *(v.alias(k) for k, v in people.items())).withColumnRenamed("block", "latest_liquidation_block")
+    out = out.withColumns({n: F.coalesce(n, F.lit("0") if big[leg] else F.lit(0)) for leg, n in sums.items()})
     return with_symbol(out, tokens)
 
 
 def flashloan(rows: DataFrame, tokens: DataFrame, width: str = "2 hours", exact: bool = False, scale: bool = False) -> DataFrame:
     """Amounts, premiums (rate), counts by mode; with scale, amounts are divided by the asset's decimals."""
-    out = rows.groupBy(*_keys(width)).agg(
-        F.sum("amount").alias("flashloan_amount_raw"),
-        F.sum("premium").alias("flashloan_premium_raw"),
-        F.count("*").alias("flashloan_tx_count"),
-        distinct(F.col("user"), exact).alias("unique_initiators"),
-        *(F.count_if(F.col("mode") == m).alias(f"mode{m}_count") for m in (0, 1, 2)),
-        F.max("block").alias("latest_block"),
-    )
+    names = {"flashloan_amount_raw": "amount", "flashloan_premium_raw": "premium"}
+    modes = {f"mode{m}_count": F.coalesce(F.col("mode") == m, F.lit(False)).cast("int") for m in (0, 1, 2)}
+    flat = rows.select(*_keys(width), "user", F.col("block").alias("latest_block"), *(whole(rows, c).alias(n) for n, c in names.items()), F.lit(1).alias("flashloan_tx_count"), *(v.alias(k) for k, v in modes.items()))
+    out = by_actor(flat, ["time_bucket", "asset"], {n: wide(rows, c) for n, c in names.items()}, ["flashloan_tx_count", *modes], ["latest_block"], exact, {"unique_initiators": "flashloan_tx_count"})
     out = with_symbol(out, tokens, "asset_symbol", "decimals")
     if not scale:
         return out.drop("decimals")
-    for name in ("amount", "premium"):
-        out = out.withColumn(f"flashloan_{name}", scaled(f"flashloan_{name}_raw", "decimals")).drop(f"flashloan_{name}_raw")
+    for n in names:
+        out = out.withColumn(n.removesuffix("_raw"), exactly_scaled(out, n, "decimals")).drop(n)
     return out.drop("decimals")
 
 
@@ -149,34 +175,37 @@ def last_price(calls: DataFrame, tokens: DataFrame, width: str = "1 hour") -> Da
 
 
 def user_account(calls: DataFrame, averages: Sequence[str], health: str, width: str = "2 hours", exact: bool = False) -> DataFrame:
-    """Market-wide means per bucket, extremes of the health factor, users sampled and calls."""
-    return calls.groupBy(bucket("time", width).alias("time_bucket")).agg(
-        *(F.avg(F.col(c).cast("double")).alias(f"avg_{c}") for c in averages),
-        F.min(health).alias("min_health_factor"),
-        F.max(health).alias("max_health_factor"),
-        distinct(F.col("user"), exact).alias("sampled_users"),
-        F.count("*").alias("call_count"),
-    )
+    """Market-wide means per bucket, extremes of the health factor (as numbers, also of digit strings), users sampled and calls."""
+    big = wide(calls, health)
+    factor = bigint.order(whole(calls, health)) if big else F.col(health)
+    factor = F.when(whole(calls, health).isNotNull(), factor)
+    flat = calls.select(bucket("time", width).alias("time_bucket"), "user", factor.alias("least"), factor.alias("most"), F.lit(1).alias("n"), *(F.col(c).cast("double").alias(c) for c in averages))
+    own = [F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n")]
+    if exact:  # means from sums and counts by user
+        parts = [x for c in averages for x in (F.sum(c).alias(c), F.count(c).alias(f"n_{c}"))]
+        flat = flat.groupBy("time_bucket", "user").agg(*own, *parts)
+        means = [F.try_divide(F.sum(c), F.sum(f"n_{c}")) for c in averages]
+    else:
+        means = [F.avg(c) for c in averages]
+    people = F.count("user") if exact else F.approx_count_distinct("user")
+    ends = lambda c: F.col(c)["digits"] if big else F.col(c)
+    out = flat.groupBy("time_bucket").agg(*own, *(m.alias(f"avg_{c}") for m, c in zip(means, averages)), people.alias("sampled_users"))
+    return out.select("time_bucket", *(f"avg_{c}" for c in averages), ends("least").alias("min_health_factor"), ends("most").alias("max_health_factor"), "sampled_users", F.col("n").alias("call_count"))
 
 
 def collateral_toggle(enabled: DataFrame, disabled: DataFrame, tokens: DataFrame, width: str = "2 hours", exact: bool = False) -> DataFrame:
-    on, off = F.col("kind") == "enabled", F.col("kind") == "disabled"
-    out = tagged(enabled=enabled, disabled=disabled).groupBy(*_keys(width)).agg(
-        F.count_if(on).alias("enabled_count"),
-        F.count_if(off).alias("disabled_count"),
-        distinct(F.when(on, F.col("user")), exact).alias("unique_enable_users"),
-        distinct(F.when(off, F.col("user")), exact).alias("unique_disable_users"),
-        F.max("block").alias("latest_block"),
-    )
-    return with_symbol(out, tokens)
+    rows = tagged(enabled=enabled, disabled=disabled)
+    flat = rows.select(*_keys(width), "user", F.col("block").alias("latest_block"), *((F.col("kind") == k).cast("int").alias(f"{k}_count") for k in ("enabled", "disabled")))
+    people = {"unique_enable_users": "enabled_count", "unique_disable_users": "disabled_count"}
+    return with_symbol(by_actor(flat, ["time_bucket", "asset"], {}, ["enabled_count", "disabled_count"], ["latest_block"], exact, people), tokens)
 
 
 def two_denominations(feed: DataFrame, universe: DataFrame, numeraire: str, width: str, dims: DataFrame | None = None) -> DataFrame:
     """Mean price per bucket in the feed's unit and in units of the numeraire, for assets of the universe."""
     base = feed.where(F.col("asset") == numeraire).select("time", F.col("price").alias("base_price"))
-    own = feed.join(small(universe.select("asset").distinct()), "asset", "left_semi").join(base, "time")
+    own = feed.join(universe.select("asset").distinct(), "asset", "left_semi").join(base, "time")
     out = own.groupBy(*_keys(width)).agg(F.avg("price").alias("avg_price_usd"), F.avg(F.col("price") / F.col("base_price")).alias("avg_price_eth"), F.count("price").alias("price_points"))
-    return out if dims is None else out.join(small(dims), "asset", "left")
+    return out if dims is None else out.join(dims, "asset", "left")
 
 
 def metric_dictionary(spark: SparkSession, fixed: Iterable[tuple[str, int, str]], assets: Sequence[DataFrame] = (), metrics: Sequence[str] = (), tokens: DataFrame | None = None) -> DataFrame:
@@ -189,3 +218,11 @@ def metric_dictionary(spark: SparkSession, fixed: Iterable[tuple[str, int, str]]
         own = with_symbol(seen.crossJoin(F.broadcast(names)), tokens, "asset_symbol", "decimals")
         rows = own.select(F.col("asset").cast("long"), "asset_symbol", "metric", "decimals", F.lit("raw_token_amount").alias("unit")).unionByName(rows)
     return rows
+
+
+def covered(dictionary: DataFrame, panel: DataFrame) -> DataFrame:
+    """A metric dictionary with n_values: in how many rows of the panel each metric has a value; null if the panel lacks it."""
+    there = [c for c in panel.columns if c not in ("time_bucket", "asset", "asset_symbol")]
+    counts = panel.agg(*(F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(there)))
+    long = counts.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(f"n{i}").alias("n_values")) for i, c in enumerate(there)))).alias("x")).select("x.*")
+    return dictionary.join(long, "metric", "left")

@@ -1,7 +1,8 @@
 """Risk, shape, concentration and dependence metrics of many series at once.
 
-Input is long: (series, ord, x), x finite or null. Values are joined to their series' scalars, so that each metric is an
-aggregate per series; order-dependent ones use windows within the series. A metric whose guard fails is null.
+Input is long: (series, ord, x), x finite or null. Metrics of values start from counts of distinct values, placed in order by ranges;
+metrics of order work on parts of a series (ranks.parts), whose beginnings carry sums or peaks of the parts before. So no task holds
+a whole series, however long. A metric whose guard fails is null.
 """
 
 from __future__ import annotations
@@ -10,16 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import divided
-from .profile import sample_kurtosis, sample_skewness
+from . import ranks
 
+KEY = ["series"]
 
 
-def _by():
-    return Window.partitionBy("series")
-
-
-def _ordered():
-    return _by().orderBy("ord")
+def _part() -> Window:
+    return Window.partitionBy("series", "_part").orderBy("_i")
 
 
 def cleaned(long: DataFrame) -> DataFrame:
@@ -28,9 +26,10 @@ def cleaned(long: DataFrame) -> DataFrame:
 
 def returns(long: DataFrame, kind: str = "simple") -> DataFrame:
     """Changes between neighbours by ord; what is not finite drops out."""
-    last = F.lag("x").over(_ordered())
-    change = divided("x", last) - 1 if kind == "simple" else F.ln("x") - F.ln(last)
-    return cleaned(cleaned(long).select("series", "ord", change.alias("x")))
+    rows = ranks.parts(cleaned(long), KEY, "ord", 1)
+    last = F.lag("x").over(_part())
+    change = divided("x", last) - 1 if kind == "simple" else F.when((F.col("x") > 0) & (last > 0), F.ln("x") - F.ln(last))
+    return cleaned(rows.withColumn("_change", change).where("_own").select("series", "ord", F.col("_change").alias("x")))
 
 
 def drawdowns(long: DataFrame, as_returns: bool = True) -> DataFrame:
@@ -38,92 +37,112 @@ def drawdowns(long: DataFrame, as_returns: bool = True) -> DataFrame:
 
     The product is kept as log, sign and zeros, so that it neither overflows nor loses factors of 0 or below.
     """
+    rows = ranks.parts(cleaned(long), KEY, "ord")
     if as_returns:
         f = 1 + F.col("x")
-        size = F.sum(F.when(f != 0, F.ln(F.abs(f))).otherwise(0.0)).over(_ordered())
-        flips, zeros = F.sum(F.when(f < 0, 1).otherwise(0)).over(_ordered()), F.sum(F.when(f == 0, 1).otherwise(0)).over(_ordered())
-        wealth = F.when(zeros > 0, 0.0).otherwise(F.exp(size) * F.when(flips % 2 == 1, -1.0).otherwise(1.0))
+        terms = {"size": F.when(f != 0, F.ln(F.abs(f))).otherwise(0.0), "flips": F.when(f < 0, 1).otherwise(0), "zeros": F.when(f == 0, 1).otherwise(0)}
+        rows = ranks.carried(rows, KEY, {f"_{n}": (x, "sum") for n, x in terms.items()})
+        so_far = {n: F.coalesce(f"_{n}", F.lit(0)) + F.sum(x).over(_part()) for n, x in terms.items()}
+        rows = rows.select("series", "ord", "_i", "_part", *(x.alias(n) for n, x in so_far.items()))
+        wealth = F.when(F.col("zeros") > 0, 0.0).otherwise(F.exp("size") * F.when(F.col("flips") % 2 == 1, -1.0).otherwise(1.0))
     else:
         wealth = F.col("x")
-    paths = cleaned(long).select("series", "ord", wealth.alias("w"))
-    peak = F.max("w").over(_ordered())
-    return paths.select("series", "ord", (divided("w", peak) - 1).alias("dd"))
+    paths = ranks.carried(rows.select("series", "ord", "_i", "_part", wealth.alias("w")), KEY, {"_peak": (F.col("w"), "max")})
+    peak = F.greatest("_peak", F.max("w").over(_part()))
+    return paths.withColumn("_top", peak).select("series", "ord", (divided("w", "_top") - 1).alias("dd"))
 
 
-def shape(long: DataFrame, threshold: float = 0.0, bins: int = 20, top: float = 0.01, level: float = 0.95) -> DataFrame:
-    """A row per series: all metrics that need no order but that of values."""
-    x = cleaned(long)
-    n = F.count("x")
-    scalars = x.groupBy("series").agg(
-        n.alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.median("x").alias("median"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("x").alias("total"),
-        F.percentile("x", F.array(*map(F.lit, (1 - level, level, 0.25, 0.75, 0.1, 0.9)))).alias("q"),
-        F.when(n > 3, sample_skewness("x")).alias("moment_skewness"), sample_kurtosis("x").alias("excess_kurtosis"),
-    )
-    near = x.join(F.broadcast(scalars), "series")
-    down, up = F.least(F.col("x") - threshold, F.lit(0.0)), F.greatest(F.col("x") - threshold, F.lit(0.0))
-    r = F.when(F.col("mean") > 0, F.col("x") / F.col("mean"))
+LEVEL = 0.95
+
+
+def shape(long: DataFrame, threshold: float = 0.0, bins: int = 20, top: float = 0.01, level: float = LEVEL) -> DataFrame:
+    """A row per series: all metrics that need no order but that of values.
+
+    Concentration metrics are over values of 0 or more (the Theil index and the Hill index: above 0); others are left out.
+    """
+    x, k = F.col("x"), F.col("k")
+    counts = cleaned(long).groupBy("series", "x").agg(F.count("*").alias("k"))
+    placed = ranks.placed(counts, KEY, "x", "k")
+    not_negative, positive = x >= 0, x > 0
+    weigh = lambda v, cond=None: F.sum(v * k) if cond is None else F.sum(F.when(cond, v * k))
+    one = ranks.points(
+        placed, KEY, "x", {"median": 0.5, "q_low": 1 - level, "q_high": level, "q25": 0.25, "q75": 0.75, "q10": 0.1, "q90": 0.9}, "k",
+        [
+            F.sum("k").alias("n"), weigh(x).alias("sum"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+            F.coalesce(F.sum(F.when(not_negative, k)), F.lit(0)).alias("n0"), weigh(x, not_negative).alias("sum0"), weigh(x * x, not_negative).alias("squares0"),
+            F.coalesce(F.sum(F.when(positive, k)), F.lit(0)).alias("n1"), weigh(x, positive).alias("sum1"),
+        ],
+    ).withColumn("mean", F.col("sum") / F.col("n"))
+    near = placed.drop("_n").join(one, "series")
+    far, dev = F.abs(x - F.col("median")), x - F.col("mean")
+    down, up = F.least(x - threshold, F.lit(0.0)), F.greatest(x - threshold, F.lit(0.0))
+    place = F.col("_begin") - (F.col("n") - F.col("n0"))  # among the values that are not negative
+    above = F.col("n") - F.col("_begin") - k  # how many values are larger
+    most = F.greatest(F.lit(1), F.ceil(F.lit(top) * F.col("n0")))
+    tail = F.least(F.greatest(F.lit(10), F.floor(F.col("n1") / 10)), F.col("n1") - 1)
+    taken = lambda m: F.least(k, F.greatest(F.lit(0), m - above))
+    r = x / (F.col("sum1") / F.col("n1"))
     sums = near.groupBy("series").agg(
-        F.avg(F.when(F.col("x") <= F.col("q")[0], F.col("x"))).alias("tail_mean"),
-        F.sqrt(F.avg(down * down)).alias("downside_deviation"),
-        F.sqrt(F.avg(up * up)).alias("upside_deviation"),
-        F.coalesce(F.avg(F.when(F.col("x") < F.col("mean"), F.pow(F.col("x") - F.col("mean"), 2))), F.lit(0.0)).alias("semivariance"),
-        F.avg(F.abs(F.col("x") - F.col("mean"))).alias("mean_abs_deviation"),
-        F.median(F.abs(F.col("x") - F.col("median"))).alias("mad"),
-        F.sum(F.col("x") * F.col("x")).alias("squares"),
-        F.when(F.min("x") > 0, F.avg(r * F.ln(r))).alias("theil_index"),
-        divided(F.sum(up), -F.sum(down)).alias("omega_ratio"),
-    )
-    ranked = near.withColumn("i", F.row_number().over(_by().orderBy("x"))).withColumn("k", F.row_number().over(_by().orderBy(F.desc("x"))))
-    most = F.greatest(F.lit(1), F.ceil(F.lit(top) * F.col("n")))
-    ranks = ranked.groupBy("series").agg(
-        F.when((F.max("total") > 0) & (F.max("lo") >= 0), 2 * F.sum(F.col("i") * F.col("x")) / (F.max("n") * F.max("total")) - (F.max("n") + 1) / F.max("n")).alias("gini_coefficient"),
-        F.when(F.max("lo") >= 0, divided(F.sum(F.when(F.col("k") <= most, F.col("x"))), F.max("total"))).alias("top_concentration"),
+        (weigh(x, x <= F.col("q_low")) / F.sum(F.when(x <= F.col("q_low"), k))).alias("tail_mean"),
+        F.sqrt(weigh(down * down) / F.max("n")).alias("downside_deviation"),
+        F.sqrt(weigh(up * up) / F.max("n")).alias("upside_deviation"),
+        F.when(F.max("n") > 1, F.coalesce(divided(weigh(dev * dev, dev < 0), F.sum(F.when(dev < 0, k))), F.lit(0.0))).alias("semivariance"),
+        (weigh(F.abs(dev)) / F.max("n")).alias("mean_abs_deviation"),
+        *((weigh(F.pow(dev, F.lit(p)))).alias(f"m{p}") for p in (2, 3, 4)),
+        (weigh(r * F.ln(r), positive) / F.max("n1")).alias("theil_index"),
+        divided(weigh(up), -weigh(down)).alias("omega_ratio"),
+        F.sum(F.when(not_negative, x * (k * (place + 1) + k * (k - 1) / 2))).alias("ranked"),
+        F.sum(F.when(not_negative, x * taken(most))).alias("top_sum"),
+        F.when(F.max("n1") >= 10, F.sum(F.when(positive, F.ln(x) * taken(tail))) / F.max(tail) - F.max(F.when(positive & (above <= tail) & (tail < above + k), F.ln(x)))).alias("hill"),
     )
+    spread = near.groupBy("series", far.alias("far")).agg(F.sum("k").alias("k"))
+    mad = ranks.points(ranks.placed(spread, KEY, "far", "k"), KEY, "far", {"mad": 0.5}, "k")
     s = F.col
-    out = scalars.join(sums, "series").join(ranks, "series").join(hill(x), "series", "left").join(entropy(near, bins), "series", "left")
-    iqr, spread = s("q")[3] - s("q")[2], s("q")[5] - s("q")[4]
-    bias = 3 * F.pow(s("n") - 1, F.lit(2)) / F.when(s("n") > 3, (s("n") - 2) * (s("n") - 3))
+    out = one.join(sums, "series").join(mad, "series").join(entropy(near, bins), "series", "left")
+    n = s("n").cast("double")
+    var = s("m2") / n
+    g1 = F.when((s("n") > 3) & (var > 0), s("m3") / n / F.pow(var, F.lit(1.5)) * F.sqrt(n * (n - 1)) / F.try_subtract(n, F.lit(2.0)))
+    g2 = F.when((s("n") > 3) & (var > 0), F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * (s("m4") / n / (var * var) - 3) + 6))
+    out = out.withColumns({"std": F.sqrt(F.try_divide(s("m2"), n - 1)), "moment_skewness": g1, "excess_kurtosis": g2})
+    iqr, wide = s("q75") - s("q25"), s("q90") - s("q10")
+    bias = 3 * F.pow(n - 1, F.lit(2)) / F.when(s("n") > 3, (n - 2) * (n - 3))
     return out.select(
-        "series", "n", "mean", "std", "median", "moment_skewness", "excess_kurtosis", "downside_deviation", "upside_deviation", "semivariance", "mean_abs_deviation", "theil_index", "omega_ratio", "gini_coefficient", "top_concentration", "hill_tail_index", "shannon_entropy",
-        (-s("q")[0]).alias("value_at_risk"),
+        "series", "n", "mean", "std", "median", "moment_skewness", "excess_kurtosis", "downside_deviation", "upside_deviation", "semivariance", "mean_abs_deviation", "theil_index", "omega_ratio",
+        F.when(s("sum0") > 0, 2 * s("ranked") / (s("n0") * s("sum0")) - (s("n0") + 1) / s("n0")).alias("gini_coefficient"),
+        F.when(s("sum0") > 0, s("top_sum") / s("sum0")).alias("top_concentration"),
+        divided(F.lit(1.0), "hill").alias("hill_tail_index"),
+        "shannon_entropy",
+        (-s("q_low")).alias("value_at_risk"),
         (-s("tail_mean")).alias("conditional_var"),
-        divided(F.abs(s("q")[1]), F.abs(s("q")[0])).alias("tail_ratio"),
+        divided(F.abs(s("q_high")), F.abs(s("q_low"))).alias("tail_ratio"),
         divided("mad", F.abs("median")).alias("robust_cv_mad"),
         divided(iqr, F.abs("median")).alias("robust_cv_iqr"),
-        divided(iqr, s("q")[3] + s("q")[2]).alias("quartile_coeff_dispersion"),
+        divided(iqr, s("q75") + s("q25")).alias("quartile_coeff_dispersion"),
         divided("std", F.abs("mean")).alias("coefficient_of_variation"),
-        divided(s("q")[3] + s("q")[2] - 2 * s("median"), iqr).alias("bowley_skewness"),
-        divided(s("q")[5] + s("q")[4] - 2 * s("median"), spread).alias("kelly_skewness"),
+        divided(s("q75") + s("q25") - 2 * s("median"), iqr).alias("bowley_skewness"),
+        divided(s("q90") + s("q10") - 2 * s("median"), wide).alias("kelly_skewness"),
         divided(s("mean") - s("median"), "std").alias("nonparametric_skew"),
         divided(s("moment_skewness") * s("moment_skewness") + 1, s("excess_kurtosis") + bias).alias("bimodality_coefficient"),
-        (s("n") / 6 * (s("moment_skewness") * s("moment_skewness") + s("excess_kurtosis") * s("excess_kurtosis") / 4)).alias("jarque_bera"),
-        F.when(s("lo") >= 0, divided("squares", s("total") * s("total"))).alias("herfindahl_index"),
+        (n / 6 * (s("moment_skewness") * s("moment_skewness") + s("excess_kurtosis") * s("excess_kurtosis") / 4)).alias("jarque_bera"),
+        F.when(s("sum0") > 0, s("squares0") / (s("sum0") * s("sum0"))).alias("herfindahl_index"),
     )
 
 
-def hill(long: DataFrame, k: int | None = None) -> DataFrame:
-    """Hill tail index over the k largest positive values (a tenth of them, 10 at least), of at least 10 and more than k."""
-    x = cleaned(long).where("x > 0").withColumn("rank", F.row_number().over(_by().orderBy(F.desc("x")))).withColumn("n", F.count("*").over(_by()))
-    x = x.withColumn("k", F.lit(k) if k else F.greatest(F.lit(10), F.floor(F.col("n") / 10)))
-    x = x.withColumn("k", F.least("k", F.col("n") - 1)).where("n >= 10")
-    edge = F.max(F.when(F.col("rank") == F.col("k") + 1, F.ln("x")))
-    return x.groupBy("series").agg(divided(F.lit(1.0), F.avg(F.when(F.col("rank") <= F.col("k"), F.ln("x"))) - edge).alias("hill_tail_index"))
-
-
 def entropy(near: DataFrame, bins: int = 20, normalized: bool = True) -> DataFrame:
-    """Entropy of a histogram of equal bins from lo to hi (the last one closed; half a unit around a constant)."""
+    """Entropy of a histogram of equal bins from lo to hi (the last one closed; half a unit around a constant); k rows have the value x."""
     flat = F.col("lo") == F.col("hi")
     lo, width = F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")), F.when(flat, 1.0).otherwise(F.col("hi") - F.col("lo"))
     at = F.least(F.floor((F.col("x") - lo) / width * bins), F.lit(bins - 1))
-    counts = near.groupBy("series", at.alias("bin")).agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    counts = near.groupBy("series", at.alias("bin")).agg(F.sum("k").alias("c"), F.max("n").alias("n"))
     p = F.col("c") / F.col("n")
     h = -F.sum(p * F.ln(p))
     return counts.groupBy("series").agg((F.coalesce(divided(h, F.ln(F.count("*"))), F.lit(0.0)) if normalized else h).alias("shannon_entropy"))
 
 
 def drawdown_metrics(long: DataFrame, as_returns: bool = True) -> DataFrame:
-    d = F.col("dd")
-    return drawdowns(long, as_returns).groupBy("series").agg((-F.min(d)).alias("max_drawdown"), (-F.avg(d)).alias("average_drawdown"), F.sqrt(F.avg(10_000 * d * d)).alias("ulcer_index"))
+    """Largest and mean drawdown and the ulcer index, of two values at least."""
+    d, enough = F.col("dd"), F.count("*") > 1
+    return drawdowns(long, as_returns).groupBy("series").agg(F.when(enough, -F.min(d)).alias("max_drawdown"), F.when(enough, -F.avg(d)).alias("average_drawdown"), F.when(enough, F.sqrt(F.avg(10_000 * d * d))).alias("ulcer_index"))
 
 
 def performance(long: DataFrame, rf: float = 0.0, periods: float = 1.0, as_returns: bool = True) -> DataFrame:
@@ -131,7 +150,7 @@ def performance(long: DataFrame, rf: float = 0.0, periods: float = 1.0, as_retur
     x = cleaned(long)
     r = x if as_returns else returns(x)
     low = F.least(F.col("x") - rf, F.lit(0.0))
-    own = r.groupBy("series").agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s"), F.sqrt(F.avg(low * low)).alias("d"))
+    own = r.groupBy("series").agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s"), F.when(F.count("x") > 1, F.sqrt(F.avg(low * low))).alias("d"))
     level = x.groupBy("series").agg(F.avg("x").alias("level"))
     root = periods**0.5
     out = level.join(own, "series", "left").join(drawdown_metrics(x, as_returns), "series", "left")
@@ -139,31 +158,39 @@ def performance(long: DataFrame, rf: float = 0.0, periods: float = 1.0, as_retur
 
 
 def rolling_volatility(long: DataFrame, window: int = 12, least: int | None = None, as_returns: bool = True) -> DataFrame:
-    """Each row with the sample deviation of the last window rows (of returns), null below least values."""
-    x = F.col("x") if as_returns else divided("x", F.lag("x").over(_ordered())) - 1
-    rows = long.withColumn("_r", x)
-    w = _ordered().rowsBetween(1 - window, 0)
-    return rows.withColumn("volatility", F.when(F.count("_r").over(w) >= (least or max(2, window // 3)), F.stddev_samp("_r").over(w))).drop("_r")
+    """Each row with the sample deviation of the last window rows (of returns), null below least values. Rows without ord drop out."""
+    rows = ranks.parts(long, KEY, "ord", window)
+    rows = rows.withColumn("_r", F.col("x") if as_returns else divided("x", F.lag("x").over(_part())) - 1)
+    w = _part().rowsBetween(1 - window, 0)
+    rolled = F.when(F.count("_r").over(w) >= (least or max(2, window // 3)), F.stddev_samp("_r").over(w))
+    return rows.withColumn("volatility", rolled).where("_own").drop("_r", "_i", "_n", "_part", "_own")
 
 
 def autocorrelation(long: DataFrame, lag: int = 1) -> DataFrame:
-    x = cleaned(long).withColumn("y", F.lag("x", lag).over(_ordered())).where("y is not null")
+    rows = ranks.parts(cleaned(long), KEY, "ord", lag).withColumn("y", F.lag("x", lag).over(_part())).where("_own and y is not null")
     varies = (F.stddev_pop("x") > 0) & (F.stddev_pop("y") > 0)
-    return x.groupBy("series").agg(F.when(varies, F.corr("x", "y")).alias("autocorrelation"))
+    return rows.groupBy("series").agg(F.when(varies, F.corr("x", "y")).alias("autocorrelation"))
 
 
 def hurst(long: DataFrame, points: int = 20) -> DataFrame:
-    """Hurst exponent by rescaled ranges over at most points window lengths from 4 to n/2, spaced by logs (n >= 20)."""
-    x = cleaned(long).withColumn("i", F.row_number().over(_ordered()) - 1).withColumn("n", F.count("*").over(_by())).where("n >= 20")
-    lengths = x.groupBy("series").agg(F.max("n").alias("n"))
+    """Hurst exponent by rescaled ranges over at most points window lengths from 4 to n/2, spaced by logs (n >= 20).
+
+    The deviation within a segment is that of sums from the start of the series, less the segment's mean, so that segments are groups
+    of an aggregation and not windows: none is sorted.
+    """
+    rows = ranks.parts(cleaned(long), KEY, "ord").where("_n >= 20")
+    rows = ranks.carried(rows, KEY, {"_sum": (F.col("x"), "sum")}).withColumn("s", F.coalesce("_sum", F.lit(0.0)) + F.sum("x").over(_part()))
+    lengths = rows.groupBy("series").agg(F.max("_n").alias("n"))
     top = F.log10(F.floor(F.col("n") / 2).cast("double"))
     step = (top - F.log10(F.lit(4.0))) / (points - 1)
     exact = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda k: F.when(k == points - 1, F.floor(F.col("n") / 2)).otherwise(F.floor(F.pow(F.lit(10.0), F.log10(F.lit(4.0)) + k * step) + 1e-9)).cast("long"))
     lengths = lengths.select("series", F.explode(F.array_distinct(exact)).alias("len"))
-    rows = x.join(F.broadcast(lengths), "series").withColumn("part", F.expr("i div len")).where("part < n div len")
-    part = Window.partitionBy("series", "len", "part")
-    rows = rows.withColumn("m", F.avg("x").over(part)).withColumn("sum", F.sum(F.col("x") - F.col("m")).over(part.orderBy("i")))
-    spread = rows.groupBy("series", "len", "part").agg(divided(F.max("sum") - F.min("sum"), F.stddev_pop("x")).alias("rs"))
+    each = rows.select("series", "_i", "_n", "x", "s").join(lengths, "series").withColumn("seg", F.expr("_i div len")).where("seg < _n div len")
+    first = F.col("_i") % F.col("len") == 0
+    keys = ["series", "len", "seg"]
+    means = each.groupBy(*keys).agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("sd"), F.max(F.when(first, F.col("s") - F.col("x"))).alias("base"))
+    dev = F.col("s") - F.col("base") - (F.col("_i") % F.col("len") + 1) * F.col("m")
+    spread = each.join(means, keys).groupBy(*keys).agg(divided(F.max(dev) - F.min(dev), F.max("sd")).alias("rs"))
     mean = spread.groupBy("series", "len").agg(F.avg("rs").alias("rs")).where("rs > 0")
     return mean.groupBy("series").agg(F.when(F.count("*") >= 3, F.regr_slope(F.ln("rs"), F.ln("len"))).alias("hurst_exponent"))
 
@@ -177,7 +204,3 @@ def financial_metrics(long: DataFrame, periods: float = 1.0, as_returns: bool =
     for more in (shape(r).select("series", *from_returns), drawdown_metrics(long, as_returns), performance(long, 0.0, periods, as_returns), autocorrelation(long), hurst(long)):
         wide = wide.join(more, "series", "left")
     return wide.unpivot("series", [c for c in wide.columns if c != "series"], "metric", "value")
-
-
-def column(values: Column | str) -> Column:
-    return F.col(values) if isinstance(values, str) else values

@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import bucket, scaled
-from .extract import small
+from ..functions.columns import bucket, exactly_scaled
 
 
 def raw_amounts(df: DataFrame) -> list[str]:
@@ -31,11 +30,11 @@ def scale_by_decimals(df: DataFrame, decimals: int | Mapping[str, int] | DataFra
     names = list(columns or (decimals if isinstance(decimals, Mapping) else raw_amounts(df)))
     new = {c: c.removesuffix("_raw") if c.endswith("_raw") else f"{c}_scaled" for c in names}
     if isinstance(decimals, DataFrame):
-        df = df.join(small(decimals.select("asset", F.col("decimals").alias("_d"))), "asset", "left")
-        out = df.withColumns({n: scaled(c, "_d") for c, n in new.items()}).drop("_d")
+        df = df.join(decimals.select("asset", F.col("decimals").alias("_d")), "asset", "left")
+        out = df.withColumns({n: exactly_scaled(df, c, "_d") for c, n in new.items()}).drop("_d")
     else:
         by = dict.fromkeys(names, decimals) if isinstance(decimals, int) else decimals
-        out = df.withColumns({n: scaled(c, int(by[c])) for c, n in new.items()})
+        out = df.withColumns({n: exactly_scaled(df, c, int(by[c])) for c, n in new.items()})
     return out.drop(*names) if drop_raw else out
 
 
@@ -114,3 +113,8 @@ def written_version(df: DataFrame, path: str, label: str, stamp: str, partition:
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(partition) if partition else writer).parquet(to)
     return to
+
+
+def exported(frames: Mapping[str, DataFrame], path: str, stamp: str) -> dict[str, str]:
+    """Write the panels of a run, each under its label and the run's UTC stamp; where each went."""
+    return {label: written_version(df, path, label, stamp) for label, df in frames.items()}

@@ -1,4 +1,8 @@
-"""Statistical profile of numeric columns: one long table (column, value), grouped once per pass for all columns."""
+"""Statistical profile of numeric columns from counts of distinct values, for all columns together.
+
+Cells are counted by (column, state, value) once; moments, quantiles and outliers are weighted by these counts. Quantiles are
+exact: values are placed in order by ranges (ranks.placed), so no aggregator and no task holds a whole column.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import NO_DEBT, divided, percent
+from . import ranks
 
 NULL_WARN, ZERO_WARN, QUASI_CONSTANT = 0.20, 0.50, 0.95
 HEAVY_KURTOSIS, HEAVY_SKEWNESS, FENCE, MODIFIED_Z, NUMERIC = 3.0, 2.0, 1.5, 3.5, 0.80
@@ -25,18 +30,6 @@ def melted(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> D
     return long.select(*keep, "column", "raw", F.when(F.abs("d") < float("inf"), F.col("d")).alias("value"))
 
 
-def sample_skewness(x: Column | str) -> Column:
-    """Bias-corrected skewness (three values at least, not all equal)."""
-    n = F.count(x).cast("double")
-    return F.when((n > 2) & (F.var_pop(x) > 0), F.skewness(x) * F.sqrt(n * (n - 1)) / F.try_subtract(n, F.lit(2.0)))
-
-
-def sample_kurtosis(x: Column | str) -> Column:
-    """Bias-corrected excess kurtosis (four values at least, not all equal)."""
-    n = F.count(x).cast("double")
-    return F.when((n > 3) & (F.var_pop(x) > 0), F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(x) + 6))
-
-
 def profiled(df: DataFrame, columns: Sequence[str] | None = None, table: str = "", by: Sequence[str] = ()) -> DataFrame:
     """A row per column (and group of by): counts, moments, quantiles, outliers, flags.
 
@@ -44,36 +37,39 @@ def profiled(df: DataFrame, columns: Sequence[str] | None = None, table: str = "
     """
     keys = [*by, "column"]
     long = melted(df, list(columns or numeric_columns(df)), by)
-    sentinel = F.col("raw") == NO_DEBT
-    long = long.select(*keys, F.col("raw").isNotNull().alias("present"), sentinel.alias("sentinel"), F.col("value").isNotNull().alias("parsed"), F.when(~F.coalesce(sentinel, F.lit(False)), F.col("value")).alias("value"))
-    tops = long.where("value is not null").groupBy(*keys, "value").count().groupBy(*keys).agg(F.max("count").alias("top"), F.count("*").alias("n_unique"))
-    points = F.percentile("value", F.array(*map(F.lit, POINTS.values())))
-    one = long.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.count("value").alias("n_checked"),
-        F.count_if(~F.col("present")).alias("n_null"),
-        F.count_if(F.col("value") == 0).alias("n_zero"),
-        F.count_if(F.col("value") < 0).alias("n_negative"),
-        F.count_if("sentinel").alias("n_sentinel"),
-        F.count_if("present").alias("present"),
-        F.count_if("parsed").alias("parsed"),
-        F.avg("value").alias("mean"),
-        F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        points.alias("points"),
-        sample_skewness("value").alias("skewness"),
-        sample_kurtosis("value").alias("excess_kurtosis"),
+    sentinel = F.coalesce(F.col("raw") == NO_DEBT, F.lit(False))
+    state = F.when(F.col("raw").isNull(), "null").when(sentinel & F.col("value").isNotNull(), "sentinel").when(F.col("value").isNull(), "text").otherwise("number")
+    counts = long.select(*keys, state.alias("state"), F.when(state == "number", F.col("value")).alias("value")).groupBy(*keys, "state", "value").agg(F.count("*").alias("k"))
+    k, x = F.col("k"), F.col("value")
+    held = lambda cond: F.coalesce(F.sum(F.when(cond, k)), F.lit(0))
+    is_ = lambda *states: F.col("state").isin(*states)
+    whole = counts.groupBy(*keys).agg(
+        F.sum("k").alias("n"), held(is_("number")).alias("n_checked"), held(is_("null")).alias("n_null"), held(x == 0).alias("n_zero"), held(x < 0).alias("n_negative"), held(is_("sentinel")).alias("n_sentinel"),
+        held(~is_("null")).alias("present"), held(is_("number", "sentinel")).alias("parsed"), F.max(F.when(is_("number"), k)).alias("top"), F.count("value").alias("n_unique"),
+    ).where((F.col("present") > 0) & (F.col("parsed") >= NUMERIC * F.col("present")))
+    placed = ranks.placed(counts.where(is_("number")).drop("state"), keys, "value", "k")
+    one = ranks.points(placed, keys, "value", POINTS, "k", [(F.sum(x * k) / F.sum("k")).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max")])
+    near = ranks._joined(placed.drop("_n", "_begin"), one.select(*keys, F.col("mean").alias("_mean"), F.col("median").alias("_m"), F.col("q25").alias("_a"), F.col("q75").alias("_b")), keys)
+    far, dev, width = F.abs(x - F.col("_m")), x - F.col("_mean"), F.col("_b") - F.col("_a")
+    out_iqr = (width > 0) & ((x < F.col("_a") - FENCE * width) | (x > F.col("_b") + FENCE * width))
+    two = near.groupBy(*keys).agg(*(F.sum(F.pow(dev, F.lit(p)) * k).alias(f"m{p}") for p in (2, 3, 4)), held(out_iqr).alias("n_outliers_iqr"))
+    spread = ranks.placed(near.groupBy(*keys, far.alias("far")).agg(F.sum("k").alias("k")), keys, "far", "k")
+    mad = ranks.points(spread, keys, "far", {"mad": 0.5}, "k")
+    score = 0.6745 * F.col("far") / F.when(F.col("_mad") > 0, F.col("_mad"))
+    three = ranks._joined(spread.drop("_n", "_begin"), mad.select(*keys, F.col("mad").alias("_mad")), keys).groupBy(*keys).agg(held(score > MODIFIED_Z).alias("n_outliers_mad"))
+    out = whole
+    for part in (one, two, mad, three):
+        out = out.join(part.withColumnsRenamed({c: f"_k_{c}" for c in keys}), [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys], "left").drop(*(f"_k_{c}" for c in keys))
+    n = F.col("n_checked").cast("double")
+    var = F.try_divide(F.col("m2"), n)
+    out = out.withColumns(
+        {
+            "std": F.coalesce(F.sqrt(F.try_divide(F.col("m2"), n - 1)), F.lit(0.0)),
+            "iqr": F.col("q75") - F.col("q25"),
+            "skewness": F.when((n > 2) & (var > 0), F.col("m3") / n / F.pow(var, F.lit(1.5)) * F.sqrt(n * (n - 1)) / F.try_subtract(n, F.lit(2.0))),
+            "excess_kurtosis": F.when((n > 3) & (var > 0), F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * (F.col("m4") / n / (var * var) - 3) + 6)),
+        }
     )
-    one = one.where((F.col("present") > 0) & (F.col("parsed") >= NUMERIC * F.col("present"))).join(tops, keys, "left")
-    one = one.select("*", *(F.col("points")[i].alias(p) for i, p in enumerate(POINTS))).withColumn("iqr", F.col("q75") - F.col("q25"))
-    ends = one.select(*keys, F.col("median").alias("_m"), F.col("q25").alias("_a"), F.col("q75").alias("_b"))
-    near = long.where("value is not null").join(F.broadcast(ends) if not by else ends, keys).withColumn("far", F.abs(F.col("value") - F.col("_m")))
-    width = F.col("_b") - F.col("_a")
-    out_iqr = (width > 0) & ((F.col("value") < F.col("_a") - FENCE * width) | (F.col("value") > F.col("_b") + FENCE * width))
-    two = near.groupBy(*keys).agg(F.median("far").alias("mad"), F.count_if(out_iqr).alias("n_outliers_iqr"))
-    three = near.join(two.select(*keys, F.col("mad").alias("_mad")), keys).groupBy(*keys).agg(F.count_if((F.col("_mad") > 0) & (0.6745 * F.col("far") / F.when(F.col("_mad") > 0, F.col("_mad")) > MODIFIED_Z)).alias("n_outliers_mad"))
-    out = one.join(two, keys, "left").join(three, keys, "left")
     varies = (F.col("n_checked") > 0) & (F.col("n_unique") > 1)
     measured = ["mean", "std", "min", *POINTS, "max", "iqr", "mad", "skewness", "excess_kurtosis", "n_outliers_iqr", "n_outliers_mad"]
     out = out.withColumns({c: F.when(varies, F.col(c)) for c in measured}).withColumn("n_unique", F.coalesce("n_unique", F.lit(0)))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import cut_left_closed, cut_right_closed, divided
-from . import metrics
+from . import metrics, ranks
 from .features import average_rank
 from .profile import numeric_columns, profiled
 
@@ -17,27 +19,61 @@ from .profile import numeric_columns, profiled
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:
     """(col_a, col_b, r) for a < b in the order given: over the rows where both are present; null for constants.
 
-    Pairs are rows of one grouped aggregation, which sums within each task first. Spearman's ranks are taken per pair, or
-    once per column if a first look finds no missing cell in any column, where both give the same.
+    Sums of products of all pairs are products of matrices, which no built-in aggregate has: each task adds up its Arrow batches and
+    sends one row a pair. Spearman's ranks are places among a column's values; they are taken per pair, by windows, only if a first look
+    finds a missing cell.
     """
     names = list(columns or numeric_columns(df))
     if len(names) < 2:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
     rows = df.select(F.array(*(F.col(c).cast("double") for c in names)).alias("v"))
-    whole = method == "spearman" and rows.where(F.exists("v", lambda x: x.isNull())).isEmpty()
-    if whole:
+    if method == "spearman":
+        if not rows.where(F.exists("v", lambda x: x.isNull())).isEmpty():
+            return _named(_ranked_pairs(rows, len(names)), names)
         cells = rows.withColumn("row", F.monotonically_increasing_id()).select("row", F.posexplode("v").alias("i", "x"))
-        ranks = cells.select("row", "i", average_rank("x", ("i",)).alias("x")).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v"))
-        rows = ranks.select(F.col("v.x").alias("v"))
-    left = rows.select("v", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 2))).alias("i"))
-    pairs = left.select("v", "i", F.explode(F.sequence(F.col("i") + 1, F.lit(len(names) - 1))).alias("j"))
-    long = pairs.select("i", "j", F.get("v", F.col("i")).alias("x"), F.get("v", F.col("j")).alias("y"))
-    there = F.col("x").isNotNull() & F.col("y").isNotNull()
-    if method == "spearman" and not whole:
-        by = ("i", "j")
-        long = long.where(there).select(*by, average_rank("x", by).alias("x"), average_rank("y", by).alias("y"))
-    x, y = F.when(there, F.col("x")), F.when(there, F.col("y"))
-    r = long.groupBy("i", "j").agg(F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr("x", "y")).alias("r"))
+        values = ranks.placed(cells.groupBy("i", "x").agg(F.count("*").alias("k")), ["i"], "x", "k")
+        own = cells.join(values.select("i", "x", (F.col("_begin") + (F.col("k") + 1) / 2).alias("rank")), ["i", "x"])
+        rows = own.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("i", "rank"))).alias("v")).select(F.col("v.rank").alias("v"))
+    middle = df.agg(*(F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(names))).select(F.array(*(F.coalesce(f"m{i}", F.lit(0.0)) for i in range(len(names)))).alias("m"))
+    if method == "spearman":
+        middle = rows.agg((F.count("*") / 2).alias("n")).select(F.array_repeat("n", len(names)).alias("m"))
+    centred = rows.crossJoin(F.broadcast(middle)).select(F.zip_with("v", "m", lambda x, m: x - m).alias("v"))
+    return _named(_products(centred, len(names)), names)
+
+
+def _products(rows: DataFrame, width: int) -> DataFrame:
+    """(i, j, r) from sums over rows (v: an array of width numbers, or nulls) of both present cells."""
+    i, j = np.triu_indices(width, 1)
+    names = ["n", "x", "y", "xx", "yy", "xy"]
+
+    def run(batches):
+        total = np.zeros((6, len(i)))
+        for batch in batches:
+            v = np.asarray(batch.column(0).flatten().to_numpy(zero_copy_only=False), float).reshape(-1, width)
+            there = ~np.isnan(v)
+            x, m = np.where(there, v, 0.0), there.astype(float)
+            n, s, q, p = m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x
+            total += [n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], p[i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *map(pa.array, total)], names=["i", "j", *names])
+
+    sums = rows.mapInArrow(run, "i int, j int, " + ", ".join(f"{c} double" for c in names)).groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in names))
+    n, x, y, xx, yy, xy = map(F.col, names)
+    a, b = n * xx - x * x, n * yy - y * y
+    varies = (a > 1e-13 * n * xx) & (b > 1e-13 * n * yy)
+    return sums.select("i", "j", F.when(varies, (n * xy - x * y) / F.sqrt(a) / F.sqrt(b)).alias("r"))
+
+
+def _ranked_pairs(rows: DataFrame, width: int) -> DataFrame:
+    """(i, j, r) of ranks among the rows where both cells are present."""
+    left = rows.select("v", F.explode(F.sequence(F.lit(0), F.lit(width - 2))).alias("i"))
+    pairs = left.select("v", "i", F.explode(F.sequence(F.col("i") + 1, F.lit(width - 1))).alias("j"))
+    long = pairs.select("i", "j", F.get("v", F.col("i")).alias("x"), F.get("v", F.col("j")).alias("y")).where("x is not null and y is not null")
+    by = ("i", "j")
+    ranked = long.select(*by, average_rank("x", by).alias("x"), average_rank("y", by).alias("y"))
+    return ranked.groupBy(*by).agg(F.when((F.stddev_pop("x") > 0) & (F.stddev_pop("y") > 0), F.corr("x", "y")).alias("r"))
+
+
+def _named(r: DataFrame, names: Sequence[str]) -> DataFrame:
     named = F.array(*map(F.lit, names))
     return r.select(F.get(named, F.col("i")).alias("col_a"), F.get(named, F.col("j")).alias("col_b"), "r")
 

@@ -50,17 +50,9 @@ def s06_inline_relation(spark, sf_dir):
     return roles.table(spark, sf_dir, "events").join(F.broadcast(kinds), "event_type").groupBy("name").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {EVENTS} SELECT g.time_bucket, count(block) AS n FROM (SELECT unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-01-02', INTERVAL '2 hours')) AS time_bucket) g
-LEFT JOIN ev USING (time_bucket) GROUP BY 1""")
-def s07_time_grid(spark, sf_dir):
-    ev = roles.events(spark, sf_dir).withColumn("time_bucket", fc.bucket("time"))
-    grid = extract.grid(spark, "2023-12-31", "2024-01-02", "2 hours")
-    return grid.join(ev, "time_bucket", "left").groupBy("time_bucket").agg(F.count("block").alias("n"))
-
-
 @query(f"""WITH {EVENTS} SELECT g.time_bucket, count(block) AS n FROM (SELECT unnest(generate_series(min(time_bucket), max(time_bucket), INTERVAL '2 hours')) AS time_bucket FROM ev) g
 LEFT JOIN ev USING (time_bucket) GROUP BY 1""")
-def s07_time_grid_all(spark, sf_dir):
+def s07_time_grid(spark, sf_dir):
     """The grid from the first to the last bucket of the table."""
     ev = roles.events(spark, sf_dir).withColumn("time_bucket", fc.bucket("time"))
     ends = ev.agg(F.min("time_bucket").alias("lo"), F.max("time_bucket").alias("hi")).where("lo is not null")
@@ -69,23 +61,11 @@ def s07_time_grid_all(spark, sf_dir):
     return grid.join(counts, "time_bucket", "left").select("time_bucket", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query(f"""WITH {EVENTS} SELECT block, kind = 'purchase' AS is_supply, CASE WHEN kind = 'purchase' THEN amount END AS supplied, coalesce(CASE WHEN mode = 1 THEN amount END, 0) AS stable,
-'event' AS tag, CAST(NULL AS BIGINT) AS debt FROM ev WHERE flag AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-06' AND asset IN (SELECT p_partkey FROM part WHERE p_type <> 'ECONOMY')""")
-def p01_projection_filter(spark, sf_dir):
-    return _projected(spark, sf_dir, roles.between(roles.events(spark, sf_dir), "time", "2024-01-05", "2024-01-06"))
-
-
 @query(f"""WITH {EVENTS} SELECT block, kind = 'purchase' AS is_supply, CASE WHEN kind = 'purchase' THEN amount END AS supplied, coalesce(CASE WHEN mode = 1 THEN amount END, 0) AS stable,
 'event' AS tag, CAST(NULL AS BIGINT) AS debt FROM ev WHERE flag AND asset IN (SELECT p_partkey FROM part WHERE p_type <> 'ECONOMY')""")
-def p01_projection_filter_all(spark, sf_dir):
-    return _projected(spark, sf_dir, roles.events(spark, sf_dir))
-
-
-def _projected(spark, sf_dir, events):
-    ev = events.where("flag").join(F.broadcast(roles.tokens(spark, sf_dir)), "asset", "left_semi")
-    return rounded(
-        ev.select("block", (F.col("kind") == "purchase").alias("is_supply"), F.when(F.col("kind") == "purchase", F.col("amount")).alias("supplied"), F.coalesce(F.when(F.col("mode") == 1, F.col("amount")), F.lit(0)).alias("stable"), F.lit("event").alias("tag"), F.lit(None).cast("long").alias("debt"))
-    )
+def p01_projection_filter(spark, sf_dir):
+    ev = roles.events(spark, sf_dir).where("flag").join(roles.tokens(spark, sf_dir), "asset", "left_semi")
+    return ev.select("block", (F.col("kind") == "purchase").alias("is_supply"), F.when(F.col("kind") == "purchase", F.col("amount")).alias("supplied"), F.coalesce(F.when(F.col("mode") == 1, F.col("amount")), F.lit(0)).alias("stable"), F.lit("event").alias("tag"), F.lit(None).cast("long").alias("debt"))
 
 
 @query("""SELECT c_custkey, regexp_matches(c_name, '^Customer#[0-9]{9}$') AS well_formed, TRY_CAST(right(c_name, 3) AS DOUBLE) AS tail, TRY_CAST(c_mktsegment AS DOUBLE) AS no_number,
@@ -191,11 +171,14 @@ def q04_reserve_config(spark, sf_dir):
     return extract.reserve_config(roles.config_changes(spark, sf_dir), roles.tokens(spark, sf_dir), PARAMS, "1996-01-01", "1996-03-31", "1 day")
 
 
-@query(f"""WITH {TOKENS}, leg AS (SELECT l_shipdate AS t, 'c' AS leg, l_partkey % 10 AS asset, CAST(round(l_extendedprice * 100) AS BIGINT) AS amount, l_orderkey AS usr, l_suppkey AS liq, l_returnflag = 'R' AS r FROM lineitem
-UNION ALL SELECT l_shipdate, 'd', l_suppkey % 10, CAST(round(l_extendedprice * l_discount * 100) AS BIGINT), NULL, NULL, l_returnflag = 'R' FROM lineitem),
-a AS (SELECT date_trunc('day', t) AS time_bucket, asset, CAST(coalesce(sum(CASE WHEN leg = 'c' THEN amount END), 0) AS BIGINT) AS collateral_amount_raw, CAST(coalesce(sum(CASE WHEN leg = 'd' THEN amount END), 0) AS BIGINT) AS debt_covered_raw,
-count(CASE WHEN leg = 'c' THEN 1 END) AS collateral_tx_count, count(CASE WHEN leg = 'd' THEN 1 END) AS debt_tx_count, count(CASE WHEN leg = 'c' AND r THEN 1 END) AS receive_token_count, count(DISTINCT usr) AS unique_liquidated_users, count(DISTINCT liq) AS unique_liquidators FROM leg GROUP BY 1, 2)
-SELECT a.*, asset_symbol FROM a LEFT JOIN tok USING (asset)""")
+_LEGS = """a AS (SELECT time_bucket, asset, {sums}, count(CASE WHEN leg = 'c' THEN 1 END) AS collateral_tx_count, count(CASE WHEN leg = 'd' THEN 1 END) AS debt_tx_count, count(*) AS liquidation_tx_count,
+count(CASE WHEN leg = 'c' AND r THEN 1 END) AS receive_token_count, count(DISTINCT usr) AS unique_liquidated_users, count(DISTINCT liq) AS unique_liquidators, max(block) AS latest_liquidation_block FROM leg GROUP BY 1, 2)"""
+_LEG_SUMS = "CAST(coalesce(sum(CASE WHEN leg = 'c' THEN amount END), 0) AS BIGINT) AS collateral_amount_raw, CAST(coalesce(sum(CASE WHEN leg = 'd' THEN amount END), 0) AS BIGINT) AS debt_covered_raw"
+
+
+@query(f"""WITH {TOKENS}, leg AS (SELECT date_trunc('day', l_shipdate) AS time_bucket, 'c' AS leg, l_partkey % 10 AS asset, CAST(round(l_extendedprice * 100) AS BIGINT) AS amount, l_orderkey AS usr, l_suppkey AS liq, l_returnflag = 'R' AS r, l_orderkey AS block FROM lineitem
+UNION ALL SELECT date_trunc('day', l_shipdate), 'd', l_suppkey % 10, CAST(round(l_extendedprice * l_discount * 100) AS BIGINT), l_orderkey, l_suppkey, l_returnflag = 'R', l_orderkey FROM lineitem),
+{_LEGS.format(sums=_LEG_SUMS)} SELECT a.*, asset_symbol FROM a LEFT JOIN tok USING (asset)""")
 def q05_liquidation(spark, sf_dir):
     return rounded(extract.liquidation(roles.legs(spark, sf_dir), roles.tokens(spark, sf_dir), "1 day", exact=True))
 
@@ -205,7 +188,7 @@ count(CASE WHEN mode = 0 THEN 1 END) AS mode0_count, count(CASE WHEN mode = 1 TH
 
 
 def _loans(spark, sf_dir):
-    return roles.events(spark, sf_dir, "withdraw").withColumn("premium", F.floor(F.col("amount") / 1000).cast("decimal(38,0)"))
+    return roles.events(spark, sf_dir, "withdraw").withColumn("premium", F.expr("amount div 1000"))
 
 
 @query(f"WITH {EVENTS}, {TOKENS}, {_FLASH} SELECT a.* EXCLUDE (amount, premium), amount AS flashloan_amount_raw, premium AS flashloan_premium_raw, asset_symbol FROM a LEFT JOIN tok USING (asset)")
@@ -247,6 +230,71 @@ def q10_two_denominations(spark, sf_dir):
     return rounded(extract.two_denominations(roles.prices(spark, sf_dir), universe, "Brand#1", "1 day", dims), 9)
 
 
+#: Amounts of roles.wide_events are cents * 10^36 + block; sums of both parts are put together as digits here.
+_BASE = "CAST('1000000000000000000000000000000000000' AS HUGEINT)"
+
+
+def _wide_sum(high: str, low: str) -> str:
+    """SQL of the digits of high * 10^36 + low, for 0 <= low < 10^36; null if both are."""
+    return f"ltrim(CAST({high} AS VARCHAR) || lpad(CAST({low} AS VARCHAR), 36, '0'), '0')"
+
+
+def _wide_net(high: str, low: str) -> str:
+    """The same for parts of any sign with |low| < 10^36."""
+    up = f"(CASE WHEN {low} < 0 THEN {_wide_sum(f'({high} - 1)', f'({low} + {_BASE})')} ELSE {_wide_sum(high, low)} END)"
+    down = f"(CASE WHEN {low} > 0 THEN {_wide_sum(f'(-({high}) - 1)', f'({_BASE} - {low})')} ELSE {_wide_sum(f'(-({high}))', f'(-({low}))')} END)"
+    return f"CASE WHEN {high} > 0 OR {high} = 0 AND {low} > 0 THEN {up} WHEN {high} = 0 AND {low} = 0 THEN '0' ELSE '-' || {down} END"
+
+
+def _wide_two(kinds: tuple[str, str], names: tuple[str, str, str]) -> str:
+    """SQL of the amounts of two kinds of wide events and of their difference, by bucket and asset."""
+    a, b = (f"kind = '{k}'" for k in kinds)
+    parts = ", ".join(f"sum(CASE WHEN {cond} THEN {x} END)::HUGEINT AS {x[0]}{i}" for i, cond in enumerate((a, b)) for x in ("amount", "block"))
+    return f"""WITH {EVENTS}, t AS (SELECT time_bucket, asset, {parts} FROM ev WHERE {a} OR {b} GROUP BY 1, 2), d AS (SELECT *, coalesce(a0, 0) - coalesce(a1, 0) AS hi, coalesce(b0, 0) - coalesce(b1, 0) AS lo FROM t)
+SELECT time_bucket, asset, {_wide_sum('a0', 'b0')} AS {names[0]}, {_wide_sum('a1', 'b1')} AS {names[1]}, {_wide_net('hi', 'lo')} AS {names[2]} FROM d"""
+
+
+@query(_wide_two(("purchase", "click"), ("supply_amount_raw", "withdrawal_amount_raw", "net_supply_flow_raw")))
+def q01_supply_withdraw_wide(spark, sf_dir):
+    """256-bit amounts in digit strings: totals of more than 38 digits, exact and signed."""
+    out = extract.supply_withdraw(roles.wide_events(spark, sf_dir, "supply"), roles.wide_events(spark, sf_dir, "withdraw"), roles.tokens(spark, sf_dir))
+    return out.select("time_bucket", "asset", "supply_amount_raw", "withdrawal_amount_raw", "net_supply_flow_raw")
+
+
+@query(_wide_two(("signup", "view"), ("borrow_amount_raw", "repay_amount_raw", "net_debt_flow_raw")))
+def q02_borrow_repay_wide(spark, sf_dir):
+    """The same for debt, summed by user first."""
+    out = extract.borrow_repay(roles.wide_events(spark, sf_dir, "borrow"), roles.wide_events(spark, sf_dir, "repay"), roles.tokens(spark, sf_dir), exact=True)
+    return out.select("time_bucket", "asset", "borrow_amount_raw", "repay_amount_raw", "net_debt_flow_raw")
+
+
+@query(f"""WITH {EVENTS}, leg AS (SELECT time_bucket, asset, 'c' AS leg, amount, block FROM ev WHERE kind = 'error' UNION ALL SELECT time_bucket, (asset + mode) % 10, 'd', amount, block FROM ev WHERE kind = 'error'),
+t AS (SELECT time_bucket, asset, sum(CASE WHEN leg = 'c' THEN amount END)::HUGEINT AS a0, sum(CASE WHEN leg = 'c' THEN block END)::HUGEINT AS b0, sum(CASE WHEN leg = 'd' THEN amount END)::HUGEINT AS a1, sum(CASE WHEN leg = 'd' THEN block END)::HUGEINT AS b1 FROM leg GROUP BY 1, 2)
+SELECT time_bucket, asset, coalesce({_wide_sum('a0', 'b0')}, '0') AS collateral_amount_raw, coalesce({_wide_sum('a1', 'b1')}, '0') AS debt_covered_raw FROM t""")
+def q05_liquidation_wide(spark, sf_dir):
+    wide = roles.wide_events(spark, sf_dir, "liquidation").select("block", F.col("amount").alias("collateral_amount"), F.col("amount").alias("debt_amount"))
+    rows = roles.event_legs(spark, sf_dir).drop("collateral_amount", "debt_amount").join(wide, "block")
+    return extract.liquidation(rows, roles.tokens(spark, sf_dir)).select("time_bucket", "asset", "collateral_amount_raw", "debt_covered_raw")
+
+
+@query(f"""WITH {EVENTS}, t AS (SELECT time_bucket, asset, sum(amount)::HUGEINT AS a0, sum(block)::HUGEINT AS b0, count(*) AS n FROM ev WHERE kind = 'click' GROUP BY 1, 2)
+SELECT time_bucket, asset, {_wide_sum('a0', 'b0')} AS flashloan_amount_raw, {_wide_sum('2 * a0', '2 * b0')} AS flashloan_premium_raw, n AS flashloan_tx_count FROM t""")
+def q06_flashloan_wide(spark, sf_dir):
+    loans = roles.wide_events(spark, sf_dir, "withdraw").withColumn("premium", F.col("amount"))
+    loans = loans.withColumn("premium", bigint.parsed(F.concat(F.lit("0"), F.col("premium"))))
+    both = extract.flashloan(loans, roles.tokens(spark, sf_dir), exact=True)
+    twice = extract.flashloan(loans.union(loans), roles.tokens(spark, sf_dir), exact=True).select("time_bucket", "asset", "flashloan_premium_raw")
+    return both.drop("flashloan_premium_raw").join(twice, ["time_bucket", "asset"]).select("time_bucket", "asset", "flashloan_amount_raw", "flashloan_premium_raw", "flashloan_tx_count")
+
+
+@query("""WITH c AS (SELECT date_trunc('day', o_orderdate) AS time_bucket, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderkey AS block FROM orders WHERE o_orderstatus <> 'P'), m AS (SELECT time_bucket, min((cents, block)) AS lo, max((cents, block)) AS hi, count(*) AS call_count FROM c GROUP BY 1)
+SELECT time_bucket, CAST(lo[1] AS VARCHAR) || lpad(CAST(lo[2] AS VARCHAR), 36, '0') AS min_health_factor, CAST(hi[1] AS VARCHAR) || lpad(CAST(hi[2] AS VARCHAR), 36, '0') AS max_health_factor, call_count FROM m""")
+def q08_user_account_wide(spark, sf_dir):
+    """Health factors in digit strings of different lengths, ordered as numbers."""
+    calls = roles.successful(roles.calls(spark, sf_dir)).withColumn("output", F.concat(F.col("output").cast("string"), F.lpad(F.col("block").cast("string"), 36, "0")))
+    return extract.user_account(calls, [], "output", "1 day", exact=True).select("time_bucket", "min_health_factor", "max_health_factor", "call_count")
+
+
 #: (metric, decimals, unit) that are the same for all assets, by panel: fixed values.
 COUNT, BLOCK = (0, "count"), (0, "block_number")
 FIXED = {
@@ -269,13 +317,12 @@ SEEN = {
 
 
 def _dictionary(key: str):
-    kinds, metrics = SEEN.get(key, ((), ()))
+    kinds, metrics = SEEN[key]
     values = ", ".join(f"('{m}', {d}, '{u}')" for m, d, u in FIXED[key])
     sql = f"SELECT CAST(NULL AS BIGINT) AS asset, CAST(NULL AS VARCHAR) AS asset_symbol, m AS metric, d AS decimals, u AS unit FROM (VALUES {values}) AS f(m, d, u)"
-    if kinds:
-        names = ", ".join(f"('{m}')" for m in metrics)
-        where = ", ".join(f"'{roles.KINDS[k]}'" for k in kinds)
-        sql = f"WITH {EVENTS}, {TOKENS} {sql} UNION ALL SELECT asset, asset_symbol, m, decimals, 'raw_token_amount' FROM (SELECT DISTINCT asset FROM ev WHERE kind IN ({where})) CROSS JOIN (VALUES {names}) AS n(m) LEFT JOIN tok USING (asset)"
+    names = ", ".join(f"('{m}')" for m in metrics)
+    where = ", ".join(f"'{roles.KINDS[k]}'" for k in kinds)
+    sql = f"WITH {EVENTS}, {TOKENS} {sql} UNION ALL SELECT asset, asset_symbol, m, decimals, 'raw_token_amount' FROM (SELECT DISTINCT asset FROM ev WHERE kind IN ({where})) CROSS JOIN (VALUES {names}) AS n(m) LEFT JOIN tok USING (asset)"
 
     def run(spark, sf_dir):
         seen = [roles.events(spark, sf_dir, k) for k in kinds]
@@ -285,5 +332,30 @@ def _dictionary(key: str):
     query(sql)(run)
 
 
-for _key in FIXED:
+for _key in SEEN:
     _dictionary(_key)
+
+
+def _covered(key: str, panel, sql: str, renamed: dict[str, str]):
+    """A dictionary of fixed metrics next to how many values its panel has of each; sql: the number of the panel's rows."""
+    values = ", ".join(f"('{m}', {d}, '{u}', {str(m in renamed.values()).lower()})" for m, d, u in FIXED[key])
+    text = f"WITH {sql} SELECT CAST(NULL AS BIGINT) AS asset, CAST(NULL AS VARCHAR) AS asset_symbol, m AS metric, d AS decimals, u AS unit, CASE WHEN there THEN n END AS n_values FROM (VALUES {values}) AS f(m, d, u, there), (SELECT count(*) AS n FROM x)"
+
+    def run(spark, sf_dir):
+        own = panel(spark, sf_dir)
+        own = own.select(*(F.col(a).alias(b) for a, b in renamed.items()))
+        return extract.covered(extract.metric_dictionary(spark, FIXED[key]), own)
+
+    run.__name__ = f"{key}_metric_dictionary"
+    query(text)(run)
+
+
+_covered("d03", lambda spark, sf_dir: extract.reserve_state(roles.states(spark, sf_dir), FIELDS, "1 day", 100.0), "x AS (SELECT DISTINCT l_partkey % 10, date_trunc('day', l_shipdate) FROM lineitem)", {f: f for f in (*FIELDS, "update_count")})
+_covered(
+    "d06", lambda spark, sf_dir: extract.user_account(roles.successful(roles.calls(spark, sf_dir)), ["output"], "output", "1 day"), "x AS (SELECT DISTINCT date_trunc('day', o_orderdate) FROM orders WHERE o_orderstatus <> 'P')",
+    {"avg_output": "avg_total_collateral_base", "min_health_factor": "min_health_factor", "max_health_factor": "max_health_factor", "sampled_users": "sampled_users", "call_count": "call_count"},
+)
+_covered(
+    "d07", lambda spark, sf_dir: extract.collateral_toggle(roles.events(spark, sf_dir, "repay"), roles.events(spark, sf_dir, "borrow"), roles.tokens(spark, sf_dir)), f"{EVENTS}, x AS (SELECT DISTINCT time_bucket, asset FROM ev WHERE kind IN ('view', 'signup'))",
+    {n: n for n in ("enabled_count", "disabled_count", "unique_enable_users", "unique_disable_users", "latest_block")},
+)

@@ -31,24 +31,49 @@ def _valued(kinds: dict[str, str], counts: str) -> str:
 SELECT time_bucket, {out}, {", ".join(f"CAST(sum({n}) AS BIGINT) AS {n}" for n in names)} FROM a LEFT JOIN tok USING (asset) LEFT JOIN pe USING (time_bucket, asset) GROUP BY 1"""
 
 
-@query(_valued({"supply_amount": "kind = 'purchase'", "withdrawal_amount": "kind = 'click'"}, "count(CASE WHEN kind = 'purchase' THEN 1 END) AS supply_tx_count; count(CASE WHEN kind = 'click' THEN 1 END) AS withdrawal_tx_count; count(DISTINCT CASE WHEN kind = 'purchase' THEN usr END) AS unique_suppliers"))
+def _users(**kinds: str) -> str:
+    return "; ".join(f"count(DISTINCT CASE WHEN {cond} THEN usr END) AS {n}" for n, cond in kinds.items())
+
+
+def _numbers(**kinds: str) -> str:
+    return "; ".join(f"count(CASE WHEN {cond} THEN 1 END) AS {n}" for n, cond in kinds.items())
+
+
+_SUPPLY, _WITHDRAW, _BORROW, _REPAY = ("kind = 'purchase'", "kind = 'click'", "kind = 'signup'", "kind = 'view'")
+X01 = _valued({"supply_amount": _SUPPLY, "withdrawal_amount": _WITHDRAW}, _numbers(supply_tx_count=_SUPPLY, withdrawal_tx_count=_WITHDRAW) + "; " + _users(unique_suppliers=_SUPPLY, unique_withdraw_users=_WITHDRAW))
+X02 = _valued({"borrow_amount": _BORROW, "repay_amount": _REPAY}, _numbers(borrow_tx_count=_BORROW, repay_tx_count=_REPAY, variable_borrow_count=_BORROW + " AND mode = 2") + "; " + _users(unique_borrowers=_BORROW, unique_repayers=_REPAY))
+
+
+@query(X01)
 def x01_supply_withdraw_flows(spark, sf_dir):
     panel = extract.supply_withdraw(roles.events(spark, sf_dir, "supply"), roles.events(spark, sf_dir, "withdraw"), roles.tokens(spark, sf_dir), exact=True)
-    return rounded(panels.flows(panel, roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["supply_amount_raw", "withdrawal_amount_raw"], ["supply_tx_count", "withdrawal_tx_count", "unique_suppliers"]), 5)
+    return rounded(panels.flows(panel, roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["supply_amount_raw", "withdrawal_amount_raw"], ["supply_tx_count", "withdrawal_tx_count", "unique_suppliers", "unique_withdraw_users"]), 5)
+
 
+def _borrow_panel(spark, sf_dir):
+    return extract.borrow_repay(roles.events(spark, sf_dir, "borrow"), roles.events(spark, sf_dir, "repay"), roles.tokens(spark, sf_dir), exact=True)
 
-@query(_valued({"borrow_amount": "kind = 'signup'", "repay_amount": "kind = 'view'"}, "count(CASE WHEN kind = 'signup' THEN 1 END) AS borrow_tx_count; count(CASE WHEN kind = 'view' THEN 1 END) AS repay_tx_count; count(DISTINCT CASE WHEN kind = 'signup' THEN usr END) AS unique_borrowers"))
+
+@query(X02)
 def x02_borrow_repay_flows(spark, sf_dir):
-    panel = extract.borrow_repay(roles.events(spark, sf_dir, "borrow"), roles.events(spark, sf_dir, "repay"), roles.tokens(spark, sf_dir), exact=True)
-    return rounded(panels.flows(panel, roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["borrow_amount_raw", "repay_amount_raw"], ["borrow_tx_count", "repay_tx_count", "unique_borrowers"]), 5)
+    counts = ["borrow_tx_count", "repay_tx_count", "variable_borrow_count", "unique_borrowers", "unique_repayers"]
+    return rounded(panels.flows(_borrow_panel(spark, sf_dir), roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["borrow_amount_raw", "repay_amount_raw"], counts), 5)
+
 
+#: Borrow rates (b) beside reserve rates (u), by bucket and asset.
+RATES = f"""b AS (SELECT time_bucket, asset, asset_symbol, round(rate / 100.0::DOUBLE, 6) AS last_borrow_rate FROM (SELECT time_bucket, asset, arg_max(rate, CASE WHEN {_BORROW} THEN block END) AS rate FROM ev WHERE {_BORROW} OR {_REPAY} GROUP BY 1, 2) LEFT JOIN tok USING (asset)),
+u AS (SELECT time_bucket, asset, round(arg_max(rate, block) / 100.0::DOUBLE, 6) AS liquidity_rate, round(arg_max(rate + mode, block) / 100.0::DOUBLE, 6) AS variable_borrow_rate, round(max(block) / 100.0::DOUBLE, 6) AS liquidity_index, round(max(block) * 2 / 100.0::DOUBLE, 6) AS variable_borrow_index, count(*) AS update_count FROM ev WHERE {_REPAY} GROUP BY 1, 2)"""
+_RATE_FIELDS = ("liquidity_rate", "variable_borrow_rate", "stable_borrow_rate", "liquidity_index", "variable_borrow_index")
 
-@query(f"""WITH {RESERVE}, b AS (SELECT time_bucket(INTERVAL '1 day', ts) AS time_bucket, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) % 10 AS asset, max(event_id) AS last_event FROM events GROUP BY 1, 2)
-SELECT r.time_bucket, r.asset, round(liquidity_rate, 6) AS liquidity_rate, update_count, last_event, strftime(r.time_bucket, '%Y-%m-%d %H:%M:%S.000 UTC') AS stamp FROM r LEFT JOIN b ON r.asset = b.asset AND r.time_bucket - INTERVAL '8 years' = b.time_bucket - INTERVAL '8 years'""")
+
+def _reserve_panel(spark, sf_dir, config=None):
+    borrow = _borrow_panel(spark, sf_dir).withColumn("last_borrow_rate", F.col("last_borrow_rate") / 100.0)
+    return panels.reserve_panel(borrow, extract.reserve_state(roles.rate_updates(spark, sf_dir), _RATE_FIELDS, "2 hours", 100.0), config)
+
+
+@query(f"WITH {EVENTS}, {TOKENS}, {RATES} SELECT b.*, u.* EXCLUDE (time_bucket, asset), strftime(b.time_bucket, '%Y-%m-%d %H:%M:%S.000 UTC') AS stamp FROM b LEFT JOIN u ON b.time_bucket = u.time_bucket AND b.asset = u.asset")
 def x03_reserve_panel(spark, sf_dir):
-    last = roles.events(spark, sf_dir).groupBy(fc.bucket("time", "1 day").alias("time_bucket"), "asset").agg(F.max("block").alias("last_event"))
-    out = panels.assembled(roles.reserve(spark, sf_dir), last, keys=("time_bucket", "asset"))
-    return rounded(out.select("time_bucket", "asset", "liquidity_rate", "update_count", "last_event", fc.canonical_time("time_bucket").alias("stamp")))
+    return rounded(_reserve_panel(spark, sf_dir).withColumn("stamp", fc.canonical_time("time_bucket")))
 
 
 @query("""SELECT date_trunc('day', o_orderdate) AS time_bucket, round(coalesce(sum(CAST(round(o_totalprice * 100) AS BIGINT)), 0) / 100.0::DOUBLE, 2) AS ceiling, count(*) AS changes FROM orders GROUP BY 1""")
@@ -58,32 +83,100 @@ def x04_config_sums(spark, sf_dir):
     return rounded(panels.scale_by_decimals(out, {"value": 2}).withColumnRenamed("value_scaled", "ceiling"), 2)
 
 
-@query(_valued({"collateral_amount": "kind = 'error'"}, "count(*) AS liquidation_tx_count; count(DISTINCT usr) AS unique_liquidated_users"))
+#: Caps by bucket and asset (g), valued in both denominations; the ceiling has two decimals.
+CAPS = f"""l AS (SELECT time_bucket AS f, asset, mode, arg_max(amount, block) AS v FROM ev WHERE kind = 'error' GROUP BY 1, 2, 3), iv AS (SELECT *, lead(f) OVER (PARTITION BY asset, mode ORDER BY f) AS e FROM l),
+t AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL '2 hours')) AS time_bucket),
+st AS (SELECT time_bucket, asset, coalesce(max(CASE WHEN mode = 0 THEN v END), 0) AS supply_cap, coalesce(max(CASE WHEN mode = 1 THEN v END), 0) AS borrow_cap, coalesce(max(CASE WHEN mode = 2 THEN v END), 0) / 100.0::DOUBLE AS debt_ceiling FROM t JOIN iv ON time_bucket >= f AND (e IS NULL OR time_bucket < e) GROUP BY 1, 2),
+g AS (SELECT st.time_bucket, st.asset, {", ".join(f"{c} * avg_price_{d} AS {c}_value_{d}" for c in roles.PARAMETERS for d in ("usd", "eth"))} FROM st LEFT JOIN pe ON st.time_bucket = pe.time_bucket AND st.asset = pe.asset)"""
+_CAP_VALUES = [f"{c}_value_{d}" for c in roles.PARAMETERS for d in ("usd", "eth")]
+
+
+def _valued_caps(spark, sf_dir):
+    state = extract.reserve_config(roles.cap_changes(spark, sf_dir), roles.tokens(spark, sf_dir), roles.PARAMETERS, "2024-01-01", "2024-01-31")
+    state = state.withColumn("debt_ceiling", F.col("debt_ceiling") / 100.0)
+    return panels.multiply_by_price(state, _prices(spark, sf_dir), roles.PARAMETERS).select("time_bucket", "asset", *_CAP_VALUES)
+
+
+@query(f"WITH {EVENTS}, {EV_PRICES}, {CAPS} SELECT time_bucket, {', '.join(f'floor(coalesce(sum({c}), 0) * 1e4 + 0.123) / 1e4 AS {c}' for c in _CAP_VALUES)} FROM g GROUP BY 1")
+def x04_config_values(spark, sf_dir):
+    """Sums are cut to four digits at a place where no short decimal stands, as their last bits depend on the order of rows."""
+    out = panels.aggregate_by_time_bucket(_valued_caps(spark, sf_dir), _CAP_VALUES)
+    return out.select("time_bucket", *((F.floor(F.col(c) * 1e4 + 0.123) / 1e4).alias(c) for c in _CAP_VALUES))
+
+
+@query(f"WITH {EVENTS}, {TOKENS}, {EV_PRICES}, {RATES}, {CAPS} SELECT b.time_bucket, b.asset, b.asset_symbol, last_borrow_rate, liquidity_rate, liquidity_index, {', '.join(f'floor({c} * 1e4 + 0.5) / 1e4 AS {c}' for c in _CAP_VALUES)} FROM b LEFT JOIN u ON b.time_bucket = u.time_bucket AND b.asset = u.asset LEFT JOIN g ON b.time_bucket = g.time_bucket AND b.asset = g.asset")
+def x04_config_on_panel(spark, sf_dir):
+    out = _reserve_panel(spark, sf_dir, _valued_caps(spark, sf_dir))
+    return out.select("time_bucket", "asset", "asset_symbol", *(F.round(c, 6).alias(c) for c in ("last_borrow_rate", "liquidity_rate", "liquidity_index")), *((F.floor(F.col(c) * 1e4 + 0.5) / 1e4).alias(c) for c in _CAP_VALUES))
+
+
+_EVENT_LEGS = """leg AS (SELECT time_bucket, 'c' AS leg, asset, amount, usr, usr % 7 AS liq, block FROM ev WHERE kind = 'error' UNION ALL SELECT time_bucket, 'd', (asset + mode) % 10, amount // 2, usr, usr % 7, block FROM ev WHERE kind = 'error'),
+la AS (SELECT time_bucket, asset, coalesce(sum(CASE WHEN leg = 'c' THEN amount END), 0) AS collateral_amount, coalesce(sum(CASE WHEN leg = 'd' THEN amount END), 0) AS debt_covered, count(CASE WHEN leg = 'c' THEN 1 END) AS collateral_tx_count, count(CASE WHEN leg = 'd' THEN 1 END) AS debt_tx_count, count(*) AS liquidation_tx_count, count(DISTINCT usr) AS unique_liquidated_users, count(DISTINCT liq) AS unique_liquidators FROM leg GROUP BY 1, 2)"""
+_LEG_COUNTS = ["collateral_tx_count", "debt_tx_count", "liquidation_tx_count", "unique_liquidated_users", "unique_liquidators"]
+X05 = f"""WITH {EVENTS}, {TOKENS}, {EV_PRICES}, {_EVENT_LEGS} SELECT time_bucket, {", ".join(f"round(coalesce(sum({n}::DOUBLE / pow(10.0, decimals) * avg_price_{d}), 0), 5) AS {n}_value_{d}" for n in ("collateral_amount", "debt_covered") for d in ("usd", "eth"))},
+{", ".join(f"CAST(sum({n}) AS BIGINT) AS {n}" for n in _LEG_COUNTS)} FROM la LEFT JOIN tok USING (asset) LEFT JOIN pe USING (time_bucket, asset) GROUP BY 1"""
+
+
+@query(X05)
 def x05_liquidation_flows(spark, sf_dir):
-    ev = roles.events(spark, sf_dir, "liquidation").select("time", F.col("asset").alias("collateral_asset"), F.lit(-1).alias("debt_asset"), F.col("amount").alias("collateral_amount"), F.col("amount").alias("debt_amount"), "user", F.col("user").alias("liquidator"), F.col("flag").alias("receive_token"))
-    own = extract.liquidation(ev, roles.tokens(spark, sf_dir), exact=True).where("asset >= 0").withColumnRenamed("collateral_tx_count", "liquidation_tx_count")
-    return rounded(panels.flows(own, roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["collateral_amount_raw"], ["liquidation_tx_count", "unique_liquidated_users"]), 5)
+    """Both legs of each liquidation, valued."""
+    own = extract.liquidation(roles.event_legs(spark, sf_dir), roles.tokens(spark, sf_dir), exact=True)
+    return rounded(panels.flows(own, roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["collateral_amount_raw", "debt_covered_raw"], _LEG_COUNTS), 5)
+
 
+_TOGGLES = ["enabled_count", "disabled_count", "unique_enable_users", "unique_disable_users"]
+_TOGGLED = f"""ct AS (SELECT time_bucket, asset, count(CASE WHEN {_REPAY} THEN 1 END) AS enabled_count, count(CASE WHEN {_BORROW} THEN 1 END) AS disabled_count, count(DISTINCT CASE WHEN {_REPAY} THEN usr END) AS unique_enable_users, count(DISTINCT CASE WHEN {_BORROW} THEN usr END) AS unique_disable_users FROM ev WHERE {_REPAY} OR {_BORROW} GROUP BY 1, 2)"""
+X06 = f"WITH {EVENTS}, {_TOGGLED} SELECT time_bucket, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in _TOGGLES)} FROM ct GROUP BY 1"
 
-@query(f"""WITH {EVENTS}, a AS (SELECT time_bucket(INTERVAL '6 hours', ts) AS time_bucket, count(CASE WHEN kind = 'view' THEN 1 END) AS e, count(CASE WHEN kind = 'signup' THEN 1 END) AS d FROM ev WHERE kind IN ('view', 'signup') GROUP BY 1),
-g AS (SELECT unnest(generate_series(min(time_bucket), max(time_bucket), INTERVAL '6 hours')) AS time_bucket FROM a) SELECT time_bucket, coalesce(e, 0) AS enabled_count, coalesce(d, 0) AS disabled_count FROM g LEFT JOIN a USING (time_bucket)""")
+
+def _toggles(spark, sf_dir):
+    return extract.collateral_toggle(roles.events(spark, sf_dir, "repay"), roles.events(spark, sf_dir, "borrow"), roles.tokens(spark, sf_dir), exact=True)
+
+
+@query(f"""WITH {EVENTS}, {_TOGGLED}, a AS (SELECT time_bucket(INTERVAL '6 hours', time_bucket) AS time_bucket, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in _TOGGLES)} FROM ct GROUP BY 1),
+g AS (SELECT unnest(generate_series(min(time_bucket), max(time_bucket), INTERVAL '6 hours')) AS time_bucket FROM a) SELECT time_bucket, {', '.join(f'coalesce({c}, 0) AS {c}' for c in _TOGGLES)} FROM g LEFT JOIN a USING (time_bucket)""")
 def x06_collateral_sums(spark, sf_dir):
-    panel = extract.collateral_toggle(roles.events(spark, sf_dir, "repay"), roles.events(spark, sf_dir, "borrow"), roles.tokens(spark, sf_dir))
-    return panels.aggregate_by_time_bucket(panel, ["enabled_count", "disabled_count"], freq="6 hours")
+    return panels.aggregate_by_time_bucket(_toggles(spark, sf_dir), _TOGGLES, freq="6 hours")
+
 
+_LOAN_COUNTS = ["flashloan_tx_count", "unique_initiators", "mode0_count", "mode1_count"]
+_LOANS = """fl AS (SELECT time_bucket, asset, sum(amount) AS flashloan_amount, sum(amount // 1000) AS flashloan_premium, count(*) AS flashloan_tx_count, count(DISTINCT usr) AS unique_initiators, count(CASE WHEN mode = 0 THEN 1 END) AS mode0_count, count(CASE WHEN mode = 1 THEN 1 END) AS mode1_count FROM ev WHERE kind = 'click' GROUP BY 1, 2)"""
+X07 = f"""WITH {EVENTS}, {TOKENS}, {EV_PRICES}, {_LOANS} SELECT time_bucket, {", ".join(f"round(coalesce(sum({n}::DOUBLE / pow(10.0, decimals) * avg_price_{d}), 0), 5) AS {n}_value_{d}" for n in ("flashloan_amount", "flashloan_premium") for d in ("usd", "eth"))},
+{", ".join(f"CAST(sum({n}) AS BIGINT) AS {n}" for n in _LOAN_COUNTS)} FROM fl LEFT JOIN tok USING (asset) LEFT JOIN pe USING (time_bucket, asset) GROUP BY 1"""
 
-@query(_valued({"flashloan_amount": "kind = 'click'"}, "count(*) AS flashloan_tx_count; count(CASE WHEN mode = 1 THEN 1 END) AS mode1_count"))
+
+@query(X07)
 def x07_flashloan_flows(spark, sf_dir):
-    loans = roles.events(spark, sf_dir, "withdraw").withColumn("premium", F.lit(0))
+    """Values of amounts and premiums, joined to the sums of counts."""
+    loans = roles.events(spark, sf_dir, "withdraw").withColumn("premium", F.expr("amount div 1000"))
     panel = extract.flashloan(loans, roles.tokens(spark, sf_dir), exact=True)
-    return rounded(panels.flows(panel, roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["flashloan_amount_raw"], ["flashloan_tx_count", "mode1_count"]), 5)
+    values = panels.flows(panel, roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["flashloan_amount_raw", "flashloan_premium_raw"], [])
+    return rounded(panels.assembled(values, panels.aggregate_by_time_bucket(panel, _LOAN_COUNTS)), 5)
+
+
+#: Decimals of the account means, as the metric dictionary has them.
+_ACCOUNT = {"avg_total_collateral_base": 8, "avg_total_debt_base": 8, "avg_available_borrows_base": 8, "avg_ltv": 4, "avg_current_liquidation_threshold": 4}
+X08 = f"WITH {PROTOCOL} SELECT time_bucket, {', '.join(f'round({c} / 1e{d}, 10) AS {c}_scaled' for c, d in _ACCOUNT.items())}, sampled_user_count FROM p"
 
 
-@query(f"WITH {PROTOCOL} SELECT time_bucket, round(avg_total_debt_base / 1e8, 12) AS avg_total_debt_base_scaled, round(avg_ltv / 1e4, 9) AS avg_ltv_scaled FROM p")
+@query(X08)
 def x08_column_decimals(spark, sf_dir):
-    own = roles.protocol(spark, sf_dir).select("time_bucket", "avg_total_debt_base", "avg_ltv")
-    out = panels.scale_by_decimals(own, {"avg_total_debt_base": 8, "avg_ltv": 4})
-    return out.select("time_bucket", F.round("avg_total_debt_base_scaled", 12).alias("avg_total_debt_base_scaled"), F.round("avg_ltv_scaled", 9).alias("avg_ltv_scaled"))
+    """Each column over the decimals that the dictionary gives its metric."""
+    book = extract.metric_dictionary(spark, [(c, d, "base") for c, d in _ACCOUNT.items()])
+    decimals = {r.metric: r.decimals for r in book.select("metric", "decimals").collect()}  # a row a metric
+    own = roles.protocol(spark, sf_dir).select("time_bucket", *_ACCOUNT, "sampled_user_count")
+    return rounded(panels.scale_by_decimals(own, decimals), 10)
+
+
+_ALL_SQL = [X01, X02, X05, X06, X07, X08]
+
+
+@query("SELECT * FROM " + " LEFT JOIN ".join(f"({q}) AS x{i}" + (" USING (time_bucket)" if i else "") for i, q in enumerate(_ALL_SQL)))
+def x09_protocol_panel(spark, sf_dir):
+    """All protocol series side by side, from supply and withdrawals on: 36 numbers a bucket."""
+    toggles = panels.aggregate_by_time_bucket(_toggles(spark, sf_dir), _TOGGLES)
+    own = [f(spark, sf_dir) for f in (x01_supply_withdraw_flows, x02_borrow_repay_flows, x05_liquidation_flows)]
+    return panels.assembled(*own, toggles, x07_flashloan_flows(spark, sf_dir), x08_column_decimals(spark, sf_dir))
 
 
 @query(f"""WITH {EVENTS}, a AS (SELECT time_bucket, count(*) AS n, max(amount) AS top FROM ev WHERE kind = 'purchase' GROUP BY 1), b AS (SELECT time_bucket, count(*) AS n, max(amount) AS high FROM ev WHERE kind = 'error' GROUP BY 1), c AS (SELECT time_bucket, min(amount) AS low FROM ev WHERE kind = 'view' GROUP BY 1)
@@ -95,6 +188,16 @@ def x09_assembled_panel(spark, sf_dir):
     return rounded(panels.assembled(base, part("liquidation", n=F.count("*"), high=F.max("amount")), part("repay", low=F.min("amount"))))
 
 
+@query(f"WITH {PROTOCOL}, f AS (SELECT *, supply_amount_value_usd / nullif(supply_tx_count, 0) AS avg_supply_size_usd, withdrawal_amount_value_usd / nullif(withdrawal_tx_count, 0) AS avg_withdrawal_size_usd, supply_amount_value_usd / nullif(withdrawal_amount_value_usd, 0) AS supply_withdrawal_ratio, supply_amount_value_usd - withdrawal_amount_value_usd AS net_liquidity_flow_usd, supply_amount_value_eth - withdrawal_amount_value_eth AS net_liquidity_flow_eth FROM p), l AS (SELECT *, (net_liquidity_flow_usd - lag(net_liquidity_flow_usd) OVER w) / nullif(abs(lag(net_liquidity_flow_usd) OVER w), 0) AS liquidity_growth_rate FROM f WINDOW w AS (ORDER BY time_bucket)) "
+    + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS n_values FROM l" for c in ("net_liquidity_flow_usd", "net_liquidity_flow_eth", "supply_withdrawal_ratio", "liquidity_growth_rate", "avg_supply_size_usd", "avg_withdrawal_size_usd")))
+def p14_new_columns(spark, sf_dir):
+    """The columns that a step added, and how many values each has."""
+    before = roles.protocol(spark, sf_dir)
+    after = features.liquidity(before)
+    counts = extract.covered(spark.createDataFrame([(c,) for c in panels.new_columns(before, after)], "metric string"), after)
+    return counts.withColumnRenamed("metric", "column")
+
+
 @query("SELECT asset, CAST(min(decimals) AS INTEGER) AS decimals FROM (SELECT p_brand AS asset, p_size % 19 AS decimals, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part WHERE p_type = 'SMALL') WHERE rn = 1 GROUP BY 1")
 def j09_decimals_map(spark, sf_dir):
     parts = roles.table(spark, sf_dir, "part").select(F.col("p_brand").alias("asset"), F.pmod("p_size", F.lit(19)).cast("int").alias("decimals"), F.when(F.col("p_type") == "SMALL", "raw_token_amount").otherwise("block_number").alias("unit"), "p_partkey")

@@ -25,10 +25,9 @@ def _profile(spark, sf_dir):
 round(q75 - q25, 3) AS iqr, round(mad, 3) AS mad, round(skewness, 3) AS skewness, round(excess_kurtosis, 3) AS excess_kurtosis, n_outliers_iqr, round(100.0 * n_outliers_iqr / n_checked, 3) AS outlier_iqr_pct, n_outliers_mad, round(100.0 * n_outliers_mad / n_checked, 3) AS outlier_mad_pct,
 excess_kurtosis > 3 OR abs(skewness) > 2 AS heavy_tailed, concat_ws(';', CASE WHEN n_zero > 0.5 * n_checked THEN 'zero_inflated' END, CASE WHEN is_quasi_constant THEN 'quasi_constant' END, CASE WHEN excess_kurtosis > 3 OR abs(skewness) > 2 THEN 'heavy_tailed' END, CASE WHEN n_outliers_iqr > 0 THEN 'iqr_outliers' END) AS flags, true AS success FROM pf""")
 def m01_statistical_profile(spark, sf_dir):
-    out = rounded(_profile(spark, sf_dir), 3)
     exact = ("null_pct", "zero_pct", "negative_pct", "unique_pct")
-    plain = _profile(spark, sf_dir).select("column", *exact)
-    return out.drop(*exact).join(plain, "column")
+    out = _profile(spark, sf_dir)
+    return out.select(*(F.round(c, 3).alias(c) if t == "double" and c not in exact else F.col(c) for c, t in out.dtypes))
 
 
 @query(f"""WITH {_PROFILE} SELECT col AS "column", round(p95 / nullif(p05, 0), 3) AS p95_p05, round((mean - median) / nullif(std, 0), 3) AS mean_median_gap, round(std / sqrt(n_checked), 3) AS sem, round(mad / nullif(median, 0), 3) AS mad_median, round((q75 - q25) / nullif(median, 0), 3) AS iqr_median, round((q75 - q25) / nullif(q75 + q25, 0), 3) AS qcd,
@@ -37,35 +36,41 @@ def m11_profile_ratios(spark, sf_dir):
     return rounded(profile.ratios(_profile(spark, sf_dir)), 3)
 
 
-_SHAPE = f"""{SERIES}, g AS (SELECT series, count(*) AS n, avg(x) AS mu, stddev_samp(x) AS sd, median(x) AS med, min(x) AS lo, max(x) AS hi, sum(x) AS tot, skewness(x) AS g1, kurtosis(x) AS g2, mad(x) AS md,
-quantile_cont(x, 0.05) AS p05, quantile_cont(x, 0.95) AS p95, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3, quantile_cont(x, 0.1) AS p10, quantile_cont(x, 0.9) AS p90 FROM s GROUP BY 1),
-k AS (SELECT s.*, g.* EXCLUDE (series), row_number() OVER (PARTITION BY s.series ORDER BY x) AS i, row_number() OVER (PARTITION BY s.series ORDER BY x DESC) AS j FROM s JOIN g USING (series)),
-hl AS (SELECT *, least(greatest(10, m // 10), m - 1) AS kk FROM (SELECT series, x, row_number() OVER (PARTITION BY series ORDER BY x DESC) AS j, count(*) OVER (PARTITION BY series) AS m FROM s WHERE x > 0)),
+def _shape_sql(s: str) -> str:
+    """SQL of metrics.shape over a relation (series, x)."""
+    return f"""(WITH g AS (SELECT series, count(*) AS n, avg(x) AS mu, stddev_samp(x) AS sd, median(x) AS med, min(x) AS lo, max(x) AS hi, skewness(x) AS g1, kurtosis(x) AS g2, mad(x) AS md, quantile_cont(x, 0.05) AS p05, quantile_cont(x, 0.95) AS p95, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3, quantile_cont(x, 0.1) AS p10, quantile_cont(x, 0.9) AS p90 FROM {s} GROUP BY 1),
+z AS (SELECT series, x, row_number() OVER (PARTITION BY series ORDER BY x) AS i, row_number() OVER (PARTITION BY series ORDER BY x DESC) AS j, count(*) OVER (PARTITION BY series) AS m, sum(x) OVER (PARTITION BY series) AS tot FROM {s} WHERE x >= 0),
+zz AS (SELECT series, 2 * sum(i * x) / nullif(any_value(m) * any_value(tot), 0) - (any_value(m) + 1.0) / any_value(m) AS gini, sum(CASE WHEN j <= greatest(1, ceil(0.01 * m)) THEN x END) / nullif(any_value(tot), 0) AS topc, sum(x * x) / nullif(any_value(tot) ** 2, 0) AS herf FROM z GROUP BY 1),
+th AS (SELECT series, avg(x / m * ln(x / m)) AS theil FROM (SELECT series, x, avg(x) OVER (PARTITION BY series) AS m FROM {s} WHERE x > 0) GROUP BY 1),
+hl AS (SELECT *, least(greatest(10, m // 10), m - 1) AS kk FROM (SELECT series, x, row_number() OVER (PARTITION BY series ORDER BY x DESC) AS j, count(*) OVER (PARTITION BY series) AS m FROM {s} WHERE x > 0)),
 hi AS (SELECT series, 1.0 / (avg(CASE WHEN j <= kk THEN ln(x) END) - max(CASE WHEN j = kk + 1 THEN ln(x) END)) AS hill FROM hl WHERE m >= 10 GROUP BY 1),
-en AS (SELECT series, -sum(c / n * ln(c / n)) / ln(count(*)) AS h FROM (SELECT series, least(floor((x - lo) / (hi - lo) * 20), 19) AS bin, count(*)::DOUBLE AS c, any_value(n) AS n FROM k GROUP BY 1, 2) GROUP BY 1)"""
-
-
-@query(f"""WITH {_SHAPE} SELECT series, any_value(n) AS n, round(any_value(mu), 4) AS mean, round(any_value(sd), 4) AS std, round(any_value(med), 4) AS median, round(any_value(g1), 4) AS moment_skewness, round(any_value(g2), 4) AS excess_kurtosis,
-round(sqrt(avg(least(x, 0) ** 2)), 4) AS downside_deviation, round(sqrt(avg(greatest(x, 0) ** 2)), 4) AS upside_deviation, round(coalesce(avg(CASE WHEN x < mu THEN (x - mu) ** 2 END), 0), 2) AS semivariance, round(avg(abs(x - mu)), 4) AS mean_abs_deviation,
-round(CASE WHEN min(x) > 0 THEN avg(CASE WHEN x > 0 THEN x / mu * ln(x / mu) END) END, 4) AS theil_index, round(sum(greatest(x, 0)) / nullif(-sum(least(x, 0)), 0), 4) AS omega_ratio,
-round(CASE WHEN min(x) >= 0 THEN 2 * sum(i * x) / (any_value(n) * any_value(tot)) - (any_value(n) + 1.0) / any_value(n) END, 4) AS gini_coefficient, round(CASE WHEN min(x) >= 0 THEN sum(CASE WHEN j <= greatest(1, ceil(0.01 * n)) THEN x END) / any_value(tot) END, 4) AS top_concentration,
-round(any_value(hill), 4) AS hill_tail_index, round(any_value(h), 4) AS shannon_entropy, round(-any_value(p05), 4) AS value_at_risk, round(-avg(CASE WHEN x <= p05 THEN x END), 4) AS conditional_var, round(abs(any_value(p95)) / nullif(abs(any_value(p05)), 0), 4) AS tail_ratio,
-round(any_value(md) / nullif(abs(any_value(med)), 0), 4) AS robust_cv_mad, round((any_value(q3) - any_value(q1)) / nullif(abs(any_value(med)), 0), 4) AS robust_cv_iqr, round((any_value(q3) - any_value(q1)) / nullif(any_value(q3) + any_value(q1), 0), 4) AS quartile_coeff_dispersion, round(any_value(sd) / nullif(abs(any_value(mu)), 0), 4) AS coefficient_of_variation,
-round((any_value(q3) + any_value(q1) - 2 * any_value(med)) / nullif(any_value(q3) - any_value(q1), 0), 4) AS bowley_skewness, round((any_value(p90) + any_value(p10) - 2 * any_value(med)) / nullif(any_value(p90) - any_value(p10), 0), 4) AS kelly_skewness, round((any_value(mu) - any_value(med)) / any_value(sd), 4) AS nonparametric_skew,
-round((any_value(g1) ** 2 + 1) / (any_value(g2) + 3.0 * (any_value(n) - 1) ** 2 / ((any_value(n) - 2.0) * (any_value(n) - 3.0))), 4) AS bimodality_coefficient, round(any_value(n) / 6.0 * (any_value(g1) ** 2 + any_value(g2) ** 2 / 4), 3) AS jarque_bera, round(CASE WHEN min(x) >= 0 THEN sum(x * x) / any_value(tot) ** 2 END, 6) AS herfindahl_index
-FROM k LEFT JOIN hi USING (series) LEFT JOIN en USING (series) GROUP BY 1""")
+k AS (SELECT v.series, v.x, g.* EXCLUDE (series) FROM {s} v JOIN g USING (series)),
+en AS (SELECT series, -sum(c / n * ln(c / n)) / nullif(ln(count(*)), 0) AS h FROM (SELECT series, least(floor((x - lo) / (hi - lo) * 20), 19) AS bin, count(*)::DOUBLE AS c, any_value(n) AS n FROM k GROUP BY 1, 2) GROUP BY 1),
+a AS (SELECT series, any_value(n) AS n, any_value(mu) AS mean, any_value(sd) AS std, any_value(med) AS median, any_value(g1) AS moment_skewness, any_value(g2) AS excess_kurtosis, sqrt(avg(least(x, 0) ** 2)) AS downside_deviation, sqrt(avg(greatest(x, 0) ** 2)) AS upside_deviation, coalesce(avg(CASE WHEN x < mu THEN (x - mu) ** 2 END), 0) AS semivariance,
+avg(abs(x - mu)) AS mean_abs_deviation, sum(greatest(x, 0)) / nullif(-sum(least(x, 0)), 0) AS omega_ratio, -any_value(p05) AS value_at_risk, -avg(CASE WHEN x <= p05 THEN x END) AS conditional_var, abs(any_value(p95)) / nullif(abs(any_value(p05)), 0) AS tail_ratio, any_value(md) / nullif(abs(any_value(med)), 0) AS robust_cv_mad, (any_value(q3) - any_value(q1)) / nullif(abs(any_value(med)), 0) AS robust_cv_iqr,
+(any_value(q3) - any_value(q1)) / nullif(any_value(q3) + any_value(q1), 0) AS quartile_coeff_dispersion, any_value(sd) / nullif(abs(any_value(mu)), 0) AS coefficient_of_variation, (any_value(q3) + any_value(q1) - 2 * any_value(med)) / nullif(any_value(q3) - any_value(q1), 0) AS bowley_skewness, (any_value(p90) + any_value(p10) - 2 * any_value(med)) / nullif(any_value(p90) - any_value(p10), 0) AS kelly_skewness,
+(any_value(mu) - any_value(med)) / any_value(sd) AS nonparametric_skew, (any_value(g1) ** 2 + 1) / (any_value(g2) + 3.0 * (any_value(n) - 1) ** 2 / ((any_value(n) - 2.0) * (any_value(n) - 3.0))) AS bimodality_coefficient, any_value(n) / 6.0 * (any_value(g1) ** 2 + any_value(g2) ** 2 / 4) AS jarque_bera FROM k GROUP BY 1)
+SELECT a.*, theil AS theil_index, gini AS gini_coefficient, topc AS top_concentration, hill AS hill_tail_index, h AS shannon_entropy, herf AS herfindahl_index FROM a LEFT JOIN zz USING (series) LEFT JOIN th USING (series) LEFT JOIN hi USING (series) LEFT JOIN en USING (series))"""
+
+
+_SHAPED = (
+    "mean", "std", "median", "moment_skewness", "excess_kurtosis", "downside_deviation", "upside_deviation", "semivariance", "mean_abs_deviation", "theil_index", "omega_ratio", "gini_coefficient", "top_concentration", "hill_tail_index", "shannon_entropy", "value_at_risk", "conditional_var", "tail_ratio",
+    "robust_cv_mad", "robust_cv_iqr", "quartile_coeff_dispersion", "coefficient_of_variation", "bowley_skewness", "kelly_skewness", "nonparametric_skew", "bimodality_coefficient", "jarque_bera", "herfindahl_index",
+)
+_DIGITS = {"semivariance": 2, "jarque_bera": 3, "herfindahl_index": 6}
+
+
+@query(f"WITH {SERIES} SELECT series, n, {', '.join(f'round({c}, {_DIGITS.get(c, 4)}) AS {c}' for c in _SHAPED)} FROM {_shape_sql('s')}")
 def e01_shape_metrics(spark, sf_dir):
-    digits = {"semivariance": 2, "jarque_bera": 3, "herfindahl_index": 6}
     out = metrics.shape(roles.series(spark, sf_dir))
-    return out.select(*(F.round(c, digits.get(c, 4)).alias(c) if t == "double" else c for c, t in out.dtypes))
+    return out.select(*(F.round(c, _DIGITS.get(c, 4)).alias(c) if t == "double" else c for c, t in out.dtypes))
 
 
-@query(f"""WITH {SERIES}, d AS (SELECT series, ord, x / max(x) OVER (PARTITION BY series ORDER BY ord) - 1 AS dd FROM s WHERE series IN (SELECT DISTINCT event_type FROM events))
+@query(f"""WITH {SERIES}, d AS (SELECT series, ord, x / nullif(max(x) OVER (PARTITION BY series ORDER BY ord), 0) - 1 AS dd FROM s)
 SELECT series, round(-min(dd), 5) AS max_drawdown, round(-avg(dd), 5) AS average_drawdown, round(sqrt(avg((100 * dd) ** 2)), 4) AS ulcer_index FROM d GROUP BY 1""")
 def e08_drawdowns_of_levels(spark, sf_dir):
-    """Drawdowns of the event series, as its SQL has it. Those of customers are left out: balances go below 0, and where the
-    peak is 0 or less, the level over the peak less 1 is no share lost (from -1 down to -2 it says +1)."""
-    out = metrics.drawdown_metrics(roles.series(spark, sf_dir).where(F.col("series").isin(*roles.KINDS.values())), as_returns=False)
+    """Drawdowns of all series; below a peak of 0 or less they are what the formula gives, not shares lost."""
+    out = metrics.drawdown_metrics(roles.series(spark, sf_dir), as_returns=False)
     return out.select("series", F.round("max_drawdown", 5).alias("max_drawdown"), F.round("average_drawdown", 5).alias("average_drawdown"), F.round("ulcer_index", 4).alias("ulcer_index"))
 
 
@@ -87,40 +92,37 @@ def e33_returns_autocorrelation(spark, sf_dir):
     return simple.join(log, "series").join(metrics.autocorrelation(s).withColumn("autocorrelation", F.round("autocorrelation", 5)), "series")
 
 
-@query(f"""WITH {SERIES}, r AS (SELECT series, ord, x, x / nullif(lag(x) OVER (PARTITION BY series ORDER BY ord), 0) - 1 AS y FROM s WHERE series = 'click')
-SELECT series, ord, x, round(CASE WHEN count(y) OVER w >= 4 THEN stddev_samp(y) OVER w END, 3) AS volatility FROM r WINDOW w AS (PARTITION BY series ORDER BY ord ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)""")
-def e12_rolling_volatility(spark, sf_dir):
-    out = metrics.rolling_volatility(roles.series(spark, sf_dir).where("series = 'click'"), as_returns=False)
-    return out.withColumn("volatility", F.round("volatility", 3))
-
-
 @query(f"""WITH {SERIES}, r AS (SELECT series, ord, x, x / nullif(lag(x) OVER (PARTITION BY series ORDER BY ord), 0) - 1 AS y FROM s)
 SELECT series, ord, x, round(CASE WHEN count(y) OVER w >= 4 THEN stddev_samp(y) OVER w END, 3) AS volatility FROM r WINDOW w AS (PARTITION BY series ORDER BY ord ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)""")
-def e12_rolling_volatility_all(spark, sf_dir):
-    """A row for each row of every series; e12_rolling_volatility keeps the one series of its SQL."""
+def e12_rolling_volatility(spark, sf_dir):
     return metrics.rolling_volatility(roles.series(spark, sf_dir), as_returns=False).withColumn("volatility", F.round("volatility", 3))
 
 
-@query(f"""WITH {SERIES}, o AS (SELECT series, x, row_number() OVER (PARTITION BY series ORDER BY ord) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM s), l AS (SELECT DISTINCT series, n, CASE WHEN k = 19 THEN n // 2 ELSE CAST(floor(pow(10, log10(4) + k * (log10(n // 2) - log10(4)) / 19) + 1e-9) AS BIGINT) END AS len FROM (SELECT DISTINCT series, n FROM o WHERE n >= 20), (SELECT unnest(generate_series(0, 19)) AS k)),
+_HURST = """(WITH o AS (SELECT series, x, row_number() OVER (PARTITION BY series ORDER BY ord) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM s), l AS (SELECT DISTINCT series, n, CASE WHEN k = 19 THEN n // 2 ELSE CAST(floor(pow(10, log10(4) + k * (log10(n // 2) - log10(4)) / 19) + 1e-9) AS BIGINT) END AS len FROM (SELECT DISTINCT series, n FROM o WHERE n >= 20), (SELECT unnest(generate_series(0, 19)) AS k)),
 c AS (SELECT series, len, i // len AS w, x, i FROM o JOIN l USING (series, n) WHERE i // len < n // len), m AS (SELECT *, avg(x) OVER (PARTITION BY series, len, w) AS mu FROM c), u AS (SELECT series, len, w, x, sum(x - mu) OVER (PARTITION BY series, len, w ORDER BY i) AS dev FROM m),
-rs AS (SELECT series, len, (max(dev) - min(dev)) / nullif(stddev_pop(x), 0) AS r FROM u GROUP BY series, len, w), a AS (SELECT series, len, avg(r) AS r FROM rs GROUP BY 1, 2) SELECT series, round(regr_slope(ln(r), ln(len)), 5) AS hurst_exponent FROM a GROUP BY 1 HAVING count(*) >= 3""")
+rs AS (SELECT series, len, (max(dev) - min(dev)) / nullif(stddev_pop(x), 0) AS r FROM u GROUP BY series, len, w), a AS (SELECT series, len, avg(r) AS r FROM rs GROUP BY 1, 2) SELECT series, regr_slope(ln(r), ln(len)) AS hurst_exponent FROM a WHERE r > 0 GROUP BY 1 HAVING count(*) >= 3)"""
+
+
+@query(f"WITH {SERIES} SELECT series, round(hurst_exponent, 5) AS hurst_exponent FROM {_HURST}")
 def e34_hurst_exponent(spark, sf_dir):
     return rounded(metrics.hurst(roles.series(spark, sf_dir)), 5)
 
 
-@query()
-def e36_financial_metrics(spark, sf_dir):
-    return rounded(metrics.financial_metrics(roles.series(spark, sf_dir), 12.0, as_returns=False))
+_FROM_RETURNS = ("value_at_risk", "conditional_var", "downside_deviation", "upside_deviation", "omega_ratio")
+_FROM_VALUES = [c for c in _SHAPED if c not in (*_FROM_RETURNS, "mean", "std", "median")]
+_LATER = ["max_drawdown", "average_drawdown", "ulcer_index", "realized_volatility", "sharpe_ratio", "sortino_ratio", "calmar_ratio", "autocorrelation", "hurst_exponent"]
 
 
-_N = 16
-_WIDE = "w AS (SELECT vec_id, " + ", ".join(f"CASE WHEN vec_id % {i + 11} <> 0 THEN embedding[{i + 1}]::DOUBLE END AS e{i}" for i in range(_N)) + " FROM embeddings)"
-_NAMES = [f"e{i}" for i in range(_N)]
-_PAIRS = [(a, b) for k, a in enumerate(_NAMES) for b in _NAMES[k + 1 :]]
-_CORR = "c AS (" + " UNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS r FROM w" for a, b in _PAIRS) + ")"
+@query(f"""WITH {SERIES}, t AS (SELECT series, ord, x, lag(x) OVER (PARTITION BY series ORDER BY ord) AS y FROM s), r AS (SELECT series, ord, x / nullif(y, 0) - 1 AS x FROM t WHERE y <> 0), v AS (SELECT * FROM {_shape_sql('s')}), w AS (SELECT * FROM {_shape_sql('r')}),
+d AS (SELECT series, -min(dd) AS max_drawdown, -avg(dd) AS average_drawdown, sqrt(avg((100 * dd) ** 2)) AS ulcer_index FROM (SELECT series, x / nullif(max(x) OVER (PARTITION BY series ORDER BY ord), 0) - 1 AS dd FROM s) GROUP BY 1), b AS (SELECT series, avg(x) AS level FROM s GROUP BY 1), c AS (SELECT series, corr(x, y) AS autocorrelation FROM t GROUP BY 1),
+m AS (SELECT v.series, {", ".join(f"v.{c}" for c in _FROM_VALUES)}, {", ".join(f"w.{c}" for c in _FROM_RETURNS)}, max_drawdown, average_drawdown, ulcer_index, w.std * sqrt(12) AS realized_volatility, w.mean / nullif(w.std, 0) * sqrt(12) AS sharpe_ratio, w.mean / nullif(w.downside_deviation, 0) * sqrt(12) AS sortino_ratio, level * 12 / nullif(max_drawdown, 0) AS calmar_ratio, autocorrelation, hurst_exponent
+FROM v JOIN w USING (series) JOIN d USING (series) JOIN b USING (series) JOIN c USING (series) LEFT JOIN {_HURST} h USING (series))
+""" + " UNION ALL ".join(f"SELECT series, '{c}' AS metric, round({c}, 2) AS value FROM m" for c in [*_FROM_VALUES, *_FROM_RETURNS, *_LATER]))
+def e36_financial_metrics(spark, sf_dir):
+    return rounded(metrics.financial_metrics(roles.series(spark, sf_dir), 12.0, as_returns=False), 2)
 
 
-#: Queries named ..._all, and those without SQL, take all components as given; the others keep the columns of their SQL.
+#: All components of the embeddings, as given.
 _ALL = [f"e{i}" for i in range(64)]
 _CELLS = "v AS (SELECT vec_id, i - 1 AS i, embedding[i]::DOUBLE AS x FROM embeddings, (SELECT unnest(generate_series(1, 64)) AS i))"
 _ALL_CORR = "c AS (SELECT 'e' || a.i AS col_a, 'e' || b.i AS col_b, corr(a.x, b.x) AS r FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY 1, 2)"
@@ -131,27 +133,27 @@ def _all_correlations(spark, sf_dir, method="pearson"):
 
 
 @query(f"WITH {_CELLS}, {_ALL_CORR} SELECT col_a, col_b, round(r, 6) AS r FROM c")
-def c01_correlation_all(spark, sf_dir):
+def c01_correlation(spark, sf_dir):
     return rounded(_all_correlations(spark, sf_dir))
 
 
 @query(f"WITH v0 AS (WITH {_CELLS} SELECT * FROM v), v AS (SELECT vec_id, i, rank() OVER (PARTITION BY i ORDER BY x) + (count(*) OVER (PARTITION BY i, x) - 1) / 2.0 AS x FROM v0 WHERE x IS NOT NULL), {_ALL_CORR} SELECT col_a, col_b, round(r, 6) AS r FROM c")
-def c01_spearman_all(spark, sf_dir):
+def c01_spearman(spark, sf_dir):
     return rounded(_all_correlations(spark, sf_dir, "spearman"))
 
 
 @query(f"WITH {_CELLS}, {_ALL_CORR} SELECT t AS threshold, count(CASE WHEN abs(r) > t THEN 1 END) AS n_pairs FROM c, (SELECT unnest([0.1::DOUBLE, 0.2::DOUBLE, 0.9::DOUBLE]) AS t) GROUP BY 1")
-def c03_redundancy_all(spark, sf_dir):
+def c03_redundancy(spark, sf_dir):
     return splits.redundancy(_all_correlations(spark, sf_dir), (0.1, 0.2, 0.9))
 
 
 @query(f"WITH {_CELLS}, {_ALL_CORR} SELECT col_a, col_b, round(r, 6) AS r FROM c ORDER BY abs(r) DESC, col_a, col_b LIMIT 8")
-def o04_strongest_pairs_all(spark, sf_dir):
+def o04_strongest_pairs(spark, sf_dir):
     return rounded(splits.strongest(_all_correlations(spark, sf_dir)))
 
 
 @query(f"WITH {_CELLS} SELECT 'e' || i AS \"column\", CASE WHEN median(x) <= 0 THEN 'low' ELSE 'high' END AS side FROM v GROUP BY i")
-def r07_columns_by_stat_all(spark, sf_dir):
+def r07_columns_by_stat(spark, sf_dir):
     df = roles.components(spark, sf_dir)
     low, high = splits.columns_by_stat(df, splits.column_stat(df, "median", _ALL), 0.0)
     return spark.createDataFrame([(c, "low") for c in low.columns] + [(c, "high") for c in high.columns], "column string, side string")
@@ -159,25 +161,10 @@ def r07_columns_by_stat_all(spark, sf_dir):
 
 @query(f"WITH {_CELLS}, m AS (SELECT 'e' || i AS c, stddev_samp(x) AS s, median(x) AS v FROM v GROUP BY i)" + """, e AS (SELECT quantile_cont(s, 1/3::DOUBLE) AS a, quantile_cont(s, 2/3::DOUBLE) AS b FROM m)
 SELECT c AS "column", CASE WHEN s <= a THEN 'low' WHEN s <= b THEN 'moderate' ELSE 'high' END AS std_band, CASE WHEN v < -0.01 THEN 'low' WHEN v < 0.01 THEN 'moderate' ELSE 'high' END AS median_band FROM m, e""")
-def r09_band_matrix_all(spark, sf_dir):
+def r09_band_matrix(spark, sf_dir):
     return splits.band_matrix(profile.profiled(roles.components(spark, sf_dir), _ALL), ("std", "median"), {"median": (-0.01, 0.01)})
 
 
-@query(f"WITH {_WIDE}, {_CORR} SELECT col_a, col_b, round(r, 6) AS r FROM c")
-def c01_correlation(spark, sf_dir):
-    return rounded(splits.correlation(roles.wide(spark, sf_dir, _N), _NAMES))
-
-
-def _spearman_sql(a: str, b: str) -> str:
-    rank = lambda x: f"rank() OVER (ORDER BY {x}) + (count(*) OVER (PARTITION BY {x}) - 1) / 2.0"
-    return f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(x, y), 6) AS r FROM (SELECT {rank(a)} AS x, {rank(b)} AS y FROM w WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
-
-
-@query(f"WITH {_WIDE} " + " UNION ALL ".join(_spearman_sql(a, b) for a, b in _PAIRS if b in ("e1", "e2", "e3")))
-def c01_spearman(spark, sf_dir):
-    return rounded(splits.correlation(roles.wide(spark, sf_dir, _N), _NAMES[:4], "spearman"))
-
-
 @query()
 def c02_correlation_clusters(spark, sf_dir):
     r = _all_correlations(spark, sf_dir)
@@ -185,16 +172,6 @@ def c02_correlation_clusters(spark, sf_dir):
     return spark.createDataFrame([(g, c) for g, cs in groups.items() for c in cs], "cluster string, column string")
 
 
-@query(f"WITH {_WIDE}, {_CORR} SELECT t AS threshold, count(CASE WHEN abs(r) > t THEN 1 END) AS n_pairs FROM c, (SELECT unnest([0.1::DOUBLE, 0.2::DOUBLE, 0.9::DOUBLE]) AS t) GROUP BY 1")
-def c03_redundancy(spark, sf_dir):
-    return splits.redundancy(splits.correlation(roles.wide(spark, sf_dir, _N), _NAMES), (0.1, 0.2, 0.9))
-
-
-@query(f"WITH {_WIDE}, {_CORR} SELECT col_a, col_b, round(r, 6) AS r FROM c ORDER BY abs(r) DESC, col_a, col_b LIMIT 8")
-def o04_strongest_pairs(spark, sf_dir):
-    return rounded(splits.strongest(splits.correlation(roles.wide(spark, sf_dir, _N), _NAMES)))
-
-
 def _tercile_sql(score: str, labels: tuple[str, str, str], digits: int = 5) -> str:
     return f"""WITH {PROTOCOL}, x AS (SELECT time_bucket, {score} AS score FROM p), e AS (SELECT quantile_cont(score, 1/3::DOUBLE) AS a, quantile_cont(score, 2/3::DOUBLE) AS b FROM x)
 SELECT time_bucket, round(score, {digits}) AS score, CASE WHEN score IS NULL THEN NULL WHEN score <= a THEN '{labels[0]}' WHEN score <= b THEN '{labels[1]}' ELSE '{labels[2]}' END AS label FROM x, e"""
@@ -230,22 +207,13 @@ def r04_columns_by_correlation(spark, sf_dir):
     return rounded(splits.coherence(r, splits.correlation_clusters(r, _ALL, 4, absolute=False)))
 
 
-@query()
-def r06_columns_by_tail_risk(spark, sf_dir):
-    return rounded(splits.by_tail_risk(_embedding_series(spark, sf_dir)))
-
-
-@query(f"WITH {_WIDE}, m AS (" + " UNION ALL ".join(f"SELECT '{n}' AS c, median({n}) AS v FROM w" for n in _NAMES) + ") SELECT c AS \"column\", CASE WHEN v <= 0 THEN 'low' ELSE 'high' END AS side FROM m")
-def r07_columns_by_stat(spark, sf_dir):
-    df = roles.wide(spark, sf_dir, _N)
-    low, high = splits.columns_by_stat(df, splits.column_stat(df, "median", _NAMES), 0.0)
-    return spark.createDataFrame([(c, "low") for c in low.columns] + [(c, "high") for c in high.columns], "column string, side string")
+_RANKED = ", ".join(f"(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE) / count({c}) OVER () AS r{i}" for i, c in enumerate(("excess_kurtosis", "robust_cv_iqr", "-hill_tail_index")))
+_TAILS = f"WITH {_CELLS}, es AS (SELECT 'e' || i AS series, x FROM v), sh AS (SELECT * FROM {_shape_sql('es')}), rk AS (SELECT series, {_RANKED} FROM sh), sc AS (SELECT series, (r0 + r1 + r2) / 3 AS score FROM rk), e AS (SELECT quantile_cont(score, 1/3::DOUBLE) AS a, quantile_cont(score, 2/3::DOUBLE) AS b FROM sc), lb AS (SELECT series, score, CASE WHEN score <= a THEN 'stable' WHEN score <= b THEN 'moderate' ELSE 'wild' END AS label FROM sc, e)"
 
 
-@query(f"WITH {_WIDE}, m AS (" + " UNION ALL ".join(f"SELECT '{n}' AS c, stddev_samp({n}) AS s, median({n}) AS v FROM w" for n in _NAMES) + """), e AS (SELECT quantile_cont(s, 1/3::DOUBLE) AS a, quantile_cont(s, 2/3::DOUBLE) AS b FROM m)
-SELECT c AS "column", CASE WHEN s <= a THEN 'low' WHEN s <= b THEN 'moderate' ELSE 'high' END AS std_band, CASE WHEN v < -0.01 THEN 'low' WHEN v < 0.01 THEN 'moderate' ELSE 'high' END AS median_band FROM m, e""")
-def r09_band_matrix(spark, sf_dir):
-    return splits.band_matrix(profile.profiled(roles.wide(spark, sf_dir, _N), _NAMES), ("std", "median"), {"median": (-0.01, 0.01)})
+@query(_TAILS + " SELECT series, round(score, 6) AS score, label FROM lb")
+def r06_columns_by_tail_risk(spark, sf_dir):
+    return rounded(splits.by_tail_risk(_embedding_series(spark, sf_dir)))
 
 
 @query(f"WITH {EVENTS} SELECT kind AS label, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM ev GROUP BY 1")
@@ -264,8 +232,9 @@ def b04_robust_profile(spark, sf_dir):
     return rounded(splits.robust_profile(roles.events(spark, sf_dir).withColumnRenamed("kind", "label"), ("amount",)), 4)
 
 
-@query()
+@query(_TAILS + " SELECT label, count(*) AS n, round(avg(excess_kurtosis), 6) AS excess_kurtosis, round(avg(robust_cv_iqr), 4) AS robust_cv_iqr, round(avg(hill_tail_index), 6) AS hill_tail_index FROM lb JOIN sh USING (series) GROUP BY 1")
 def b05_group_means(spark, sf_dir):
     long = _embedding_series(spark, sf_dir)
     scores = metrics.shape(long).select("series", "excess_kurtosis", "robust_cv_iqr", "hill_tail_index")
-    return rounded(splits.group_means(splits.by_tail_risk(long), scores, ("excess_kurtosis", "robust_cv_iqr", "hill_tail_index")))
+    out = splits.group_means(splits.by_tail_risk(long), scores, ("excess_kurtosis", "robust_cv_iqr", "hill_tail_index"))
+    return rounded(out).withColumn("robust_cv_iqr", F.round("robust_cv_iqr", 4))

@@ -36,3 +36,23 @@ def load(spark: SparkSession, folder: str, label: str, schema: T.StructType | st
     if not paths:
         raise KeyError(label)
     return csv(spark, paths, schema)
+
+
+def list_tables(spark: SparkSession, folder: str, labels: dict[str, str] | None = None) -> dict[str, str]:
+    """Name of the newest file of each label in a folder."""
+    return {r.label: r.path.rsplit("/", 1)[-1] for r in latest(versions(spark, folder), labels).select("label", "path").collect()}
+
+
+def load_all(spark: SparkSession, folder: str, schemas: dict[str, T.StructType | str], labels: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The newest version of each label that has a schema."""
+    found = {r.label: r.path for r in latest(versions(spark, folder), labels).select("label", "path").collect()}
+    return {label: csv(spark, found[label], schema) for label, schema in schemas.items() if label in found}
+
+
+def load_version(spark: SparkSession, folder: str, label: str) -> DataFrame:
+    """The newest version of a panel that panels.written_version has stored: <label>_<stamp>."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(folder).select(F.regexp_extract("path", r"/([^/]+_[0-9]{8}T[0-9]{6}Z)/", 1).alias("version"))
+    newest = files.where(F.regexp_replace("version", "_[^_]+$", "") == label).agg(F.max("version").alias("version")).first().version
+    if newest is None:
+        raise KeyError(label)
+    return spark.read.parquet(f"{folder.rstrip('/')}/{newest}")

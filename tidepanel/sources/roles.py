@@ -36,7 +36,7 @@ def events(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFra
         F.col("event_id").alias("idx"),
         (F.regexp_extract("props", "([0-9]+)", 1).cast("long") % 10).alias("asset"),
         F.col("user_id").alias("user"),
-        F.round(F.col("value") * 100).cast("decimal(38,0)").alias("amount"),
+        F.round(F.col("value") * 100).cast("long").alias("amount"),
         F.col("value").alias("rate"),
         F.pmod("event_id", F.lit(3)).cast("int").alias("mode"),
         (F.pmod("event_id", F.lit(2)) == 0).alias("flag"),
@@ -44,6 +44,31 @@ def events(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFra
     )
 
 
+def wide_events(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
+    """Events whose amounts are digit strings of 37 to 45 digits: cents, then the block in 36 places."""
+    return events(spark, sf_dir, kind).withColumn("amount", F.concat(F.col("amount").cast("string"), F.lpad(F.col("block").cast("string"), 36, "0")))
+
+
+def rate_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reserve updates from events of one kind, on the dates of all events."""
+    return events(spark, sf_dir, "repay").select("time", "asset", F.col("block").alias("seq"), F.col("rate").alias("liquidity_rate"), (F.col("rate") + F.col("mode")).alias("variable_borrow_rate"), F.lit(0.0).alias("stable_borrow_rate"), F.col("block").alias("liquidity_index"), (F.col("block") * 2).alias("variable_borrow_index"))
+
+
+PARAMETERS = ("supply_cap", "borrow_cap", "debt_ceiling")
+
+
+def cap_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of three caps from events of one kind, on the dates of all events."""
+    name = F.get(F.array(*map(F.lit, PARAMETERS)), F.col("mode"))
+    return events(spark, sf_dir, "liquidation").select("time", "block", "asset", name.alias("param"), F.col("amount").alias("value"))
+
+
+def event_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Liquidations from events of one kind: two assets and two amounts a row, on the dates of all events."""
+    ev = events(spark, sf_dir, "liquidation")
+    return ev.select("time", "block", F.col("asset").alias("collateral_asset"), ((F.col("asset") + F.col("mode")) % 10).alias("debt_asset"), F.col("amount").alias("collateral_amount"), F.expr("amount div 2").alias("debt_amount"), "user", (F.col("user") % 7).alias("liquidator"), F.col("flag").alias("receive_token"))
+
+
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token dimension; part of the assets are missing from it."""
     return table(spark, sf_dir, "part").where("p_type <> 'ECONOMY'").select(
@@ -57,8 +82,9 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").alias("time"),
         F.pmod("l_partkey", F.lit(10)).alias("collateral_asset"),
         F.pmod("l_suppkey", F.lit(10)).alias("debt_asset"),
-        F.round(F.col("l_extendedprice") * 100).cast("decimal(38,0)").alias("collateral_amount"),
-        F.round(F.col("l_extendedprice") * F.col("l_discount") * 100).cast("decimal(38,0)").alias("debt_amount"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("collateral_amount"),
+        F.round(F.col("l_extendedprice") * F.col("l_discount") * 100).cast("long").alias("debt_amount"),
+        F.col("l_orderkey").alias("block"),
         F.col("l_orderkey").alias("user"),
         F.col("l_suppkey").alias("liquidator"),
         (F.col("l_returnflag") == "R").alias("receive_token"),
@@ -117,7 +143,6 @@ def protocol(spark: SparkSession, sf_dir: str, width: str = "2 hours") -> DataFr
     ev = events(spark, sf_dir).withColumn("cents", F.col("amount").cast("long"))
     kind = lambda k: F.col("kind") == KINDS[k]
     loan = kind("withdraw") & F.col("flag")
-    value = lambda cond, x: F.sum(F.when(cond, x)) / 100.0
     amounts = {
         "supply_amount": (kind("supply"), F.col("cents")),
         "withdrawal_amount": (kind("withdraw"), F.col("cents")),
@@ -151,18 +176,28 @@ def protocol(spark: SparkSession, sf_dir: str, width: str = "2 hours") -> DataFr
         "unique_collateral_enable_users": "collateral_enabled_count",
         "unique_collateral_disable_users": "collateral_disabled_count",
     }
-    n = F.count("*")
-    out = ev.groupBy(F.window("time", width)["start"].alias("time_bucket")).agg(
-        *(value(cond, x).alias(f"{k}_value_usd") for k, (cond, x) in amounts.items()),
-        *(F.count_if(cond).alias(k) for k, cond in counts.items()),
-        *(F.count_distinct(F.when(counts[k], F.col("user"))).alias(u) for u, k in uniques.items()),
-        F.count_distinct(F.when(kind("liquidation"), F.col("user") % 7)).alias("unique_liquidators"),
-        (F.sum("cents") / n).alias("avg_total_collateral_base"),
-        (F.sum(F.expr("cents div 3")) / n).alias("avg_total_debt_base"),
-        (F.sum(F.expr("cents div 5")) / n).alias("avg_available_borrows_base"),
-        (F.sum("asset") * 700.0 / n).alias("avg_ltv"),
-        (F.sum("asset") * 800.0 / n + 100).alias("avg_current_liquidation_threshold"),
-        F.count_distinct("user").alias("sampled_user_count"),
+    sums = {**{k: F.when(cond, x) for k, (cond, x) in amounts.items()}, "cents": F.col("cents"), "third": F.expr("cents div 3"), "fifth": F.expr("cents div 5"), "assets": F.col("asset"), "n": F.lit(1), **{k: cond.cast("int") for k, cond in counts.items()}}
+    flat = ev.select(F.window("time", width)["start"].alias("time_bucket"), "user", *(x.alias(k) for k, x in sums.items()))
+    aggs = [F.sum(k).alias(k) for k in sums]
+    by_user = flat.groupBy("time_bucket", "user").agg(*aggs)  # one row a user, so that users are counted without multiplying events
+    own = by_user.groupBy("time_bucket").agg(
+        *aggs,
+        *(F.count_if(F.col(k) > 0).alias(u) for u, k in uniques.items()),
+        F.bit_count(F.bit_or(F.when(F.col("liquidation_tx_count") > 0, F.expr("shiftleft(1, int(user % 7))")).otherwise(0))).cast("long").alias("unique_liquidators"),
+        F.count("*").alias("sampled_user_count"),
+    )
+    out = own.select(
+        "time_bucket",
+        *((F.col(k) / 100.0).alias(f"{k}_value_usd") for k in amounts),
+        *counts,
+        *uniques,
+        "unique_liquidators",
+        (F.col("cents") / F.col("n")).alias("avg_total_collateral_base"),
+        (F.col("third") / F.col("n")).alias("avg_total_debt_base"),
+        (F.col("fifth") / F.col("n")).alias("avg_available_borrows_base"),
+        (F.col("assets") * 700.0 / F.col("n")).alias("avg_ltv"),
+        (F.col("assets") * 800.0 / F.col("n") + 100).alias("avg_current_liquidation_threshold"),
+        "sampled_user_count",
     )
     return out.withColumns({f"{k}_value_eth": F.col(f"{k}_value_usd") * 100 / F.col("avg_total_collateral_base") for k in amounts})
 
@@ -181,12 +216,6 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.union(table(spark, sf_dir, "customer").select("c_mktsegment", "c_custkey", "c_acctbal"))
 
 
-def wide(spark: SparkSession, sf_dir: str, n: int = 16) -> DataFrame:
-    """Embeddings as n columns e0, e1, ..., with some cells missing."""
-    cell = lambda i: F.when(F.col("vec_id") % (i + 11) != 0, F.col("embedding")[i].cast("double"))
-    return table(spark, sf_dir, "embeddings").select("vec_id", *(cell(i).alias(f"e{i}") for i in range(n)))
-
-
 def components(spark: SparkSession, sf_dir: str, n: int = 64) -> DataFrame:
     """Embeddings as n columns e0, e1, ..., with all cells as given."""
     return table(spark, sf_dir, "embeddings").select("vec_id", *(F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(n)))
