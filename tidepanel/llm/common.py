@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+import weakref
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -58,12 +61,68 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-class Generations:
-    """A dictionary of bounded size for values that can be computed again: when full, the older half goes."""
+#: Bytes that one cache may hold, what an entry takes besides its key, and the longest key that is kept.
+CACHE_BYTES, ENTRY, LONG_KEY = 24 << 20, 200, 64
+_caches: weakref.WeakSet[Cache] = weakref.WeakSet()
 
-    def __init__(self, limit: int) -> None:
-        self.limit, self.now, self.old = limit // 2, {}, {}
 
-    def make_room(self) -> None:
-        if len(self.now) > self.limit:
-            self.old, self.now = self.now, {}
+class Cache(dict):
+    """Values by word that make() computes when they are asked for; emptied when it holds more than most bytes.
+
+    Values of long words are computed anew each time, so that junk without spaces takes no room.
+    """
+
+    def __init__(self, make: Callable, most: int = CACHE_BYTES) -> None:
+        self.make, self.most, self.room = make, most, most
+        _caches.add(self)
+
+    __hash__ = object.__hash__
+
+    def __missing__(self, word):
+        value = self.make(word)
+        if len(word) <= LONG_KEY:
+            self.room -= ENTRY + len(word)
+            if self.room < 0:
+                self.clear()
+            self[word] = value
+        return value
+
+    def clear(self) -> None:
+        super().clear()
+        self.room = self.most
+
+
+_models: dict[str, Callable] = {}
+
+
+def model(make: Callable) -> Callable:
+    """make, whose last result a worker keeps until a task of another operator begins."""
+    own = _models[f"{make.__module__}.{make.__qualname__}"] = lru_cache(1)(make)
+    return own
+
+
+def give_back() -> None:
+    """Empty this worker's caches and return free memory to the machine."""
+    for c in _caches:
+        c.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def leanly(run: Callable, *models: Callable) -> Callable:
+    """run, for mapInArrow, in workers that hold no more than the models named and the caches of the task at hand."""
+    names = {k for k, m in _models.items() if m in models}
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, m in _models.items():
+            if k not in names:
+                m.cache_clear()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return own

@@ -16,7 +16,8 @@ A class goes by the smallest id of its rows, which ids that are unique make uniq
 
 Defined results: null and blank texts have an empty set and stay alone; rows without an id are never compared: they
 take the component of the class of their text, or null if no row with an id has that set; repeated rows get equal
-results; rows that share an id but not a text count as linked; other columns are ignored.
+results; rows that share an id but not a text count as linked; very long texts are compared by their full sets; an empty table gives
+no rows; other columns, whatever their names, are ignored by near_duplicates() and kept by deduplicated().
 """
 
 from __future__ import annotations
@@ -29,31 +30,20 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_bitmap, may_hold, slices, written
+from .common import Cache, id_bitmap, leanly, may_hold, slices, written
 
 ROWS, BUCKETS, MANTISSA = 32, 4, 10
 #: Share of a register's values that agree by chance for sets of like size, times 2^MANTISSA (Yu and Weber, 2017).
 CHANCE = 0.169919487159739
 #: Standard deviations below the threshold at which an estimate still counts as possible.
 SLACK = 5.0
-WORDS_KEPT = 150_000
 CHUNK = 1 << 15
 BLOCK = 512
-OFFERED, CELL = 4, 4096
+OFFERED, CELL, CELL_BYTES = 4, 4096, 16 << 20
 _SEEDS = np.random.default_rng(20177).integers(1, 1 << 63, 2 * ROWS + 64, dtype=np.uint64) | np.uint64(1)
 
 
-class _Words(dict):
-    """Word to 64-bit hash, computed once per worker while the table is small."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _Words()
+_words = Cache(xxhash.xxh3_64_intdigest)  # word to 64-bit hash
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -144,7 +134,7 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
                 names=["id", "n", "name", "keys"],
             )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, name binary, keys binary")
+    return docs.select("id", "text").mapInArrow(leanly(run), "id long, n long, name binary, keys binary")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -158,7 +148,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             low = [s.astype(np.uint16).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(low, pa.binary())], names=["node", "set", "low"])
 
-    own = texts.mapInArrow(run, "node long, set array<long>, low binary")
+    own = texts.mapInArrow(leanly(run), "node long, set array<long>, low binary")
     return own.groupBy("node").agg(F.min(F.struct("set", "low")).alias("x")).select("node", "x.set", "x.low")
 
 
@@ -181,7 +171,7 @@ def _possible(pairs: DataFrame, keys: DataFrame, similarity: float) -> DataFrame
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
 
     a, b = keys.select(F.col("node").alias("a"), F.col("keys").alias("ka")), keys.select(F.col("node").alias("b"), F.col("keys").alias("kb"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "ka", "kb").mapInArrow(run, "a long, b long")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "ka", "kb").mapInArrow(leanly(run), "a long, b long")
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -263,9 +253,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col
     """(id_col, n_shingles, component_id): for each row the size of its set and the smallest id of its component."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     rows = written(sketched(base, k), "sketches")
-    classes = written(rows.where("n > 0 and id is not null").groupBy("name", "keys").agg(F.min("id").alias("node")), "classes")
-    banded = classes.select("node", "keys", F.explode(F.sequence(F.lit(0), F.lit(ROWS - 1))).alias("band"))
-    banded = banded.select("node", "band", F.xxhash64("band", F.expr("substring(keys, 8 * band + 1, 8)")).alias("bucket"))
+    classes = written(rows.where("n > 0 and id is not null").groupBy("name", "keys").agg(F.min("id").alias("node"), F.max("n").alias("n")), "classes")
+    banded = classes.select("node", "n", "keys", F.explode(F.sequence(F.lit(0), F.lit(ROWS - 1))).alias("band"))
+    banded = banded.select("node", "n", "band", F.xxhash64("band", F.expr("substring(keys, 8 * band + 1, 8)")).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
     banded = written(banded.join(shared, "bucket"), "banded")
     keys = classes.select("node", "keys")
@@ -287,19 +277,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col
 
 def _divided(banded: DataFrame, labels: DataFrame, keys: DataFrame, sets: DataFrame) -> tuple[DataFrame, int]:
     """Members of the buckets that hold more than one component, for each pair of blocks, and a number of cells for them."""
-    at = banded.join(labels, "node", "left").select("bucket", "band", "node", "size", F.coalesce("label", "node").alias("comp"))
+    at = banded.join(labels, "node", "left").select("bucket", "band", "node", "n", "size", F.coalesce("label", "node").alias("comp"))
     blocks = F.ceil(F.max("size") / BLOCK).cast("int")
-    mixed = at.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n"), blocks.alias("blocks")).where("c0 <> c1")
-    mixed = written(mixed.select("bucket", "n", "blocks"), "mixed")
-    cells = max(1, (mixed.agg(F.sum(F.expr("n * blocks"))).first()[0] or 0) // CELL)
-    own = at.select("bucket", "band", "node", "comp").join(mixed.drop("n"), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    mixed = at.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("rows"), F.sum("n").alias("held"), blocks.alias("blocks")).where("c0 <> c1")
+    mixed = written(mixed.select("bucket", "rows", "held", "blocks"), "mixed")
+    total = mixed.agg(F.coalesce(F.sum(F.expr("rows * blocks")), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.expr("2 * held * blocks")), F.lit(0)).alias("bytes")).first()
+    cells = max(1, total.rows // CELL, total.bytes // CELL_BYTES)
+    own = at.select("bucket", "band", "node", "comp").join(mixed.drop("rows", "held"), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     own = own.join(keys, "node").join(sets.select("node", "low"), "node")
     pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return pairs.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks"), cells
 
 
 def _result(rows: DataFrame, classes: DataFrame, labels: DataFrame, id_col: str, kind) -> DataFrame:
-    own = classes.join(labels, "node", "left").select(F.col("name").alias("of"), F.coalesce("label", "node").alias("label"))
+    own = classes.select("name", "node").join(labels, "node", "left").select(F.col("name").alias("of"), F.coalesce("label", "node").alias("label"))
     full = rows.where("n > 0").join(own, F.col("name") == F.col("of"), "left").select("id", "n", F.col("label").alias("component"))
     out = full.union(rows.where("n = 0").select("id", "n", F.col("id").alias("component")))
     return out.select(F.col("id").cast(kind).alias(id_col), F.col("n").alias("n_shingles"), F.col("component").cast(kind).alias("component_id"))
