@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from tidepanel.llm import decontam, queries
@@ -11,14 +12,20 @@ def shingles(words, n=5):
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
 
 
+def parts(text):
+    """Question and answer (the last of several sentences) of an item."""
+    found = [decontam.words_of(p) for p in re.split(r"(?<=[.!?])\s+|\n+", (text or "").strip())]
+    found = [p for p in found if p]
+    return ([w for p in found[:-1] for w in p], found[-1]) if len(found) > 1 else (found[0] if found else [], [])
+
+
 def leaks(text, items):
-    """Items of which a text holds OVERLAP of the shingles, anywhere."""
-    words = decontam.words_of(text)
-    out = set()
+    """Items of whose question and answer a text holds OVERLAP of the shingles each, anywhere."""
+    words, out = decontam.words_of(text), set()
     for i, t in items.items():
-        own = shingles(decontam.words_of(t))
-        held = shingles(words, len(next(iter(own)))) if own else set()
-        if own and len(own & held) >= decontam.OVERLAP * len(own):
+        own = [shingles(p) for p in parts(t)]
+        good = [len(p & shingles(words, len(next(iter(p))))) >= decontam.OVERLAP * len(p) for p in own if p]
+        if good and all(good):
             out.add(i)
     return out
 
@@ -33,7 +40,8 @@ def test_whole_table(spark, sf_dir):
 def plain_scores(index, terms):
     out = {}
     for t in terms:
-        for i, x in index.lists[t]:
+        items, impacts, *_ = index.postings(t)
+        for i, x in zip(items, impacts):
             out[i] = out.get(i, 0.0) + x
     return out
 
@@ -66,3 +74,22 @@ def test_edits_questions_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 200)
     assert {(r.doc_id, r.item_id) for r in decontam.leaked(docs, items).collect()} == want
     assert decontam.leaked(docs.limit(0), items).count() == 0 and decontam.leaked(docs, items.limit(0)).count() == 0
+
+
+def test_question_without_its_answer_is_no_leak(spark):
+    words = [f"word{i}" for i in range(60)]
+    question, answer = " ".join(words[:50]), " ".join(words[50:])
+    docs = spark.createDataFrame([(1, question + " and more"), (2, f"{answer} and more"), (3, f"{question} {answer}"), (4, f"{question} {' '.join(reversed(words[50:]))}")], "doc_id long, text string")
+    items = spark.createDataFrame([("a", f"{question}? {answer}.")], "item_id string, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.leaked(docs, items).collect()] == [(3, "a")]
+
+
+def test_odd_tables(spark):
+    item = " ".join(f"word{i}" for i in range(30))
+    long = "x " * 200_000 + item + " y" * 200_000
+    docs = spark.createDataFrame([(1, long, "a", "b"), (1, long, "a", "b"), (None, item, None, None), (2, None, "x", None)], "doc_id long, text string, item_id string, word string")
+    items = spark.createDataFrame([(5, item, 1), (5, item, 1), (None, item, None), (6, None, 2)], "item_id int, text string, doc_id int")
+    rows = decontam.leaked(docs, items)
+    assert rows.columns == ["doc_id", "item_id", "word", "score", "question", "answer"]
+    assert sorted((r.doc_id or 0, r.item_id or 0) for r in rows.collect()) == [(0, 0), (0, 5), (1, 0), (1, 0), (1, 5), (1, 5)]
+    assert [r.doc_id for r in decontam.decontaminated(docs, items).collect()] == [2]
