@@ -38,15 +38,66 @@ def test_marginals_are_exact(seed):
 
 def test_gradient_ascent_learns_a_field():
     rng = np.random.default_rng(1)
-    x = np.zeros((400, toxicity.SPAN, 4), np.int32)
-    x[..., 0] = rng.integers(0, 6, (400, toxicity.SPAN))
-    y = (x[..., 0] == 3).astype(np.int32)
-    w, _, _ = toxicity.trained(x, y, 5)
-    assert w[3] > 3 and max(w[1], w[2], w[4], w[5]) < 1
+    f = rng.integers(0, 6, (400, toxicity.SPAN))
+    y = (f == 3).astype(np.int32)
+    w, _, _ = toxicity.trained(f.reshape(-1), np.arange(f.size), y, np.ones(400), 6)
+    assert w[3] > 3 and max(np.delete(w, 3)) < 1
+    twice, _, _ = toxicity.trained(f[:200].reshape(-1), np.arange(f[:200].size), y[:200], np.full(200, 2.0), 6)
+    same, _, _ = toxicity.trained(np.tile(f[:200].reshape(-1), 2), np.arange(f.size), np.tile(y[:200], (2, 1)), np.ones(400), 6)
+    assert np.allclose(twice, same, atol=1e-6)
+
+
+def test_gradient_is_that_of_the_likelihood(monkeypatch):
+    """The first step of the ascent goes where the log likelihood, by enumeration, grows."""
+    rng = np.random.default_rng(3)
+    n, span = 4, 5
+    x, at = rng.integers(0, n, 12), rng.integers(0, span, 12)
+    y = rng.integers(0, 2, (1, span)).astype(np.int32)
+
+    def likelihood(theta):
+        w, bias, moves = theta[:n], theta[n], theta[n + 1 :].reshape(2, 2)
+        own = bias + np.bincount(at, w[x], span)
+        score = lambda s: sum(own[i] for i in range(span) if s[i]) + sum(moves[s[i - 1], s[i]] for i in range(1, span))
+        return score(y[0].tolist()) - np.log(sum(np.exp(score(s)) for s in product((0, 1), repeat=span)))
+
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    monkeypatch.setattr(toxicity, "PENALTY", 0.0)
+    w, bias, moves = toxicity.trained(x, at, y, np.ones(1), n)
+    start = np.r_[np.zeros(n), -3.0, np.zeros(4)]
+    step = np.r_[w, bias, moves.reshape(-1)] - start
+    slope = np.array([(likelihood(start + 1e-5 * e) - likelihood(start - 1e-5 * e)) / 2e-5 for e in np.eye(len(start))])
+    assert all(np.sign(a) == np.sign(b) for a, b in zip(step, slope) if abs(b) > 1e-6)
+
+
+def test_windows_cover_all_tokens_with_features():
+    chunks = ["plain"] * 40 + ["idiot"] * 30 + ["plain"] * 9 + ["moron"] + ["plain"] * 60
+    known, starts = {"plain": [], "idiot": [0, 2], "moron": [1]}, []
+    made = toxicity.windows_of(chunks, known, 1, lambda s: starts.append(s) or True)
+    marked = {s + i for s, (_, _, y) in zip(starts, made) for i, state in enumerate(y) if state == 1}
+    assert marked == {*range(40, 70), 79}
+    assert all(len(x) == len(at) and len(y) == toxicity.SPAN for x, at, y in made)
+    assert toxicity.windows_of([], {}, 1) == [] and len(toxicity.windows_of(chunks, known, 0, lambda s: s == 0)) == 1
 
 
 def test_beginnings_must_say_more():
-    assert toxicity.distinctive({"idiot": 20.0, "^idio": 20.0, "^idi": 21.0, "^chlla": 30.0, "^chl": 31.0, "chllax": 13.0, "^ver": 40.0, "vera": 15.0}) == ["^chlla", "^ver", "chllax", "idiot", "vera"]
+    assert toxicity.distinctive({"idiot": 20.0, "^idio": 20.0, "^idi": 19.0, "^chlla": 30.0, "^chl": 30.0, "chllax": 13.0, "^ver": 40.0, "vera": 15.0}) == ["^chlla", "^ver", "chllax", "idiot", "vera"]
+
+
+def test_scores_of_a_hand_made_field():
+    """Scores by summing over all state sequences, with features of neighbours."""
+    model = toxicity.Field({"bad": (2.0, 0.7, -0.4), "^ba": (0.5, 0.0, 0.3)}, -1.0, ((0.2, -0.5), (-0.3, 0.4)), (1.5, 0.5, -2.0))
+    text = "one bad two three bad bad four"
+    chunks = text.split()
+    known = {"bad": (2.0, 0.7, -0.4)}
+    emitted = {}
+    for i in range(len(chunks)):
+        own = sum(known[chunks[i + d]][k] for k, d in enumerate((0, -1, 1)) if 0 <= i + d < len(chunks) and chunks[i + d] in known)
+        emitted[i] = exp(-1.0 + own)
+    want = by_enumeration(model, len(chunks), emitted)
+    at, got = model.tagged(text)
+    assert at == [0, 1, 2, 3, 4, 5, 6] and np.allclose(got, want)
+    z = 1.5 * max(want) + 0.5 * np.log1p(sum(want)) - 2.0
+    assert abs(model.score(got) - 1 / (1 + exp(-z))) < 1e-12
 
 
 def auc(scores, labels):
@@ -93,7 +144,7 @@ def test_whole_table_and_odd_texts(spark, sf_dir):
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) and r.held_out == (crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     odd = spark.createDataFrame([(1, None), (2, ""), (None, "x" * 100_000), (3, "a " * 100_000), (3, "İdiot \x1c moron")], "doc_id long, text string")
-    model = toxicity.Field({"moron": 9.0}, -4.0, ((0.1, -1.0), (-1.0, 0.1)), (4.0, 1.0, -3.0))
+    model = toxicity.Field({"moron": (9.0, 0.0, 0.0)}, -4.0, ((0.1, -1.0), (-1.0, 0.1)), (4.0, 1.0, -3.0))
     got = toxicity.scored(odd.withColumn("score", F.lit("mine")), model).collect()
     assert len(got) == 5 and sum(r.score > 0.5 for r in got) == 1
     none = odd.select("doc_id", F.lit(1).alias("toxic"))

@@ -1,34 +1,42 @@
 """Toxicity: a linear-chain conditional random field tags toxic tokens; its marginals make scores and offsets.
 
 Labels mark documents, so tokens are labelled first: a word, or one of its beginnings of 3 to 5 letters, marks toxic
-tokens where the labelled texts that hold it are toxic far more often than chance allows (EVIDENCE). The field has two
-states, weights for those features and for their absence, and transitions. It is trained by gradient ascent on windows
-of tokens of one half of the labelled sample; the other half calibrates the step from marginals to a text's score.
-At most SAMPLE labelled documents, FEATURES features and WINDOWS windows take part in training; these bounds are
-parameters. Scoring covers all tokens of all texts. Tokens without a feature are alike, so a run of k of them is the
-k-th power of one matrix, which keeps forward-backward exact and short.
+tokens if the labelled texts that hold it are toxic far more often than chance allows: binomial tails are bounded
+(Chernoff) and a share of at most FALSE of the features taken is expected to be there by chance (Benjamini and Hochberg), at any
+number of labels. The field has two states, weights for such features of a token and of its two neighbours, a bias,
+and transitions; it is trained by gradient ascent on windows of tokens. The step from marginals to a text's score is
+calibrated on texts that their field was not trained on: FOLDS fields each leave out one part of the labelled texts and
+score it. The field that scores all texts is then trained on all of them. Nothing depends on how many labels there are.
+
+At most SAMPLE labelled documents, FEATURES features and about WINDOWS windows, chosen by hashes, take part in
+training; these bounds are parameters. Scoring covers all tokens of all texts. Tokens that neither have a feature nor
+stand beside one are alike, so a run of k of them is the k-th power of one matrix, which keeps forward-backward exact and short.
 
 Only texts are inputs of a score. Defined results: null and empty texts get the score of a text without features;
-ties and repeated rows get equal scores; without labels of both kinds every text gets the smoothed share of toxic ones.
+ties and repeated rows get equal scores; without labels of both kinds every text gets the smoothed share of toxic ones;
+an empty table gives no rows; other columns, whatever their names, are ignored, or kept by clean().
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from math import exp, log, log1p
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bitmap, may_hold, slices, written
+from .common import CACHE_BYTES, Cache, id_bitmap, leanly, may_hold, slices, written
 
 SAMPLE, FEATURES, WINDOWS, SPAN = 12_000, 40_000, 20_000, 15
-EVIDENCE, WIDER, STEPS, PENALTY = 12.0, 1.2, 60, 0.02
-CHUNKS_KEPT = 120_000
+FALSE, FOLDS, STEPS, PENALTY = 0.1, 5, 60, 0.02
+#: Where a feature may stand: at the token, before it, after it.
+PLACES = (0, -1, 1)
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
 
 
@@ -43,15 +51,16 @@ def features_of(chunk: str) -> set[str]:
 
 @dataclass
 class Field:
-    """Weights by feature (for the toxic state), bias, transitions [from][to] in logs, and the calibration."""
+    """Weights by feature (for the toxic state; at the token, before it, after it), bias, transitions [from][to] in logs,
+    and the calibration."""
 
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[str, tuple[float, float, float]] = field(default_factory=dict)
     bias: float = -4.0
     moves: tuple = ((0.0, 0.0), (0.0, 0.0))
     scale: tuple = (0.0, 0.0, -2.0)
 
     def __post_init__(self) -> None:
-        self.chunks: dict[str, float | None] = {}
+        self.chunks = Cache(self.emission, CACHE_BYTES)
         (a, b), (c, d) = ((exp(x) for x in row) for row in self.moves)
         q = exp(self.bias)
         self.t = (a, b, c, d)
@@ -61,9 +70,10 @@ class Field:
         self.one, self.two, self.m = half + root, half - root, m
         self.powers: dict[int, tuple] = {}
 
-    def emission(self, chunk: str) -> float | None:
-        known = [self.weights[f] for f in features_of(chunk) if f in self.weights]
-        return exp(min(60.0, self.bias + sum(known))) if known else None
+    def emission(self, chunk: str) -> tuple[float, float, float] | None:
+        """What the chunk adds to the log weight of the toxic state: to its own, and to those after and before it."""
+        known = [self.weights[f] for f in sorted(features_of(chunk)) if f in self.weights]
+        return tuple(map(sum, zip(*known))) if known else None
 
     def run(self, k: int) -> tuple:
         """The k-th power of m, divided by the k-th power of its larger eigenvalue."""
@@ -115,15 +125,17 @@ class Field:
         return out
 
     def tagged(self, text: str | None) -> tuple[list[int], list[float]]:
-        """Places (in white-space chunks) of tokens with features, and their marginals."""
+        """Places (in white-space chunks) of tokens with features or beside them, and their marginals."""
         chunks = (text or "").lower().split()
         known = self.chunks
-        if len(known) > CHUNKS_KEPT:
-            known.clear()
-        for w in set(chunks).difference(known):
-            known[w] = self.emission(w)
-        at = [i for i, w in enumerate(chunks) if known[w] is not None]
-        return at, self.marginals(len(chunks), at, [known[chunks[i]] for i in at]) if at else []
+        hits = [(i, x) for i, w in enumerate(chunks) if (x := known[w]) is not None]
+        total: dict[int, float] = {}
+        for i, x in hits:
+            for step, add in zip((0, 1, -1), x):
+                if 0 <= i + step < len(chunks):
+                    total[i + step] = total.get(i + step, 0.0) + add
+        at = sorted(total)
+        return at, self.marginals(len(chunks), at, [exp(max(-60.0, min(60.0, self.bias + total[i]))) for i in at]) if at else []
 
     def score(self, marginals: list[float]) -> float:
         a, b, c = self.scale
@@ -132,88 +144,151 @@ class Field:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """id, text, y, half of at most about sample documents whose labels may be learnt: crc32(id) mod 5 is not 0."""
+    """id, text, y, fold of at most about sample documents whose labels may be learnt: crc32(id) mod 5 is not 0."""
     own = (
-        labels.where(f"{label_col} in (0, 1)").groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).cast("int").alias("y"))
+        labels.where(f"`{label_col}` in (0, 1)").groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).cast("int").alias("y"))
         .where("id is not null and crc32(cast(cast(id as string) as binary)) % 5 <> 0")
     )
     n = own.count()
     part = min(1.0, sample / max(1, n))
-    own = written(own.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1_000_000)) < int(part * 1_000_000)).withColumn("half", F.pmod(F.xxhash64("id", F.lit(10)), F.lit(2)).cast("int")), "labels")
+    own = written(own.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1_000_000)) < int(part * 1_000_000)).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(10)), F.lit(FOLDS)).cast("int")), "labels")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return written(may_hold(texts, "id", id_bitmap(own, "id")).join(own, "id").select("id", "text", "y", "half"), "labelled")
+    return written(may_hold(texts, "id", id_bitmap(own, "id")).join(own, "id").select("id", "text", "y", "fold"), "labelled")
 
 
 def _counts(rows: DataFrame) -> DataFrame:
-    """(feature, texts, toxic) over labelled texts."""
+    """(feature, fold, texts, toxic) over labelled texts."""
 
     def run(batches):
         for batch in slices(batches):
-            texts, ys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for k in range(0, len(texts), 500):
-                n, t = Counter(), Counter()
-                for text, y in zip(texts[k : k + 500], ys[k : k + 500]):
-                    own = set().union(*map(features_of, set((text or "").lower().split())))
-                    n.update(own)
-                    if y:
-                        t.update(own)
-                yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([t[f] for f in n], pa.int64())], names=["feature", "texts", "toxic"])
-
-    return rows.select("text", "y").mapInArrow(run, "feature string, texts long, toxic long").groupBy("feature").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
+            texts, ys, folds = (batch.column(i).to_pylist() for i in range(3))
+            n, t = Counter(), Counter()
+            for text, y, k in zip(texts, ys, folds):
+                own = [(f, k) for f in set().union(*map(features_of, set((text or "").lower().split())))]
+                n.update(own)
+                if y:
+                    t.update(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f for f, _ in n], pa.string()), pa.array([k for _, k in n], pa.int32()), pa.array(list(n.values()), pa.int64()), pa.array([t[x] for x in n], pa.int64())], names=["feature", "fold", "texts", "toxic"]
+            )
+
+    return rows.select("text", "y", "fold").mapInArrow(leanly(run), "feature string, fold int, texts long, toxic long")
+
+
+def _chosen(counts: DataFrame, sizes: list[tuple[int, int]]) -> list[list[str]]:
+    """For each fold the features that mark toxic texts outside it, and at last those of all texts; sizes: (texts, toxic) by fold."""
+    n, t = (sum(x) for x in zip(*sizes))
+    sums = [F.sum(c).alias(c) for c in ("texts", "toxic")]
+    less = [F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"{c}{k}") for k in range(FOLDS) for c in ("texts", "toxic")]
+    table = written(counts.groupBy("feature").agg(*sums, *less), "features")
+    out = []
+    for k in (*range(FOLDS), None):
+        share = (t - (sizes[k][1] if k is not None else 0)) / max(1, n - (sizes[k][0] if k is not None else 0))
+        if not 0 < share < 1:
+            out.append([])
+            continue
+        own = table.select("feature", (F.col("texts") - (F.col(f"texts{k}") if k is not None else 0)).alias("n"), (F.col("toxic") - (F.col(f"toxic{k}") if k is not None else 0)).alias("t")).where("n > 2")
+        rate = F.col("t") / F.col("n")
+        term = lambda x, y: F.when(x > 0, x * F.log(x / y)).otherwise(0.0)
+        strength = F.col("n") * (term(rate, F.lit(share)) + term(1 - rate, F.lit(1 - share)))  # -log of a bound on the chance
+        found = own.select("feature", rate.alias("rate"), strength.alias("s"))
+        tested = found.count()
+        best = found.where((F.col("rate") > share) & (F.col("s") > -log(FALSE))).orderBy(F.desc("s"), "feature").limit(FEATURES).collect()
+        taken = max((i + 1 for i, r in enumerate(best) if -r.s <= log(FALSE * (i + 1) / tested)), default=0)
+        out.append(distinctive({r.feature: r.s for r in best[:taken]}))
+    return out
 
 
 def distinctive(strength: dict[str, float]) -> list[str]:
-    """The features in order, without beginnings that say little more than what they begin."""
+    """The features in order, without beginnings that say no more than what they begin."""
     best: dict[str, float] = {}
     for f, x in strength.items():
         w = f.lstrip("^")
         for n in (3, 4, 5):
             if len(w) > n:
                 best["^" + w[:n]] = max(x, best.get("^" + w[:n], 0.0))
-    return sorted(f for f, x in strength.items() if x > WIDER * best.get(f, 0.0))
+    return sorted(f for f, x in strength.items() if x > best.get(f, 0.0))
+
+
+def windows_of(chunks: list[str], known: dict[str, list[int]], y: int, kept: Callable[[int], bool] = lambda start: True) -> list[tuple[list[int], list[int], list[int]]]:
+    """(feature numbers, their tokens, states) of windows of SPAN tokens that together cover all tokens with features of a
+    text, and of two more at fixed places, if their first token is kept. known: the numbers, from 0, of each chunk's features; a
+    feature before or after a token counts apart."""
+    starts, end = {0, len(chunks) // 2} if chunks else set(), -1
+    for i, w in enumerate(chunks):
+        if i >= end and known[w]:
+            starts.add(max(0, i - SPAN // 2))
+            end = max(0, i - SPAN // 2) + SPAN
+    out = []
+    for s in sorted(starts):
+        if kept(s):
+            e, x, at = min(len(chunks), s + SPAN), [], []
+            for i in range(s, e):
+                for k, step in enumerate(PLACES):
+                    if 0 <= i + step < len(chunks) and (own := known[chunks[i + step]]):
+                        x += sorted(3 * f + k for f in own)
+                        at += [i - s] * len(own)
+            out.append((x, at, [int(bool(y and known[chunks[i]])) for i in range(s, e)] + [-1] * (SPAN - e + s)))
+    return out
 
 
-def _windows(rows: DataFrame, names: list[str], most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features (up to 4 numbers a token, 0 for none) and labels of at most about most windows of SPAN tokens."""
-    number = {f: i + 1 for i, f in enumerate(names)}
-    shared = rows.sparkSession.sparkContext.broadcast(number)
+def _windows(rows: DataFrame, names: list[list[str]], most: int) -> list[tuple[np.ndarray, ...]]:
+    """By fold (the last: all texts): feature numbers, their places (window * SPAN + token), states of the windows, and how
+    many windows each one stands for: those without features are alike if they are of one length.
+
+    How many windows there are is estimated on a sixteenth of the texts; a hash of text and place then keeps about most of them."""
+    shared = rows.sparkSession.sparkContext.broadcast([{f: i for i, f in enumerate(own)} for own in names])
+    scale = 1 << 30
+
+    def made(of: DataFrame, limits: list[int]) -> DataFrame:
+        def run(batches):
+            numbers = shared.value
+            every = set().union(*numbers)
+            for batch in slices(batches):
+                out = []
+                for text, y, fold in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    chunks = (text or "").lower().split()
+                    found = {w: features_of(w) & every for w in set(chunks)}
+                    key = xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass"))
+                    for k, (number, limit) in enumerate(zip(numbers, limits)):
+                        if number and k != fold:
+                            known = {w: [number[f] for f in own if f in number] for w, own in found.items()}
+                            out += [(k, *w) for w in windows_of(chunks, known, y, lambda s: xxhash.xxh3_64_intdigest(f"{s} {key}", 3) % scale < limit)]
+                columns = list(zip(*out)) or [[]] * 4
+                kinds = [pa.int32(), *[pa.list_(pa.int32())] * 3]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["k", "x", "at", "y"])
+
+        return of.select("text", "y", "fold").mapInArrow(leanly(run), "k int, x array<int>, at array<int>, y array<int>")
+
+    few = made(rows.where(F.pmod(F.xxhash64("id", F.lit(12)), F.lit(16)) == 0), [scale] * len(names))
+    size = {r.k: 16 * r.n for r in few.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    limits = [int(scale * min(1.0, most / max(1, size.get(k, 0)))) for k in range(len(names))]
+    table = written(made(rows, limits).groupBy("k", "x", "at", "y").agg(F.count("*").alias("n")), "windows")
+    out = []
+    for k in range(len(names)):
+        got = table.where(F.col("k") == k).orderBy("x", "at", "y").select("x", "at", "y", "n").toArrow()
+        x, at, y, n = (got.column(i).combine_chunks() for i in range(4))
+        first = np.repeat(np.arange(got.num_rows) * SPAN, np.diff(np.asarray(at.offsets)))
+        out.append((np.asarray(x.flatten()), np.asarray(at.flatten()) + first, np.asarray(y.flatten()).reshape(-1, SPAN), np.asarray(n).astype(float)))
+    return out
 
-    def run(batches):
-        number = shared.value
-        for batch in slices(batches):
-            made = []
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                chunks = (text or "").lower().split()
-                known = {w: sorted(number[f] for f in features_of(w) if f in number)[-4:] for w in set(chunks)}
-                marks = [i for i, w in enumerate(chunks) if known[w]]
-                starts = {max(0, i - SPAN // 2) for i in marks[:8]} | {j * len(chunks) // 2 for j in range(2)}
-                for s in starts:
-                    rows_ = [known[w] for w in chunks[s : s + SPAN]]
-                    flat = [x for r in rows_ for x in (r + [0] * 4)[:4]]
-                    state = [int(bool(y and r)) for r in rows_]
-                    made.append((flat + [0] * (4 * SPAN - len(flat)), state + [-1] * (SPAN - len(state))))
-            yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.list_(pa.int32())), pa.array([m[1] for m in made], pa.list_(pa.int32()))], names=["x", "y"])
-
-    got = rows.select("text", "y").mapInArrow(run, "x array<int>, y array<int>").limit(most).toArrow()
-    x = np.array(got.column(0).to_pylist(), np.int32).reshape(-1, SPAN, 4)
-    return x, np.array(got.column(1).to_pylist(), np.int32).reshape(-1, SPAN)
-
-
-def trained(x: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, float, np.ndarray]:
+
+def trained(x: np.ndarray, at: np.ndarray, y: np.ndarray, times: np.ndarray, n: int) -> tuple[np.ndarray, float, np.ndarray]:
     """Weights, bias and transitions: gradient ascent (Adam) on the penalised log likelihood of the windows."""
-    theta = np.r_[np.zeros(n + 1), -3.0, np.zeros(4)]  # weights (0: none), bias, moves
+    theta = np.r_[np.zeros(n), -3.0, np.zeros(4)]  # weights, bias, moves
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     real = (y >= 0).astype(float)
     gold = np.clip(y, 0, 1).astype(float)
-    size, span = y.shape
-    inside = real[:, 1:]
+    rows, span = y.shape
+    size = times.sum()
+    inside = real[:, 1:] * times[:, None]
     pair = np.stack([((gold[:, :-1] == i) & (gold[:, 1:] == j)) * inside for i in (0, 1) for j in (0, 1)], -1).sum((0, 1))
     for step in range(1, STEPS + 1):
-        w, bias, moves = theta[: n + 1], theta[n + 1], np.exp(theta[n + 2 :].reshape(2, 2))
-        e = np.stack([np.ones_like(gold), np.where(real > 0, np.exp(np.clip(bias + w[x].sum(-1), -40, 40)), 0.0)], -1)
-        e[..., 0] = np.where(real > 0, 1.0, 1.0)
-        f = np.empty((size, span, 2))
-        g = np.ones((size, span, 2))
+        w, bias, moves = theta[:n], theta[n], np.exp(theta[n + 1 :].reshape(2, 2))
+        own = np.bincount(at, w[x], rows * span).reshape(rows, span)
+        e = np.stack([np.ones_like(gold), np.where(real > 0, np.exp(np.clip(bias + own, -40, 40)), 0.0)], -1)
+        f = np.empty((rows, span, 2))
+        g = np.ones((rows, span, 2))
         f[:, 0] = e[:, 0] / e[:, 0].sum(-1, keepdims=True)
         for t in range(1, span):
             new = (f[:, t - 1] @ moves) * e[:, t]
@@ -227,16 +302,12 @@ def trained(x: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, float, np
         p = (p / p.sum(-1, keepdims=True))[..., 1] * real
         both = f[:, :-1, :, None] * moves * (e[:, 1:] * g[:, 1:])[:, :, None, :]
         both = both / np.maximum(both.sum((-1, -2), keepdims=True), 1e-300) * inside[..., None, None]
-        off = (gold * real - p) / size
-        grad = np.zeros_like(theta)
-        np.add.at(grad, x.reshape(-1), np.repeat(off.reshape(-1), 4))
-        grad[0] = 0.0
-        grad[n + 1] = off.sum()
-        grad[n + 2 :] = (pair - both.sum((0, 1)).reshape(-1)) / size
-        grad[: n + 1] -= PENALTY * theta[: n + 1] / size
+        off = (gold * real - p) * times[:, None] / size
+        grad = np.r_[np.bincount(x, off.reshape(-1)[at], n), off.sum(), (pair - both.sum((0, 1)).reshape(-1)) / size]
+        grad[:n] -= PENALTY * theta[:n] / size
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta = theta + 0.25 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return theta[: n + 1], float(theta[n + 1]), theta[n + 2 :].reshape(2, 2)
+    return theta[:n], float(theta[n]), theta[n + 1 :].reshape(2, 2)
 
 
 def calibrated(a: np.ndarray, b: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
@@ -252,25 +323,36 @@ def calibrated(a: np.ndarray, b: np.ndarray, y: np.ndarray) -> tuple[float, floa
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Field:
     rows = labelled(docs, labels, sample, id_col, text_col, label_col)
-    size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("t")).first()
-    share = (size.t + 1) / (size.n + 2)
+    by = {r.fold: (r.n, r.t) for r in rows.groupBy("fold").agg(F.count("*").alias("n"), F.sum("y").alias("t")).collect()}
+    sizes = [by.get(k, (0, 0)) for k in range(FOLDS)]
+    n, t = (sum(x) for x in zip(*sizes))
+    share = (t + 1) / (n + 2)
     plain = Field(scale=(0.0, 0.0, log(share / (1 - share))))
-    if not size.t or size.t == size.n:
+    if not 0 < t < n:
         return plain
-    apart = size.n >= 4000  # a small sample is not split
-    first, second = (rows.where("half = 0"), rows.where("half = 1")) if apart else (rows, rows)
-    rate = F.col("toxic") / F.col("texts")
-    strength = F.col("toxic") * F.log(rate / F.lit(share))
-    counts = _counts(first).where((F.col("toxic") >= 3) & (rate > 3 * share)).withColumn("strength", strength).where(F.col("strength") > EVIDENCE)
-    names = distinctive({r.feature: r.strength for r in counts.orderBy(F.desc("strength"), "feature").limit(FEATURES).select("feature", "strength").collect()})
-    if not names:
+    names = _chosen(_counts(rows), sizes)
+    if not names[-1]:
         return plain
-    x, y = _windows(first, names, WINDOWS)
-    w, bias, moves = trained(x, y, len(names))
-    model = Field({f: float(w[i + 1]) for i, f in enumerate(names)}, bias, tuple(map(tuple, moves.tolist())))
-    got = scored(second, model, "id", "text").join(second.select("id", "y"), "id").select("largest", "total", "y").toArrow()
-    a, b, t = (np.array(got.column(i).to_pylist(), float) for i in range(3))
-    return Field(model.weights, bias, model.moves, calibrated(a, np.log1p(b), t))
+    models = []
+    for own, windows in zip(names, _windows(rows, names, WINDOWS)):
+        w, bias, moves = trained(*windows, 3 * len(own)) if own else (np.zeros(0), -4.0, np.zeros((2, 2)))
+        models.append(Field({f: tuple(map(float, w[3 * i : 3 * i + 3])) for i, f in enumerate(own)}, bias, tuple(map(tuple, moves.tolist()))))
+    a, b, truth = _left_out(rows, models)
+    return Field(models[-1].weights, models[-1].bias, models[-1].moves, calibrated(a, np.log1p(b), truth))
+
+
+def _left_out(rows: DataFrame, models: list[Field]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Largest and total marginal of each labelled text by the field of its fold, and its label."""
+    shared = rows.sparkSession.sparkContext.broadcast([(m.weights, m.bias, m.moves, m.scale) for m in models])
+
+    def run(batches):
+        own = [Field(*x) for x in shared.value]
+        for batch in slices(batches):
+            p = [own[k].tagged(t)[1] for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array([max(x, default=0.0) for x in p], pa.float64()), pa.array([float(sum(x)) for x in p], pa.float64()), batch.column(2)], names=["largest", "total", "y"])
+
+    got = rows.select("text", "fold", "y").mapInArrow(leanly(run), "largest double, total double, y int").orderBy("largest", "total", "y").toArrow()
+    return tuple(np.asarray(got.column(i).combine_chunks()).astype(float) for i in range(3))
 
 
 def scored(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -292,7 +374,7 @@ def scored(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, (score, largest, total, spans), kinds)], names=["id", "score", "largest", "total", "spans"])
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, score double, largest double, total double, spans array<struct<start: long, end: long, marginal: double>>"
+        leanly(run), f"id {kind}, score double, largest double, total double, spans array<struct<start: long, end: long, marginal: double>>"
     )
     return out.withColumnRenamed("id", id_col)
 
@@ -319,4 +401,4 @@ def clean(docs: DataFrame, model: Field, least: float = 0.5, text_col: str = "te
         for batch in slices(batches):
             yield batch.filter(pa.array([own.score(own.tagged(t)[1]) < least for t in batch.column(place).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(leanly(run), docs.schema)
