@@ -1,12 +1,14 @@
 """Best-fit packing of tokenised documents into sequences of a fixed length, by hierarchical residual packing.
 
 A document is its token ids and one separator. Longer ones are cut into pieces of the full length; only they are cut.
-Groups of pieces are packed on their own by best fit, longest first; bins with at most SLACK places left are final.
-The other bins become items of the next round, in which FAN groups meet, until one group is left. A group hands on at
-most CARRY bins, the emptiest, and emits the rest as they are, so that no group grows with the input.
+Groups of about ITEMS pieces are packed on their own by best fit, longest first; bins with at most SLACK places left are
+final. All other bins become items of the next round, in which neighbouring groups merge: up to FAN of them, but into no
+fewer groups than hold ITEMS bins each, so that none grows with the input. Rounds go on until one group is left, or
+until a round puts fewer than one in a hundred bins into another (where most bins are over half full, say); its bins are final.
 
 Defined results: a null text is an empty one, whose only id is the separator; rows are pieces of their own even if
-they repeat; a null id is kept; other columns are ignored; an empty table gives no rows.
+they repeat; a null id is kept; a very long text gives as many pieces as it needs; other columns, whatever their names, are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import slices, written
+from .common import leanly, slices, written
 
-SLACK, CARRY, FAN, ITEMS = 4, 512, 8, 2048
+SLACK, FAN, ITEMS, GAIN = 4, 8, 2048, 0.01
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -47,7 +49,7 @@ def pieces(docs: DataFrame, size: int = 2048, separator: int = 0, tokenizer: str
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)][: 5 + with_ids], names=names[: 5 + with_ids])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, PIECE + ", ids binary" * with_ids)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(leanly(run, tokens.encoder), PIECE + ", ids binary" * with_ids)
 
 
 def best_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,8 +81,7 @@ def _packed(pdf: pd.DataFrame, size: int, last: bool, level: int) -> pd.DataFram
     used = np.bincount(bins, lengths).astype(np.int64)
     final = np.ones(len(used), bool)
     if not last:
-        open_ = np.flatnonzero(size - used > SLACK)
-        final[open_[np.argsort(used[open_], kind="stable")][:CARRY]] = False
+        final = size - used <= SLACK
     number = (level << 56) + (int(pdf["cell"].iloc[0]) << 20) + bins[first]
     return pdf.assign(bin=number, offset=pdf["offset"].to_numpy() + places[first], final=final[bins[first]])
 
@@ -91,7 +92,8 @@ def _packer(size: int, last: bool, level: int):
 
 def packed(parts: DataFrame, size: int = 2048) -> DataFrame:
     """The pieces with sequence_id and offset; parts is a written table with a column length of at most size."""
-    cells = max(1, -(-parts.count() // ITEMS))
+    bins = parts.count()
+    cells = max(1, -(-bins // ITEMS))
     at = F.monotonically_increasing_id()
     todo = parts.withColumns({"bin": at, "cell": F.pmod(F.xxhash64(at), F.lit(cells)), "offset": F.lit(0).cast("long"), "final": F.lit(False)})
     done, level = [], 0
@@ -101,8 +103,13 @@ def packed(parts: DataFrame, size: int = 2048) -> DataFrame:
         done.append(now.where("final"))
         if cells == 1:
             break
-        cells = -(-cells // FAN)
-        todo = now.where("not final").withColumn("cell", F.expr(f"cell div {FAN}"))
+        rest = now.where("not final")
+        left = rest.where("offset = 0").count()  # a bin has one row there
+        if left > (1 - GAIN) * bins:
+            done.append(rest)
+            break
+        fewer = max(1, -(-cells // FAN), -(-left // ITEMS))
+        todo, bins, cells = rest.withColumn("cell", F.expr(f"cell * {fewer} div {cells}")), left, fewer
     out = done[0]
     for more in done[1:]:
         out = out.union(more)
