@@ -2,14 +2,16 @@
 
 Words and runs of signs of a text, lower-cased, and their pairs are hashed to SLOTS slots. The raw model counts them
 over all documents, the target model over labelled documents of good quality (at most about SAMPLE of them). A text's
-log weight is the mean log ratio of the two models over its n-grams, times SHARPNESS, so that length decides nothing.
+log weight is the log of the ratio of its probabilities under the two models: the sum over its n-grams of their log ratios. (With
+per_gram it is the mean times per_gram, for a sample in which length decides nothing.)
 Sampling without replacement in proportion to the weights keeps the k largest keys 'log weight + Gumbel noise';
 the noise is a hash of id and seed, so that a retried task draws the same. The k-th key is found by counting in ever
 narrower intervals; neither a sort of all keys nor a limit meets in one task.
 
 Defined results: null and empty texts have weight 0 (no evidence); without labels of good quality all weights are 0;
-rows that repeat an id share its noise; ties at the k-th key go to smaller ids, rows without an id last; an empty table
-gives no rows.
+rows that repeat an id share its noise, rows without an id have their own, by their place in the scan; where the k-th key belongs to several rows,
+smaller ids stay first, and of rows with one id those that stand first in the table of weights; very long texts are read whole; an empty table
+gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -22,22 +24,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bitmap, may_hold, slices, written
+from .common import Cache, id_bitmap, leanly, may_hold, slices, written
 
-SLOTS, SAMPLE, SHARPNESS, SMOOTH = 10_000, 20_000, 64.0, 1.0
-WORDS_KEPT = 150_000
+SLOTS, SAMPLE, SMOOTH = 10_000, 20_000, 1.0
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
-class _Words(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
-
-
-_words = _Words()
+_words = Cache(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")))
 
 
 def slots(text: str | None) -> np.ndarray:
@@ -53,13 +46,12 @@ def _counted(texts: DataFrame) -> np.ndarray:
     def run(batches):
         total = np.zeros(SLOTS, np.int64)
         for batch in slices(batches):
-            for t in batch.column(0).to_pylist():
-                total += np.bincount(slots(t), minlength=SLOTS)
+            total += np.bincount(np.concatenate([slots(t) for t in batch.column(0).to_pylist()]), minlength=SLOTS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
 
     out = np.zeros(SLOTS)
-    for r in texts.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # at most SLOTS rows
+    for r in texts.mapInArrow(leanly(run), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # at most SLOTS rows
         out[r.slot] = r.n
     return out
 
@@ -79,37 +71,33 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return np.log(target / target.sum()) - np.log(raw / raw.sum()), good / size.n
 
 
-def weighted(docs: DataFrame, ratio: np.ndarray, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def weighted(docs: DataFrame, ratio: np.ndarray, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", per_gram: float | None = None) -> DataFrame:
     """id_col, log_weight and key (with noise) of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches):
         for batch in slices(batches):
-            w = [float(shared.value[s].mean() * SHARPNESS) if len(s := slots(t)) else 0.0 for t in batch.column(1).to_pylist()]
+            own = [shared.value[slots(t)] for t in batch.column(1).to_pylist()]
+            w = [float(x.sum() if per_gram is None else x.mean() * per_gram) if len(x) else 0.0 for x in own]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(w, pa.float64())], names=["id", "log_weight"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, log_weight double")
-    u = (F.pmod(F.xxhash64("id", F.lit(seed)), F.lit((1 << 52) - 1)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(leanly(run), f"id {kind}, log_weight double")
+    drawn = F.when(F.col("id").isNotNull(), F.xxhash64("id", F.lit(seed))).otherwise(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed), F.lit("place")))
+    u = (F.pmod(drawn, F.lit((1 << 52) - 1)) + F.lit(0.5)) / F.lit(float(1 << 52))
     return out.withColumn("key", F.col("log_weight") - F.log(-F.log(u))).withColumnRenamed("id", id_col)
 
 
-def top_k(rows: DataFrame, k: int, key: str = "key", tie: str = "doc_id", enough: int = 4096) -> DataFrame:
-    """The k rows of a written table with the largest keys (finite numbers); ties by the smaller tie column."""
-    ends = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count("*").alias("n")).first()
-    if k >= ends.n:
-        return rows
-    if k <= 0:
-        return rows.limit(0)
+def _edge(rows: DataFrame, k: int, key: str, enough: int) -> tuple[float, int]:
+    """The k-th largest key of 0 < k < n, and how many rows are beyond it: by counts in ever narrower intervals."""
+    ends = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     lo, hi, above = ends.lo, ends.hi, 0  # the k-th key is in [lo, hi], above rows are beyond hi
     while True:
-        inside = rows.where(F.col(key).between(lo, hi))
         step = (hi - lo) / 1024
         if not step or lo + step <= lo:
-            edge = lo
-            break
+            return lo, above
         place = F.least(F.lit(1023), F.floor((F.col(key) - lo) / step).cast("int"))
-        counts = inside.groupBy(place.alias("at")).agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).orderBy(F.desc("at")).collect()
+        counts = rows.where(F.col(key).between(lo, hi)).groupBy(place.alias("at")).agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).orderBy(F.desc("at")).collect()
         for r in counts:
             if above + r.n >= k:
                 break
@@ -117,15 +105,31 @@ def top_k(rows: DataFrame, k: int, key: str = "key", tie: str = "doc_id", enough
         lo, hi = r.lo, r.hi
         if r.n <= enough:
             keys = sorted((x[0] for x in rows.where(F.col(key).between(lo, hi)).select(key).collect()), reverse=True)
-            edge = keys[k - above - 1]
-            above += sum(x > edge for x in keys)
+            return keys[k - above - 1], above + sum(x > keys[k - above - 1] for x in keys)
+
+
+def top_k(rows: DataFrame, k: int, key: str = "key", tie: str = "doc_id", enough: int = 4096) -> DataFrame:
+    """The k rows of a written table with the largest keys (finite numbers); ties by the smaller tie column, nulls last."""
+    n = rows.count()
+    if k >= n or k <= 0:
+        return rows if k > 0 else rows.where("false")
+    edge, above = _edge(rows, k, key, enough)
+    sure, level = rows.where(F.col(key) > edge), written(rows.where(F.col(key) == edge).withColumn("_at", F.monotonically_increasing_id()), "ties")
+    missing, taken, last = k - above, 0, None
+    for last in level.groupBy(tie).agg(F.count("*").alias("n")).orderBy(F.asc_nulls_last(tie)).limit(missing).collect():  # ids of one key: few, as keys are draws by id
+        if taken + last.n >= missing:
             break
-    sure = rows.where(F.col(key) > edge)
-    return sure.union(rows.where(F.col(key) == edge).orderBy(F.asc_nulls_last(tie)).limit(k - sure.count()))
+        taken += last.n
+    before = F.col(tie).isNotNull() if last[tie] is None else F.col(tie) < F.lit(last[tie])
+    own = level.where(F.col(tie).eqNullSafe(F.lit(last[tie])))
+    if taken + last.n > missing:  # some of the rows with one id: those that stand first
+        place, _ = _edge(own.withColumn("_back", -F.col("_at").cast("double")), missing - taken, "_back", enough)
+        own = own.where(F.col("_at") <= -place)
+    return sure.union(level.where(before).drop("_at")).union(own.drop("_at"))
 
 
-def resampled(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def resampled(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", per_gram: float | None = None) -> DataFrame:
     """A sample of share of the rows of docs (as many as labels call good, by default): id_col, log_weight, key."""
     ratio, good = fit(docs, labels, id_col, text_col)
-    rows = written(weighted(docs, ratio, seed, id_col, text_col), "weights")
+    rows = written(weighted(docs, ratio, seed, id_col, text_col, per_gram), "weights")
     return top_k(rows, round((good if share is None else share) * rows.count()), tie=id_col)
