@@ -64,6 +64,13 @@ CASES = [
     ("a < b and <unclosed", "a < b and <unclosed"),
     ("<p>x</p", "x"),
     ("<div title=\"a > b\">in</div>", "in"),
+    ("x <math><mi>a</mi><mo>+</mo><mn>1</mn><annotation>no</annotation></math> y", "x a+1 y"),
+    ("<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><text>left</text><text>right</text></svg>", "left\nright"),
+    ("<object>stand-in</object> <video>clip</video> <audio>song</audio> <canvas>plot</canvas>", "stand-in clip song plot"),
+    ("<div style='visibility:hidden'>no <b style='visibility:visible'>yes</b> no<p style='VISIBILITY: Visible'>too</div>", "yes\n\ntoo"),
+    ("<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>yes</table>", "  yes"),
+    ("<dialog>no</dialog><dialog open>yes</dialog><ruby>x<rp>(</rp><rt>y</rt><rp>)</rp></ruby>", "yes\nxy"),
+    ("<table><tr><td colspan=5000>wide<tr><td>a<td>b</table>", "wide\na  b"),
 ]
 
 
@@ -72,6 +79,22 @@ def test_layout(page, text):
     assert html.text_of(page).replace("</p", "") == text
 
 
+def test_bounds_of_a_layout_lose_no_text():
+    page = "<ul>" + "<li><b>x<table><tr><td>" * 30 + "deep" + "<td>" + "w" * 200 + "<td>end"
+    words = re.findall(r"\w+", html.text_of(page))
+    for layout in (html.Layout(depth=5), html.Layout(nested=0), html.Layout(padded=None), html.Layout(padded=1, span=1)):
+        assert re.findall(r"\w+", html.text_of(page, layout)) == words
+    row = f"<table><tr><td>{'w' * 200}<td>a<tr><td>b<td>c</table>"
+    assert html.text_of(row, html.Layout(padded=None)) == "w" * 200 + "  a\nb" + " " * 201 + "c" != html.text_of(row)
+
+
+def test_a_very_long_page(spark):
+    page = "<p>" + "some words " * 50_000 + "<ul>" + "<li>item" * 20_000 + "</ul>end"
+    docs = spark.createDataFrame([(1, page, 0)], "page_id long, html string, id int")
+    text = html.extracted(docs).first().text
+    assert text.count("item") == 20_000 and text.count("some words") == 50_000 and text.endswith("end")
+
+
 def test_hostile_pages_end():
     for page in ("<div>" * 200_000 + "x", "<b>" * 50_000 + "<p>" * 50_000 + "x", "<table>" * 3000 + "x", '<a "' * 3000, "<" * 100_000, "<li>" * 20_000, "&" * 100_000, "<td>" * 20_000, "<!--" * 20_000, "<script>" * 1000):
         html.text_of(page)

@@ -1,38 +1,52 @@
 """Layout-aware rendering of HTML: a tree builder with implied tags, visibility rules, and text laid out in lines.
 
 The builder closes elements whose end tags may be left out (paragraphs, list items, table parts, options) and ignores
-stray end tags; nesting beyond DEPTH is flattened. Hidden are: head, script, style, template, noscript and embedded
-objects, comments, elements with the attribute hidden, with display:none or visibility:hidden in their style, hidden
-inputs, and all of a closed details element but its summary. All other text is emitted. Blocks begin new lines, spaced
+stray end tags. Hidden are: head, script, style, template, noscript, frames' fallback, definitions and descriptions of drawings, comments, elements
+with the attribute hidden or display:none in their style, hidden inputs, closed dialogs, and all of a closed details element but its
+summary; also what has visibility:hidden, but for elements within it that are visible again. All other text is emitted, with that of
+formulas and drawings and what stands in for objects, sound and pictures. Blocks begin new lines, spaced
 blocks have a blank line around them, list items get a marker and an indent, pre keeps its lines, and the cells of a
-table's rows stand in columns of equal width (cells wider than PADDED are not padded), with rows and columns spanned.
+table's rows stand in columns of equal width, with rows and columns spanned; text of a table outside of its cells comes before them.
+
+The bounds of a layout are parameters (Layout) and lose no text: elements nested deeper than depth are siblings, tables deeper
+than nested are laid out as blocks, cells wider than padded (if set) are not padded, and spans beyond span count as that many columns.
 
 Defined results: null and empty pages give an empty text; a page without tags is its own text with white space
-collapsed; repeated rows get equal texts; other columns are ignored.
+collapsed; very long pages are read whole; repeated rows get equal texts; an empty table gives no rows; other columns, whatever their
+names, are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import leanly, slices
+
+
+@dataclass(frozen=True)
+class Layout:
+    depth: int = 500
+    padded: int | None = 60
+    nested: int = 12
+    span: int = 1000
+
 
-DEPTH, PADDED, NESTED, SPAN = 500, 60, 12, 200
 _TAG = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,65536}+\"|'[^']{0,65536}+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_NONE, _VISIBILITY = re.compile(r"display\s*:\s*none", re.I), re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript template".split())
-HIDDEN = set("head script style title template noscript iframe noembed noframes object audio video canvas svg math datalist".split())
+HIDDEN = set("head script style title template noscript iframe noembed noframes datalist rp defs desc metadata annotation annotation-xml".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure article section fieldset hr menu".split())
-BLOCK = SPACED | set("html body div address aside header footer main nav li dt dd tr caption form details summary figcaption legend option center td th thead tbody tfoot".split())
+BLOCK = SPACED | set("html body div address aside header footer main nav li dt dd tr caption form details summary figcaption legend option center td th thead tbody tfoot dialog text".split())
 #: An element that begins closes the open ones named first, if they stand above the ones named second.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "table"}),
@@ -46,22 +60,24 @@ IMPLIED = {
     "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
 }
-CLOSES_P = BLOCK - {"td", "th", "tr", "caption", "thead", "tbody", "tfoot", "option", "legend", "html", "body"}
+CLOSES_P = BLOCK - {"text", "td", "th", "tr", "caption", "thead", "tbody", "tfoot", "option", "legend", "html", "body"}
 IN_HEAD = set("base link meta title style script template noscript".split())
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "hidden")
+    __slots__ = ("tag", "attributes", "children", "hidden", "seen")
 
     def __init__(self, tag: str, attributes: str = "") -> None:
         self.tag, self.attributes, self.children = tag, attributes, []
-        self.hidden = tag in HIDDEN or bool(attributes) and self._unseen()
-
-    def _unseen(self) -> bool:
-        own = self.attributes.lower()
-        if "hidden" not in own and "display" not in own:
-            return False
-        return self.get("hidden") is not None or bool(_UNSEEN.search(self.get("style") or "")) or self.tag == "input" and self.get("type") == "hidden"
+        self.hidden, self.seen = tag in HIDDEN, None  # seen: None as around it
+        own = attributes.lower() if attributes else ""
+        if "hidden" in own or "display" in own or "visibility" in own:
+            style = self.get("style") or ""
+            self.hidden |= self.get("hidden") is not None or bool(_NONE.search(style)) or tag == "input" and self.get("type") == "hidden"
+            if found := _VISIBILITY.findall(style):
+                self.seen = found[-1].lower() == "visible"
+        if tag == "dialog":
+            self.hidden |= self.get("open") is None
 
     def get(self, name: str) -> str | None:
         for key, value in _ATTRIBUTE.findall(self.attributes):
@@ -71,8 +87,8 @@ class Node:
 
 
 class _Builder:
-    def __init__(self) -> None:
-        self.root = Node("html")
+    def __init__(self, depth: int) -> None:
+        self.root, self.depth = Node("html"), depth
         self.stack, self.open = [self.root], {"html": 1}
 
     def _pop(self) -> None:
@@ -93,7 +109,9 @@ class _Builder:
         if self.open.get("head") and tag not in IN_HEAD and tag != "head":
             self._close({"head"}, set())
         if tag in ("html", "body"):
-            self.root.hidden |= Node(tag, attributes).hidden
+            own = Node(tag, attributes)
+            self.root.hidden |= own.hidden
+            self.root.seen = self.root.seen if own.seen is None else own.seen
             return
         if tag in CLOSES_P:
             self._close({"p"}, {"table", "td", "th", "caption", "button"})
@@ -103,9 +121,11 @@ class _Builder:
                 self._close(tags if tag not in ("thead", "tbody", "tfoot") else tags | {"tr", "td", "th"}, within)
         node = Node(tag, attributes)
         self.stack[-1].children.append(node)
-        if tag not in VOID and len(self.stack) < DEPTH:
+        if tag not in VOID and len(self.stack) < self.depth:
             self.stack.append(node)
             self.open[tag] = self.open.get(tag, 0) + 1
+        elif tag in BLOCK:
+            self.stack[-1].children.append(" ")  # its text, which follows as a sibling, stays apart
 
     def end(self, tag: str) -> None:
         if tag not in ("html", "body"):
@@ -118,8 +138,8 @@ class _Builder:
             self.stack[-1].children.append(unescape(text) if "&" in text else text)
 
 
-def parsed(page: str) -> Node:
-    own, at = _Builder(), 0
+def parsed(page: str, depth: int = Layout.depth) -> Node:
+    own, at = _Builder(depth), 0
     while m := _TAG.search(page, at):
         own.text(page[at : m.start()])
         at = m.end()
@@ -169,13 +189,15 @@ def _number(value: str | None, most: int, least: int = 1) -> int:
     return max(least, min(most, int(value))) if value and value.isascii() and value.isdigit() and len(value) < 10 else least
 
 
-def rendered(root: Node, level: int = 0) -> list[str]:
+def rendered(root: Node, layout: Layout = Layout(), level: int = 0, seen: bool = True) -> list[str]:
     out, pre = _Lines(), 0
-    stack: list[tuple] = [(root, 0)]
+    stack: list[tuple] = [(root, 0, seen)]
     lists: list[list] = []
     while stack:
-        node, state = stack.pop()
+        node, state, seen = stack.pop()
         if isinstance(node, str):
+            if not seen:
+                continue
             if pre:
                 head, *rest = node.split("\n")
                 out.parts.append(head)
@@ -189,6 +211,7 @@ def rendered(root: Node, level: int = 0) -> list[str]:
         if state == 0:
             if node.hidden:
                 continue
+            seen = seen if node.seen is None else node.seen
             if tag == "br":
                 if any(p.strip() for p in out.parts):
                     out.flush()
@@ -199,11 +222,12 @@ def rendered(root: Node, level: int = 0) -> list[str]:
                 out.flush()
                 out.gap |= tag in SPACED and not (lists and tag in ("ul", "ol", "menu"))
             if tag == "hr":
-                out.put("-" * 8)
+                if seen:
+                    out.put("-" * 8)
                 out.gap = True
                 continue
-            if tag == "table" and level < NESTED:
-                for line in _table(node, level):
+            if tag == "table" and level < layout.nested:
+                for line in _table(node, layout, level, seen):
                     out.put(line)
                 out.gap = True
                 continue
@@ -219,11 +243,11 @@ def rendered(root: Node, level: int = 0) -> list[str]:
             elif tag in ("td", "th"):
                 out.parts.append(" ")
             pre += tag in ("pre", "textarea", "xmp")
-            stack.append((node, 1))
+            stack.append((node, 1, seen))
             children = node.children
             if tag == "details" and node.get("open") is None:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
-            stack.extend((c, 0) for c in reversed(children))
+            stack.extend((c, 0, seen) for c in reversed(children))
             continue
         if tag in ("pre", "textarea", "xmp"):
             pre -= 1
@@ -244,23 +268,26 @@ def rendered(root: Node, level: int = 0) -> list[str]:
     return out.lines
 
 
-def _table(table: Node, level: int) -> list[str]:
+def _table(table: Node, layout: Layout, level: int, seen: bool) -> list[str]:
     """Caption lines, then the rows: cells in columns of equal width, two spaces apart; loose text keeps its place before."""
-    loose, rows, todo = Node("div"), [], [table]
+    loose, rows, todo = Node("div"), [], [(table, seen)]
     while todo:
-        for c in (node := todo.pop()).children:
+        node, shown = todo.pop()
+        for c in node.children:
             if isinstance(c, str):
                 loose.children.append(c)
-            elif c.hidden:
                 continue
-            elif c.tag in ("thead", "tbody", "tfoot"):
-                todo.insert(0, c)
+            if c.hidden:
+                continue
+            own = shown if c.seen is None else c.seen
+            if c.tag in ("thead", "tbody", "tfoot"):
+                todo.insert(0, (c, own))
             elif c.tag == "tr" or c.tag in ("td", "th") and node.tag != "tr":
-                rows.append(c)
+                rows.append((c, own))
             else:
                 loose.children.append(c)
     grid, taken = [], {}
-    for r, row in enumerate(rows):
+    for r, (row, shown) in enumerate(rows):
         cells, col = {}, 0
         for c in row.children if row.tag == "tr" else [row]:
             if isinstance(c, str) or c.tag not in ("td", "th"):
@@ -268,9 +295,9 @@ def _table(table: Node, level: int) -> list[str]:
                 continue
             while taken.get(col, 0) > r:
                 col += 1
-            wide = _number(c.get("colspan"), SPAN)
+            wide = _number(c.get("colspan"), layout.span)
             if not c.hidden:
-                cells[col] = (wide, rendered(_flow(c), level + 1))
+                cells[col] = (wide, rendered(_flow(c), layout, level + 1, shown if c.seen is None else c.seen))
             if (tall := _number(c.get("rowspan"), 10_000)) > 1:
                 taken.update((x, r + tall) for x in range(col, col + wide))
             col += wide
@@ -279,8 +306,9 @@ def _table(table: Node, level: int) -> list[str]:
     for cells in grid:
         for col, (wide, lines) in cells.items():
             if wide == 1:
-                widths[col] = max(widths.get(col, 0), min(PADDED, max(map(len, lines), default=0)))
-    out = rendered(loose, level + 1)
+                own = max(map(len, lines), default=0)
+                widths[col] = max(widths.get(col, 0), own if layout.padded is None else min(layout.padded, own))
+    out = rendered(loose, layout, level + 1, seen)
     for cells in grid:
         for k in range(max((len(lines) for _, lines in cells.values()), default=0)):
             line, end = "", 0
@@ -300,18 +328,18 @@ def _flow(cell: Node) -> Node:
     return own
 
 
-def text_of(page: str | None) -> str:
-    return "\n".join(rendered(parsed(page))) if page else ""
+def text_of(page: str | None, layout: Layout = Layout()) -> str:
+    return "\n".join(rendered(parsed(page, layout.depth), layout)) if page else ""
 
 
-def extracted(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+def extracted(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", layout: Layout = Layout()) -> DataFrame:
     """id_col, text and n_lines of each page."""
 
     def run(batches):
         for batch in slices(batches):
-            texts = [text_of(p) for p in batch.column(1).to_pylist()]
+            texts = [text_of(p, layout) for p in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array([t.count("\n") + 1 if t else 0 for t in texts], pa.int64())], names=["id", "text", "n_lines"])
 
     kind = pages.schema[id_col].dataType.simpleString()
     own = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html"))
-    return own.mapInArrow(run, f"id {kind}, text string, n_lines long").withColumnRenamed("id", id_col)
+    return own.mapInArrow(leanly(run), f"id {kind}, text string, n_lines long").withColumnRenamed("id", id_col)
