@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
+from pyspark.sql import functions as F
 from tidepanel.llm import pii, queries
 
 
@@ -58,6 +60,49 @@ def test_odd_texts_and_columns(spark, tmp_path):
     assert queries.op7_pii_spans(spark, empty).count() == 0
 
 
+def test_many_matches_in_one_text(spark):
+    texts = [f"{'a1 ' * n}me@site.example.com 10.0.0.1 " * 3 + "x@y.zz " * n for n in (0, 1, 127, 128, 129, 255, 256, 257, 5000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "doc_id long, text string")
+    found = pii.personal_data(docs)
+    for r in found.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.BASE], pii.joined("_base").alias("base"), pii.joined("spans").alias("spans")).collect():
+        assert r.base == ",".join(f"{k}:{s}:{e}" for s, _, e, k in plain(texts[r.doc_id]))
+
+
+def test_spans_that_the_model_adds(spark):
+    """Keys beside a naming word teach the trees to take keys of that look without one, and to leave words alone."""
+    rng = random.Random(4)
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(30))
+    texts = [f'first token = "{key()}" then' for _ in range(300)] + [f"such a {word()} is no key" for _ in range(300)] + [f'other = "{key()}" 10.0.0.1' for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.spans for r in pii.personal_data(docs).select("doc_id", pii.joined("spans").alias("spans")).collect()}
+    for i, t in enumerate(texts):
+        want = [f"secret:{m.start()}:{m.end()}" for m in re.finditer(r"(?<=\")[0-9a-f]{40}", t)] + [f"ip:{m.start()}:{m.end()}" for m in re.finditer(r"10\.0\.0\.1", t)]
+        assert out[i] == ",".join(want), t
+
+
+def test_chosen_spans_against_plain_trees(spark, sf_dir):
+    """The SQL of the trees, limits, overlaps and order against the same model walked through in Python."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = pii.written(pii.candidates(pii.base_spans(docs.select("doc_id", "text"))).select("doc_id", *pii.BASE, "candidates"), "candidates")
+    rows = [tuple(int(rng.random() * 4) for _ in pii.FEATURES) for rng in [random.Random(i) for i in range(60)]]
+    trees, score = [], [0.0] * 60
+    data = [(r, 10.0, float(10 * (sum(r) % 2))) for r in rows]
+    for _ in range(3):
+        trees.append(pii._grow(data, score))
+        score = [s + pii._value(trees[-1], r) for s, r in zip(score, rows)]
+    model = "(0.1D" + "".join(f" + {pii._sql(t)}" for t in trees) + ")", {1: 0.05, 4: 0.0, 5: 0.1, 6: -9.0, 7: -9.0}
+    for r in pii.chosen(found, model).select("doc_id", "candidates", "_base", "spans").collect():
+        base = [(b.start, b.kind, b.end) for b in r._base]
+        value = lambda x: 0.1 + sum(pii._value(t, tuple(x[f] for f in pii.FEATURES)) for t in trees)
+        more, to = [], 0
+        for x in sorted(((x.start, x.kind, x.end) for x in r.candidates if value(x) >= model[1][x.kind] - 1e-7)):
+            if not any(s < x[2] and x[0] < e for s, _, e in base) and x[0] >= to:
+                more.append(x)
+                to = x[2]
+        assert [(s.start, s.kind, s.end) for s in r.spans] == sorted(base + more)
+
+
 def test_redaction(spark):
     texts = ["write me@site.example.com or +1 (743) 555-3824 now", "nothing here", None, "ip 10.0.0.1."]
     docs = spark.createDataFrame([(i, t, "en", 7) for i, t in enumerate(texts)], "doc_id long, text string, lang string, spans int")

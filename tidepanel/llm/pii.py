@@ -5,14 +5,16 @@ of the pieces between the marks add up to code-point offsets. Patterns use posse
 only, so they take linear time and no stack on long texts; they find the same matches as the plain patterns in BASE.
 
 Generators with high recall propose candidates (KINDS beyond the base ones, and near misses of these). Each candidate
-has a strict check of its own generator (checksum, ranges, a naming word before it); the trees learn from format and
-context features, in bins, what passing candidates look like. What is gathered for fitting is the count of each
-combination of bins (at most COMBINATIONS of them, the commonest), over all documents. Half of the documents fit the
+has a strict check of its own generator (checksum, ranges, a naming word before it). The trees learn from format and
+context features, in bins, what passing candidates look like; the words that name a thing are not among the features, so that a
+candidate which looks like the named ones passes without a name. What is gathered for fitting is the count of each
+combination of bins over all documents; there are at most as many as the product of the bins, whatever the input. Half of the combinations' documents fit the
 trees, the other half calibrates: per generator, the least score from which on the share of passing candidates is at
 least PRECISION. Chosen spans that overlap no base span are added.
 
 Defined results: a null text is an empty one, with no spans and the hash of an empty string; private-use characters
-in a text never match; repeated rows get equal results; other columns are ignored.
+in a text never match; very long texts are searched whole; repeated rows get equal results; an empty table gives no rows; other
+columns, whatever their names, are ignored by personal_data() and kept by redacted().
 """
 
 from __future__ import annotations
@@ -42,21 +44,30 @@ _NUMBER = rf"[0-9{JOIN}]{{9,}}+"
 _NATIONAL = r"(?<![0-9A-Za-z])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z])"
 _ACCOUNT = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![0-9A-Za-z])"
 _SECRET = r"(?<![0-9A-Za-z_])[0-9A-Za-z_]{24,128}(?![0-9A-Za-z_])"
-NAMING = r"(?i)(token|key|secret|passw|pwd|phone|tel|call|mobile|card|iban|account|ssn|mail|addr|ip)[^A-Za-z0-9]{0,6}$"
-TREES, RATE, LEAST, PRECISION, COMBINATIONS = 24, 0.3, 5, 0.9, 20_000
-FEATURES = ("gen", "digits", "letters", "gaps", "round", "dots", "before", "after", "named", "kinds")
+ASSIGNED = r"[=:][\"'\x20]{0,3}$"
+#: Items that are folded at a time, so that appending to a long result stays cheap.
+PART = 256
+TREES, RATE, LEAST, PRECISION = 24, 0.3, 5, 0.9
+FEATURES = ("gen", "digits", "letters", "gaps", "round", "dots", "before", "after", "assigned", "kinds")
 _SPAN = "array<struct<start: int, end: int, word: string>>"
 
 
+def _folded(items: str, kind: str, step: str, end: str = "s -> flatten(s.out)") -> str:
+    """SQL: the array items folded by step, an expression of the item x and of a (at, odd, and out: an array of kind)."""
+    start = lambda at, odd, kind: f"named_struct('at', {at}, 'odd', {odd}, 'out', cast(array() as array<{kind}>))"
+    part = f"aggregate(part, {start('s.at', 's.odd', kind)}, (a, x) -> {step})"
+    parts = f"transform(array({items}), p -> transform(sequence(0, greatest(size(p) - 1, 0) div {PART}), g -> slice(p, {PART} * g + 1, {PART})))[0]"
+    return f"""aggregate({parts}, {start(0, "false", f"array<{kind}>")}, (s, part) ->
+        transform(array({part}), r -> named_struct('at', r.at, 'odd', r.odd, 'out', array_append(s.out, r.out)))[0], {end})"""
+
+
 def _matches(text: str, pattern: str) -> Column:
     """Spans of a pattern's matches in a column without MARK."""
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    return F.expr(
-        f"""aggregate(split(regexp_replace({text}, '{quoted}', '{MARK}$0{MARK}'), '{MARK}', -1),
-            named_struct('at', 0, 'odd', false, 'out', cast(array() as {_SPAN})),
-            (a, p) -> named_struct('at', a.at + length(p), 'odd', not a.odd, 'out',
-                if(a.odd, array_append(a.out, named_struct('start', a.at, 'end', a.at + length(p), 'word', p)), a.out)), a -> a.out)"""
-    )
+    pieces = f"split(regexp_replace({text}, '{quoted}', '{MARK}$0{MARK}'), '{MARK}', -1)"
+    step = """named_struct('at', a.at + length(x), 'odd', not a.odd, 'out',
+        if(a.odd, array_append(a.out, named_struct('start', a.at, 'end', a.at + length(x), 'word', x)), a.out))"""
+    return F.expr(_folded(pieces, "struct<start: int, end: int, word: string>", step))
 
 
 def _where(condition: str, spans: Column) -> Column:
@@ -117,6 +128,7 @@ def candidates(base: DataFrame) -> DataFrame:
         out = out.withColumn(f"_g{gen}", _where(condition, _matches(text, pattern)))
     near = "substring(_t, greatest(1, x.start - 15), least(x.start, 16))"
     count = lambda what: f"length(regexp_replace(x.word, '[^{what}]', ''))"
+    assigned = ASSIGNED.replace("\\", "\\\\").replace("'", "\\'")
     parts = []
     for gen, (*_, check) in checks.items():
         features = {
@@ -128,7 +140,7 @@ def candidates(base: DataFrame) -> DataFrame:
             "dots": _bin(count("."), 1, 3, 4),
             "before": _char("substring(_t, x.start, if(x.start = 0, 0, 1))"),
             "after": _char("substring(_t, x.end + 1, 1)"),
-            "named": f"int({near} rlike '{NAMING}')",
+            "assigned": f"int({near} rlike '{assigned}')",
             "kinds": _bin("size(array_distinct(split(x.word, '')))", 4, 8, 12),
         }
         fields = ", ".join(f"'{k}', int({v})" for k, v in features.items())
@@ -195,7 +207,7 @@ def fit(found: DataFrame) -> tuple[str, dict[int, float]]:
     each = found.where("size(candidates) > 0").select(F.pmod(F.xxhash64(F.col("candidates")), F.lit(2)).cast("int").alias("half"), F.explode("candidates").alias("x"))
     names = [f"x.{f}" for f in FEATURES]
     table = each.groupBy("half", *names).agg(F.count("*").alias("n"), F.sum(F.col("x.good").cast("int")).alias("good"))
-    got = [tuple(r) for r in table.orderBy(F.desc("n"), "half", *FEATURES).limit(COMBINATIONS).collect()]
+    got = [tuple(r) for r in table.orderBy("half", *FEATURES).collect()]  # a row a combination of bins
     halves = [[(r[1:-2], float(r[-2]), float(r[-1])) for r in got if r[0] == k] for k in (0, 1)]
     if not halves[0]:
         return "-99D", {}
@@ -225,8 +237,7 @@ def chosen(found: DataFrame, model: tuple[str, dict[int, float]]) -> DataFrame:
     out = found.withColumn("_base", F.expr(f"array_sort({base})"))
     out = out.withColumn("_more", F.expr(f"filter({passing}, x -> not exists(_base, b -> b.start < x.end and x.start < b.end))"))
     ordered = "array_sort(transform(_more, x -> named_struct('start', x.start, 'kind', x.kind, 'end', x.end)))"
-    greedy = f"""aggregate({ordered}, named_struct('to', 0, 'out', slice(_base, 1, 0)), (a, x) -> if(x.start >= a.to,
-        named_struct('to', x.end, 'out', array_append(a.out, x)), a), a -> a.out)"""
+    greedy = _folded(ordered, "struct<start: int, kind: int, end: int>", "if(x.start >= a.at, named_struct('at', x.end, 'odd', a.odd, 'out', array_append(a.out, x)), a)")
     return out.withColumn("spans", F.expr(f"case when size(_more) = 0 then _base else array_sort(concat(_base, {greedy})) end"))
 
 
@@ -249,10 +260,8 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
     row = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), F.col(text_col).alias("_text"))
     fitted = fit(written(candidates(base_spans(row, "_text")).select("candidates"), "candidates"))
     names = ", ".join(f"'[{k}]'" for k in KINDS)
-    new = F.expr(
-        f"""aggregate(spans, named_struct('at', 0, 'out', cast(array() as array<string>)), (a, x) -> if(x.start < a.at, a, named_struct('at', x.end,
-            'out', concat(a.out, array(substring(_text, a.at + 1, x.start - a.at), element_at(array({names}), x.kind + 1))))),
-            a -> concat(array_join(a.out, ''), substring(_text, a.at + 1)))"""
-    )
+    step = f"""if(x.start < a.at, a, named_struct('at', x.end, 'odd', a.odd, 'out',
+        concat(a.out, array(substring(_text, a.at + 1, x.start - a.at), element_at(array({names}), x.kind + 1)))))"""
+    new = F.expr(_folded("spans", "string", step, "s -> concat(array_join(flatten(s.out), ''), substring(_text, s.at + 1))"))
     out = chosen(candidates(base_spans(row, "_text")), fitted).withColumn("_new", F.when(F.expr("size(spans) = 0"), F.col("_text")).otherwise(new))
     return out.select(*[F.col("_new").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in columns])
