@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, html, licenses, neardup, packing, pii, quality, rollup, toxicity
+from . import ann, decontam, html, licenses, neardup, packing, pii, quality, rollup, tokens, toxicity
 from .common import new_path, table, written
 
 
@@ -30,18 +30,19 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op6_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in, those of at most 16 tokens go out again, and a second version counts a separator too.
+    """All documents come in under the word-level vocabulary and those of at most 16 tokens go out again; the rest come in under
+    the byte-level vocabulary too, first with the counts at hand, which a revision then puts right.
 
     Each batch is committed twice, as after a retry; the second time changes nothing.
     """
-    rows = written(rollup.counted(table(spark, sf_dir, "documents")), "counts")
+    rows = written(rollup.counted(table(spark, sf_dir, "documents"), also={"new_tokens": tokens.byte_counts}), "counts")
     own = rollup.Rollup(spark, new_path(spark, "rollup"))
-    short = rows.where("n_tokens <= 16")
+    long = rows.where("n_tokens > 16")
     batches = {
-        "load": rollup.inserts(rows, "1"),
-        "short": rollup.deletes(short, "1"),
-        "copy": rollup.inserts(rows.where("n_tokens > 16"), "2"),
-        "separator": rollup.revisions(rows.where("n_tokens > 16").withColumn("new_tokens", F.expr("n_tokens + 1")), "2"),
+        "load": rollup.inserts(rows, "word_bpe_49k"),
+        "short": rollup.deletes(rows.where("n_tokens <= 16"), "word_bpe_49k"),
+        "copy": rollup.inserts(long, "byte_bpe_50k"),
+        "recount": rollup.revisions(long, "byte_bpe_50k"),
     }
     for name, changes in [*batches.items(), *batches.items()]:
         own.commit(name, changes)
@@ -51,7 +52,7 @@ def op6_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in pii.BASE]
-    return found.select("doc_id", *counts, F.sha2(pii.joined("_base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(pii.joined("_base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
