@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from tidepanel.functions import bigint
 from tidepanel.functions import columns as fc
-from tidepanel.operators import extract, features, metrics, panels, profile, quality, splits
+from tidepanel.operators import extract, features, metrics, panels, profile, quality, ranks, splits
 from tidepanel.sources import files
 from tidepanel.streaming import buckets
 
@@ -165,6 +165,163 @@ def test_drawdown_of_returns_with_total_loss(spark):
     assert [round(r.dd, 9) for r in metrics.drawdowns(df).orderBy("ord").collect()] == [0.0, -0.5, 0.0, -1.0, -1.0]
 
 
+@pytest.mark.parametrize("keys", [[], ["g"]])
+def test_places_by_ranges(spark, monkeypatch, keys):
+    import random
+
+    monkeypatch.setattr(ranks, "SIDE", 3)
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "b", None]), float(rng.randint(0, 40)), rng.randint(1, 9)) for _ in range(300)] + [("one", 3.0, 2), ("a", None, 1)]
+    df = spark.createDataFrame(rows, "g string, x double, w long").groupBy("g", "x").agg(F.sum("w").alias("w"))
+    got = ranks.placed(df if keys else df.groupBy("x").agg(F.sum("w").alias("w")), keys, "x", "w").collect()
+    for r in got:
+        own = [(x, w) for g, x, w in rows if x is not None and (not keys or g == r.g)]
+        assert r._begin == sum(w for x, w in own if x < r.x) and r._n == sum(w for _, w in own)
+    whole = ranks.points(ranks.placed(df, ["g"], "x", "w"), ["g"], "x", {"lo": 0.1, "median": 0.5, "hi": 0.99}, "w").collect()
+    for r in whole:
+        own = sorted(x for g, x, w in rows if g == r.g and x is not None for _ in range(w))
+        for name, share in (("lo", 0.1), ("median", 0.5), ("hi", 0.99)):
+            at = share * (len(own) - 1)
+            low = own[int(at)]
+            assert abs(r[name] - (low + (at - int(at)) * (own[min(int(at) + 1, len(own) - 1)] - low))) < 1e-9
+
+
+def test_parts_of_a_series_change_nothing(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    rows = [(s, i * 3, x if rng.random() > 0.05 else None) for s in "ab" for i in range(150) for x in [rng.uniform(-0.4, 0.5) if s == "a" else rng.uniform(1, 9)]]
+    df = spark.createDataFrame(rows, "series string, ord long, x double")
+    made = lambda: [
+        metrics.returns(df), metrics.drawdowns(df), metrics.drawdowns(df, False), metrics.rolling_volatility(df, 6), metrics.rolling_volatility(df, 6, as_returns=False), metrics.autocorrelation(df, 3), metrics.hurst(df), metrics.drawdown_metrics(df), metrics.performance(df, as_returns=False),
+    ]
+    plain = lambda frames: [sorted(tuple(round(v, 8) if isinstance(v, float) else v for v in r) for r in f.fillna(-99.0).collect()) for f in frames]
+    whole = plain(made())
+    monkeypatch.setattr(ranks, "PART", 13)
+    monkeypatch.setattr(ranks, "SIDE", 2)
+    assert plain(made()) == whole
+    with pytest.raises(ValueError):
+        metrics.rolling_volatility(df, 14)
+
+
+def test_concentration_leaves_negative_values_out(spark):
+    import numpy as np
+
+    values = [-1.0, 1.0, 2.0, 3.0, 0.0, 5.0]
+    r = metrics.shape(spark.createDataFrame([("s", i, x) for i, x in enumerate(values)], "series string, ord int, x double")).first()
+    x = np.sort([v for v in values if v >= 0])
+    n, total = len(x), x.sum()
+    assert abs(r.gini_coefficient - (2 * (np.arange(1, n + 1) * x).sum() / (n * total) - (n + 1) / n)) < 1e-12
+    assert abs(r.herfindahl_index - ((x / total) ** 2).sum()) < 1e-12 and abs(r.top_concentration - 5 / 11) < 1e-12
+    p = x[x > 0] / x[x > 0].mean()
+    assert abs(r.theil_index - (p * np.log(p)).mean()) < 1e-12
+
+
+def test_one_value_is_not_enough(spark):
+    one = spark.createDataFrame([("s", 0, 0.5)], "series string, ord int, x double")
+    assert metrics.shape(one).first().semivariance is None
+    d = metrics.drawdown_metrics(one).first()
+    assert (d.max_drawdown, d.average_drawdown, d.ulcer_index) == (None, None, None)
+    p = metrics.performance(one).first()
+    assert (p.realized_volatility, p.sharpe_ratio, p.sortino_ratio, p.calmar_ratio) == (None, None, None, None)
+
+
+def protocol_frame(spark, **bad):
+    """A sound protocol series of six two-hour buckets, with some cells replaced: column={row: value}."""
+    columns = {"time_bucket": [f"2024-01-01 {h:02d}:00:00.000 UTC" for h in range(0, 12, 2)]}
+    for anchor, amounts, users in quality.FAMILIES.values():
+        columns |= {anchor: [4.0] * 6, **{a: [300.0 if a.endswith("usd") else 0.1] * 6 for a in amounts}, **dict.fromkeys(users, [2.0] * 6)}
+    columns |= {"avg_ltv": [5000.0] * 6, "avg_current_liquidation_threshold": [6000.0] * 6, "avg_total_collateral_base": [9.0] * 6, "avg_total_debt_base": [3.0] * 6, "avg_available_borrows_base": [1.0] * 6, "sampled_user_count": [3.0] * 6, "ordinal": [float(i) for i in range(6)]}
+    for name, cells in bad.items():
+        columns[name] = [cells.get(i, v) for i, v in enumerate(columns[name])]
+    return spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} {'string' if c == 'time_bucket' else 'double'}" for c in columns))
+
+
+def whole(df):
+    stamped = quality.tier0(df).collect()
+    typed = df.withColumn("time_bucket", fc.parsed_time("time_bucket"))
+    return {(r.tier, r.check, r.columns): r.n_fail for r in quality.whole_frame(typed, "2 hours", "ordinal").collect()}, {r.check: r.n_fail for r in stamped}
+
+
+def test_sound_frame_passes(spark):
+    found, stamped = whole(protocol_frame(spark))
+    assert set(found.values()) == {0} and set(stamped.values()) == {0} and {t for t, *_ in found} == {"T0", "T1", "T2", "T3", "T4"}
+
+
+@pytest.mark.parametrize(
+    ("bad", "failing"),
+    [
+        ({"supply_tx_count": {1: 3.5}, "avg_ltv": {0: 0.5}, "sampled_user_count": {0: 0.0}, "ordinal": {3: 9.0}}, {"counts are whole", "basis points are not fractions", "at least two users sampled", "no mean without users", "buckets increase"}),
+        ({"unique_suppliers": {2: None}, "avg_ltv": {0: 10_001.0}, "repay_amount_value_usd": {4: 400.0}}, {"counts are complete", "supply: count, amounts and users agree", "basis points in 0..10000", "avg_ltv <= avg_current_liquidation_threshold", "families imply one price"}),
+        ({"supply_amount_value_usd": {3: -1.0}, "unique_borrowers": {1: 9.0}, "repay_amount_value_eth": {4: 0.0}, "avg_total_debt_base": {3: 3000.0, 4: 3000.0, 5: 3000.0}}, {"not negative", "no sentinel, no unscaled value", "supply: count, amounts and users agree", "unique_borrowers <= borrow_tx_count", "both denominations are there", "repay: count, amounts and users agree", "avg_total_debt_base <= avg_total_collateral_base", "level is stable"}),
+        ({"supply_amount_value_usd": {3: 1e18}, "time_bucket": {3: "2024-01-01 04:00:00.000 UTC"}}, {"no sentinel, no unscaled value", "families imply one price", "bucket is unique", "no bucket is missing", "buckets increase"}),
+        ({"borrow_tx_count": {1: 0.0}, "unique_borrowers": {1: 0.0}, "time_bucket": {3: "2024-01-01 06:30:00.000 UTC"}}, {"borrow: count, amounts and users agree", "bucket is on the grid", "no bucket is missing"}),
+    ],
+)
+def test_broken_frame_fails_where_it_is_broken(spark, bad, failing):
+    found, _ = whole(protocol_frame(spark, **bad))
+    assert {c for (_, c, _), n in found.items() if n} == failing
+
+
+def test_stamps_and_reserve_frame(spark):
+    _, stamped = whole(protocol_frame(spark, time_bucket={2: "2024-01-01 04:00:00", 4: "soon UTC"}))
+    assert stamped["bucket is a UTC timestamp"] == 2
+    rows = [("2024-01-01 00:00:00.000 UTC", "a", 0.1, 1.0), ("2024-01-01 02:00:00.000 UTC", "a", -0.1, 0.9), ("2024-01-01 02:00:00.000 UTC", "a", 0.1, 1.2), ("2024-01-01 03:00:00", "b", None, None)]
+    df = spark.createDataFrame(rows, "time_bucket string, asset string, liquidity_rate double, liquidity_index double")
+    got = {(r.check, r.columns): r.n_fail for r in quality.reserve_frame(df, "2 hours").collect()}
+    assert got["key is unique", "time_bucket,asset"] == 2 and got["bucket is a UTC timestamp", "time_bucket"] == 1 and got["bucket is on the grid", "time_bucket"] == 1
+    assert got["at least 0", "liquidity_rate"] == 1 and got["at least 1", "liquidity_index"] == 1 and got["does not fall within an asset", "liquidity_index"] >= 1
+
+
+def test_batch_and_export(spark, tmp_path):
+    key = ["time_bucket", "asset"]
+    make = lambda rows: spark.createDataFrame(rows, "time_bucket timestamp_ntz, asset string, asset_symbol string, enabled_count long, disabled_count long, unique_enable_users long, unique_disable_users long")
+    good, bad = make([(T0, "a", "A", 2, 1, 1, 1)]), make([(T0, "a", "A", 2, 1, 1, 1), (T0, "a", "B", -1, 1, 9, 1)])
+    results = [quality.validated(df, key, "2024-01-01", "2024-02-01", "2 hours", name) for name, df in (("good", good), ("bad", bad))]
+    status = {r.table: (r.status, r.n_failing) for r in quality.batch(results).collect()}
+    assert status["good"] == ("PASS", 0) and status["bad"][0] == "FAIL" and status["bad"][1] >= 4
+    quality.exported(results[1], f"{tmp_path}/results")
+    stored = spark.read.parquet(f"{tmp_path}/results").where("table = 'bad' and not success").collect()
+    assert {"key is unique", "one symbol per asset", "not negative", "unique_enable_users <= enabled_count"} <= {r.check for r in stored}
+    with pytest.raises(PySparkException):
+        quality.exported(results[1], f"{tmp_path}/results")
+
+
+def test_stored_panels_and_tables(spark, tmp_path):
+    df = spark.range(3)
+    panels.exported({"panel": df, "other": df}, str(tmp_path), "20240101T000000Z")
+    panels.exported({"panel": df.limit(1)}, str(tmp_path), "20240201T000000Z")
+    assert files.load_version(spark, str(tmp_path), "panel").count() == 1 and files.load_version(spark, str(tmp_path), "other").count() == 3
+    with pytest.raises(KeyError):
+        files.load_version(spark, str(tmp_path), "none")
+    for name in ("flows_12_20240101T000000Z", "flows_12_20240301T000000Z", "prices_7_20240101T000000Z"):
+        (tmp_path / f"{name}.csv").write_text("asset,n\n0xab,1\n")
+    labels = {"12": "flows"}
+    assert files.list_tables(spark, str(tmp_path), labels) == {"flows": "flows_12_20240301T000000Z.csv", "query_7": "prices_7_20240101T000000Z.csv"}
+    got = files.load_all(spark, str(tmp_path), {"flows": "asset string, n int", "none": "x int"}, labels)
+    assert set(got) == {"flows"} and got["flows"].count() == 1
+
+
+def test_joins_of_the_transform_jobs_meet(spark, sf_dir):
+    """The right side of each join gives values, so that equal results say something."""
+    from tidepanel.plans.registry import QUERIES
+
+    r = QUERIES["x03_reserve_panel"](spark, sf_dir).agg(F.count("last_borrow_rate").alias("a"), F.count("liquidity_rate").alias("b"), F.count("*").alias("n")).first()
+    assert r.a > 0.2 * r.n and r.b > 0.2 * r.n
+    r = QUERIES["x04_config_on_panel"](spark, sf_dir).agg(F.count("supply_cap_value_usd").alias("a"), F.count("*").alias("n")).first()
+    assert r.a > 0.2 * r.n
+    wide = QUERIES["x09_protocol_panel"](spark, sf_dir)
+    assert len(wide.columns) == 45 and all(wide.agg(*(F.count(c).alias(c) for c in wide.columns)).first())
+    for name, column in (("x05_liquidation_flows", "debt_covered_value_usd"), ("x07_flashloan_flows", "flashloan_premium_value_usd")):
+        assert QUERIES[name](spark, sf_dir).agg(F.sum(column)).first()[0] > 0
+
+
+def test_exact_scaling_of_any_type(spark):
+    df = spark.createDataFrame([(1, str(2**200 + 1), 2**60 + 1, 2.5)], "asset long, a_raw string, b_raw long, c double")
+    r = panels.scale_by_decimals(df, {"a_raw": 30, "b_raw": 18, "c": 1}).first()
+    assert (r.a, r.b, r.c_scaled) == (float(f"{(2**200 + 1)}e-30"), float(f"{2**60 + 1}e-18"), 0.25)
+
+
 def test_profile_flags(spark):
     rows = [(float(i), 5.0, str(2**256 - 1) if i < 2 else str(i), None if i % 2 else 0.0, "text") for i in range(20)]
     df = spark.createDataFrame(rows, "a double, b double, c string, d double, e string")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import divided
+from ..sources.stored import stored
 from . import ranks
 
 KEY = ["series"]
@@ -61,8 +62,8 @@ def shape(long: DataFrame, threshold: float = 0.0, bins: int = 20, top: float =
     Concentration metrics are over values of 0 or more (the Theil index and the Hill index: above 0); others are left out.
     """
     x, k = F.col("x"), F.col("k")
-    counts = cleaned(long).groupBy("series", "x").agg(F.count("*").alias("k"))
-    placed = ranks.placed(counts, KEY, "x", "k")
+    counts = stored(cleaned(long).groupBy("series", "x").agg(F.count("*").alias("k")), "values")
+    placed = stored(ranks.placed(counts, KEY, "x", "k"), "values-placed")
     not_negative, positive = x >= 0, x > 0
     weigh = lambda v, cond=None: F.sum(v * k) if cond is None else F.sum(F.when(cond, v * k))
     one = ranks.points(
@@ -95,7 +96,7 @@ def shape(long: DataFrame, threshold: float = 0.0, bins: int = 20, top: float =
         F.sum(F.when(not_negative, x * taken(most))).alias("top_sum"),
         F.when(F.max("n1") >= 10, F.sum(F.when(positive, F.ln(x) * taken(tail))) / F.max(tail) - F.max(F.when(positive & (above <= tail) & (tail < above + k), F.ln(x)))).alias("hill"),
     )
-    spread = near.groupBy("series", far.alias("far")).agg(F.sum("k").alias("k"))
+    spread = stored(near.groupBy("series", far.alias("far")).agg(F.sum("k").alias("k")), "distances")
     mad = ranks.points(ranks.placed(spread, KEY, "far", "k"), KEY, "far", {"mad": 0.5}, "k")
     s = F.col
     out = one.join(sums, "series").join(mad, "series").join(entropy(near, bins), "series", "left")

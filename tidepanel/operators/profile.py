@@ -1,6 +1,6 @@
 """Statistical profile of numeric columns from counts of distinct values, for all columns together.
 
-Cells are counted by (column, state, value) once; moments, quantiles and outliers are weighted by these counts. Quantiles are
+Cells are counted by (column, state, value) once, and the counts stored; moments, quantiles and outliers are weighted by them. Quantiles are
 exact: values are placed in order by ranges (ranks.placed), so no aggregator and no task holds a whole column.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import NO_DEBT, divided, percent
+from ..sources.stored import stored
 from . import ranks
 
 NULL_WARN, ZERO_WARN, QUASI_CONSTANT = 0.20, 0.50, 0.95
@@ -30,16 +31,30 @@ def melted(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> D
     return long.select(*keep, "column", "raw", F.when(F.abs("d") < float("inf"), F.col("d")).alias("value"))
 
 
+def _states(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(by..., column, state, value): a row per cell, which is null, a number, the sentinel, or text; only text columns are read as text."""
+    numbers = set(numeric_columns(df))
+
+    def cell(c: str) -> Column:
+        x = F.col(f"`{c}`")
+        value = x.cast("double") if c in numbers else x.cast("string").try_cast("double")
+        value = F.when(F.abs(value) < float("inf"), value)
+        state = F.when(x.isNull(), "null").when(value.isNull(), "text")
+        if c not in numbers:
+            state = state.when(x.cast("string") == NO_DEBT, "sentinel")
+        state = state.otherwise("number")
+        return F.struct(F.lit(c).alias("column"), state.alias("state"), F.when(state == "number", value).alias("value"))
+
+    return df.select(*by, F.explode(F.array(*map(cell, columns))).alias("x")).select(*by, "x.*")
+
+
 def profiled(df: DataFrame, columns: Sequence[str] | None = None, table: str = "", by: Sequence[str] = ()) -> DataFrame:
     """A row per column (and group of by): counts, moments, quantiles, outliers, flags.
 
     Columns of which fewer than NUMERIC of the present cells are numbers, and columns without cells, are left out.
     """
     keys = [*by, "column"]
-    long = melted(df, list(columns or numeric_columns(df)), by)
-    sentinel = F.coalesce(F.col("raw") == NO_DEBT, F.lit(False))
-    state = F.when(F.col("raw").isNull(), "null").when(sentinel & F.col("value").isNotNull(), "sentinel").when(F.col("value").isNull(), "text").otherwise("number")
-    counts = long.select(*keys, state.alias("state"), F.when(state == "number", F.col("value")).alias("value")).groupBy(*keys, "state", "value").agg(F.count("*").alias("k"))
+    counts = stored(_states(df, list(columns or numeric_columns(df)), by).groupBy(*keys, "state", "value").agg(F.count("*").alias("k")), "values")
     k, x = F.col("k"), F.col("value")
     held = lambda cond: F.coalesce(F.sum(F.when(cond, k)), F.lit(0))
     is_ = lambda *states: F.col("state").isin(*states)
@@ -47,19 +62,21 @@ def profiled(df: DataFrame, columns: Sequence[str] | None = None, table: str = "
         F.sum("k").alias("n"), held(is_("number")).alias("n_checked"), held(is_("null")).alias("n_null"), held(x == 0).alias("n_zero"), held(x < 0).alias("n_negative"), held(is_("sentinel")).alias("n_sentinel"),
         held(~is_("null")).alias("present"), held(is_("number", "sentinel")).alias("parsed"), F.max(F.when(is_("number"), k)).alias("top"), F.count("value").alias("n_unique"),
     ).where((F.col("present") > 0) & (F.col("parsed") >= NUMERIC * F.col("present")))
-    placed = ranks.placed(counts.where(is_("number")).drop("state"), keys, "value", "k")
+    few = not by  # a group a column
+    placed = stored(ranks.placed(counts.where(is_("number")).drop("state"), keys, "value", "k", few), "values-placed")
     one = ranks.points(placed, keys, "value", POINTS, "k", [(F.sum(x * k) / F.sum("k")).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max")])
-    near = ranks._joined(placed.drop("_n", "_begin"), one.select(*keys, F.col("mean").alias("_mean"), F.col("median").alias("_m"), F.col("q25").alias("_a"), F.col("q75").alias("_b")), keys)
+    near = ranks._joined(placed.drop("_n", "_begin"), one.select(*keys, F.col("mean").alias("_mean"), F.col("median").alias("_m"), F.col("q25").alias("_a"), F.col("q75").alias("_b")), keys, few)
     far, dev, width = F.abs(x - F.col("_m")), x - F.col("_mean"), F.col("_b") - F.col("_a")
     out_iqr = (width > 0) & ((x < F.col("_a") - FENCE * width) | (x > F.col("_b") + FENCE * width))
     two = near.groupBy(*keys).agg(*(F.sum(F.pow(dev, F.lit(p)) * k).alias(f"m{p}") for p in (2, 3, 4)), held(out_iqr).alias("n_outliers_iqr"))
-    spread = ranks.placed(near.groupBy(*keys, far.alias("far")).agg(F.sum("k").alias("k")), keys, "far", "k")
+    spread = stored(ranks.placed(stored(near.groupBy(*keys, far.alias("far")).agg(F.sum("k").alias("k")), "distances"), keys, "far", "k", few), "distances-placed")
     mad = ranks.points(spread, keys, "far", {"mad": 0.5}, "k")
     score = 0.6745 * F.col("far") / F.when(F.col("_mad") > 0, F.col("_mad"))
-    three = ranks._joined(spread.drop("_n", "_begin"), mad.select(*keys, F.col("mad").alias("_mad")), keys).groupBy(*keys).agg(held(score > MODIFIED_Z).alias("n_outliers_mad"))
+    three = ranks._joined(spread.drop("_n", "_begin"), mad.select(*keys, F.col("mad").alias("_mad")), keys, few).groupBy(*keys).agg(held(score > MODIFIED_Z).alias("n_outliers_mad"))
     out = whole
     for part in (one, two, mad, three):
-        out = out.join(part.withColumnsRenamed({c: f"_k_{c}" for c in keys}), [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys], "left").drop(*(f"_k_{c}" for c in keys))
+        part = part.withColumnsRenamed({c: f"_k_{c}" for c in keys})
+        out = out.join(F.broadcast(part) if few else part, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys], "left").drop(*(f"_k_{c}" for c in keys))
     n = F.col("n_checked").cast("double")
     var = F.try_divide(F.col("m2"), n)
     out = out.withColumns(

@@ -1,6 +1,6 @@
 """Places of rows in the order of a column, found by ranges, so that no task sorts a whole group.
 
-The order of each group is cut into RANGES ranges of about as many rows by approximate quantiles; places within a range
+The order of each group is cut into SIDE * SIDE ranges of about as many rows by approximate quantiles; places within a range
 come from a window over group and range, and start at the sum of the ranges before. What goes before a range is a few
 numbers a group. Rows whose order is null take no part.
 """
@@ -12,31 +12,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+#: Ranges of a group: SIDE coarse ones of SIDE fine ones each, so that a value is compared with few edges.
+SIDE = 8
 #: Rows that a part of parts() holds.
 PART = 100_000
 
 
-def placed(df: DataFrame, keys: Sequence[str], order: str, weight: str | None = None, ranges: int | None = None) -> DataFrame:
-    """df with _begin, how many rows (or how much weight) of its group come before a row, and _n, those of the group. Ties get any order."""
-    n = ranges or RANGES
+def placed(df: DataFrame, keys: Sequence[str], order: str, weight: str | None = None, few: bool = False) -> DataFrame:
+    """df with _begin, how many rows (or how much weight) of its group come before a row, and _n, those of the group. Ties get any order.
+
+    few: groups are as many as columns of a frame, say, so that what is known of each is broadcast.
+    """
+    n = SIDE * SIDE
     k = F.col(weight) if weight else F.lit(1)
     there = df.where(F.col(order).isNotNull())
     edges = there.groupBy(*keys).agg(F.percentile_approx(order, F.array(*(F.lit(i / n) for i in range(1, n))), F.lit(8 * n)).alias("_edges"))
-    at = _joined(there, edges, keys).withColumn("_range", F.size(F.filter("_edges", lambda e: e < F.col(order)))).drop("_edges")
+    cut = lambda k: F.slice("_edges", SIDE * k + 1, F.lit(SIDE - 1))
+    edges = edges.select(*keys, F.array(*(F.get("_edges", F.lit(SIDE * i - 1)) for i in range(1, SIDE))).alias("_coarse"), F.array(*(cut(F.lit(i)) for i in range(SIDE))).alias("_fine"))
+    below = lambda array: F.size(F.filter(array, lambda e: e < F.col(order)))
+    at = _joined(there, edges, keys, few).withColumn("_at", below("_coarse")).withColumn("_range", SIDE * F.col("_at") + below(F.get("_fine", F.col("_at")))).drop("_coarse", "_fine", "_at")
     sums = at.groupBy(*keys, "_range").agg(F.sum(k).alias("_sum"))
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*keys, "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"), F.sum("_sum").over(group).alias("_n"))
     own = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return _joined(at, starts, [*keys, "_range"]).withColumn("_begin", F.col("_start") + F.coalesce(F.sum(k).over(own), F.lit(0))).drop("_range", "_start")
+    return _joined(at, starts, [*keys, "_range"], few).withColumn("_begin", F.col("_start") + F.coalesce(F.sum(k).over(own), F.lit(0))).drop("_range", "_start")
 
 
-def _joined(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join by keys that may be null; without keys b has one row."""
+def _joined(a: DataFrame, b: DataFrame, keys: Sequence[str], few: bool = False) -> DataFrame:
+    """Inner join by keys that may be null; without keys b has one row. With few, b is known to be small."""
     if not keys:
         return a.crossJoin(F.broadcast(b))
     right = b.withColumnsRenamed({c: f"_k_{c}" for c in keys})
+    right = F.broadcast(right) if few else right
     cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
     both = cond[0]
     for c in cond[1:]:

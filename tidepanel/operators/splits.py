@@ -31,7 +31,7 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str
         if not rows.where(F.exists("v", lambda x: x.isNull())).isEmpty():
             return _named(_ranked_pairs(rows, len(names)), names)
         cells = rows.withColumn("row", F.monotonically_increasing_id()).select("row", F.posexplode("v").alias("i", "x"))
-        values = ranks.placed(cells.groupBy("i", "x").agg(F.count("*").alias("k")), ["i"], "x", "k")
+        values = ranks.placed(cells.groupBy("i", "x").agg(F.count("*").alias("k")), ["i"], "x", "k", few=True)
         own = cells.join(values.select("i", "x", (F.col("_begin") + (F.col("k") + 1) / 2).alias("rank")), ["i", "x"])
         rows = own.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("i", "rank"))).alias("v")).select(F.col("v.rank").alias("v"))
     middle = df.agg(*(F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(names))).select(F.array(*(F.coalesce(f"m{i}", F.lit(0.0)) for i in range(len(names)))).alias("m"))

@@ -173,7 +173,7 @@ _ALL_SQL = [X01, X02, X05, X06, X07, X08]
 
 @query("SELECT * FROM " + " LEFT JOIN ".join(f"({q}) AS x{i}" + (" USING (time_bucket)" if i else "") for i, q in enumerate(_ALL_SQL)))
 def x09_protocol_panel(spark, sf_dir):
-    """All protocol series side by side, from supply and withdrawals on: 36 numbers a bucket."""
+    """All protocol series side by side, from supply and withdrawals on: 44 numbers a bucket."""
     toggles = panels.aggregate_by_time_bucket(_toggles(spark, sf_dir), _TOGGLES)
     own = [f(spark, sf_dir) for f in (x01_supply_withdraw_flows, x02_borrow_repay_flows, x05_liquidation_flows)]
     return panels.assembled(*own, toggles, x07_flashloan_flows(spark, sf_dir), x08_column_decimals(spark, sf_dir))
