@@ -61,6 +61,7 @@ class Field:
 
     def __post_init__(self) -> None:
         self.chunks = Cache(self.emission, CACHE_BYTES)
+        self.begins = {f[1:] for f in self.weights if f[0] == "^"}
         (a, b), (c, d) = ((exp(x) for x in row) for row in self.moves)
         q = exp(self.bias)
         self.t = (a, b, c, d)
@@ -72,8 +73,12 @@ class Field:
 
     def emission(self, chunk: str) -> tuple[float, float, float] | None:
         """What the chunk adds to the log weight of the toxic state: to its own, and to those after and before it."""
-        known = [self.weights[f] for f in sorted(features_of(chunk)) if f in self.weights]
-        return tuple(map(sum, zip(*known))) if known else None
+        weights, begins, known = self.weights, self.begins, set()
+        for w in _WORD.findall(chunk):
+            if w in weights:
+                known.add(w)
+            known.update("^" + w[:n] for n in (3, 4, 5) if len(w) > n and w[:n] in begins)
+        return tuple(map(sum, zip(*(weights[f] for f in sorted(known))))) if known else None
 
     def run(self, k: int) -> tuple:
         """The k-th power of m, divided by the k-th power of its larger eigenvalue."""
@@ -128,14 +133,17 @@ class Field:
         """Places (in white-space chunks) of tokens with features or beside them, and their marginals."""
         chunks = (text or "").lower().split()
         known = self.chunks
-        hits = [(i, x) for i, w in enumerate(chunks) if (x := known[w]) is not None]
+        marked = {w: x for w in set(chunks) if (x := known[w]) is not None}
+        if not marked:
+            return [], []
+        hits = [(i, marked[w]) for i, w in enumerate(chunks) if w in marked]
         total: dict[int, float] = {}
         for i, x in hits:
             for step, add in zip((0, 1, -1), x):
                 if 0 <= i + step < len(chunks):
                     total[i + step] = total.get(i + step, 0.0) + add
         at = sorted(total)
-        return at, self.marginals(len(chunks), at, [exp(max(-60.0, min(60.0, self.bias + total[i]))) for i in at]) if at else []
+        return at, self.marginals(len(chunks), at, [exp(max(-60.0, min(60.0, self.bias + total[i]))) for i in at])
 
     def score(self, marginals: list[float]) -> float:
         a, b, c = self.scale
@@ -310,14 +318,14 @@ def trained(x: np.ndarray, at: np.ndarray, y: np.ndarray, times: np.ndarray, n:
     return theta[:n], float(theta[n]), theta[n + 1 :].reshape(2, 2)
 
 
-def calibrated(a: np.ndarray, b: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+def calibrated(a: np.ndarray, b: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[float, float, float]:
     """Logistic regression of the label on the largest marginal and the log of their sum, by Newton steps with a small penalty."""
     x = np.stack([a, b, np.ones(len(a))], 1)
     t = np.zeros(3)
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ t, -30, 30)))
-        h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag([0.1, 0.1, 0.01])
-        t = t + np.linalg.solve(h, x.T @ (y - p) - np.array([0.1, 0.1, 0.01]) * t)
+        h = (x * (times * (p * (1 - p) + 1e-9))[:, None]).T @ x + np.diag([0.1, 0.1, 0.01])
+        t = t + np.linalg.solve(h, x.T @ (times * (y - p)) - np.array([0.1, 0.1, 0.01]) * t)
     return tuple(map(float, t))
 
 
@@ -337,12 +345,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for own, windows in zip(names, _windows(rows, names, WINDOWS)):
         w, bias, moves = trained(*windows, 3 * len(own)) if own else (np.zeros(0), -4.0, np.zeros((2, 2)))
         models.append(Field({f: tuple(map(float, w[3 * i : 3 * i + 3])) for i, f in enumerate(own)}, bias, tuple(map(tuple, moves.tolist()))))
-    a, b, truth = _left_out(rows, models)
-    return Field(models[-1].weights, models[-1].bias, models[-1].moves, calibrated(a, np.log1p(b), truth))
+    a, b, truth, times = _left_out(rows, models)
+    return Field(models[-1].weights, models[-1].bias, models[-1].moves, calibrated(a, np.log1p(b), truth, times))
 
 
-def _left_out(rows: DataFrame, models: list[Field]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Largest and total marginal of each labelled text by the field of its fold, and its label."""
+def _left_out(rows: DataFrame, models: list[Field]) -> tuple[np.ndarray, ...]:
+    """Largest and total marginals of labelled texts by the field of their fold, their labels, and how many texts have these."""
     shared = rows.sparkSession.sparkContext.broadcast([(m.weights, m.bias, m.moves, m.scale) for m in models])
 
     def run(batches):
@@ -351,8 +359,9 @@ def _left_out(rows: DataFrame, models: list[Field]) -> tuple[np.ndarray, np.ndar
             p = [own[k].tagged(t)[1] for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array([max(x, default=0.0) for x in p], pa.float64()), pa.array([float(sum(x)) for x in p], pa.float64()), batch.column(2)], names=["largest", "total", "y"])
 
-    got = rows.select("text", "fold", "y").mapInArrow(leanly(run), "largest double, total double, y int").orderBy("largest", "total", "y").toArrow()
-    return tuple(np.asarray(got.column(i).combine_chunks()).astype(float) for i in range(3))
+    own = rows.select("text", "fold", "y").mapInArrow(leanly(run), "largest double, total double, y int")
+    got = own.groupBy("largest", "total", "y").agg(F.count("*").alias("n")).orderBy("largest", "total", "y").toArrow()
+    return tuple(np.asarray(got.column(i).combine_chunks()).astype(float) for i in range(4))
 
 
 def scored(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
