@@ -11,12 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 def bucketed(stream: DataFrame, aggregates: Sequence[Column], time: str = "time", width: str = "2 hours", late: str = "1 hour", keys: Sequence[str] = ("asset",)) -> DataFrame:
     """Aggregates per bucket and key of a stream; state of buckets older than the watermark is dropped."""
-    marked = stream.withWatermark(time, late)
-    return marked.groupBy(F.window(time, width).alias("_w"), *keys).agg(*aggregates).select(F.col("_w.start").alias("time_bucket"), *keys, *(c for c in _names(aggregates)))
-
-
-def _names(aggregates: Sequence[Column]) -> list[str]:
-    return [str(a._jc.toString()).rsplit(" AS ", 1)[-1].strip("`") for a in aggregates]
+    out = stream.withWatermark(time, late).groupBy(F.window(time, width).alias("_w"), *keys).agg(*aggregates)
+    return out.select(F.col("_w.start").alias("time_bucket"), *(c for c in out.columns if c != "_w"))
 
 
 def event_stream(spark: SparkSession, folder: str, glob: str, files_per_batch: int = 1) -> DataFrame:
