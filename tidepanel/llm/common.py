@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
 import weakref
 from collections.abc import Callable, Iterable, Iterator
@@ -13,30 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.stored import shared_dir, stored
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        path = tempfile.mkdtemp(prefix="tidepanel-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+written = stored
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidepanel/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, read again from a Parquet table in the shared folder: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
