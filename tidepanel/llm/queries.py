@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, html, licenses, neardup, packing, pii, quality, rollup, tokens, toxicity
+from . import alignment, ann, decontam, html, licenses, neardup, packing, pii, quality, rollup, tokens, toxicity
 from .common import new_path, table, written
 
 
@@ -71,9 +71,13 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extraction, op3_adaptive_scan_ann, op6_token_rollups, op10_importance_resampling, op2_best_fit_packing, op4_license_scan, op5_benchmark_decontamination, op7_pii_spans, op8_minhash_neardup, op9_toxicity_crf)
+    for f in (op1_html_extraction, op3_adaptive_scan_ann, op6_token_rollups, op10_importance_resampling, op11_token_alignment, op2_best_fit_packing, op4_license_scan, op5_benchmark_decontamination, op7_pii_spans, op8_minhash_neardup, op9_toxicity_crf)
 }
 #: Trained models and the tokenizer have no SQL; those queries are tested against plain versions.
 ORACLE_SQL = {
