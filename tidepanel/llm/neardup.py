@@ -23,6 +23,7 @@ no rows; other columns, whatever their names, are ignored by near_duplicates() a
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -116,17 +117,17 @@ def least_estimate(similarity: float, used: int = ROWS * BUCKETS) -> float:
     return similarity - SLACK * (similarity * (1 - similarity) / used) ** 0.5
 
 
-def sketched(docs: DataFrame, k: int) -> DataFrame:
+def sketched(docs: DataFrame, k: int, shingles: Callable = shingle_hashes, bands: Callable = band_keys) -> DataFrame:
     """row id, id, set size, set name (128 bits) and band keys of each document; empty sets have no keys."""
 
     def run(batches):
         for batch in slices(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            sets = [shingle_hashes(t, k) for t in texts]
+            sets = [shingles(t, k) for t in texts]
             full = [i for i, s in enumerate(sets) if len(s)]
             keys: list = [None] * len(sets)
             if full:
-                for i, row in zip(full, band_keys([sets[i] for i in full])):
+                for i, row in zip(full, bands([sets[i] for i in full])):
                     keys[i] = row.tobytes()
             names = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -137,14 +138,14 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(leanly(run), "id long, n long, name binary, keys binary")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+def _sets_of(docs: DataFrame, wanted: DataFrame, k: int, shingles: Callable = shingle_hashes) -> DataFrame:
     """Full sets of the classes in wanted (node), and the low 16 bits of each; of docs (id, text) only their texts are shuffled."""
     some = may_hold(docs, "id", id_bitmap(wanted, "node"))
     texts = some.join(wanted, F.col("id") == F.col("node")).select("node", "text")
 
     def run(batches):
         for batch in slices(batches):
-            sets = [shingle_hashes(t, k) for t in batch.column(1).to_pylist()]
+            sets = [shingles(t, k) for t in batch.column(1).to_pylist()]
             low = [s.astype(np.uint16).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(low, pa.binary())], names=["node", "set", "low"])
 
@@ -249,17 +250,20 @@ def _nearest(offers: DataFrame) -> DataFrame:
     return ends.groupBy("node").agg(F.max(F.struct("near", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_shingles, component_id): for each row the size of its set and the smallest id of its component."""
+def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", shingles: Callable = shingle_hashes, bands: Callable = band_keys) -> DataFrame:
+    """(id_col, n_shingles, component_id): for each row the size of its set and the smallest id of its component.
+
+    Other sets and band keys may be given: shingles(text, k) makes sorted distinct 64-bit hashes, bands(sets) ROWS keys of BUCKETS 16-bit registers each.
+    """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    rows = written(sketched(base, k), "sketches")
+    rows = written(sketched(base, k, shingles, bands), "sketches")
     classes = written(rows.where("n > 0 and id is not null").groupBy("name", "keys").agg(F.min("id").alias("node"), F.max("n").alias("n")), "classes")
     banded = classes.select("node", "n", "keys", F.explode(F.sequence(F.lit(0), F.lit(ROWS - 1))).alias("band"))
     banded = banded.select("node", "n", "band", F.xxhash64("band", F.expr("substring(keys, 8 * band + 1, 8)")).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
     banded = written(banded.join(shared, "bucket"), "banded")
     keys = classes.select("node", "keys")
-    sets = written(_sets_of(base, banded.select("node").distinct(), k), "sets")
+    sets = written(_sets_of(base, banded.select("node").distinct(), k, shingles), "sets")
     star = banded.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     tried = pairs = written(_possible(star, keys, similarity), "pairs")
     links = written(_confirmed(pairs, sets, similarity), "links")

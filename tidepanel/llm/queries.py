@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, ann, decontam, html, licenses, neardup, packing, pii, quality, rollup, tokens, toxicity, whitening
+from . import alignment, ann, decontam, fingerprints, html, licenses, neardup, packing, pii, quality, rollup, tokens, toxicity, whitening
 from .common import new_path, table, written
 
 
@@ -79,9 +79,14 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"), components=16, scale=64, shift=1_000_000)
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprints.fingerprinted(table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extraction, op3_adaptive_scan_ann, op6_token_rollups, op10_importance_resampling, op11_token_alignment, op12_embedding_whitening, op2_best_fit_packing, op4_license_scan, op5_benchmark_decontamination, op7_pii_spans, op8_minhash_neardup, op9_toxicity_crf)
+    for f in (op1_html_extraction, op3_adaptive_scan_ann, op6_token_rollups, op10_importance_resampling, op11_token_alignment, op12_embedding_whitening, op13_document_fingerprints, op2_best_fit_packing, op4_license_scan, op5_benchmark_decontamination, op7_pii_spans, op8_minhash_neardup, op9_toxicity_crf)
 }
 #: Trained models and the tokenizer have no SQL; those queries are tested against plain versions.
 ORACLE_SQL = {
