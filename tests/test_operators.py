@@ -169,7 +169,8 @@ def test_drawdown_of_returns_with_total_loss(spark):
 def test_places_by_ranges(spark, monkeypatch, keys):
     import random
 
-    monkeypatch.setattr(ranks, "SIDE", 3)
+    monkeypatch.setattr(ranks, "PART", 9)
+    monkeypatch.setattr(ranks, "WHOLE", 20)
     rng = random.Random(2)
     rows = [(rng.choice(["a", "b", None]), float(rng.randint(0, 40)), rng.randint(1, 9)) for _ in range(300)] + [("one", 3.0, 2), ("a", None, 1)]
     df = spark.createDataFrame(rows, "g string, x double, w long").groupBy("g", "x").agg(F.sum("w").alias("w"))
@@ -198,7 +199,7 @@ def test_parts_of_a_series_change_nothing(spark, monkeypatch):
     plain = lambda frames: [sorted(tuple(round(v, 8) if isinstance(v, float) else v for v in r) for r in f.fillna(-99.0).collect()) for f in frames]
     whole = plain(made())
     monkeypatch.setattr(ranks, "PART", 13)
-    monkeypatch.setattr(ranks, "SIDE", 2)
+    monkeypatch.setattr(ranks, "WHOLE", 20)
     assert plain(made()) == whole
     with pytest.raises(ValueError):
         metrics.rolling_volatility(df, 14)

@@ -1,12 +1,16 @@
 """Risk, shape, concentration and dependence metrics of many series at once.
 
 Input is long: (series, ord, x), x finite or null. Metrics of values start from counts of distinct values, placed in order by ranges;
-metrics of order work on parts of a series (ranks.parts), whose beginnings carry sums or peaks of the parts before. So no task holds
-a whole series, however long. A metric whose guard fails is null.
+metrics of order work on parts of a series (ranks.Parts), whose beginnings carry sums or peaks of the parts before. So no task holds
+a long series whole. A metric whose guard fails is null.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,20 +21,20 @@ from . import ranks
 KEY = ["series"]
 
 
-def _part() -> Window:
-    return Window.partitionBy("series", "_part").orderBy("_i")
-
-
 def cleaned(long: DataFrame) -> DataFrame:
     return long.where((F.abs("x") < float("inf")) & ~F.isnan("x"))
 
 
 def returns(long: DataFrame, kind: str = "simple") -> DataFrame:
     """Changes between neighbours by ord; what is not finite drops out."""
-    rows = ranks.parts(cleaned(long), KEY, "ord", 1)
-    last = F.lag("x").over(_part())
-    change = divided("x", last) - 1 if kind == "simple" else F.when((F.col("x") > 0) & (last > 0), F.ln("x") - F.ln(last))
-    return cleaned(rows.withColumn("_change", change).where("_own").select("series", "ord", F.col("_change").alias("x")))
+    parts = ranks.Parts(cleaned(long), KEY, "ord", 1)
+    return _returns(parts, F.col("x"), kind)
+
+
+def _returns(parts: ranks.Parts, x: Column, kind: str = "simple") -> DataFrame:
+    last = F.lag(x).over(parts.window())
+    change = divided(x, last) - 1 if kind == "simple" else F.when((x > 0) & (last > 0), F.ln(x) - F.ln(last))
+    return cleaned(parts.rows.withColumn("_change", change).where("_own").select("series", "ord", F.col("_change").alias("x")))
 
 
 def drawdowns(long: DataFrame, as_returns: bool = True) -> DataFrame:
@@ -38,18 +42,22 @@ def drawdowns(long: DataFrame, as_returns: bool = True) -> DataFrame:
 
     The product is kept as log, sign and zeros, so that it neither overflows nor loses factors of 0 or below.
     """
-    rows = ranks.parts(cleaned(long), KEY, "ord")
+    return _drawdowns(ranks.Parts(cleaned(long), KEY, "ord"), as_returns)
+
+
+def _drawdowns(parts: ranks.Parts, as_returns: bool) -> DataFrame:
+    rows, window = parts.rows.where("_own"), parts.window()
     if as_returns:
         f = 1 + F.col("x")
         terms = {"size": F.when(f != 0, F.ln(F.abs(f))).otherwise(0.0), "flips": F.when(f < 0, 1).otherwise(0), "zeros": F.when(f == 0, 1).otherwise(0)}
-        rows = ranks.carried(rows, KEY, {f"_{n}": (x, "sum") for n, x in terms.items()})
-        so_far = {n: F.coalesce(f"_{n}", F.lit(0)) + F.sum(x).over(_part()) for n, x in terms.items()}
+        rows = parts.carried(rows, {f"_{n}": (x, "sum") for n, x in terms.items()})
+        so_far = {n: F.coalesce(f"_{n}", F.lit(0)) + F.sum(x).over(window) for n, x in terms.items()}
         rows = rows.select("series", "ord", "_i", "_part", *(x.alias(n) for n, x in so_far.items()))
         wealth = F.when(F.col("zeros") > 0, 0.0).otherwise(F.exp("size") * F.when(F.col("flips") % 2 == 1, -1.0).otherwise(1.0))
     else:
         wealth = F.col("x")
-    paths = ranks.carried(rows.select("series", "ord", "_i", "_part", wealth.alias("w")), KEY, {"_peak": (F.col("w"), "max")})
-    peak = F.greatest("_peak", F.max("w").over(_part()))
+    paths = parts.carried(rows.select("series", "ord", "_i", "_part", wealth.alias("w")), {"_peak": (F.col("w"), "max")})
+    peak = F.greatest("_peak", F.max("w").over(window))
     return paths.withColumn("_top", peak).select("series", "ord", (divided("w", "_top") - 1).alias("dd"))
 
 
@@ -63,19 +71,21 @@ def shape(long: DataFrame, threshold: float = 0.0, bins: int = 20, top: float =
     """
     x, k = F.col("x"), F.col("k")
     counts = stored(cleaned(long).groupBy("series", "x").agg(F.count("*").alias("k")), "values")
-    placed = stored(ranks.placed(counts, KEY, "x", "k"), "values-placed")
+    distinct = counts.count()
     not_negative, positive = x >= 0, x > 0
     weigh = lambda v, cond=None: F.sum(v * k) if cond is None else F.sum(F.when(cond, v * k))
+    placed = ranks.placed(counts, KEY, "x", "k", distinct)
     one = ranks.points(
-        placed, KEY, "x", {"median": 0.5, "q_low": 1 - level, "q_high": level, "q25": 0.25, "q75": 0.75, "q10": 0.1, "q90": 0.9}, "k",
+        placed, KEY, "x", {"median": 0.5, "q_low": 1 - level, "q_high": level, "q25": 0.25, "q75": 0.75, "q10": 0.1, "q90": 0.9, **ranks.QUARTERS}, "k",
         [
             F.sum("k").alias("n"), weigh(x).alias("sum"), F.min("x").alias("lo"), F.max("x").alias("hi"),
             F.coalesce(F.sum(F.when(not_negative, k)), F.lit(0)).alias("n0"), weigh(x, not_negative).alias("sum0"), weigh(x * x, not_negative).alias("squares0"),
             F.coalesce(F.sum(F.when(positive, k)), F.lit(0)).alias("n1"), weigh(x, positive).alias("sum1"),
         ],
-    ).withColumn("mean", F.col("sum") / F.col("n"))
-    near = placed.drop("_n").join(one, "series")
-    far, dev = F.abs(x - F.col("median")), x - F.col("mean")
+    ).withColumn("mean", F.col("sum") / F.col("n")).drop("_n")
+    near = stored(placed.join(one, "series"), "values-placed")
+    one = near.groupBy("series").agg(*(F.first(c).alias(c) for c in one.columns if c != "series"))
+    dev = x - F.col("mean")
     down, up = F.least(x - threshold, F.lit(0.0)), F.greatest(x - threshold, F.lit(0.0))
     place = F.col("_begin") - (F.col("n") - F.col("n0"))  # among the values that are not negative
     above = F.col("n") - F.col("_begin") - k  # how many values are larger
@@ -96,8 +106,7 @@ def shape(long: DataFrame, threshold: float = 0.0, bins: int = 20, top: float =
         F.sum(F.when(not_negative, x * taken(most))).alias("top_sum"),
         F.when(F.max("n1") >= 10, F.sum(F.when(positive, F.ln(x) * taken(tail))) / F.max(tail) - F.max(F.when(positive & (above <= tail) & (tail < above + k), F.ln(x)))).alias("hill"),
     )
-    spread = stored(near.groupBy("series", far.alias("far")).agg(F.sum("k").alias("k")), "distances")
-    mad = ranks.points(ranks.placed(spread, KEY, "far", "k"), KEY, "far", {"mad": 0.5}, "k")
+    mad = ranks.median_distance(near, KEY, "x", "k", "median", distinct)
     s = F.col
     out = one.join(sums, "series").join(mad, "series").join(entropy(near, bins), "series", "left")
     n = s("n").cast("double")
@@ -160,15 +169,19 @@ def performance(long: DataFrame, rf: float = 0.0, periods: float = 1.0, as_retur
 
 def rolling_volatility(long: DataFrame, window: int = 12, least: int | None = None, as_returns: bool = True) -> DataFrame:
     """Each row with the sample deviation of the last window rows (of returns), null below least values. Rows without ord drop out."""
-    rows = ranks.parts(long, KEY, "ord", window)
-    rows = rows.withColumn("_r", F.col("x") if as_returns else divided("x", F.lag("x").over(_part())) - 1)
-    w = _part().rowsBetween(1 - window, 0)
+    parts = ranks.Parts(long, KEY, "ord", window)
+    rows = parts.rows.withColumn("_r", F.col("x") if as_returns else divided("x", F.lag("x").over(parts.window())) - 1)
+    w = parts.window().rowsBetween(1 - window, 0)
     rolled = F.when(F.count("_r").over(w) >= (least or max(2, window // 3)), F.stddev_samp("_r").over(w))
     return rows.withColumn("volatility", rolled).where("_own").drop("_r", "_i", "_n", "_part", "_own")
 
 
 def autocorrelation(long: DataFrame, lag: int = 1) -> DataFrame:
-    rows = ranks.parts(cleaned(long), KEY, "ord", lag).withColumn("y", F.lag("x", lag).over(_part())).where("_own and y is not null")
+    return _autocorrelation(ranks.Parts(cleaned(long), KEY, "ord", lag), lag)
+
+
+def _autocorrelation(parts: ranks.Parts, lag: int) -> DataFrame:
+    rows = parts.rows.withColumn("y", F.lag("x", lag).over(parts.window())).where("_own and y is not null")
     varies = (F.stddev_pop("x") > 0) & (F.stddev_pop("y") > 0)
     return rows.groupBy("series").agg(F.when(varies, F.corr("x", "y")).alias("autocorrelation"))
 
@@ -176,23 +189,90 @@ def autocorrelation(long: DataFrame, lag: int = 1) -> DataFrame:
 def hurst(long: DataFrame, points: int = 20) -> DataFrame:
     """Hurst exponent by rescaled ranges over at most points window lengths from 4 to n/2, spaced by logs (n >= 20).
 
-    The deviation within a segment is that of sums from the start of the series, less the segment's mean, so that segments are groups
-    of an aggregation and not windows: none is sorted.
+    Each part of a series gives, for every length, the ranges of the segments that lie within it, and a summary of those that it shares
+    with its neighbours: count, mean, squares and the convex hull of the running sums. The largest and least deviation from any mean are at corners of the hull,
+    so the segment's mean, known when all its parts are, needs no second look at rows. No row is copied for a length.
+    """
+    return _hurst(ranks.Parts(cleaned(long), KEY, "ord"), long.schema["series"].dataType.simpleString(), points)
+
+
+def window_lengths(n: int, points: int) -> list[int]:
+    """Window lengths from 4 to n/2, spaced by logs, each once."""
+    top, low = np.log10(float(n // 2)), np.log10(4.0)
+    step = (top - low) / (points - 1)
+    return list(dict.fromkeys(n // 2 if k == points - 1 else int(np.floor(10.0 ** (low + k * step) + 1e-9)) for k in range(points)))
+
+
+def corners(s: np.ndarray) -> np.ndarray:
+    """Places of the corners of the convex hull of (i, s[i]), a few others among them.
+
+    A point on or below the line between its neighbours is no upper corner, and all such points may go at once; so with lower ones.
     """
-    rows = ranks.parts(cleaned(long), KEY, "ord").where("_n >= 20")
-    rows = ranks.carried(rows, KEY, {"_sum": (F.col("x"), "sum")}).withColumn("s", F.coalesce("_sum", F.lit(0.0)) + F.sum("x").over(_part()))
-    lengths = rows.groupBy("series").agg(F.max("_n").alias("n"))
-    top = F.log10(F.floor(F.col("n") / 2).cast("double"))
-    step = (top - F.log10(F.lit(4.0))) / (points - 1)
-    exact = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda k: F.when(k == points - 1, F.floor(F.col("n") / 2)).otherwise(F.floor(F.pow(F.lit(10.0), F.log10(F.lit(4.0)) + k * step) + 1e-9)).cast("long"))
-    lengths = lengths.select("series", F.explode(F.array_distinct(exact)).alias("len"))
-    each = rows.select("series", "_i", "_n", "x", "s").join(lengths, "series").withColumn("seg", F.expr("_i div len")).where("seg < _n div len")
-    first = F.col("_i") % F.col("len") == 0
-    keys = ["series", "len", "seg"]
-    means = each.groupBy(*keys).agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("sd"), F.max(F.when(first, F.col("s") - F.col("x"))).alias("base"))
-    dev = F.col("s") - F.col("base") - (F.col("_i") % F.col("len") + 1) * F.col("m")
-    spread = each.join(means, keys).groupBy(*keys).agg(divided(F.max(dev) - F.min(dev), F.max("sd")).alias("rs"))
-    mean = spread.groupBy("series", "len").agg(F.avg("rs").alias("rs")).where("rs > 0")
+    kept = []
+    for sign in (1.0, -1.0):
+        at = np.arange(len(s))
+        while len(at) > 2:
+            y = sign * s[at]
+            left, right = np.diff(y[:-1]) * np.diff(at)[1:], np.diff(y[1:]) * np.diff(at)[:-1]
+            stays = np.r_[True, left > right, True]
+            if stays.all():
+                break
+            at = at[stays]
+        kept.append(at)
+    return np.union1d(*kept)
+
+
+def _ranges(x: np.ndarray, first: int, n: int, points: int) -> Iterator[tuple]:
+    """For the rows of a part, which begin at place first of n: (length, k, sum of k whole segments' ranges) and (length, segment, place of the piece, size, mean, squares, corners' places and sums)."""
+    hulls: dict[tuple[int, int], tuple] = {}
+    for size in window_lengths(n, points):
+        stop = min(first + len(x), n // size * size)
+        begin, end = -(-first // size) * size, stop // size * size
+        if begin < end:
+            own = x[begin - first : end - first].reshape(-1, size)
+            dev = own - own.mean(1, keepdims=True)
+            sd = np.sqrt((dev * dev).mean(1))
+            run = dev.cumsum(1)
+            good = sd > 0
+            yield size, int(good.sum()), float(((run.max(1) - run.min(1))[good] / sd[good]).sum()), None, None, None, None, None, None, None
+        for a, b in ((first, min(begin, stop)), (max(end, begin), stop)):
+            if a < b:
+                if (a, b) not in hulls:
+                    own = x[a - first : b - first]
+                    run, mean = own.cumsum(), own.mean()
+                    at = corners(run)
+                    hulls[a, b] = b - a, float(mean), float(((own - mean) ** 2).sum()), (at + 1).tolist(), run[at].tolist()
+                yield size, None, None, a // size, a % size, *hulls[a, b]
+
+
+_PIECE = "len long, k long, total double, seg long, start long, size long, mean double, squares double, at array<long>, sums array<double>"
+
+
+def _hurst(parts: ranks.Parts, kind: str, points: int) -> DataFrame:
+    names = [f.split()[0] for f in _PIECE.split(", ")]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_i")
+        rows = list(_ranges(pdf["x"].to_numpy(float), int(pdf["_i"].iloc[0]), int(pdf["_n"].iloc[0]), points))
+        return pd.DataFrame({"series": pd.Series([pdf["series"].iloc[0]] * len(rows), dtype=object), **{c: pd.Series(list(v), dtype=object) for c, v in zip(names, zip(*rows) if rows else [[]] * len(names))}})
+
+    rows = parts.rows.where("_own and _n >= 20").select("series", "_part", "_i", "_n", F.col("x").cast("double").alias("x"))
+    made = rows.groupBy("series", "_part").applyInPandas(run, f"series {kind}, {_PIECE}")
+    sums = made.where("seg is null").groupBy("series", "len").agg(F.sum("k").alias("k"), F.sum("total").alias("total"))
+    if not parts.single:
+        made = stored(made, "pieces")
+        sums = made.where("seg is null").groupBy("series", "len").agg(F.sum("k").alias("k"), F.sum("total").alias("total"))
+        segment = ["series", "len", "seg"]
+        pieces = made.where("seg is not null")
+        means = pieces.groupBy(*segment).agg((F.sum(F.col("mean") * F.col("size")) / F.sum("size")).alias("m"))
+        before = Window.partitionBy(*segment).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+        own = pieces.withColumn("base", F.coalesce(F.sum(F.col("mean") * F.col("size")).over(before), F.lit(0.0))).join(means, segment)
+        dev = F.transform(F.arrays_zip("at", "sums"), lambda p: F.col("base") + p["sums"] - (F.col("start") + p["at"]) * F.col("m"))
+        off = F.col("mean") - F.col("m")
+        spread = own.select(*segment, F.array_max(dev).alias("hi"), F.array_min(dev).alias("lo"), (F.col("squares") + F.col("size") * off * off).alias("sq"), "size").groupBy(*segment)
+        shared = spread.agg(divided(F.max("hi") - F.min("lo"), F.sqrt(F.sum("sq") / F.sum("size"))).alias("rs"))
+        sums = sums.union(shared.groupBy("series", "len").agg(F.count("rs").alias("k"), F.sum("rs").alias("total"))).groupBy("series", "len").agg(F.sum("k").alias("k"), F.sum("total").alias("total"))
+    mean = sums.select("series", "len", divided("total", F.col("k")).alias("rs")).where("rs > 0")
     return mean.groupBy("series").agg(F.when(F.count("*") >= 3, F.regr_slope(F.ln("rs"), F.ln("len"))).alias("hurst_exponent"))
 
 

@@ -62,21 +62,21 @@ def profiled(df: DataFrame, columns: Sequence[str] | None = None, table: str = "
         F.sum("k").alias("n"), held(is_("number")).alias("n_checked"), held(is_("null")).alias("n_null"), held(x == 0).alias("n_zero"), held(x < 0).alias("n_negative"), held(is_("sentinel")).alias("n_sentinel"),
         held(~is_("null")).alias("present"), held(is_("number", "sentinel")).alias("parsed"), F.max(F.when(is_("number"), k)).alias("top"), F.count("value").alias("n_unique"),
     ).where((F.col("present") > 0) & (F.col("parsed") >= NUMERIC * F.col("present")))
-    few = not by  # a group a column
-    placed = stored(ranks.placed(counts.where(is_("number")).drop("state"), keys, "value", "k", few), "values-placed")
-    one = ranks.points(placed, keys, "value", POINTS, "k", [(F.sum(x * k) / F.sum("k")).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max")])
-    near = ranks._joined(placed.drop("_n", "_begin"), one.select(*keys, F.col("mean").alias("_mean"), F.col("median").alias("_m"), F.col("q25").alias("_a"), F.col("q75").alias("_b")), keys, few)
+    most = counts.count()
+    numbers = counts.where(is_("number")).drop("state")
+    one = ranks.quantiles(numbers, keys, "value", {**POINTS, **ranks.QUARTERS}, "k", most)
+    ends = numbers.groupBy(*keys).agg((F.sum(x * k) / F.sum("k")).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"))
+    one = stored(ranks.joined(one, ends, keys), "quantiles")
+    near = ranks.joined(numbers, one.select(*keys, "_n", *ranks.QUARTERS, F.col("mean").alias("_mean"), F.col("median").alias("_m"), F.col("q25").alias("_a"), F.col("q75").alias("_b")), keys)
     far, dev, width = F.abs(x - F.col("_m")), x - F.col("_mean"), F.col("_b") - F.col("_a")
     out_iqr = (width > 0) & ((x < F.col("_a") - FENCE * width) | (x > F.col("_b") + FENCE * width))
     two = near.groupBy(*keys).agg(*(F.sum(F.pow(dev, F.lit(p)) * k).alias(f"m{p}") for p in (2, 3, 4)), held(out_iqr).alias("n_outliers_iqr"))
-    spread = stored(ranks.placed(stored(near.groupBy(*keys, far.alias("far")).agg(F.sum("k").alias("k")), "distances"), keys, "far", "k", few), "distances-placed")
-    mad = ranks.points(spread, keys, "far", {"mad": 0.5}, "k")
-    score = 0.6745 * F.col("far") / F.when(F.col("_mad") > 0, F.col("_mad"))
-    three = ranks._joined(spread.drop("_n", "_begin"), mad.select(*keys, F.col("mad").alias("_mad")), keys, few).groupBy(*keys).agg(held(score > MODIFIED_Z).alias("n_outliers_mad"))
+    mad = stored(ranks.median_distance(near, keys, "value", "k", "_m", most), "distances")
+    score = 0.6745 * far / F.when(F.col("_mad") > 0, F.col("_mad"))
+    three = ranks.joined(near, mad.select(*keys, F.col("mad").alias("_mad")), keys).groupBy(*keys).agg(held(score > MODIFIED_Z).alias("n_outliers_mad"))
     out = whole
-    for part in (one, two, mad, three):
-        part = part.withColumnsRenamed({c: f"_k_{c}" for c in keys})
-        out = out.join(F.broadcast(part) if few else part, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys], "left").drop(*(f"_k_{c}" for c in keys))
+    for part in (one.drop("_n", *ranks.QUARTERS), two, mad, three):
+        out = ranks.joined(out, part, keys, "left")
     n = F.col("n_checked").cast("double")
     var = F.try_divide(F.col("m2"), n)
     out = out.withColumns(
