@@ -85,7 +85,36 @@ def test_bounds_of_a_layout_lose_no_text():
     for layout in (html.Layout(depth=5), html.Layout(nested=0), html.Layout(padded=None), html.Layout(padded=1, span=1)):
         assert re.findall(r"\w+", html.text_of(page, layout)) == words
     row = f"<table><tr><td>{'w' * 200}<td>a<tr><td>b<td>c</table>"
-    assert html.text_of(row, html.Layout(padded=None)) == "w" * 200 + "  a\nb" + " " * 201 + "c" != html.text_of(row)
+    assert html.text_of(row) == "w" * 200 + "  a\nb" + " " * 201 + "c" != html.text_of(row, html.Layout(padded=60))
+    assert html.text_of(row, html.Layout(blanks=300)) == "w" * 200 + "  a\nb  c"
+    deep = "<table><tr><td>a<td>" * 100 + "end"
+    assert html.text_of(deep) == "a  " * 100 + "end"
+
+
+@pytest.mark.parametrize("quote", "'\"")
+def test_attributes_of_any_length(quote):
+    image = f"<p>x<img alt={quote}{'a>b' * 100_000}{quote}>y"
+    assert html.text_of(image) == "xy"
+
+
+SHEETS = [
+    (".x{display:none}", "<p class=x>no</p><p class='y x'>no</p><p class=xx>yes</p>", "yes"),
+    ("#a, p.b { visibility : hidden }", "<p id=a>no</p><div class=b>yes</div><p class=b>no</p>", "yes"),
+    ("p{display:none} p.on{display:block} .on{display:none}", "<p>no<p class=on>yes<div class=on>no</div>", "yes"),
+    ("p{display:none !important}", "<p style='display:block'>no<div>yes</div>", "yes"),
+    ("p{display:none}", "<p style='display:block'>yes<p>no", "yes"),
+    ("/* p{display:none} */ @media print { div{display:none} } @media screen{ b{display:none} } @import url(x); @font-face{display:none}", "<p>yes<div>yes <b>no</b></div>", "yes\n\nyes"),
+    ("div p{display:none} a:hover{display:none} p > b{display:none}", "<div><p>yes <b>yes</b></div>", "yes yes"),
+    ("*{visibility:hidden} .v{visibility:visible}", "<p>no <b class=v>yes</b>", "yes"),
+    ("p{display:none", "<p>yes", "yes"),
+    (".A{display:none}", "<p class=a>yes<p class=A>no", "yes"),
+]
+
+
+@pytest.mark.parametrize(("sheet", "page", "text"), SHEETS)
+def test_style_sheets_of_the_page(sheet, page, text):
+    assert html.text_of(f"<style>{sheet}</style>{page}") == text
+    assert html.text_of(f"{page}</p></div><style>{sheet}</style>") == text  # wherever it stands
 
 
 def test_a_very_long_page(spark):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from tidepanel.llm import licenses, queries
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -27,7 +28,8 @@ def plain_labels(text):
     labels = {name: licenses.BINDS[licenses.family(name)] for p, name in {**licenses.BASE, **licenses.NOTICES}.items() if re.search(rf"(?:^| ){p}(?: |$)", words)}
     parts = []
     for line in re.findall(r"(?i)spdx-license-identifier:([^\n]*)", text or ""):
-        tokens = re.findall(r"[()]|[a-z0-9.+-]+", line.lower())
+        all_ = re.match(r"(?:[ \t]*(?:[()]|[a-z0-9](?:[a-z0-9+]|[.-](?=[a-z0-9]))*))*", line.lower())[0]
+        all_ = re.findall(r"[()]|[a-z0-9.+-]+", all_)
 
         def either(at):
             names, bind, at = both(at)
@@ -56,10 +58,20 @@ def plain_labels(text):
                 names, bind = names | more, 0.8 * bind
             return names, bind, at
 
-        try:
-            names, bind, at = either(0)
-            assert at == len(tokens)
-        except (AssertionError, IndexError):
+        for stop in range(len(all_), -1, -1):  # the longest beginning that is an expression
+            tokens = all_[:stop]
+            try:
+                names, bind, at = either(0)
+                prose = stop < len(all_) and all_[stop] not in ("and", "or", "with", "(", ")")
+                if at == stop and not (prose and any(t not in ("and", "or", "with", "(", ")") and not licenses.family(t) for t in tokens)):
+                    break
+                if at == stop:
+                    stop = -1
+                    break
+            except (AssertionError, IndexError):
+                continue
+        if not stop or stop < 0:
+            tokens = all_ if not stop else tokens
             names = {t for t in tokens if licenses.family(t)}
             bind = licenses.bound([licenses.BINDS[licenses.family(t)] for t in names])
         parts.append(bind)
@@ -95,6 +107,25 @@ def test_edges(spark):
     assert licenses.license_scan(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("line", "labels", "score"),
+    [
+        ("<!-- SPDX-License-Identifier: MIT OR GPL-3.0-only -->", "gpl-3.0-only,mit", 0.1),
+        ("/* SPDX-License-Identifier: MIT OR GPL-3.0-only */", "gpl-3.0-only,mit", 0.1),
+        ("<!-- SPDX-License-Identifier: Foo-1.0-->", "foo-1.0", 0.5),
+        ("SPDX-License-Identifier: MIT # a comment or more", "mit", 0.1),
+        ("SPDX-License-Identifier: MIT.", "mit", 0.1),
+        ("SPDX-License-Identifier: GPL-2.0+ and", "gpl-2.0+", 0.8),
+        ("SPDX-License-Identifier: (MIT OR GPL-2.0) AND ISC) rest", "gpl-2.0,isc,mit", 0.19),
+        ("SPDX-License-Identifier: (MIT OR", "mit", 0.1),
+        ("SPDX-License-Identifier: -- MIT", "", 0.0),
+    ],
+)
+def test_an_expression_ends_where_the_grammar_does(line, labels, score):
+    got = licenses.scanned(line.encode())
+    assert got[5] == labels and abs(got[6] - score) < 1e-9
+
+
 def test_expressions():
     assert licenses.postfix("mit or apache-2.0 and bsd with x".split()) == ["mit", "apache-2.0", "bsd", "x", "with", "and", "or"]
     assert licenses.postfix(["(", "mit"]) is None and licenses.postfix(["mit", "mit"]) is None and licenses.postfix([]) is None
@@ -108,6 +139,6 @@ def test_expressions():
 def test_tags_of_any_case_and_family():
     for tag in ("SPDX-LICENSE-IDentifier:", "spdx-License-identifieR:"):
         got = licenses.scanned(f"é {tag} EUPL-1.2 OR MIT\n/* {tag} Artistic-2.0 WITH some-exception */".encode())
-        assert got[5] == "artistic-2.0,eupl-1.2,mit,some-exception" and got[7] == ["eupl-1.2 or mit", "artistic-2.0 with some-exception */"]
+        assert got[5] == "artistic-2.0,eupl-1.2,mit,some-exception" and got[7] == ["eupl-1.2 or mit", "artistic-2.0 with some-exception"]
     assert licenses.evaluated("BSL-1.0 AND OFL-1.1") [0] == {"bsl-1.0", "ofl-1.1"} and licenses.evaluated("strange-1.0")[1] == licenses.UNKNOWN
-    assert licenses.evaluated("see LICENSE, or MIT")[0] == {"mit"}
+    assert licenses.evaluated("see LICENSE, or MIT")[0] == set() and licenses.evaluated("MIT see LICENSE")[0] == {"mit"}

@@ -162,7 +162,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "ve
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     part = int(1_000_000 * min(1.0, SAMPLE / n))
-    near = rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) < part).dropDuplicates(["id"]).orderBy("id").select("v").toArrow()
+    near = rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) < part).groupBy("id").agg(F.min("v").alias("v")).orderBy("id").select("v").toArrow()
     if not near.num_rows:  # few ids, none of them in the sample
         near = rows.orderBy("id", "v").limit(1).select("v").toArrow()
     sample = np.asarray(near.column(0).combine_chunks().flatten()).reshape(near.num_rows, -1)

@@ -21,7 +21,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidepanel/{name}-{uuid.uuid4().hex}"
 
 
+def lean_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """Fewer rows in an Arrow batch than Spark's default, unless the session sets another number: rows of texts are long, and a task's JVM and worker hold whole batches."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    lean_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

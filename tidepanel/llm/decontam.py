@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 from itertools import repeat
 from math import log
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from .common import leanly, model, slices
+from .common import leanly, model, slices, written
 
 RETRIEVE, OVERLAP, SHINGLE = 0.5, 0.8, 5
 K1, B = 1.2, 0.75
@@ -203,14 +204,15 @@ def _index(items: tuple) -> Index:
     return Index(list(items))
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[tuple]:
-    """The items in blocks of at most BLOCK_CHARS characters (one longer item is a block), each brought here on its own."""
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[tuple[tuple, bool]]:
+    """The items in blocks of about BLOCK_CHARS characters at most (one longer item is a block), each brought here when it is asked for; and whether there are several."""
     kind = "long" if isinstance(benchmark.schema[item_col].dataType, IntegralType) else "string"
     own = benchmark.select(F.col(item_col).cast(kind).alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     size = own.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-size // (BLOCK_CHARS // 2)))
     blocks = own.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
-    return [tuple((r.item, r.text) for r in blocks.where(F.col("block") == k).drop("block").distinct().collect()) for k in range(n)]
+    for k in range(n):
+        yield tuple((r.item, r.text) for r in blocks.where(F.col("block") == k).drop("block").distinct().collect()), n > 1
 
 
 def leaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -220,7 +222,7 @@ def leaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     item, arrow = ("long", pa.int64()) if isinstance(benchmark.schema[item_col].dataType, IntegralType) else ("string", pa.string())
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     out = None
-    for items in item_blocks(benchmark, item_col, item_text_col):
+    for items, several in item_blocks(benchmark, item_col, item_text_col):
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches, shared=shared):
@@ -233,6 +235,9 @@ def leaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, k) for c, k in zip(columns[1:], kinds))], names=["id", "item_id", "word", "score", "question", "answer"])
 
         part = source.mapInArrow(leanly(run, _index), f"id {kind}, item_id {item}, word long, score double, question double, answer double")
+        if several:  # so that no more than one block is held at a time
+            part = written(part, "leaks")
+            shared.destroy()
         out = part if out is None else out.union(part)
     return out.withColumnRenamed("id", id_col)
 
@@ -240,7 +245,7 @@ def leaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, into which no item leaks; no shuffle."""
     out, place = docs, docs.columns.index(text_col)
-    for items in item_blocks(benchmark, item_col, item_text_col):
+    for items, several in item_blocks(benchmark, item_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, shared=shared):
@@ -249,4 +254,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
                 yield batch.filter(pa.array([not index.leaks(t) for t in batch.column(place).to_pylist()], pa.bool_()))
 
         out = out.mapInArrow(leanly(run, _index), docs.schema)
+        if several:
+            out = written(out, "decontaminated")
+            shared.destroy()
     return out

@@ -2,14 +2,15 @@
 
 The builder closes elements whose end tags may be left out (paragraphs, list items, table parts, options) and ignores
 stray end tags. Hidden are: head, script, style, template, noscript, frames' fallback, definitions and descriptions of drawings, comments, elements
-with the attribute hidden or display:none in their style, hidden inputs, closed dialogs, and all of a closed details element but its
+with the attribute hidden or display:none in their style or by rules of the page's own style sheets (selectors of tag, class and id), hidden inputs, closed dialogs, and all of a closed details element but its
 summary; also what has visibility:hidden, but for elements within it that are visible again. All other text is emitted, with that of
 formulas and drawings and what stands in for objects, sound and pictures. Blocks begin new lines, spaced
 blocks have a blank line around them, list items get a marker and an indent, pre keeps its lines, and the cells of a
 table's rows stand in columns of equal width, with rows and columns spanned; text of a table outside of its cells comes before them.
 
 The bounds of a layout are parameters (Layout) and lose no text: elements nested deeper than depth are siblings, tables deeper
-than nested are laid out as blocks, cells wider than padded (if set) are not padded, and spans beyond span count as that many columns.
+than nested are laid out as blocks, cells wider than padded (if set) are not padded, a table whose alignment would take more than blanks characters is
+not aligned, and spans beyond span count as that many columns.
 
 Defined results: null and empty pages give an empty text; a page without tags is its own text with white space
 collapsed; very long pages are read whole; repeated rows get equal texts; an empty table gives no rows; other columns, whatever their
@@ -32,13 +33,14 @@ from .common import leanly, slices
 @dataclass(frozen=True)
 class Layout:
     depth: int = 500
-    padded: int | None = 60
-    nested: int = 12
+    padded: int | None = None
+    nested: int = 150
+    blanks: int = 1 << 24
     span: int = 1000
 
 
 _TAG = re.compile(
-    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,65536}+\"|'[^']{0,65536}+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>", re.S
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _NONE, _VISIBILITY = re.compile(r"display\s*:\s*none", re.I), re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
@@ -79,10 +81,10 @@ class Node:
         if tag == "dialog":
             self.hidden |= self.get("open") is None
 
-    def get(self, name: str) -> str | None:
+    def get(self, name: str, exact: bool = False) -> str | None:
         for key, value in _ATTRIBUTE.findall(self.attributes):
             if key.lower() == name:
-                return value.strip("\"'").lower()
+                return value.strip("\"'") if exact else value.strip("\"'").lower()
         return None
 
 
@@ -139,8 +141,8 @@ class _Builder:
 
 
 def parsed(page: str, depth: int = Layout.depth) -> Node:
-    own, at = _Builder(depth), 0
-    while m := _TAG.search(page, at):
+    own, at, last, sheets = _Builder(depth), 0, page.rfind(">"), []
+    while at <= last and (m := _TAG.search(page, at)):
         own.text(page[at : m.start()])
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
@@ -154,15 +156,89 @@ def parsed(page: str, depth: int = Layout.depth) -> Node:
         if tag in RAW and not attributes.endswith("/"):
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(page, at)
             stop = close.start() if close else len(page)
+            if tag == "style":
+                sheets.append(page[at:stop])
             if tag in ("textarea", "xmp"):
                 own.stack[-1].children.append(unescape(page[at:stop]) if tag == "textarea" else page[at:stop])
             at = stop
             if not close:
                 break
     own.text(page[at:])
+    if any("display" in s.lower() or "visibility" in s.lower() for s in sheets):
+        _style(own.root, _rules("\n".join(sheets)))
     return own.root
 
 
+_COMMENT, _RULE = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S), re.compile(r"([^{}]*)\{([^{}]*)\}")
+_SHOWN, _SEEN = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I), re.compile(r"(?:^|;)\s*visibility\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+_SELECTOR = re.compile(r"(?:([a-zA-Z][\w-]*)|\*)?((?:[.#][\w-]+)*)")
+
+
+def _flat(sheet: str) -> str:
+    """The rules outside of at-rules, and those within @media blocks that name screen or all media and no condition."""
+    out, at = [], 0
+    sheet = _COMMENT.sub(" ", sheet)
+    while (k := sheet.find("@", at)) >= 0:
+        out.append(sheet[at:k])
+        stop = next((i for i in range(k, len(sheet)) if sheet[i] in "{;"), len(sheet))
+        if stop == len(sheet) or sheet[stop] == ";":
+            at = stop + 1
+            continue
+        level, end = 1, stop + 1
+        for m in re.compile(r"[{}]").finditer(sheet, stop + 1):
+            level += 1 if m[0] == "{" else -1
+            end = m.end()
+            if not level:
+                break
+        else:
+            end = len(sheet)
+        if re.fullmatch(r"@media\s+(screen|all)\s*", sheet[k:stop], re.I):
+            out.append(_flat(sheet[stop + 1 : end - 1]))
+        at = end
+    return "".join([*out, sheet[at:]])
+
+
+def _rules(sheet: str) -> dict[str, list[tuple]]:
+    """Rules about display and visibility whose selector is of tag, classes and id, by the rarest of these: (order, tag, names, display, visibility)."""
+    found: dict[str, list[tuple]] = {}
+    for n, (selectors, body) in enumerate(_RULE.findall(_flat(sheet))):
+        shown, seen = ([(v.lower(), bool(i)) for v, i in p.findall(body)] for p in (_SHOWN, _SEEN))
+        if not shown and not seen:
+            continue
+        for selector in selectors.split(","):
+            m = _SELECTOR.fullmatch(selector.strip())
+            if m and selector.strip():
+                names = re.findall(r"[.#][\w-]+", m[2])
+                weight = (sum(x[0] == "#" for x in names), sum(x[0] == "." for x in names), bool(m[1]), n)
+                key = max(names, key=lambda x: (x[0] == "#", x)) if names else (m[1] or "*").lower()
+                best = [max(own, key=lambda x: x[1]) if own and not own[-1][1] else own[-1] if own else None for own in (shown, seen)]
+                found.setdefault(key, []).append((weight, (m[1] or "").lower(), frozenset(names), *best))
+    return found
+
+
+def _style(root: Node, rules: dict[str, list[tuple]]) -> None:
+    """Set what the page's own rules hide or show; the heavier selector wins, then the later one; a style attribute beats both unless they are important."""
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        todo.extend(c for c in node.children if isinstance(c, Node))
+        names: set[str] = set()
+        if node.attributes:
+            names = {"." + x for x in (node.get("class", True) or "").split()} | ({"#" + i} if (i := node.get("id", True)) else set())
+        hits = [r for key in ("*", node.tag, *names) for r in rules.get(key, ()) if (not r[1] or r[1] == node.tag) and r[2] <= names]
+        if not hits or node.tag in HIDDEN:
+            continue
+        style = node.get("style") or "" if node.attributes else ""
+        for at, inline in ((3, _SHOWN), (4, _SEEN)):
+            own = [(r[at][1], 0, r[0], r[at][0]) for r in hits if r[at]] + [(bool(i), 1, (0, 0, False, 0), v.lower()) for v, i in inline.findall(style)]
+            if own:
+                value = max(own, key=lambda x: x[:3])[3]
+                if at == 3:
+                    node.hidden = value == "none"
+                elif value in ("hidden", "collapse", "visible"):
+                    node.seen = value == "visible"
+
+
 class _Lines:
     """Lines of one flow of text: the page, or a cell."""
 
@@ -308,6 +384,8 @@ def _table(table: Node, layout: Layout, level: int, seen: bool) -> list[str]:
             if wide == 1:
                 own = max(map(len, lines), default=0)
                 widths[col] = max(widths.get(col, 0), own if layout.padded is None else min(layout.padded, own))
+    if sum(widths.values()) * len(grid) > layout.blanks:  # alignment would take more room than that
+        widths = dict.fromkeys(widths, 0)
     out = rendered(loose, layout, level + 1, seen)
     for cells in grid:
         for k in range(max((len(lines) for _, lines in cells.values()), default=0)):

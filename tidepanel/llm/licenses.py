@@ -62,13 +62,37 @@ UNKNOWN = 0.5
 TAG = "spdx-license-identifier:"
 RANK = {"or": 1, "and": 2, "with": 3}
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_TOKEN = re.compile(r"[()]|[a-z0-9.+-]+")
+#: A token, and what may stand before it: brackets, or names that begin and end with a letter, a digit or a plus.
+_TOKEN = re.compile(r"[ \t]*([()]|[a-z0-9](?:[a-z0-9+]|[.-](?=[a-z0-9]))*)")
 
 
 def family(label: str) -> str | None:
     return max((f for f in BINDS if label == f or label.startswith((f + "-", f + "+"))), key=len, default=None)
 
 
+def tokens_of(text: str) -> tuple[list[str], bool]:
+    """The tokens of the longest expression that the text begins with (where none is complete, all tokens up to the first other sign), and whether a word follows, as in prose."""
+    tokens, complete, operand_next, open_, at, end = [], 0, True, 0, 0, 0
+    while m := _TOKEN.match(text, at):
+        t = m[1]
+        if t in RANK or t == ")":
+            if operand_next or t == ")" and not open_:
+                break
+            open_ -= t == ")"
+            operand_next = t != ")"
+        else:
+            if not operand_next:
+                break
+            open_ += t == "("
+            operand_next = t == "("
+        tokens.append(t)
+        at = m.end()
+        if not operand_next and not open_:
+            complete, end = len(tokens), at
+    after = _TOKEN.match(text, end) if complete else None
+    return tokens[:complete] or tokens, bool(after and after[1] not in RANK and after[1] not in "()")
+
+
 def postfix(tokens: list[str]) -> list[str] | None:
     """Operands and operators in postfix order, by precedence WITH, AND, OR; None if the tokens are no expression."""
     out, stack, operand_next = [], [], True
@@ -104,9 +128,9 @@ def postfix(tokens: list[str]) -> list[str] | None:
 
 def evaluated(expression: str) -> tuple[set[str], float]:
     """Labels named in a licence expression, and how much it binds."""
-    tokens = _TOKEN.findall(expression.lower())
+    tokens, prose = tokens_of(expression.lower())
     order = postfix(tokens)
-    if order is None:
+    if order is None or prose and not all(family(t) for t in tokens if t not in RANK and t not in "()"):
         known = {t for t in tokens if family(t)}
         return known, bound([BINDS[family(t)] for t in known])
     stack: list[tuple[set[str], float]] = []
@@ -169,7 +193,7 @@ def scanned(text: bytes) -> tuple:
         end = lower.find(b"\n", last)
         line = lower[last + 1 : end if end >= 0 else len(lower)].decode("utf-8", "replace")
         named, binds = evaluated(line)
-        expressions.append(line.strip())
+        expressions.append(" ".join(tokens_of(line)[0]))
         parts.append(binds)
         labels.update(dict.fromkeys(named - labels.keys(), 0.0))
     return (

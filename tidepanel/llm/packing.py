@@ -4,7 +4,7 @@ A document is its token ids and one separator. Longer ones are cut into pieces o
 Groups of about ITEMS pieces are packed on their own by best fit, longest first; bins with at most SLACK places left are
 final. All other bins become items of the next round, in which neighbouring groups merge: up to FAN of them, but into no
 fewer groups than hold ITEMS bins each, so that none grows with the input. Rounds go on until one group is left, or
-until a round puts fewer than one in a hundred bins into another (where most bins are over half full, say); its bins are final.
+until a round puts fewer than one in a hundred bins into another (where most bins are over half full, say; gain=0 never ends so); its bins are final.
 
 Defined results: a null text is an empty one, whose only id is the separator; rows are pieces of their own even if
 they repeat; a null id is kept; a very long text gives as many pieces as it needs; other columns, whatever their names, are
@@ -90,8 +90,11 @@ def _packer(size: int, last: bool, level: int):
     return lambda pdf: _packed(pdf, size, last, level)
 
 
-def packed(parts: DataFrame, size: int = 2048) -> DataFrame:
-    """The pieces with sequence_id and offset; parts is a written table with a column length of at most size."""
+def packed(parts: DataFrame, size: int = 2048, gain: float = GAIN) -> DataFrame:
+    """The pieces with sequence_id and offset; parts is a written table with a column length of at most size.
+
+    gain: rounds end when one puts less than this share of its bins into others; with 0 they go on to the last group.
+    """
     bins = parts.count()
     cells = max(1, -(-bins // ITEMS))
     at = F.monotonically_increasing_id()
@@ -105,7 +108,7 @@ def packed(parts: DataFrame, size: int = 2048) -> DataFrame:
             break
         rest = now.where("not final")
         left = rest.where("offset = 0").count()  # a bin has one row there
-        if left > (1 - GAIN) * bins:
+        if gain and left > (1 - gain) * bins:
             done.append(rest)
             break
         fewer = max(1, -(-cells // FAN), -(-left // ITEMS))
@@ -116,9 +119,9 @@ def packed(parts: DataFrame, size: int = 2048) -> DataFrame:
     return out.withColumnRenamed("bin", "sequence_id").drop("cell", "final")
 
 
-def pack(docs: DataFrame, size: int = 2048, separator: int = 0, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of each piece, and its ids if asked for."""
-    out = packed(written(pieces(docs, size, separator, tokenizer, id_col, text_col, with_ids), "pieces"), size)
+def pack(docs: DataFrame, size: int = 2048, separator: int = 0, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, gain: float = GAIN) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of each piece, and its ids if asked for; gain: see packed()."""
+    out = packed(written(pieces(docs, size, separator, tokenizer, id_col, text_col, with_ids), "pieces"), size, gain)
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("sequence_id"), F.col("offset"), *["ids"] * with_ids)
 
 

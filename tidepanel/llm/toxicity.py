@@ -8,7 +8,7 @@ and transitions; it is trained by gradient ascent on windows of tokens. The step
 calibrated on texts that their field was not trained on: FOLDS fields each leave out one part of the labelled texts and
 score it. The field that scores all texts is then trained on all of them. Nothing depends on how many labels there are.
 
-At most SAMPLE labelled documents, FEATURES features and about WINDOWS windows, chosen by hashes, take part in
+At most SAMPLE labelled documents, FEATURES features and WINDOWS different windows a fold (arguments of fit) take part in
 training; these bounds are parameters. Scoring covers all tokens of all texts. Tokens that neither have a feature nor
 stand beside one are alike, so a run of k of them is the k-th power of one matrix, which keeps forward-backward exact and short.
 
@@ -27,7 +27,6 @@ from math import exp, log, log1p
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -183,8 +182,11 @@ def _counts(rows: DataFrame) -> DataFrame:
     return rows.select("text", "y", "fold").mapInArrow(leanly(run), "feature string, fold int, texts long, toxic long")
 
 
-def _chosen(counts: DataFrame, sizes: list[tuple[int, int]]) -> list[list[str]]:
-    """For each fold the features that mark toxic texts outside it, and at last those of all texts; sizes: (texts, toxic) by fold."""
+def _chosen(counts: DataFrame, sizes: list[tuple[int, int]], most: int = FEATURES) -> list[list[str]]:
+    """For each fold the features that mark toxic texts outside it, and at last those of all texts; sizes: (texts, toxic) by fold.
+
+    No more than most, the strongest ones, come to the driver.
+    """
     n, t = (sum(x) for x in zip(*sizes))
     sums = [F.sum(c).alias(c) for c in ("texts", "toxic")]
     less = [F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"{c}{k}") for k in range(FOLDS) for c in ("texts", "toxic")]
@@ -201,7 +203,7 @@ def _chosen(counts: DataFrame, sizes: list[tuple[int, int]]) -> list[list[str]]:
         strength = F.col("n") * (term(rate, F.lit(share)) + term(1 - rate, F.lit(1 - share)))  # -log of a bound on the chance
         found = own.select("feature", rate.alias("rate"), strength.alias("s"))
         tested = found.count()
-        best = found.where((F.col("rate") > share) & (F.col("s") > -log(FALSE))).orderBy(F.desc("s"), "feature").limit(FEATURES).collect()
+        best = found.where((F.col("rate") > share) & (F.col("s") > -log(FALSE))).orderBy(F.desc("s"), "feature").limit(most).collect()
         taken = max((i + 1 for i, r in enumerate(best) if -r.s <= log(FALSE * (i + 1) / tested)), default=0)
         out.append(distinctive({r.feature: r.s for r in best[:taken]}))
     return out
@@ -244,11 +246,12 @@ def _windows(rows: DataFrame, names: list[list[str]], most: int) -> list[tuple[n
     """By fold (the last: all texts): feature numbers, their places (window * SPAN + token), states of the windows, and how
     many windows each one stands for: those without features are alike if they are of one length.
 
-    How many windows there are is estimated on a sixteenth of the texts; a hash of text and place then keeps about most of them."""
+    All windows are made and counted where the texts are. No more than most different ones of each fold come to the driver: a priority
+    sample, in which one that many texts have counts as often as it is there, and others stand for those left out.
+    """
     shared = rows.sparkSession.sparkContext.broadcast([{f: i for i, f in enumerate(own)} for own in names])
-    scale = 1 << 30
 
-    def made(of: DataFrame, limits: list[int]) -> DataFrame:
+    def made(of: DataFrame) -> DataFrame:
         def run(batches):
             numbers = shared.value
             every = set().union(*numbers)
@@ -257,27 +260,27 @@ def _windows(rows: DataFrame, names: list[list[str]], most: int) -> list[tuple[n
                 for text, y, fold in zip(*(batch.column(i).to_pylist() for i in range(3))):
                     chunks = (text or "").lower().split()
                     found = {w: features_of(w) & every for w in set(chunks)}
-                    key = xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass"))
-                    for k, (number, limit) in enumerate(zip(numbers, limits)):
+                    for k, number in enumerate(numbers):
                         if number and k != fold:
                             known = {w: [number[f] for f in own if f in number] for w, own in found.items()}
-                            out += [(k, *w) for w in windows_of(chunks, known, y, lambda s: xxhash.xxh3_64_intdigest(f"{s} {key}", 3) % scale < limit)]
+                            out += [(k, *w) for w in windows_of(chunks, known, y)]
                 columns = list(zip(*out)) or [[]] * 4
                 kinds = [pa.int32(), *[pa.list_(pa.int32())] * 3]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["k", "x", "at", "y"])
 
         return of.select("text", "y", "fold").mapInArrow(leanly(run), "k int, x array<int>, at array<int>, y array<int>")
 
-    few = made(rows.where(F.pmod(F.xxhash64("id", F.lit(12)), F.lit(16)) == 0), [scale] * len(names))
-    size = {r.k: 16 * r.n for r in few.groupBy("k").agg(F.count("*").alias("n")).collect()}
-    limits = [int(scale * min(1.0, most / max(1, size.get(k, 0)))) for k in range(len(names))]
-    table = written(made(rows, limits).groupBy("k", "x", "at", "y").agg(F.count("*").alias("n")), "windows")
+    table = written(made(rows).groupBy("k", "x", "at", "y").agg(F.count("*").alias("n")), "windows")
     out = []
     for k in range(len(names)):
-        got = table.where(F.col("k") == k).orderBy("x", "at", "y").select("x", "at", "y", "n").toArrow()
+        chance = (F.shiftrightunsigned(F.xxhash64("x", "at", "y"), 11) + 1) / float(1 << 53)
+        first = table.where(F.col("k") == k).withColumn("p", F.col("n") / chance).orderBy(F.desc("p"), "x", "at", "y").limit(most + 1)
+        got = first.select("x", "at", "y", "n", "p").toArrow()
+        least = got.column("p")[most].as_py() if got.num_rows > most else 0.0
+        got = got.slice(0, most)
         x, at, y, n = (got.column(i).combine_chunks() for i in range(4))
         first = np.repeat(np.arange(got.num_rows) * SPAN, np.diff(np.asarray(at.offsets)))
-        out.append((np.asarray(x.flatten()), np.asarray(at.flatten()) + first, np.asarray(y.flatten()).reshape(-1, SPAN), np.asarray(n).astype(float)))
+        out.append((np.asarray(x.flatten()), np.asarray(at.flatten()) + first, np.asarray(y.flatten()).reshape(-1, SPAN), np.maximum(np.asarray(n).astype(float), least)))
     return out
 
 
@@ -329,7 +332,10 @@ def calibrated(a: np.ndarray, b: np.ndarray, y: np.ndarray, times: np.ndarray) -
     return tuple(map(float, t))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, features: int = FEATURES, windows: int = WINDOWS) -> Field:
+    """The field trained on at most so many labelled texts, features and different windows of each fold; what goes beyond is left
+    out of the fit (the weakest features, windows outside of a sample), never of a score.
+    """
     rows = labelled(docs, labels, sample, id_col, text_col, label_col)
     by = {r.fold: (r.n, r.t) for r in rows.groupBy("fold").agg(F.count("*").alias("n"), F.sum("y").alias("t")).collect()}
     sizes = [by.get(k, (0, 0)) for k in range(FOLDS)]
@@ -338,12 +344,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     plain = Field(scale=(0.0, 0.0, log(share / (1 - share))))
     if not 0 < t < n:
         return plain
-    names = _chosen(_counts(rows), sizes)
+    names = _chosen(_counts(rows), sizes, features)
     if not names[-1]:
         return plain
     models = []
-    for own, windows in zip(names, _windows(rows, names, WINDOWS)):
-        w, bias, moves = trained(*windows, 3 * len(own)) if own else (np.zeros(0), -4.0, np.zeros((2, 2)))
+    for own, taken in zip(names, _windows(rows, names, windows)):
+        w, bias, moves = trained(*taken, 3 * len(own)) if own else (np.zeros(0), -4.0, np.zeros((2, 2)))
         models.append(Field({f: tuple(map(float, w[3 * i : 3 * i + 3])) for i, f in enumerate(own)}, bias, tuple(map(tuple, moves.tolist()))))
     a, b, truth, times = _left_out(rows, models)
     return Field(models[-1].weights, models[-1].bias, models[-1].moves, calibrated(a, np.log1p(b), truth, times))
