@@ -187,6 +187,135 @@ def test_places_by_ranges(spark, monkeypatch, keys):
             assert abs(r[name] - (low + (at - int(at)) * (own[min(int(at) + 1, len(own) - 1)] - low))) < 1e-9
 
 
+@pytest.mark.parametrize("constant", [False, True])
+def test_no_task_takes_many_rows(spark, monkeypatch, constant):
+    """Five million rows, in an order of their own or all of one value: ranges and parts hold at most 200,000 rows each."""
+    seen, plain = {}, ranks.stored
+    monkeypatch.setattr(ranks, "stored", lambda df, name: seen.setdefault(name, plain(df, name)))
+    n = 5_000_000
+    df = spark.range(n, numPartitions=8).select(F.lit("s").alias("series"), (F.lit(1.0) if constant else (F.col("id") * 7919 % n).cast("double")).alias("ord"), F.col("id").alias("x"))
+    parts = ranks.Parts(df, ["series"], "ord", 3)
+    assert not parts.single and seen["ranges"].groupBy("_range").count().agg(F.max("count")).first()[0] <= 200_000
+    sizes = parts.rows.groupBy("_part").agg(F.count("*").alias("n"), F.count_if("_own").alias("own"))
+    most, own = sizes.agg(F.max("n"), F.sum("own")).first()
+    assert most <= 200_000 and own == n and parts.rows.where("_own").agg(F.count_distinct("_i"), F.max("_i")).first()[:] == (n, n - 1)
+    if not constant:
+        assert parts.rows.where("_i <> ord").isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["rising", "walk", "ties"])
+def test_corners_hold_the_extremes_of_any_tilt(kind):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    s = {"rising": np.arange(500.0) ** 2, "walk": rng.normal(size=500).cumsum(), "ties": np.repeat(rng.integers(0, 3, 50), 10).astype(float)}[kind]
+    at = metrics.corners(s)
+    for m in (-1e3, -2.0, -0.1, 0.0, 0.3, 5.0, 998.0):
+        tilted = s - m * np.arange(500)
+        assert tilted[at].max() == tilted.max() and tilted[at].min() == tilted.min()
+    assert kind != "walk" or len(at) < 100
+
+
+@pytest.mark.parametrize("part", [7, 40, 10_000])
+def test_hurst_by_parts_against_whole_segments(spark, monkeypatch, part):
+    import numpy as np
+
+    monkeypatch.setattr(ranks, "PART", part)
+    monkeypatch.setattr(ranks, "WHOLE", 1 if part < 1000 else 10**6)
+    rng = np.random.default_rng(7)
+    series = {"walk": rng.normal(size=230).cumsum(), "flat": np.repeat([1.0, 2.0], 30), "short": np.arange(19.0), "rise": np.arange(150.0) ** 1.5}
+    got = {r.series: r.hurst_exponent for r in metrics.hurst(spark.createDataFrame([(n, i, float(v)) for n, x in series.items() for i, v in enumerate(x)], "series string, ord int, x double")).collect()}
+    for name, x in series.items():
+        if len(x) < 20:
+            assert name not in got
+            continue
+        points = []
+        for size in metrics.window_lengths(len(x), 20):
+            rs = []
+            for k in range(len(x) // size):
+                own = x[k * size : (k + 1) * size]
+                run = (own - own.mean()).cumsum()
+                if own.std() > 0:
+                    rs.append((run.max() - run.min()) / own.std())
+            if rs and np.mean(rs) > 0:
+                points.append((np.log(size), np.log(np.mean(rs))))
+        want = np.polyfit(*zip(*points), 1)[0] if len(points) >= 3 else None
+        assert (got[name] is None) == (want is None) and (want is None or abs(got[name] - want) < 1e-9)
+
+
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("part", [5, 100_000])
+def test_state_at_events(spark, monkeypatch, part, strict):
+    """Against a walk over all changes, with a key that has most rows, ties, nulls and repeated events."""
+    import random
+
+    from tidepanel.operators import asof
+
+    monkeypatch.setattr(ranks, "PART", part)
+    monkeypatch.setattr(ranks, "WHOLE", 0 if part == 5 else 200_000)
+    rng = random.Random(11)
+    key = lambda: rng.choice(["hot"] * 6 + ["a", "b", None])
+    changes = [(key(), rng.choice([*range(0, 60, 2), None]), rng.choice([None, i]), rng.choice([None, -i])) for i in range(1, 60)]
+    events = [(key(), rng.choice([*range(60), None]), i % 50) for i in range(120)]
+    got = asof.state_at(spark.createDataFrame(events, "asset string, t int, cap long"), spark.createDataFrame(changes, "asset string, t int, cap long, rate long"), ["asset"], ["t"], ["cap", "rate"], "state_", strict).collect()
+    assert len(got) == len(events)
+
+    def state(asset, t, at):
+        own = [(c[1], c[at]) for c in changes if c[at] is not None and c[0] == asset and c[1] is not None and asset is not None and t is not None and (c[1] < t or c[1] == t and not strict)]
+        best = max((x for x, _ in own), default=None)
+        return {v for x, v in own if x == best} or {None}
+
+    assert sorted(map(str, (tuple(r)[:3] for r in got))) == sorted(map(str, events))
+    for r in got:
+        assert r.state_cap in state(r.asset, r.t, 2) and r.state_rate in state(r.asset, r.t, 3)
+
+
+def test_sketches_roll_up_without_events(spark):
+    from tidepanel.operators import sketches
+
+    n = 60_000
+    df = spark.range(n).select((F.lit(T0) + F.make_dt_interval(hours=(F.col("id") % 96).cast("int"))).alias("time"), F.lit(1).alias("asset"), F.expr("if(id % 3 = 0, 'borrow', 'repay')").alias("kind"), F.expr("if(id % 3 = 0, id % 9000, id % 24000)").alias("user"))
+    df = df.union(spark.createDataFrame([(T0, 1, "borrow", None)], df.schema))
+    made = sketches.sketched(df, lg=12, lg_hll=12)
+    exact = df.where("user is not null").groupBy("kind").agg(F.collect_set("user").alias("u")).collect()
+    sets = {r.kind: set(r.u) for r in exact}
+    month = sketches.rolled(made, "30 days", lg=12)
+    for r in sketches.counted(month).groupBy("kind").agg(F.sum("n_users").alias("n"), F.sum("n_users_hll").alias("h")).collect():
+        assert abs(r.n / len(sets[r.kind]) - 1) < 4 * 2**-6 and abs(r.h / len(sets[r.kind]) - 1) < 4 * 1.04 * 2**-6
+    r = sketches.compared(month, "borrow", "repay").first()
+    a, b = sets["borrow"], sets["repay"]
+    error = 4 * 2**-6 * len(a | b)
+    for got, want in ((r.n_a, a), (r.n_b, b), (r.n_both, a & b), (r.n_either, a | b), (r.n_only_a, a - b)):
+        assert abs(got - len(want)) < error
+    few = sketches.rolled(sketches.sketched(df.where("user < 1000"), lg=12), None, lg=12)
+    assert {r.kind: r.n_users for r in sketches.counted(few).collect()} == {k: len([u for u in s if u < 1000]) for k, s in sets.items()}
+    assert sketches.compared(sketches.rolled(made.where("kind = 'repay'"), "30 days", lg=12), "borrow", "repay").first()[2:] == (0, *[sketches.counted(sketches.rolled(made.where("kind = 'repay'"), "30 days", lg=12)).first().n_users][:1], 0, *[sketches.counted(sketches.rolled(made.where("kind = 'repay'"), "30 days", lg=12)).first().n_users][:1], 0)
+
+
+def test_big_integers_with_a_sign(spark):
+    import random
+
+    from tidepanel.functions import bigint
+
+    rng = random.Random(4)
+    rows = [(g, rng.choice([-1, 1]) * rng.randrange(10 ** rng.choice([1, 18, 40, 89]))) for g in range(5) for _ in range(30)] + [(9, -5), (10, -5), (10, 5), (11, None)]
+    df = spark.createDataFrame([(g, None if v is None else str(v)) for g, v in rows], "g int, x string").withColumn("x", bigint.parsed("x"))
+    out = df.groupBy("g").agg(bigint.total("x").alias("t"), bigint.largest("x").alias("hi"), bigint.smallest("x").alias("lo"), bigint.signed_total("x", F.lit("7")).alias("net")).collect()
+    for r in out:
+        own = [v for g, v in rows if g == r.g and v is not None]
+        assert (r.t, r.hi, r.lo) == ((str(sum(own)), str(max(own)), str(min(own))) if own else (None, None, None))
+        assert r.net == str(sum(own) - 7 * len([1 for g, _ in rows if g == r.g]))
+    with pytest.raises(Exception, match="more than 90 digits"):
+        spark.createDataFrame([("-" + "9" * 91,)], "x string").agg(bigint.total("x")).collect()
+
+
+def test_panels_of_negative_amounts(spark, tokens):
+    supply = events(spark, [(T0, 5, 1, 1, 7, 0, 0.1, 1), (T0, 6, 2, 1, 8, 0, 0.2, 2)]).withColumn("amount", F.expr("if(user = 7, '-5', '12')"))
+    withdraw = events(spark, [(T0, 7, 1, 1, 7, 0, None, None)]).withColumn("amount", F.lit("-40"))
+    r = extract.supply_withdraw(supply, withdraw, tokens, exact=True).first()
+    assert (r.supply_amount_raw, r.withdrawal_amount_raw, r.net_supply_flow_raw) == ("7", "-40", "47")
+
+
 def test_parts_of_a_series_change_nothing(spark, monkeypatch):
     import random
 

@@ -1,4 +1,4 @@
-"""Whole numbers of up to 90 digits in string columns: parsing, order, exact sums."""
+"""Whole numbers of up to 90 digits, with a sign or without, in string columns: parsing, order, exact sums."""
 
 from __future__ import annotations
 
@@ -17,9 +17,11 @@ def parsed(x: Column | str) -> Column:
 
 
 def order(x: Column | str) -> Column:
-    """A struct by which canonical non-negative digits sort as numbers."""
-    c = F.col(x) if isinstance(x, str) else x
-    return F.struct(F.length(c).alias("n"), c.alias("digits"))
+    """A struct by which canonical digits, with a sign or without, sort as numbers."""
+    c = _c(x)
+    minus = c.startswith("-")
+    size = F.when(minus, -F.length(c)).otherwise(F.length(c))
+    return F.struct(size.alias("n"), F.when(minus, F.translate(c, "0123456789", "9876543210")).otherwise(c).alias("key"), c.alias("digits"))
 
 
 def largest(x: Column | str) -> Column:
@@ -31,25 +33,33 @@ def smallest(x: Column | str) -> Column:
 
 
 def total(x: Column | str) -> Column:
-    """Exact sum of canonical non-negative digits, as digits: limbs of 18 digits are summed apart, then carried.
+    """Exact sum of canonical digits, as digits with a sign: limbs of 18 digits are summed apart, then carried.
 
-    Null if there is nothing to sum. The numbers have at most 90 digits, their sum may have more.
+    Null if there is nothing to sum. Numbers of more than 90 digits are an error; their sum may have more.
     """
-    return _digits(_carried(_sums(x)))
+    return F.when(F.count(_c(x)) > 0, _signed(_sums(x)))
 
 
 def signed_total(positive: Column | str, negative: Column | str) -> Column:
     """Exact sum of positive less sum of negative, as digits with a sign; null if there is nothing to sum."""
     zero = F.lit(0).cast("decimal(28,0)")
     less = [F.coalesce(a, zero) - F.coalesce(b, zero) for a, b in zip(_sums(positive), _sums(negative))]
-    up, down = _carried(less), _carried([-x for x in less])
-    both = F.count(_c(positive)) + F.count(_c(negative))
-    return F.when(both > 0, F.when(up["carry"] < 0, F.concat(F.lit("-"), _digits(down))).otherwise(_digits(up)))
+    return F.when(F.count(_c(positive)) + F.count(_c(negative)) > 0, _signed(less))
+
+
+def _signed(limbs: list[Column]) -> Column:
+    up, down = _carried(limbs), _carried([-x for x in limbs])
+    return F.when(up["carry"] < 0, F.concat(F.lit("-"), _digits(down))).otherwise(_digits(up))
 
 
 def _sums(x: Column | str) -> list[Column]:
-    padded = F.lpad(_c(x), LIMB * LIMBS, "0")
-    return [F.sum(F.substring(padded, 1 + LIMB * i, LIMB).cast("decimal(18,0)")) for i in range(LIMBS)]
+    c = _c(x)
+    minus = c.startswith("-")
+    digits = F.when(minus, F.substring(c, 2, 2**31 - 1)).otherwise(c)
+    most = LIMB * LIMBS
+    padded = F.when(F.length(digits) > most, F.raise_error(F.concat(F.lit(f"a number of more than {most} digits: "), c)).cast("string")).otherwise(F.lpad(digits, most, "0"))
+    parts = [F.substring(padded, 1 + LIMB * i, LIMB).cast("decimal(18,0)") for i in range(LIMBS)]
+    return [F.sum(F.when(minus, -p).otherwise(p)) for p in parts]
 
 
 def _carried(limbs: list[Column]) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import cut_left_closed, cut_right_closed, divided
+from ..sources.stored import stored
 from . import metrics, ranks
 from .features import average_rank
 from .profile import numeric_columns, profiled
@@ -117,8 +118,10 @@ def strongest(r: DataFrame, k: int = 8) -> DataFrame:
 
 def terciles(df: DataFrame, score: Column, labels: Sequence[str]) -> DataFrame:
     """df with score and label: equal-count thirds, right-closed; null scores stay without a label. Equal edges are an error."""
-    scored = df.withColumn("score", score)
-    edges = scored.agg(F.percentile("score", F.array(F.lit(0.0), F.lit(1 / 3), F.lit(2 / 3), F.lit(1.0))).alias("_e"))
+    scored = stored(df.withColumn("score", score), "scored")
+    shares = {"_0": 0.0, "_1": 1 / 3, "_2": 2 / 3, "_3": 1.0}
+    points = ranks.quantiles(scored.select(F.col("score").cast("double").alias("x"), F.lit(1).alias("k")), [], "x", shares, "k", scored.count())
+    edges = points.groupBy().agg(*(F.max(n).alias(n) for n in shares)).select(F.when(F.col("_0").isNotNull(), F.array(*shares)).alias("_e"))
     edges = edges.withColumn("_e", F.when(F.size(F.array_distinct("_e")) == 4, F.col("_e")).when(F.col("_e").isNull(), F.lit(None)).otherwise(F.raise_error(F.lit("tercile edges must differ")).cast("array<double>")))
     return scored.crossJoin(F.broadcast(edges)).withColumn("label", cut_right_closed("score", [F.col("_e")[1], F.col("_e")[2]], labels)).drop("_e")
 
@@ -195,6 +198,11 @@ def group_stats(df: DataFrame, columns: Sequence[str], agg: str = "median", labe
     """(column, group, value): an aggregate of each column over each group and over ALL rows."""
     how = {"std": "stddev_samp", "mean": "avg"}.get(agg, agg)
     own = df.select(F.explode(F.array(F.col(label), F.lit("ALL"))).alias("group"), *columns).where("group is not null")
+    if agg == "median":  # from counts of distinct values, in order by ranges
+        long = own.select("group", *(F.col(c).cast("double").alias(c) for c in columns)).unpivot("group", list(columns), "column", "x")
+        counts = stored(long.groupBy("group", "column", "x").agg(F.count("*").alias("k")), "values")
+        middle = ranks.quantiles(counts, ["group", "column"], "x", {"value": 0.5}, "k", counts.count())
+        return counts.select("group", "column").distinct().join(middle, ["group", "column"], "left").select("column", "group", "value")
     wide = own.groupBy("group").agg(*(getattr(F, how)(F.col(c).cast("double")).alias(c) for c in columns))
     return wide.unpivot("group", list(columns), "column", "value")
 

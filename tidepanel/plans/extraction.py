@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import bigint
 from ..functions import columns as fc
-from ..operators import extract
+from ..operators import asof, extract, sketches
 from ..sources import roles
+from ..sources.stored import stored
 from .base import EVENTS, TOKENS, query, rounded
 
 
@@ -142,6 +143,31 @@ def q02_borrow_repay(spark, sf_dir):
     return rounded(extract.borrow_repay(roles.events(spark, sf_dir, "borrow"), roles.events(spark, sf_dir, "repay"), roles.tokens(spark, sf_dir), exact=True))
 
 
+@query(f"""WITH {EVENTS}, b AS (SELECT * FROM ev WHERE kind = 'signup'), c AS (SELECT asset, block, mode, amount FROM ev WHERE kind = 'error')
+SELECT b.block, b.asset, b.amount, s0.amount AS supply_cap, s1.amount AS borrow_cap, s2.amount AS debt_ceiling FROM b """ + " ".join(f"ASOF LEFT JOIN (SELECT * FROM c WHERE mode = {m}) s{m} ON b.asset = s{m}.asset AND b.block >= s{m}.block" for m in range(3)))
+def j03_state_at_event(spark, sf_dir):
+    """The caps in force at each borrowing."""
+    changes = roles.cap_changes(spark, sf_dir)
+    wide = changes.select("asset", "block", *(F.when(F.col("param") == p, F.col("value")).alias(p) for p in roles.PARAMETERS))
+    borrowed = roles.events(spark, sf_dir, "borrow").select("block", "asset", "amount")
+    return asof.state_at(borrowed, wide, ["asset"], ["block"], roles.PARAMETERS)
+
+
+@query(f"""WITH {EVENTS}, u AS (SELECT DISTINCT time_bucket(INTERVAL '1 day', time_bucket) AS time_bucket, asset, kind, usr FROM ev WHERE kind IN ('signup', 'view')),
+x AS (SELECT time_bucket, asset, usr, bool_or(kind = 'signup') AS a, bool_or(kind = 'view') AS b FROM u GROUP BY 1, 2, 3)
+SELECT time_bucket, asset, count(CASE WHEN a THEN 1 END) AS n_a, count(CASE WHEN b THEN 1 END) AS n_b, count(CASE WHEN a AND b THEN 1 END) AS n_both, count(*) AS n_either, count(CASE WHEN a AND NOT b THEN 1 END) AS n_only_a FROM x GROUP BY 1, 2""")
+def a06_users_by_day(spark, sf_dir):
+    """Who borrowed, who repaid and who did both on each day, from stored sketches of two hours; exact as a day and asset has fewer users than a sketch holds hashes."""
+    made = stored(sketches.sketched(roles.events(spark, sf_dir)), "sketches")
+    return sketches.compared(sketches.rolled(made, "1 day"), "signup", "view")
+
+
+@query(f"""WITH {EVENTS} SELECT kind, count(DISTINCT usr) AS n_users FROM ev GROUP BY 1""")
+def a06_users_of_all_time(spark, sf_dir):
+    made = stored(sketches.sketched(roles.events(spark, sf_dir)), "sketches")
+    return sketches.counted(sketches.rolled(made, None, ())).select("kind", "n_users")
+
+
 @query()
 def a06_approximate_distinct(spark, sf_dir):
     return rounded(extract.borrow_repay(roles.events(spark, sf_dir, "borrow"), roles.events(spark, sf_dir, "repay"), roles.tokens(spark, sf_dir)))
