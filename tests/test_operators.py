@@ -187,6 +187,92 @@ def test_places_by_ranges(spark, monkeypatch, keys):
             assert abs(r[name] - (low + (at - int(at)) * (own[min(int(at) + 1, len(own) - 1)] - low))) < 1e-9
 
 
+def test_streamed_fill_equals_the_batch(spark, tmp_path):
+    """Changes in files of random order, some later than the watermark's bound allows none: the closed buckets are those of a walk over all changes."""
+    import random
+
+    from tidepanel.streaming import fill
+
+    rng = random.Random(6)
+    changes = [(T0 + dt.timedelta(minutes=rng.randrange(48 * 60)), i, rng.choice("ab"), float(rng.randrange(50))) for i in range(300)]
+    changes.sort(key=lambda r: r[0] + dt.timedelta(minutes=rng.randrange(170)))  # at most three hours late
+    schema = "time timestamp, block long, asset string, value double"
+    for k in range(6):
+        spark.createDataFrame(changes[50 * k : 50 * k + 50] + [(None, 0, "a", 1.0), (T0, 0, None, 1.0)], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        (tmp_path / "in" / f"{k}").rename(tmp_path / f"in{k}")
+    (tmp_path / "all").mkdir(exist_ok=True)
+    for k in range(6):
+        file = next((tmp_path / f"in{k}").glob("*.parquet"))
+        file.rename(tmp_path / "all" / f"{k}.parquet")
+        import os
+
+        os.utime(tmp_path / "all" / f"{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/all")
+    buckets.to_table(fill.filled(stream, late="3 hours"), f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination(300)
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    got = {(r.asset, r.time_bucket): (r.value, r.fell) for r in rows}
+    assert len(got) == len(rows)
+    for asset in "ab":
+        own = sorted((t, i, v) for t, i, a, v in changes if a == asset)
+        first = min(t for t, _, _ in own)
+        b, last, n = dt.datetime(2024, 1, 1, first.hour // 2 * 2) + dt.timedelta(days=first.day - 1), None, 0
+        end = max(t for a, t in got if a == asset)
+        while b <= end:
+            inside = [(i, v) for t, i, v in own if b <= t < b + dt.timedelta(hours=2)]
+            value = max(inside)[1] if inside else last
+            assert got[asset, b] == (value, last is not None and value < last)
+            b, last, n = b + dt.timedelta(hours=2), value, n + 1
+        assert n == sum(a == asset for a, _ in got) and n >= 20
+
+
+def test_committed_versions(spark, tmp_path):
+    from tidepanel.sources import versions
+
+    root, df = f"{tmp_path}/tables", spark.range(5)
+    with pytest.raises(KeyError):
+        versions.read(spark, root, "t")
+    df.write.parquet(f"{root}/data/t_1-killed")  # data without a manifest
+    with pytest.raises(KeyError):
+        versions.read(spark, root, "t")
+    assert versions.write(df, root, "t", "1") and not versions.write(df.limit(1), root, "t", "1")
+    assert versions.write(spark.range(5, 7), root, "t", "2", append=True) and not versions.write(spark.range(5, 7), root, "t", "2", append=True)
+    assert sorted(r.id for r in versions.read(spark, root, "t").collect()) == list(range(7)) and versions.read(spark, root, "t", "1").count() == 5
+    assert versions.write(spark.range(2).withColumn("x", F.lit("a")), root, "t", "3", append=True)
+    assert versions.newest(spark, root, "t").rows == 9 and versions.read(spark, root, "t").where("x is null").count() == 7
+    with pytest.raises(ValueError):
+        versions.write(df, root, "t", "0", append=True)
+    assert versions.write(df.limit(0), root, "empty", "1") and versions.read(spark, root, "empty").count() == 0
+
+
+def test_layouts_are_pruned(spark, tmp_path, capsys):
+    from tidepanel.sources import versions
+
+    n = 3000
+    ev = spark.range(n).select((F.lit(T0) + F.make_dt_interval(hours=(F.col("id") % 240).cast("int"))).alias("time"), (F.col("id") % 50).alias("asset"), F.col("id").alias("amount"))
+    assert versions.laid_out(ev, f"{tmp_path}/laid", "events", "1", rows_per_file=500)
+    laid = versions.read(spark, f"{tmp_path}/laid", "events")
+    some = versions.between(laid, "2024-01-03 05:00:00", "2024-01-05 02:00:00")
+    assert some.count() == ev.where("time >= timestamp_ntz'2024-01-03 05:00:00' and time < timestamp_ntz'2024-01-05 02:00:00'").count()
+    some.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-03" in plan and "PushedFilters: [IsNotNull(time)" in plan
+    assert len(some.inputFiles()) == len(laid.inputFiles())  # of the relation; the scan lists fewer
+    assert {r.date.day for r in some.select("date").distinct().collect()} == {3, 4, 5}
+    universe = ev.select("asset").distinct().withColumn("n", F.col("asset") * 1).where("n < 3")
+    own = versions.of_universe(laid, universe)
+    assert own.count() == ev.where("asset < 3").count()
+    own.explain()
+    assert "dynamicpruning" in capsys.readouterr().out
+
+
+def test_stored_tables_can_be_cleared(spark):
+    from tidepanel.sources import stored
+
+    stored.clear(spark)
+    kept = stored.stored(spark.range(9), "some")
+    assert kept.count() == 9 and stored.clear(spark) == 1 and stored.clear(spark) == 0
+
+
 @pytest.mark.parametrize("constant", [False, True])
 def test_no_task_takes_many_rows(spark, monkeypatch, constant):
     """Five million rows, in an order of their own or all of one value: ranges and parts hold at most 200,000 rows each."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import bucket, exactly_scaled
+from ..sources import versions
 
 
 def raw_amounts(df: DataFrame) -> list[str]:
@@ -108,11 +109,10 @@ def new_columns(before: DataFrame, after: DataFrame) -> list[str]:
 
 
 def written_version(df: DataFrame, path: str, label: str, stamp: str, partition: str | None = None) -> str:
-    """Write a panel under its label and UTC stamp; an existing version is an error."""
-    to = f"{path.rstrip('/')}/{label}_{stamp}"
-    writer = df.write.mode("errorifexists")
-    (writer.partitionBy(partition) if partition else writer).parquet(to)
-    return to
+    """Commit a panel under its label and UTC stamp; an existing version is an error."""
+    if not versions.write(df, path, label, stamp, partition=partition):
+        raise FileExistsError(f"{label}_{stamp}")
+    return f"{label}_{stamp}"
 
 
 def exported(frames: Mapping[str, DataFrame], path: str, stamp: str) -> dict[str, str]:

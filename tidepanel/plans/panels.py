@@ -156,7 +156,7 @@ def x07_flashloan_flows(spark, sf_dir):
 
 #: Decimals of the account means, as the metric dictionary has them.
 _ACCOUNT = {"avg_total_collateral_base": 8, "avg_total_debt_base": 8, "avg_available_borrows_base": 8, "avg_ltv": 4, "avg_current_liquidation_threshold": 4}
-X08 = f"WITH {PROTOCOL} SELECT time_bucket, {', '.join(f'round({c} / 1e{d}, 10) AS {c}_scaled' for c, d in _ACCOUNT.items())}, sampled_user_count FROM p"
+X08 = f"WITH {PROTOCOL}, cc AS (SELECT time_bucket, count(*) AS account_data_call_count FROM ev GROUP BY 1) SELECT time_bucket, account_data_call_count, {', '.join(f'round({c} / 1e{d}, 10) AS {c}_scaled' for c, d in _ACCOUNT.items())}, sampled_user_count FROM p JOIN cc USING (time_bucket)"
 
 
 @query(X08)
@@ -164,7 +164,8 @@ def x08_column_decimals(spark, sf_dir):
     """Each column over the decimals that the dictionary gives its metric."""
     book = extract.metric_dictionary(spark, [(c, d, "base") for c, d in _ACCOUNT.items()])
     decimals = {r.metric: r.decimals for r in book.select("metric", "decimals").collect()}  # a row a metric
-    own = roles.protocol(spark, sf_dir).select("time_bucket", *_ACCOUNT, "sampled_user_count")
+    calls = roles.events(spark, sf_dir).groupBy(fc.bucket("time").alias("time_bucket")).agg(F.count("*").alias("account_data_call_count"))
+    own = roles.protocol(spark, sf_dir).select("time_bucket", *_ACCOUNT, "sampled_user_count").join(calls, "time_bucket")
     return rounded(panels.scale_by_decimals(own, decimals), 10)
 
 
@@ -173,7 +174,7 @@ _ALL_SQL = [X01, X02, X05, X06, X07, X08]
 
 @query("SELECT * FROM " + " LEFT JOIN ".join(f"({q}) AS x{i}" + (" USING (time_bucket)" if i else "") for i, q in enumerate(_ALL_SQL)))
 def x09_protocol_panel(spark, sf_dir):
-    """All protocol series side by side, from supply and withdrawals on: 44 numbers a bucket."""
+    """All protocol series side by side, from supply and withdrawals on: 45 numbers a bucket."""
     toggles = panels.aggregate_by_time_bucket(_toggles(spark, sf_dir), _TOGGLES)
     own = [f(spark, sf_dir) for f in (x01_supply_withdraw_flows, x02_borrow_repay_flows, x05_liquidation_flows)]
     return panels.assembled(*own, toggles, x07_flashloan_flows(spark, sf_dir), x08_column_decimals(spark, sf_dir))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import versions as committed
+
 NAME = r"([^/]+)_([0-9]+)_([0-9]{8}T[0-9]{6}Z)\.csv"
 
 
@@ -50,9 +52,5 @@ def load_all(spark: SparkSession, folder: str, schemas: dict[str, T.StructType |
 
 
 def load_version(spark: SparkSession, folder: str, label: str) -> DataFrame:
-    """The newest version of a panel that panels.written_version has stored: <label>_<stamp>."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(folder).select(F.regexp_extract("path", r"/([^/]+_[0-9]{8}T[0-9]{6}Z)/", 1).alias("version"))
-    newest = files.where(F.regexp_replace("version", "_[^_]+$", "") == label).agg(F.max("version").alias("version")).first().version
-    if newest is None:
-        raise KeyError(label)
-    return spark.read.parquet(f"{folder.rstrip('/')}/{newest}")
+    """The newest committed version of a panel that panels.written_version has stored; a KeyError if there is none."""
+    return committed.read(spark, folder, label)

@@ -22,5 +22,18 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read again from a Parquet table: they are computed once, whoever reads them and whichever executor is lost."""
     path = f"{shared_dir(df.sparkSession)}/tidepanel/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Tables written by each application.
+_written: dict[str, list[str]] = {}
+
+
+def clear(spark: SparkSession) -> int:
+    """Empty all tables that this application has stored, once the results that read them are written; how many there were."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        spark.createDataFrame([], "none int").write.mode("overwrite").parquet(path)
+    return len(paths)
