@@ -153,6 +153,57 @@ def test_clusters():
     assert splits.correlation_clusters(table, "abcd", 1, linkage="average")["cluster_1"] == ["d", "a", "b", "c"]
 
 
+def plain_clusters(columns, far, n, linkage):
+    """Pairs of clusters are compared member by member, again for every merge."""
+    groups = [[c] for c in columns]
+    how = {"complete": max, "single": min, "average": lambda xs: sum(xs) / len(xs)}[linkage]
+    while len(groups) > n:
+        apart = lambda p: how([far[frozenset((x, y))] for x in groups[p[0]] for y in groups[p[1]]])
+        a, b = min(((i, j) for i in range(len(groups)) for j in range(i + 1, len(groups))), key=apart)
+        groups = [g for k, g in enumerate(groups) if k not in (a, b)] + [groups[a] + groups[b]]
+    return [sorted(g) for g in sorted(groups, key=len, reverse=True)]
+
+
+@pytest.mark.parametrize("linkage", ["complete", "single", "average"])
+def test_clusters_member_by_member(spark, linkage):
+    import random
+
+    rng = random.Random(3)
+    columns = [f"c{i}" for i in range(14)]
+    rows = [(a, b, rng.uniform(-1, 1)) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    r = spark.createDataFrame(rows, "col_a string, col_b string, r double")
+    for n in (1, 4, 9):
+        got = splits.correlation_clusters(r, columns, n, linkage=linkage)
+        assert sorted(map(sorted, got.values())) == sorted(plain_clusters(columns, {frozenset((a, b)): 1 - abs(x) for a, b, x in rows}, n, linkage))
+    coherent = {x.cluster: x.mean_r for x in splits.coherence(r, splits.correlation_clusters(r, columns, 4)).collect()}
+    of = {frozenset((a, b)): x for a, b, x in rows}
+    for name, own in splits.correlation_clusters(r, columns, 4).items():
+        inner = [of[frozenset((a, b))] for i, a in enumerate(own) for b in own[i + 1 :]]
+        assert (name in coherent) == bool(inner) and (not inner or abs(coherent[name] - sum(inner) / len(inner)) < 1e-12)
+
+
+def test_clusters_of_the_whole_table(spark, sf_dir):
+    """c02 and r04 against correlations by numpy and clusters member by member."""
+    import numpy as np
+    from tidepanel.plans.registry import QUERIES
+
+    x = np.array([list(r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("embedding").collect()], float)
+    names, m = [f"e{i}" for i in range(64)], np.corrcoef(x.T)
+    for query, n, absolute in (("c02_correlation_clusters", 5, True), ("r04_columns_by_correlation", 4, False)):
+        far = {frozenset((names[i], names[j])): 1 - (abs(m[i, j]) if absolute else m[i, j]) for i in range(64) for j in range(i)}
+        want = plain_clusters(names, far, n, "complete")
+        rows = QUERIES[query](spark, sf_dir).collect()
+        if n == 5:
+            got = {}
+            for r in rows:
+                got.setdefault(r.cluster, []).append(r.column)
+            assert sorted(map(sorted, got.values())) == sorted(want)
+        else:
+            at = {c: i for i, c in enumerate(names)}
+            means = sorted(round(float(np.mean([m[at[a], at[b]] for i, a in enumerate(g) for b in g[i + 1 :]])), 6) for g in want if len(g) > 1)
+            assert sorted(r.mean_r for r in rows if r.cluster != "overall") == means
+
+
 def test_metrics_guards(spark):
     rows = [("flat", i, 2.0) for i in range(5)] + [("one", 0, 1.0), ("none", 0, None), ("bad", 0, float("nan")), ("bad", 1, float("inf"))]
     out = {r.series: r for r in metrics.shape(spark.createDataFrame(rows, "series string, ord int, x double")).collect()}

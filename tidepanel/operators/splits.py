@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -85,22 +84,26 @@ def correlation_clusters(r: DataFrame, columns: Sequence[str], n_clusters: int =
     Distances between clusters are kept up to date as clusters merge, so that no linkage is computed from its members
     again. The closest pair that comes first merges; a missing correlation counts as distance 1; the largest cluster comes first.
     """
-    far = {}
+    at, p = {c: i for i, c in enumerate(columns)}, len(columns)
+    d = np.full((2 * p, 2 * p), np.inf)  # a new cluster takes the next row
+    d[:p, :p][np.triu_indices(p, 1)] = 1.0
     for x in r.collect():  # p * (p - 1) / 2 rows
-        v = 0.0 if x.r is None else abs(x.r) if absolute else x.r
-        far[frozenset((x.col_a, x.col_b))] = 1.0 - v
-    groups = [[c] for c in columns]
-    d = {(i, j): far.get(frozenset((columns[i], columns[j])), 1.0) for i, j in combinations(range(len(columns)), 2)}
-    alive = list(range(len(columns)))
-    while len(alive) > max(1, min(n_clusters, len(columns))):
-        a, b = min(((i, j) for n, i in enumerate(alive) for j in alive[n + 1 :]), key=lambda p: (d[tuple(sorted(p))]))
+        if x.col_a in at and x.col_b in at:
+            i, j = sorted((at[x.col_a], at[x.col_b]))
+            d[i, j] = 1.0 - (0.0 if x.r is None else abs(x.r) if absolute else x.r)
+    groups: list[list[str]] = [[c] for c in columns]
+    alive = list(range(p))
+    while len(alive) > max(1, min(n_clusters, p)):
         new = len(groups)
+        a, b = divmod(int(d[:new, :new].argmin()), new)
         groups.append(groups[a] + groups[b])
         alive = [k for k in alive if k not in (a, b)]
         for k in alive:
-            x, y = d[tuple(sorted((k, a)))], d[tuple(sorted((k, b)))]
+            x, y = d[min(k, a), max(k, a)], d[min(k, b), max(k, b)]
             na, nb = len(groups[a]), len(groups[b])
             d[k, new] = max(x, y) if linkage == "complete" else min(x, y) if linkage == "single" else (na * x + nb * y) / (na + nb)
+        for gone in (a, b):
+            d[gone, :] = d[:, gone] = np.inf
         alive.append(new)
     order = sorted((groups[k] for k in alive), key=len, reverse=True)
     return {f"cluster_{i + 1}": g for i, g in enumerate(order)}
