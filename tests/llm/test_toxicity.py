@@ -130,6 +130,65 @@ def test_held_out_accuracy_and_spans(spark):
     assert not kept & {r.doc_id for r in held if r.toxic} and {r.doc_id for r in held if not r.toxic} <= kept
 
 
+def plain_score(model, text):
+    """Score and toxic tokens of a text: forward-backward over every token, in logs."""
+    chunks = (text or "").lower().split()
+    own = [[model.weights[f] for f in sorted(toxicity.features_of(w)) if f in model.weights] for w in chunks]
+    added, weight = set(), [model.bias] * len(chunks)
+    for i, features in enumerate(own):
+        for k, step in enumerate((0, 1, -1)):
+            if features and 0 <= i + step < len(chunks):
+                weight[i + step] += sum(x[k] for x in features)
+                added.add(i + step)
+    if not added:
+        return 1 / (1 + exp(-model.scale[2])), []
+    n, moves = len(chunks), np.array(model.moves)
+    e = np.array([[0.0, max(-60.0, min(60.0, w)) if i in added else w] for i, w in enumerate(weight)])
+    ahead, back = np.zeros((n, 2)), np.zeros((n, 2))
+    ahead[0] = e[0]
+    for i in range(1, n):
+        ahead[i] = [np.logaddexp.reduce(ahead[i - 1] + moves[:, s]) + e[i, s] for s in (0, 1)]
+    for i in range(n - 2, -1, -1):
+        back[i] = [np.logaddexp.reduce(moves[s] + e[i + 1] + back[i + 1]) for s in (0, 1)]
+    both = ahead + back
+    toxic = np.exp(both[:, 1] - np.logaddexp.reduce(both, axis=1))
+    p = [toxic[i] for i in sorted(added)]
+    z = model.scale[2] + model.scale[0] * max(p) + model.scale[1] * np.log1p(sum(p))
+    return 1 / (1 + exp(-z)), [i for i in sorted(added) if toxic[i] >= 0.5]
+
+
+def test_whole_query_against_plain_scores(spark, tmp_path):
+    """op9 over a small table with clashing columns: every score, decision and span by forward-backward over all tokens."""
+    rows = corpus(spark, 900)
+    odd = spark.createDataFrame([(9001, None), (9002, ""), (9003, "Idiot"), (9004, "lost " * 300 + "MORON, chllabx " + "ing " * 200)], "doc_id long, text string")
+    docs = rows.select("doc_id", "text").union(odd).withColumns({"score": F.lit("mine"), "y": F.lit(3), "fold": F.lit(None).cast("int"), "spans": F.lit(0)})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows.select("doc_id", "toxic", F.lit("x").alias("text"), F.lit(1).alias("id")).write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op9_toxicity_crf(spark, str(tmp_path)).collect()
+    own = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    model = toxicity.fit(own, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    texts = {r.doc_id: r.text for r in own.collect()}
+    assert model.weights and len(got) == len(texts) == 904
+    for r in got:
+        score, tokens = plain_score(model, texts[r.doc_id])
+        assert abs(r.score - score) < 1e-9 and r.predicted == (score >= 0.5) and r.held_out == (crc32(str(r.doc_id).encode()) % 5 == 0)
+        chunks = (texts[r.doc_id] or "").split()
+        assert [texts[r.doc_id][s.start : s.end] for s in r.spans] == [chunks[i] for i in tokens]
+    assert sum(r.predicted for r in got) > 80
+
+
+def test_bounds_of_the_fit(spark):
+    rows = corpus(spark, 600)
+    labelled = toxicity.labelled(rows.drop("toxic"), rows.select("doc_id", "toxic"), 12_000, "doc_id", "text", "toxic")
+    names = [["idiot", "moron", "^chlla"]] * (toxicity.FOLDS + 1)
+    whole, some = (toxicity._windows(labelled, names, most) for most in (100_000, 30))
+    for (_, _, y, n), (x, at, few, times) in zip(whole, some):
+        assert len(y) > 30 == len(few) == len(times) and at.max() < 30 * toxicity.SPAN
+        assert abs(times.sum() / n.sum() - 1) < 0.35  # a priority sample keeps the total, but for chance
+    model = toxicity.fit(rows.drop("toxic"), rows.select("doc_id", "toxic"), features=2, windows=200)
+    assert 0 < len(model.weights) <= 2
+
+
 def test_held_out_labels_are_not_learnt(spark):
     rows = corpus(spark, 400)
     held = F.expr("crc32(cast(cast(doc_id as string) as binary)) % 5 = 0")
