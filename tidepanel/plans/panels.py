@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as fc
 from ..operators import extract, features, panels
 from ..sources import roles
+from ..sources.stored import stored
 from .base import EVENTS, PROTOCOL, RESERVE, TOKENS, query, rounded
 
 #: Prices of the events' assets by bucket: mean value, and that over the mean of asset 0.
@@ -22,6 +23,10 @@ def _prices(spark, sf_dir):
     return own.join(base, "time_bucket").withColumn("avg_price_eth", F.col("avg_price_usd") / F.col("base")).drop("base")
 
 
+def _given(prices, spark, sf_dir):
+    return _prices(spark, sf_dir) if prices is None else prices
+
+
 def _valued(kinds: dict[str, str], counts: str) -> str:
     """SQL of flows(): amounts per asset, scaled, priced, and summed per bucket."""
     sums = ", ".join(f"CAST(sum(CASE WHEN {cond} THEN amount END) AS BIGINT) AS {n}" for n, cond in kinds.items())
@@ -45,9 +50,9 @@ X02 = _valued({"borrow_amount": _BORROW, "repay_amount": _REPAY}, _numbers(borro
 
 
 @query(X01)
-def x01_supply_withdraw_flows(spark, sf_dir):
+def x01_supply_withdraw_flows(spark, sf_dir, prices=None):
     panel = extract.supply_withdraw(roles.events(spark, sf_dir, "supply"), roles.events(spark, sf_dir, "withdraw"), roles.tokens(spark, sf_dir), exact=True)
-    return rounded(panels.flows(panel, roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["supply_amount_raw", "withdrawal_amount_raw"], ["supply_tx_count", "withdrawal_tx_count", "unique_suppliers", "unique_withdraw_users"]), 5)
+    return rounded(panels.flows(panel, roles.tokens(spark, sf_dir), _given(prices, spark, sf_dir), ["supply_amount_raw", "withdrawal_amount_raw"], ["supply_tx_count", "withdrawal_tx_count", "unique_suppliers", "unique_withdraw_users"]), 5)
 
 
 def _borrow_panel(spark, sf_dir):
@@ -55,9 +60,9 @@ def _borrow_panel(spark, sf_dir):
 
 
 @query(X02)
-def x02_borrow_repay_flows(spark, sf_dir):
+def x02_borrow_repay_flows(spark, sf_dir, prices=None):
     counts = ["borrow_tx_count", "repay_tx_count", "variable_borrow_count", "unique_borrowers", "unique_repayers"]
-    return rounded(panels.flows(_borrow_panel(spark, sf_dir), roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["borrow_amount_raw", "repay_amount_raw"], counts), 5)
+    return rounded(panels.flows(_borrow_panel(spark, sf_dir), roles.tokens(spark, sf_dir), _given(prices, spark, sf_dir), ["borrow_amount_raw", "repay_amount_raw"], counts), 5)
 
 
 #: Borrow rates (b) beside reserve rates (u), by bucket and asset.
@@ -118,10 +123,10 @@ X05 = f"""WITH {EVENTS}, {TOKENS}, {EV_PRICES}, {_EVENT_LEGS} SELECT time_bucket
 
 
 @query(X05)
-def x05_liquidation_flows(spark, sf_dir):
+def x05_liquidation_flows(spark, sf_dir, prices=None):
     """Both legs of each liquidation, valued."""
     own = extract.liquidation(roles.event_legs(spark, sf_dir), roles.tokens(spark, sf_dir), exact=True)
-    return rounded(panels.flows(own, roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["collateral_amount_raw", "debt_covered_raw"], _LEG_COUNTS), 5)
+    return rounded(panels.flows(own, roles.tokens(spark, sf_dir), _given(prices, spark, sf_dir), ["collateral_amount_raw", "debt_covered_raw"], _LEG_COUNTS), 5)
 
 
 _TOGGLES = ["enabled_count", "disabled_count", "unique_enable_users", "unique_disable_users"]
@@ -146,11 +151,11 @@ X07 = f"""WITH {EVENTS}, {TOKENS}, {EV_PRICES}, {_LOANS} SELECT time_bucket, {",
 
 
 @query(X07)
-def x07_flashloan_flows(spark, sf_dir):
+def x07_flashloan_flows(spark, sf_dir, prices=None):
     """Values of amounts and premiums, joined to the sums of counts."""
     loans = roles.events(spark, sf_dir, "withdraw").withColumn("premium", F.expr("amount div 1000"))
     panel = extract.flashloan(loans, roles.tokens(spark, sf_dir), exact=True)
-    values = panels.flows(panel, roles.tokens(spark, sf_dir), _prices(spark, sf_dir), ["flashloan_amount_raw", "flashloan_premium_raw"], [])
+    values = panels.flows(panel, roles.tokens(spark, sf_dir), _given(prices, spark, sf_dir), ["flashloan_amount_raw", "flashloan_premium_raw"], [])
     return rounded(panels.assembled(values, panels.aggregate_by_time_bucket(panel, _LOAN_COUNTS)), 5)
 
 
@@ -175,9 +180,10 @@ _ALL_SQL = [X01, X02, X05, X06, X07, X08]
 @query("SELECT * FROM " + " LEFT JOIN ".join(f"({q}) AS x{i}" + (" USING (time_bucket)" if i else "") for i, q in enumerate(_ALL_SQL)))
 def x09_protocol_panel(spark, sf_dir):
     """All protocol series side by side, from supply and withdrawals on: 45 numbers a bucket."""
+    prices = stored(_prices(spark, sf_dir), "prices")  # all panels value by them
     toggles = panels.aggregate_by_time_bucket(_toggles(spark, sf_dir), _TOGGLES)
-    own = [f(spark, sf_dir) for f in (x01_supply_withdraw_flows, x02_borrow_repay_flows, x05_liquidation_flows)]
-    return panels.assembled(*own, toggles, x07_flashloan_flows(spark, sf_dir), x08_column_decimals(spark, sf_dir))
+    own = [f(spark, sf_dir, prices) for f in (x01_supply_withdraw_flows, x02_borrow_repay_flows, x05_liquidation_flows)]
+    return panels.assembled(*own, toggles, x07_flashloan_flows(spark, sf_dir, prices), x08_column_decimals(spark, sf_dir))
 
 
 @query(f"""WITH {EVENTS}, a AS (SELECT time_bucket, count(*) AS n, max(amount) AS top FROM ev WHERE kind = 'purchase' GROUP BY 1), b AS (SELECT time_bucket, count(*) AS n, max(amount) AS high FROM ev WHERE kind = 'error' GROUP BY 1), c AS (SELECT time_bucket, min(amount) AS low FROM ev WHERE kind = 'view' GROUP BY 1)
