@@ -17,7 +17,7 @@ from .profile import numeric_columns, profiled
 
 
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:
-    """(col_a, col_b, r) for a < b in the order given: over the rows where both are present; null for constants.
+    """(col_a, col_b, r) for a < b in the order given: over the rows where both are finite numbers; null for constants.
 
     Sums of products of all pairs are products of matrices, which no built-in aggregate has: each task adds up its Arrow batches and
     sends one row a pair. Spearman's ranks are places among a column's values; they are taken per pair, by windows, only if a first look
@@ -26,7 +26,8 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str
     names = list(columns or numeric_columns(df))
     if len(names) < 2:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
-    rows = df.select(F.array(*(F.col(c).cast("double") for c in names)).alias("v"))
+    number = {c: F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c).cast("double")) for c in names}
+    rows = df.select(F.array(*number.values()).alias("v"))
     if method == "spearman":
         if not rows.where(F.exists("v", lambda x: x.isNull())).isEmpty():
             return _named(_ranked_pairs(rows, len(names)), names)
@@ -34,7 +35,7 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str
         values = ranks.placed(cells.groupBy("i", "x").agg(F.count("*").alias("k")), ["i"], "x", "k")
         own = cells.join(values.select("i", "x", (F.col("_begin") + (F.col("k") + 1) / 2).alias("rank")), ["i", "x"])
         rows = own.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("i", "rank"))).alias("v")).select(F.col("v.rank").alias("v"))
-    middle = df.agg(*(F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(names))).select(F.array(*(F.coalesce(f"m{i}", F.lit(0.0)) for i in range(len(names)))).alias("m"))
+    middle = df.agg(*(F.avg(x).alias(f"m{i}") for i, x in enumerate(number.values()))).select(F.array(*(F.coalesce(f"m{i}", F.lit(0.0)) for i in range(len(names)))).alias("m"))
     if method == "spearman":
         middle = rows.agg((F.count("*") / 2).alias("n")).select(F.array_repeat("n", len(names)).alias("m"))
     centred = rows.crossJoin(F.broadcast(middle)).select(F.zip_with("v", "m", lambda x, m: x - m).alias("v"))
