@@ -33,7 +33,8 @@ from .common import leanly, written
 SAMPLE = 20_000
 SHARES, RECALL, TRIED = (0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0), 0.98, 400
 COLUMNS, EPSILON = 16, 2.1
-BLOCK, QUERIES = 2048, 1024
+#: Vectors of a block at most, their bytes, and queries that meet a block at a time: a query is sent once to each block of the lists that it probes.
+BLOCK, BLOCK_BYTES, QUERIES = 16_384, 16 << 20, 4096
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -184,7 +185,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "ve
     sizes, different = np.zeros(len(c), np.int64), np.zeros(len(c))
     for r in held.collect():  # a row a list
         sizes[r["list"]], different[r["list"]] = r["n"], r["different"]
-    blocks = np.maximum(1, -(-sizes // BLOCK))
+    blocks = np.maximum(1, -(-sizes // max(1, min(BLOCK, BLOCK_BYTES // (8 * sample.shape[1])))))
     more = spark.sparkContext.broadcast(different)
 
     def asked(batches):
