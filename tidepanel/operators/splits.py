@@ -65,12 +65,17 @@ def _products(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _ranked_pairs(rows: DataFrame, width: int) -> DataFrame:
-    """(i, j, r) of ranks among the rows where both cells are present."""
+    """(i, j, r) of ranks among the rows where both cells are present; ranks are places of distinct values, so no task holds all rows of a pair."""
     left = rows.select("v", F.explode(F.sequence(F.lit(0), F.lit(width - 2))).alias("i"))
     pairs = left.select("v", "i", F.explode(F.sequence(F.col("i") + 1, F.lit(width - 1))).alias("j"))
     long = pairs.select("i", "j", F.get("v", F.col("i")).alias("x"), F.get("v", F.col("j")).alias("y")).where("x is not null and y is not null")
-    by = ("i", "j")
-    ranked = long.select(*by, average_rank("x", by).alias("x"), average_rank("y", by).alias("y"))
+    by = ["i", "j"]
+
+    def ranked(side: str) -> DataFrame:
+        counts = stored(long.groupBy(*by, side).agg(F.count("*").alias("k")), "values")
+        return ranks.placed(counts, by, side, "k", counts.count()).select(*by, side, (F.col("_begin") + (F.col("k") + 1) / 2).alias(f"r{side}"))
+
+    ranked = long.join(ranked("x"), [*by, "x"]).join(ranked("y"), [*by, "y"]).select(*by, F.col("rx").alias("x"), F.col("ry").alias("y"))
     return ranked.groupBy(*by).agg(F.when((F.stddev_pop("x") > 0) & (F.stddev_pop("y") > 0), F.corr("x", "y")).alias("r"))
 
 
