@@ -103,17 +103,32 @@ def give_back() -> None:
         pass
 
 
-def leanly(run: Callable, *models: Callable) -> Callable:
-    """run, for mapInArrow, in workers that hold no more than the models named and the caches of the task at hand."""
+_last = ""
+
+
+def begin(title: str) -> None:
+    """Empty the caches if the last task was of another function."""
+    global _last
+    if _last != title:
+        give_back()
+        _last = title
+
+
+def leanly(run: Callable, *models: Callable, keep: bool = False) -> Callable:
+    """run, for mapInArrow, in workers that hold no more than the models named and the caches of the task at hand; with keep, those
+    of the tasks before it too (no more bytes, as caches are bounded), until a task of another function begins."""
     names = {k for k, m in _models.items() if m in models}
+    title = f"{run.__module__}.{run.__qualname__}"
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, m in _models.items():
             if k not in names:
                 m.cache_clear()
+        begin(title)
         try:
             yield from run(batches)
         finally:
-            give_back()
+            if not keep:
+                give_back()
 
     return own

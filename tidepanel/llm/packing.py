@@ -49,7 +49,7 @@ def pieces(docs: DataFrame, size: int = 2048, separator: int = 0, tokenizer: str
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)][: 5 + with_ids], names=names[: 5 + with_ids])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(leanly(run, tokens.encoder), PIECE + ", ids binary" * with_ids)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(leanly(run, tokens.encoder, keep=True), PIECE + ", ids binary" * with_ids)
 
 
 def best_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
