@@ -19,6 +19,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,9 @@ LONG, AT_ONCE, PAIRS, ROWS = 1 << 16, 1 << 18, 1 << 18, 1024
 FREQUENT = 1 << 18
 #: Letters, marks and symbols that all versions of Unicode class alike; texts of these alone may take the faster encoder.
 _USUAL = re.compile(r"[\x00-ʯΑ-ΡΣ-ϿА-я‐-‧€ぁ-ゖァ-ヺ一-龥가-힣]*")
-#: Runs that the faster encoder takes long for.
-_RUN = re.compile(r"\s{400}|[^\W\d_]{400}|\d{400}|[^\w\s]{400}")
+#: Runs without a break from which on the faster encoder takes long.
+RUN = 400
+_SPACES = re.compile(rf"\s{{{RUN}}}")
 _BETWEEN = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
@@ -89,8 +91,8 @@ class Sides:
 
     def first(self, texts: list[str]) -> list[list[int]]:
         """ids of texts as they stand, by the byte-level vocabulary."""
-        usual = [self.fast is not None and _USUAL.fullmatch(t) is not None and _RUN.search(t) is None for t in texts]
-        out = [self.fast.encode_ordinary(t) if u else [] for t, u in zip(texts, usual)]
+        usual = [self.fast is not None and not _runs(t) and _USUAL.fullmatch(t) is not None for t in texts]
+        out = [self.fast.encode_to_numpy(t).tolist() if u else [] for t, u in zip(texts, usual)]
         rest = [i for i, u in enumerate(usual) if not u]
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False) if rest else []):
             out[i] = e.ids
@@ -117,6 +119,10 @@ def sides(byte_level: str, pieces: str) -> Sides:
     return Sides(byte_level, pieces)
 
 
+def _runs(text: str) -> bool:
+    return len(text) >= RUN and (max(map(len, text.split()), default=0) >= RUN or _SPACES.search(text) is not None)
+
+
 def _joined(names: list[bytes], ids: list[list[int]]) -> list[bytes]:
     return [b"".join(map(names.__getitem__, own)) for own in ids]
 
@@ -126,7 +132,7 @@ class Aligned:
 
     def __init__(self, own: Sides, a: list[list[int]], b: list[list[int]]) -> None:
         n = len(a)
-        self.a, self.b = (np.fromiter((i for ids in side for i in ids), np.int64) for side in (a, b))
+        self.a, self.b = (np.array(list(chain.from_iterable(side)), np.int64) for side in (a, b))
         self.part_a, self.part_b = (np.repeat(np.arange(n), [len(ids) for ids in side]) for side in (a, b))
         end_a, end_b = own.sizes[0][self.a].cumsum(), own.sizes[1][self.b].cumsum()
         start_a, start_b = end_a - own.sizes[0][self.a], end_b - own.sizes[1][self.b]
