@@ -153,14 +153,6 @@ def test_clusters():
     assert splits.correlation_clusters(table, "abcd", 1, linkage="average")["cluster_1"] == ["d", "a", "b", "c"]
 
 
-@pytest.mark.parametrize("method", ["pearson", "spearman"])
-def test_cells_that_are_no_numbers_do_not_correlate(spark, method):
-    rows = [(1.0, 2.0), (2.0, 1.0), (3.0, 5.0), (4.0, 4.0)]
-    odd = [(float("inf"), 1.0), (float("nan"), 9.0), (None, 3.0), (7.0, float("-inf"))]
-    made = [splits.correlation(spark.createDataFrame(x, "a double, b double"), ["a", "b"], method).first().r for x in (rows, rows + odd)]
-    assert abs(made[0] - made[1]) < 1e-12
-
-
 @pytest.mark.parametrize(("name", "scans"), [("v_e1_protocol_frame", 3), ("v_t0_schema", 1), ("v_t1_domain", 1), ("v_t2_failing_examples", 1)])
 def test_checks_share_their_scans(spark, sf_dir, capsys, name, scans):
     from tidepanel.plans.registry import QUERIES

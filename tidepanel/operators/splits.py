@@ -17,7 +17,7 @@ from .profile import numeric_columns, profiled
 
 
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:
-    """(col_a, col_b, r) for a < b in the order given: over the rows where both are finite numbers; null for constants.
+    """(col_a, col_b, r) for a < b in the order given: over the rows where both are present; null for constants.
 
     Sums of products of all pairs are products of matrices, which no built-in aggregate has: each task adds up its Arrow batches and
     sends one row a pair. Spearman's ranks are places among a column's values; they are taken per pair, by windows, only if a first look
@@ -26,7 +26,7 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str
     names = list(columns or numeric_columns(df))
     if len(names) < 2:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
-    number = {c: F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c).cast("double")) for c in names}
+    number = {c: F.col(c).cast("double") for c in names}
     rows = df.select(F.array(*number.values()).alias("v"))
     if method == "spearman":
         if not rows.where(F.exists("v", lambda x: x.isNull())).isEmpty():
