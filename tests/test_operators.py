@@ -416,6 +416,37 @@ def test_state_at_events(spark, monkeypatch, part, strict):
         assert r.state_cap in state(r.asset, r.t, 2) and r.state_rate in state(r.asset, r.t, 3)
 
 
+@pytest.mark.parametrize("lg", [4, 7, 14])
+def test_counts_of_full_sketches_are_exact(spark, lg):
+    from tidepanel.operators import sketches
+
+    df = spark.range(6000).select((F.lit(T0) + F.make_dt_interval(hours=(F.col("id") % 72).cast("int"))).alias("time"), F.expr("if(id % 5 = 0, null, id % 2)").alias("asset"), F.expr("if(id % 3 = 0, 'borrow', 'repay')").alias("kind"), F.expr("if(id % 7 = 0, null, id % 400)").alias("user"))
+    users = sketches.members(df)
+    made = sketches.sketched(users, time="time_bucket", lg=lg)
+    sets = {}
+    for r in df.where("user is not null").collect():
+        for day in (r.time.date(), None):
+            sets.setdefault((day, r.asset if day else None), {}).setdefault(r.kind, set()).add(r.user)
+    rows = sketches.compared_exactly(sketches.rolled(made, "1 day", lg=lg), users, "borrow", "repay", "1 day", lg=lg).collect()
+    assert {(r.time_bucket.date(), r.asset): tuple(r[2:]) for r in rows} == {
+        k: (len(a), len(b), len(a & b), len(a | b), len(a - b)) for k, s in sets.items() if k[0] for a, b in [(s.get("borrow", set()), s.get("repay", set()))]
+    }
+
+
+def test_users_of_large_tables_are_those_of_the_sql(spark, tmp_path):
+    """More users a day than a union of 2^12 hashes holds, and more in all than a sketch does."""
+    import duckdb
+    from tidepanel.plans.registry import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    events = "SELECT i AS event_id, TIMESTAMP '2024-01-01' + INTERVAL (i // 30000) DAY AS ts, i % 21000 AS user_id, CASE WHEN i % 5 < 2 THEN 'view' ELSE 'signup' END AS event_type, 0.5 AS value, '{\"k\": 17}' AS props FROM range(130000) t(i)"
+    con.execute(f"copy ({events}) to '{tmp_path}/events.parquet'")
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
+    for name in ("a06_users_by_day",):
+        df = QUERIES[name](spark, str(tmp_path))
+        assert {tuple(r) for r in df.collect()} == set(con.execute(f"SELECT {', '.join(df.columns)} FROM ({ORACLE_SQL[name]})").fetchall())
+
+
 def test_sketches_roll_up_without_events(spark):
     from tidepanel.operators import sketches
 

@@ -153,13 +153,19 @@ def j03_state_at_event(spark, sf_dir):
     return asof.state_at(borrowed, wide, ["asset"], ["block"], roles.PARAMETERS)
 
 
+def _users(spark, sf_dir):
+    """Each user once per two hours, asset and kind of event, and sketches of these."""
+    users = stored(sketches.members(roles.events(spark, sf_dir)), "members")
+    return users, stored(sketches.sketched(users, time="time_bucket"), "sketches")
+
+
 @query(f"""WITH {EVENTS}, u AS (SELECT DISTINCT time_bucket(INTERVAL '1 day', time_bucket) AS time_bucket, asset, kind, usr FROM ev WHERE kind IN ('signup', 'view')),
 x AS (SELECT time_bucket, asset, usr, bool_or(kind = 'signup') AS a, bool_or(kind = 'view') AS b FROM u GROUP BY 1, 2, 3)
 SELECT time_bucket, asset, count(CASE WHEN a THEN 1 END) AS n_a, count(CASE WHEN b THEN 1 END) AS n_b, count(CASE WHEN a AND b THEN 1 END) AS n_both, count(*) AS n_either, count(CASE WHEN a AND NOT b THEN 1 END) AS n_only_a FROM x GROUP BY 1, 2""")
 def a06_users_by_day(spark, sf_dir):
-    """Who borrowed, who repaid and who did both on each day, from stored sketches of two hours; exact as a day and asset has fewer users than a sketch holds hashes."""
-    made = stored(sketches.sketched(roles.events(spark, sf_dir)), "sketches")
-    return sketches.compared(sketches.rolled(made, "1 day"), "signup", "view")
+    """Who borrowed, who repaid and who did both on each day, from stored sketches of two hours; days and assets with more users than a sketch holds hashes are counted from stored members."""
+    users, made = _users(spark, sf_dir)
+    return sketches.compared_exactly(sketches.rolled(made, "1 day"), users, "signup", "view", "1 day")
 
 
 @query(f"""WITH {EVENTS} SELECT kind, count(DISTINCT usr) AS n_users FROM ev GROUP BY 1""")
