@@ -427,6 +427,12 @@ def test_counts_of_full_sketches_are_exact(spark, lg):
     for r in df.where("user is not null").collect():
         for day in (r.time.date(), None):
             sets.setdefault((day, r.asset if day else None), {}).setdefault(r.kind, set()).add(r.user)
+    got = sketches.counted_exactly(sketches.rolled(made, None, (), lg), users, None, (), lg)
+    want = {}
+    for (day, _), s in sets.items():
+        for k, v in s.items() if day else ():
+            want.setdefault(k, set()).update(v)
+    assert {r.kind: r.n_users for r in got.collect()} == {k: len(v) for k, v in want.items()}
     rows = sketches.compared_exactly(sketches.rolled(made, "1 day", lg=lg), users, "borrow", "repay", "1 day", lg=lg).collect()
     assert {(r.time_bucket.date(), r.asset): tuple(r[2:]) for r in rows} == {
         k: (len(a), len(b), len(a & b), len(a | b), len(a - b)) for k, s in sets.items() if k[0] for a, b in [(s.get("borrow", set()), s.get("repay", set()))]
@@ -442,7 +448,7 @@ def test_users_of_large_tables_are_those_of_the_sql(spark, tmp_path):
     events = "SELECT i AS event_id, TIMESTAMP '2024-01-01' + INTERVAL (i // 30000) DAY AS ts, i % 21000 AS user_id, CASE WHEN i % 5 < 2 THEN 'view' ELSE 'signup' END AS event_type, 0.5 AS value, '{\"k\": 17}' AS props FROM range(130000) t(i)"
     con.execute(f"copy ({events}) to '{tmp_path}/events.parquet'")
     con.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
-    for name in ("a06_users_by_day",):
+    for name in ("a06_users_by_day", "a06_users_of_all_time"):
         df = QUERIES[name](spark, str(tmp_path))
         assert {tuple(r) for r in df.collect()} == set(con.execute(f"SELECT {', '.join(df.columns)} FROM ({ORACLE_SQL[name]})").fetchall())
 

@@ -50,6 +50,15 @@ def _of(members: DataFrame, width: str | None) -> DataFrame:
     return members.withColumn("time_bucket", bucket("time_bucket", width)) if width else members
 
 
+def counted_exactly(sketches: DataFrame, members: DataFrame, width: str | None, keys: Sequence[str] = ("asset",), lg: int = 14) -> DataFrame:
+    """(time_bucket, keys, kind, n_users) of sketches rolled to width and keys, of any number of users."""
+    by = [*(["time_bucket"] if width else []), *keys, "kind"]
+    known = stored(sketches.select(*by, F.theta_sketch_estimate("users").alias("n_users")), "counts")
+    full = F.col("n_users") >= 2**lg  # an estimate rounds, so a sketch that lacks a hash may give just 2^lg
+    rest = _within(_of(members, width), known.where(full), by).select(*by, "user").distinct()
+    return known.where(~full).unionByName(rest.groupBy(*by).agg(F.count("*").alias("n_users")))
+
+
 def compared_exactly(sketches: DataFrame, members: DataFrame, a: str, b: str, width: str | None, keys: Sequence[str] = ("asset",), lg: int = 14) -> DataFrame:
     """What compared gives of sketches rolled to width and keys, of any number of users."""
     by = [*(["time_bucket"] if width else []), *keys]

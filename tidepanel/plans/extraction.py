@@ -170,8 +170,8 @@ def a06_users_by_day(spark, sf_dir):
 
 @query(f"""WITH {EVENTS} SELECT kind, count(DISTINCT usr) AS n_users FROM ev GROUP BY 1""")
 def a06_users_of_all_time(spark, sf_dir):
-    made = stored(sketches.sketched(roles.events(spark, sf_dir)), "sketches")
-    return sketches.counted(sketches.rolled(made, None, ())).select("kind", "n_users")
+    users, made = _users(spark, sf_dir)
+    return sketches.counted_exactly(sketches.rolled(made, None, ()), users, None, ())
 
 
 @query()
