@@ -66,6 +66,33 @@ def test_wide_amounts_in_panels(spark, tokens, exact):
     assert (scaled.flashloan_amount, scaled.flashloan_premium) == (1e38, 0.01)
 
 
+def _shuffled(spark):
+    """Bytes that all stages so far have shuffled or spilled."""
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    return sum(s.shuffleWriteBytes() + s.diskBytesSpilled() for s in (stages.apply(i) for i in range(stages.size())))
+
+
+def test_liquidations_shuffle_actors_without_amounts(spark, tokens):
+    n = 200_000
+    key = lambda x: F.pmod(F.xxhash64("id", F.lit(x)), F.lit(10**9))
+    rows = spark.range(n).select((F.lit(T0) + F.make_dt_interval(days=(key(1) % 50).cast("int"))).alias("time"), F.col("id").alias("block"), *((key(i) % 10).alias(f"{leg}_asset") for i, leg in ((2, "collateral"), (3, "debt"))), *(key(i).alias(f"{leg}_amount") for i, leg in ((4, "collateral"), (5, "debt"))), key(6).alias("user"), key(7).alias("liquidator"), F.lit(True).alias("receive_token"))
+    before = _shuffled(spark)
+    out = extract.liquidation(rows, tokens, "1 day", exact=True).agg(F.sum("liquidation_tx_count").alias("n"), F.sum("debt_covered_raw").alias("debt"), F.sum("unique_liquidated_users").alias("u"), F.sum("unique_liquidators").alias("l")).first()
+    own = _shuffled(spark) - before
+    assert out.n == 2 * n and out.debt == rows.agg(F.sum("debt_amount")).first()[0] and min(out.u, out.l) > 1.8 * n
+    assert own < 75 * n
+
+
+def test_liquidations_without_assets_or_actors(spark, tokens):
+    kind = "time timestamp_ntz, block long, collateral_asset long, debt_asset long, collateral_amount long, debt_amount long, user string, liquidator long, receive_token boolean"
+    rows = [(T0, 1, 1, 2, 10, 5, "a", 7, True), (T0, 2, 1, 1, 20, 6, "b", 7, None), (T0, 3, None, 1, 30, None, None, 8, False), (T0, 4, None, None, None, 9, "a", None, True)] + [(None, 5, 1, 2, 1, 1, "a", 7, True)]  # the last has no bucket
+    got = extract.liquidation(spark.createDataFrame(rows, kind), tokens, "1 day", exact=True).collect()
+    names = ["collateral_amount_raw", "debt_covered_raw", "collateral_tx_count", "debt_tx_count", "liquidation_tx_count", "receive_token_count", "latest_liquidation_block", "unique_liquidated_users", "unique_liquidators"]
+    assert {(r.time_bucket, r.asset): tuple(r[c] for c in names) for r in got} == {
+        (T0, 1): (30, 6, 2, 2, 4, 1, 3, 2, 2), (T0, 2): (0, 5, 0, 1, 1, 0, 1, 1, 1), (T0, None): (30, 9, 2, 1, 3, 1, 4, 1, 1),
+    }
+
+
 @pytest.mark.parametrize(("digits", "decimals", "value"), [("12345", 3, 12.345), ("-12", 4, -0.0012), ("7", 0, 7.0), (str(10**45 + 1), 45, 1.0), (None, 2, None)])
 def test_shifted_point(spark, digits, decimals, value):
     assert one(spark, fc.shifted("x", decimals), digits) == value

@@ -1,9 +1,9 @@
 """Event and call tables reduced to bucketed panels, and the metric dictionaries. Bucket width and window are parameters.
 
 Amounts are integers, or digit strings for those of 256 bits, which stay exact (digit strings come out again). Exact counts of
-actors take two aggregations, first by actor, then by bucket, so that no row is multiplied for them. Aggregates come before dimension
-joins; these have no hint: Spark broadcasts a dimension whose size it knows to be small. Two-leg rows are exploded
-from one scan; forward-filled state comes from validity intervals that are exploded onto the grid, not from an inequality join.
+actors take two aggregations, first by actor, then by bucket, so that no row is multiplied for them (liquidations count
+each kind of actor on its own). Aggregates come before dimension
+joins; these have no hint: Spark broadcasts a dimension whose size it knows to be small. Two-leg rows are exploded; forward-filled state comes from validity intervals that are exploded onto the grid, not from an inequality join.
 Everything is lazy: no job runs while a panel is built.
 """
 
@@ -128,29 +128,32 @@ def reserve_config(changes: DataFrame, tokens: DataFrame, params: Sequence[str],
 
 
 def liquidation(rows: DataFrame, tokens: DataFrame, width: str = "2 hours", exact: bool = False) -> DataFrame:
-    """Both legs of each liquidation, from one scan; users and liquidators count with the assets of both legs."""
+    """Both legs of each liquidation; users and liquidators count with the assets of both legs.
+
+    Exact counts take a scan each, so that what is shuffled for them are the keys and an actor, and no amounts.
+    """
     big = {leg: wide(rows, f"{leg}_amount") for leg in ("collateral", "debt")}
     sums = {"collateral": "collateral_amount_raw", "debt": "debt_covered_raw"}
     counts = ["collateral_tx_count", "debt_tx_count", "liquidation_tx_count", "receive_token_count"]
-
-    def actor(leg: str, role: str) -> Column:
-        """What one leg adds; amounts and counts go with its user."""
-        own = role == "user"
-        amounts = [(whole(rows, f"{k}_amount") if own and k == leg else F.lit(None).cast("string" if big[k] else rows.schema[f"{k}_amount"].dataType)).alias(n) for k, n in sums.items()]
-        taken = F.coalesce(F.col("receive_token"), F.lit(False)).cast("int") if leg == "collateral" and own else F.lit(0)
-        numbers = [F.lit(int(own and leg == "collateral")), F.lit(int(own and leg == "debt")), F.lit(int(own)), taken]
-        return F.struct(F.col(f"{leg}_asset").alias("asset"), F.lit(role).alias("role"), F.col(role).cast("string").alias("actor"), *amounts, *(x.alias(c) for x, c in zip(numbers, counts)))
-
-    each = F.explode(F.array(*(actor(leg, role) for leg in sums for role in ("user", "liquidator"))))
-    flat = rows.select("time", F.col("block"), each.alias("x")).select(bucket("time", width).alias("time_bucket"), "block", "x.*")
-    aggs = [*(_total(n, big[leg]) for leg, n in sums.items()), *(F.sum(c).alias(c) for c in counts), F.max("block").alias("block")]
+    people = {"unique_liquidated_users": "user", "unique_liquidators": "liquidator"}
+    keys = ["time_bucket", "asset"]
+
+    def side(leg: str) -> Column:
+        """What one leg adds."""
+        amounts = [(whole(rows, f"{k}_amount") if k == leg else F.lit(None).cast("string" if big[k] else rows.schema[f"{k}_amount"].dataType)).alias(n) for k, n in sums.items()]
+        taken = F.coalesce(F.col("receive_token"), F.lit(False)).cast("int") if leg == "collateral" else F.lit(0)
+        numbers = [F.lit(int(leg == "collateral")), F.lit(int(leg == "debt")), F.lit(1), taken]
+        return F.struct(F.col(f"{leg}_asset").alias("asset"), *amounts, *(x.alias(c) for x, c in zip(numbers, counts)))
+
+    flat = rows.select(bucket("time", width).alias("time_bucket"), "block", *({} if exact else people.values()), F.explode(F.array(*map(side, sums))).alias("x")).select("*", "x.*")
+    aggs = [*(_total(n, big[leg]) for leg, n in sums.items()), *(F.sum(c).alias(c) for c in counts), F.max("block").alias("latest_liquidation_block")]
     if exact:
-        flat = flat.groupBy("time_bucket", "asset", "role", "actor").agg(*aggs)
-    people = {}
-    for role, name in (("user", "unique_liquidated_users"), ("liquidator", "unique_liquidators")):
-        own = (F.col("role") == role) & F.col("actor").isNotNull()
-        people[name] = F.count_if(own) if exact else F.approx_count_distinct(F.when(own, F.col("actor")))
-    out = flat.groupBy("time_bucket", "asset").agg(*aggs, *(v.alias(k) for k, v in people.items())).withColumnRenamed("block", "latest_liquidation_block")
+        assets = F.explode(F.array(*(f"{leg}_asset" for leg in sums))).alias("asset")
+        seen = [rows.select(bucket("time", width).alias("time_bucket"), assets, role).groupBy(*keys).agg(F.count_distinct(role).alias(n)) for n, role in people.items()]
+        parts = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [flat.groupBy(*keys).agg(*aggs), *seen])
+        out = parts.groupBy(*keys).agg(*(F.max(c).alias(c) for c in parts.columns if c not in keys))  # one row of the parts has each number
+    else:
+        out = flat.groupBy(*keys).agg(*aggs, *(F.approx_count_distinct(role).alias(n) for n, role in people.items()))
     out = out.withColumns({n: F.coalesce(n, F.lit("0") if big[leg] else F.lit(0)) for leg, n in sums.items()})
     return with_symbol(out, tokens)
 
