@@ -116,3 +116,27 @@ def test_very_long_runs(tools):
     own = alignment.sides(*alignment.default_paths())
     for text in ("x" * 300_000, " " * 300_000, "word " * 60_000):
         assert own.first([text])[0] == tools[0].encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["x " * 150 + "y" * n + " z" * 150 for n in (399, 400, 401)] + ["x " * 151 + "y" * n for n in (399, 400)] + ["a b" * 99 + "\t" * n + "c d" * 99 for n in (399, 400, 650)] + ["", "a\nb" * 500, "word " * 90, "x" * 399, " " * 400])
+def test_runs(text):
+    assert alignment._runs(text) == (max([0, *map(len, text.split())]) >= 400 or " " * 400 in text.replace("\t", " ").replace("\n", " "))
+
+
+def test_aligning_takes_less_than_encoding(tools, spark, sf_dir):
+    """CPU seconds of everything but the two libraries, as a share of theirs."""
+    from time import process_time
+
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    own, shares = alignment.sides(*alignment.default_paths()), []
+    own.second(texts[:1])
+    for _ in range(3):
+        began = process_time()
+        for t in texts:
+            own.fast.encode_to_numpy(" " + (t or ""))
+        own.second([t or "" for t in texts])
+        alone, began = process_time() - began, process_time()
+        for _, made in alignment._aligned(own, texts, set()):
+            made.written(own), made.pairs(own)
+        shares.append((process_time() - began) / alone - 1)
+    assert min(shares) < 0.8, shares

@@ -1,7 +1,7 @@
 """Alignment of two tokenizers over the same texts, by byte offsets.
 
-Tokens of both sides lie on the bytes of a space and the text. In each batch pandas merge_asof, keyed by document, finds for
-every token start the token of the other side that covers it; both directions together are the overlaps (links), and offsets
+Tokens of both sides lie on the bytes of a space and the text. In each batch pandas merge_asof, by positions that count on from
+document to document, finds for every token start the token of the other side that covers it; both directions together are the overlaps (links), and offsets
 where tokens of both sides end cut a document into groups. Links are counted by pair of ids over all documents: pairs that
 occur often are looked up in a broadcast table of at most FREQUENT rows, all others meet their counts in a join by pair,
 where no pair has many rows.
@@ -19,7 +19,6 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,6 +37,7 @@ _USUAL = re.compile(r"[\x00-ʯΑ-ΡΣ-ϿА-я‐-‧€ぁ-ゖァ-ヺ一-龥가-
 #: Runs without a break from which on the faster encoder takes long.
 RUN = 400
 _SPACES = re.compile(rf"\s{{{RUN}}}")
+_HALF = RUN // 2  # every run of RUN characters holds one of the text's blocks of so many
 _BETWEEN = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
@@ -48,6 +48,22 @@ def _plain_bytes() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Names:
+    """Byte strings by number, as one array."""
+
+    def __init__(self, names: list[bytes]) -> None:
+        self.sizes = np.array([len(x) for x in names], np.int64)
+        self.begins, self.flat = self.sizes.cumsum() - self.sizes, np.frombuffer(b"".join(names), np.uint8)
+
+    def joined(self, numbers: np.ndarray, stops: np.ndarray) -> list[bytes]:
+        """The strings of numbers up to the first stop, from there to the next one, and so on."""
+        sizes = self.sizes[numbers]
+        ends = np.r_[0, sizes.cumsum()]
+        raw = self.flat[np.repeat(self.begins[numbers] - ends[:-1], sizes) + np.arange(ends[-1])].tobytes()
+        at = ends[stops].tolist()
+        return [raw[i:j] for i, j in zip([0, *at[:-1]], at)]
+
+
 class Sides:
     """Both vocabularies: ids of texts, and the bytes of each id."""
 
@@ -69,9 +85,9 @@ class Sides:
         names = [self.pieces.id_to_piece(i) for i in range(n)]
         self.b = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
         self.cuts = not any("▁" in p.lstrip("▁") for p in names)
-        self.sizes = tuple(np.array([len(x) for x in side], np.int64) for side in (self.a, self.b))
+        self.names = _Names(self.a), _Names(self.b)
         self.width = max(1, (len(self.b) - 1).bit_length())  # bits of an id of the second side
-        self.texts = [s for i in range(len(self.a)) for s in (b"%d," % i, b"%d|" % i)] + [s for i in range(n) for s in (b"%d," % i, b"%d;" % i)]
+        self.texts = _Names([s for i in range(len(self.a)) for s in (b"%d," % i, b"%d|" % i)] + [s for i in range(n) for s in (b"%d," % i, b"%d;" % i)])
 
     def _same_ranks(self, byte_level: str):
         """The same vocabulary as ranks for the other library, if it lies beside it and agrees on every id."""
@@ -91,11 +107,14 @@ class Sides:
 
     def first(self, texts: list[str]) -> list[list[int]]:
         """ids of texts as they stand, by the byte-level vocabulary."""
-        usual = [self.fast is not None and not _runs(t) and _USUAL.fullmatch(t) is not None for t in texts]
-        out = [self.fast.encode_to_numpy(t).tolist() if u else [] for t, u in zip(texts, usual)]
+        return [ids.tolist() for ids in self.first_arrays(texts)]
+
+    def first_arrays(self, texts: list[str]) -> list[np.ndarray]:
+        usual = [self.fast is not None and not _runs(t) and (t.isascii() or _USUAL.fullmatch(t) is not None) for t in texts]
+        out = [self.fast.encode_to_numpy(t) if u else None for t, u in zip(texts, usual)]
         rest = [i for i, u in enumerate(usual) if not u]
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False) if rest else []):
-            out[i] = e.ids
+            out[i] = np.array(e.ids, np.int64)
         return out
 
     def second(self, texts: list[str]) -> list[list[int]]:
@@ -120,30 +139,36 @@ def sides(byte_level: str, pieces: str) -> Sides:
 
 
 def _runs(text: str) -> bool:
-    return len(text) >= RUN and (max(map(len, text.split()), default=0) >= RUN or _SPACES.search(text) is not None)
+    if len(text) < RUN:
+        return False
+    blocks = [text[i : i + _HALF] for i in range(0, len(text) - _HALF + 1, _HALF)]
+    if all(" " in x and not x.isspace() for x in blocks):
+        return False
+    return max(map(len, text.split()), default=0) >= RUN or _SPACES.search(text) is not None
 
 
-def _joined(names: list[bytes], ids: list[list[int]]) -> list[bytes]:
-    return [b"".join(map(names.__getitem__, own)) for own in ids]
+def _joined(names: _Names, ids: list[np.ndarray]) -> list[bytes]:
+    return names.joined(np.concatenate(ids).astype(np.int64), np.cumsum([len(x) for x in ids])) if ids else []
 
 
 class Aligned:
     """Tokens of some parts of texts, their links and groups; positions count over all parts."""
 
-    def __init__(self, own: Sides, a: list[list[int]], b: list[list[int]]) -> None:
+    def __init__(self, own: Sides, a: list[np.ndarray], b: list[np.ndarray]) -> None:
         n = len(a)
-        self.a, self.b = (np.array(list(chain.from_iterable(side)), np.int64) for side in (a, b))
+        self.a, self.b = (np.concatenate(side).astype(np.int64) for side in (a, b))
         self.part_a, self.part_b = (np.repeat(np.arange(n), [len(ids) for ids in side]) for side in (a, b))
-        end_a, end_b = own.sizes[0][self.a].cumsum(), own.sizes[1][self.b].cumsum()
-        start_a, start_b = end_a - own.sizes[0][self.a], end_b - own.sizes[1][self.b]
-        left = pd.DataFrame({"at": start_a, "doc": self.part_a, "token": np.arange(len(end_a))})
-        right = pd.DataFrame({"at": start_b, "doc": self.part_b, "token": np.arange(len(end_b))})
-        over_a = pd.merge_asof(left, right, on="at", by="doc")["token_y"].to_numpy(np.int64)
-        over_b = pd.merge_asof(right, left, on="at", by="doc")["token_y"].to_numpy(np.int64)
-        new = start_a[over_b] != start_b  # equal starts are in the first direction
-        self.link_a, self.link_b = np.r_[np.arange(len(end_a)), over_b[new]], np.r_[over_a, np.flatnonzero(new)]
-        ends = np.intersect1d(end_a, end_b, assume_unique=True)
-        self.group_a, self.group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
+        size_a, size_b = (names.sizes[ids] for names, ids in zip(own.names, (self.a, self.b)))
+        start_a, start_b = size_a.cumsum() - size_a, size_b.cumsum() - size_b
+        # a part has as many bytes on both sides, so positions of all parts need no key
+        left = pd.DataFrame({"at": start_a, "token": np.arange(len(start_a))})
+        right = pd.DataFrame({"at": start_b, "token": np.arange(len(start_b))})
+        over_a = pd.merge_asof(left, right, on="at")["token_y"].to_numpy(np.int64)
+        over_b = pd.merge_asof(right, left, on="at")["token_y"].to_numpy(np.int64)
+        begins_a, begins_b = start_b[over_a] == start_a, start_a[over_b] == start_b  # where tokens of both sides begin, a group does
+        new = ~begins_b  # equal starts are in the first direction
+        self.link_a, self.link_b = np.r_[np.arange(len(start_a)), over_b[new]], np.r_[over_a, np.flatnonzero(new)]
+        self.group_a, self.group_b = begins_a.cumsum() - 1, begins_b.cumsum() - 1
         last_a = np.r_[self.group_a[1:] != self.group_a[:-1], True]
         self.groups = np.bincount(self.part_a[last_a], minlength=n)
         self.links = np.bincount(self.part_a[self.link_a], minlength=n)
@@ -156,9 +181,8 @@ class Aligned:
         keys[np.arange(len(self.a)) + np.searchsorted(self.group_b, self.group_a, "left")] = 2 * self.a + self.last_a
         keys[np.arange(len(self.b)) + np.searchsorted(self.group_a, self.group_b, "right")] = 2 * (len(own.a) + self.b) + self.last_b
         parts = len(self.groups)
-        stops = (np.bincount(self.part_a, minlength=parts) + np.bincount(self.part_b, minlength=parts)).cumsum().tolist()
-        listed, texts = keys.tolist(), own.texts
-        return [b"".join(map(texts.__getitem__, listed[i:j])) for i, j in zip([0, *stops[:-1]], stops)]
+        stops = (np.bincount(self.part_a, minlength=parts) + np.bincount(self.part_b, minlength=parts)).cumsum()
+        return own.texts.joined(keys, stops)
 
     def pairs(self, own: Sides) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Part, pair of ids (the first one's id times 2^width and the second one's) and number of links, for each part and pair once."""
@@ -168,11 +192,11 @@ class Aligned:
         return codes >> bits, codes & ((1 << bits) - 1), counts
 
 
-def _faithful(own: Sides, parts: list[str]) -> tuple[list[bool], list[list[int]], list[list[int]]]:
+def _faithful(own: Sides, parts: list[str]) -> tuple[list[bool], list[np.ndarray], list[np.ndarray]]:
     """Whether the tokens of both sides give a part back, and its tokens."""
-    a, b = own.first(parts), own.second([p[1:] for p in parts])
+    a, b = own.first_arrays(parts), [np.array(ids, np.int64) for ids in own.second([p[1:] for p in parts])]
     raw = [p.encode("utf-8", "surrogatepass") for p in parts]
-    return [x == y == r for x, y, r in zip(_joined(own.a, a), _joined(own.b, b), raw)], a, b
+    return [x == y == r for x, y, r in zip(*(_joined(names, ids) for names, ids in zip(own.names, (a, b))), raw)], a, b
 
 
 def _units(own: Sides, texts: list[str | None]) -> Iterator[list[tuple[int, str]]]:
